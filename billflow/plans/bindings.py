@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billflow.schema import NO_DX_LABEL, TXN_UPDATED
 from billflow.sources.rules import rules_from_lists
 
 ASOF = dt.date(2026, 11, 30)  # a Monday
@@ -81,3 +82,230 @@ def client_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup = c.filter((ck % 3 == 0) & (ck != 0)).select(
         _s(ck).alias("client_id"), F.lit("Plan Z").alias("payor"), F.lit(1).alias("position"))
     return base.unionByName(dup)
+
+
+# ---- registry, service lines, coverage, invoices (from customer / orders) ----
+
+def _cents_text(cents) -> F.Column:
+    """Integer cents -> 'd.cc' text (exact; no float rounding)."""
+    return F.concat(_s(F.floor(cents / 100).cast("bigint")), F.lit("."),
+                    F.lpad(_s(cents % 100), 2, "0"))
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``G``: client registry rows; a client may sit in both tabs or in none."""
+    c = table(spark, sf_dir, "customer")
+    ck, nk = F.col("c_custkey"), F.col("c_nationkey")
+    cols = [
+        _s(ck).alias("client_id"),
+        F.concat(F.lit(" Pat"), _s(ck % 100)).alias("first_name"),
+        F.when(ck % 2 == 0, F.lit("Q.")).alias("middle_name"),
+        F.concat(F.lit("Doe  "), _s(nk)).alias("last_name"),
+        F.date_format(F.date_add(F.lit("1980-01-01").cast("date"), (ck % 9000).cast("int")),
+                      "MM/dd/yyyy").alias("dob"),
+        F.when(ck % 2 == 0, "Female").otherwise("Male").alias("gender"),
+        F.concat(_s(ck), F.lit(" Main St")).alias("street"),
+        F.concat(F.lit("City "), _s(nk)).alias("city"),
+        F.when(nk % 3 == 0, "New York").when(nk % 3 == 1, "New Jersey")
+         .otherwise("Connecticut").alias("state"),
+        F.lpad(_s(ck % 100000), 5, "0").alias("zip"),
+    ]
+    present = c.filter(ck % 9 != 0)
+    base = present.select(*cols, F.when(ck % 4 == 0, "Archived").otherwise("Active").alias("tab"))
+    both = present.filter(ck % 12 == 0).select(*cols, F.lit("Active").alias("tab"))
+    return base.unionByName(both)
+
+
+def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``L``: the service line each order would show in the client ledger."""
+    o = table(spark, sf_dir, "orders")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    w_service = F.when(k % 11 != 0, F.concat(
+        F.when(k % 4 == 0, "993").when(k % 4 == 1, "90837")
+         .when(k % 4 == 2, "90791").otherwise("999"), F.lit(": svc")))
+    dx = F.when(k % 13 == 0, F.lit(NO_DX_LABEL)).otherwise(F.concat(
+        F.lit("Anxiety (F41."), _s(k % 10), F.lit(") and Depression (F32."), _s(k % 3),
+        F.lit(")"), F.when(k % 4 == 0, F.lit(" with (Z63.0)")).otherwise(F.lit(""))))
+    return o.filter(k % 5 != 0).select(
+        k.alias("line_id"),
+        F.when(ck % 17 != 0, _s(ck)).alias("client_id"),
+        F.concat(F.date_format(service_day(k), "MM/dd/yyyy"), F.lit(", 10:00 AM")).alias("dos_text"),
+        F.when(k % 7 == 0, F.lit("90834: other")).otherwise(w_service).alias("service_type"),
+        F.when(k % 2 == 0, "11").otherwise("02").alias("place_of_service"),
+        _cents_text((k * 37) % 20000 + 5000).alias("amount"),
+        F.when(k % 3 == 0, "2").otherwise("1").alias("units"),
+        dx.alias("dx_text"),
+        k.alias("position"),
+    )
+
+
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``V``: two insurance rows per client in list order."""
+    c = table(spark, sf_dir, "customer")
+    ck = F.col("c_custkey")
+    first = c.select(
+        _s(ck).alias("client_id"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Plan B").otherwise("Plan C").alias("payor"),
+        F.when(ck % 3 == 0, "Inactive").otherwise("Active").alias("status"),
+        F.concat(F.lit("INS"), _s(ck), F.lit("A")).alias("insured_id"),
+        F.lit(0).alias("position"))
+    second = c.select(
+        _s(ck).alias("client_id"), F.lit("Plan B").alias("payor"),
+        F.when(ck % 2 == 0, "Active").otherwise("Inactive").alias("status"),
+        F.concat(F.lit("INS"), _s(ck), F.lit("B")).alias("insured_id"),
+        F.lit(1).alias("position"))
+    return first.unionByName(second)
+
+
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``I``: open invoices per client; every tenth invoice is listed twice."""
+    o = table(spark, sf_dir, "orders")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    cols = [F.when(ck % 17 != 0, _s(ck)).alias("client_id"),
+            F.concat(F.lit("INV"), _s(k)).alias("invoice_no")]
+    one = o.select(*cols, F.lit(None).cast("string").alias("note"), (k * 2).alias("position"))
+    two = o.filter(k % 10 == 0).select(*cols, F.lit("copy").alias("note"),
+                                       (k * 2 + 1).alias("position"))
+    return one.unionByName(two)
+
+
+def prior_state(cases: DataFrame) -> DataFrame:
+    """Prior Active/Archived value carried on a case row (from an earlier run)."""
+    k = F.col("item_id")
+    return cases.withColumn("active_archived", F.when(k % 5 == 0, "Archived")
+                            .when(k % 5 == 1, "Active"))
+
+
+# ---- provider masters (from nation; config-sized) ----
+
+def provider_by_payor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    nk = F.col("n_nationkey")
+    payer = F.when(nk == 0, "Optum").when(nk == 1, "Plan C").when(nk == 2, "Optum")
+    return n.filter(nk < 3).select(
+        payer.alias("payer"),
+        F.concat(F.lit("Rendering "), F.col("n_name")).alias("rendering_provider"),
+        F.when(nk % 3 == 0, "No").otherwise(F.concat(F.lit("Billing "), F.col("n_name")))
+         .alias("billing_provider"),
+        nk.alias("position"))
+
+
+def provider_by_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    nk = F.col("n_nationkey")
+    return n.filter((nk < 7) & (nk != 3)).select(
+        F.concat(F.lit("Staff "), _s(nk)).alias("staff"),
+        F.concat(F.lit("Rendering S"), _s(nk)).alias("rendering_provider"),
+        F.when(nk % 3 == 0, "No").otherwise(F.concat(F.lit("Billing S"), _s(nk)))
+         .alias("billing_provider"),
+        nk.alias("position"))
+
+
+def provider_by_staff_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    nk = F.col("n_nationkey")
+    return n.filter((nk < 9) & (nk != 5)).select(
+        F.concat(F.lit("Staff "), _s(nk % 8)).alias("staff"),
+        F.concat(F.lit("Rendering P"), _s(nk)).alias("rendering_provider"),
+        F.concat(F.lit("Billing P"), _s(nk)).alias("billing_provider"),
+        F.concat(F.col("n_name"), F.lit(" MD, NPI "), _s(nk * 111)).alias("portal_rendering_provider"),
+        F.concat(F.lit("Group "), _s(F.col("n_regionkey")), F.lit(", NPI 9")).alias("portal_billing_provider"),
+        nk.alias("position"))
+
+
+# ---- outcomes and state log (from events) ----
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``O``: submission outcomes; two events per case, the later one counts."""
+    e = table(spark, sf_dir, "events")
+    err = F.col("event_type") == "error"
+    return e.select(
+        F.expr("event_id div 2").alias("case_id"),
+        F.col("event_id").alias("seq"),
+        (~err).alias("ok"),
+        F.when(~err, F.concat(F.lit("TXN"), _s(F.col("event_id")))).alias("transaction_no"),
+        F.when(err, F.concat(F.lit("Submission error "), F.col("props"))).alias("error_text"))
+
+
+STATE_FIELDS = ("is_billed", "exceptions", "active_archived", "transaction_number",
+                "transaction_status")
+
+
+def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only case-state events ``(case_id, seq, field, value)``."""
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    field = (F.when(t == "purchase", "is_billed").when(t == "error", "exceptions")
+             .when(t == "signup", "active_archived").when(t == "click", "transaction_number")
+             .when(t == "view", "transaction_status"))
+    value = (F.when(t == "purchase", F.lit("Yes"))
+             .when(t == "error", F.concat(F.lit("err "), F.col("props")))
+             .when(t == "signup", F.when(F.col("value") > 50, "Archived").otherwise("Active"))
+             .when(t == "click", F.concat(F.lit("TXN"), _s(F.col("event_id"))))
+             .when(t == "view", F.lit(TXN_UPDATED)))
+    return e.select(F.col("user_id").alias("case_id"), F.col("event_id").alias("seq"),
+                    field.alias("field"), value.alias("value"))
+
+
+# ---- remittance rows, work-list, file inventories ----
+
+def remit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``T``: one remittance row text per order (newline-separated fields)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    k = F.col("o_orderkey")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    fields = [
+        F.concat(F.lit("CHK"), _s(k % 4000)),
+        F.concat(F.lit("Payer: "), F.col("c_mktsegment"),
+                 F.when(k % 3 == 0, F.lit(" / A|B*")).otherwise(F.lit(""))),
+        F.concat(F.lit("Payee <"), F.col("c_name"), F.lit(">")),
+        F.date_format(F.date_sub(F.lit(ASOF.isoformat()).cast("date"), (k % 5).cast("int")), "MM/dd/yyyy"),
+        F.date_format(F.date_sub(F.lit(ASOF.isoformat()).cast("date"), (k % 7).cast("int")), "MM/dd/yyyy"),
+        _cents_text((k * 53) % 100000 + 100),
+    ]
+    text = F.when(k % 23 == 0, F.concat_ws("\n", *fields[:4])).otherwise(F.concat_ws("\n", *fields))
+    return j.select(k.alias("item_id"),
+                    F.concat(F.lit("NATION_"), _s(F.col("c_nationkey"))).alias("practice"),
+                    text.alias("row_text"))
+
+
+def worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remittance work-list: one row per practice (from nation)."""
+    n = table(spark, sf_dir, "nation")
+    nk = F.col("n_nationkey")
+    return n.select(
+        F.concat(F.lit("login"), _s(F.col("n_regionkey") % 2)).alias("login"),
+        F.when(nk % 6 == 5, F.lit("Nowhere"))
+         .otherwise(F.concat(F.lit("State "), _s(F.col("n_regionkey")))).alias("state_name"),
+        F.concat(F.lit("RSM "), _s(nk % 3)).alias("rsm"),
+        F.when(nk % 7 == 6, F.lit("Unknown practice")).otherwise(F.col("n_name")).alias("practice"),
+        F.lit(None).cast("string").alias("wl_status"))
+
+
+def known_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    return r.select(F.concat(F.lit("State "), _s(F.col("r_regionkey"))).alias("state_name"))
+
+
+def _suffix() -> F.Column:
+    e = F.col("event_id")
+    return F.when(e % 3 == 0, ".pdf").when(e % 3 == 1, ".csv").otherwise(".xlsx")
+
+
+def _inventory(e: DataFrame) -> DataFrame:
+    return e.select(
+        F.concat(F.lit("/landing/"), F.col("event_type"), F.lit("/"), _s(F.col("event_id")), _suffix())
+         .alias("path"),
+        F.col("ts").cast("timestamp").alias("modificationTime"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("length"))
+
+
+def inventory_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``F``: a landing-folder listing (path, modificationTime, length)."""
+    return _inventory(table(spark, sf_dir, "events"))
+
+
+def inventory_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder as listed at the previous poll (three files in four)."""
+    return _inventory(table(spark, sf_dir, "events").filter(F.col("event_id") % 4 != 0))

@@ -34,3 +34,151 @@ def q_scrub_manual(spark, sf):
 @register("scrub_exception")
 def q_scrub_exception(spark, sf):
     return scrub.scrub_exception(B.attendance(spark, sf), B.rules(spark))
+
+
+# ---- case work (registry, service lines, coverage, providers, claims) ----
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from billflow.functions import text as TX  # noqa: E402
+from billflow.operators import claims as CL  # noqa: E402
+from billflow.operators import lookups as LK  # noqa: E402
+from billflow.operators import matching as M  # noqa: E402
+from billflow.plans import casework as CW  # noqa: E402
+
+
+def cases(spark, sf):
+    """Today's straightforward cases, carrying their prior Active/Archived state."""
+    return B.prior_state(q_scrub_straightforward(spark, sf))
+
+
+def case_inputs(spark, sf) -> CW.CaseInputs:
+    return CW.CaseInputs(
+        cases=cases(spark, sf), registry=B.registry(spark, sf), lines=B.service_lines(spark, sf),
+        coverage=B.coverage(spark, sf), invoices=B.invoices(spark, sf),
+        outcomes=B.outcomes(spark, sf), rules=B.rules(spark),
+        by_payor=B.provider_by_payor(spark, sf), by_staff=B.provider_by_staff(spark, sf),
+        by_staff_private=B.provider_by_staff_private(spark, sf))
+
+
+@register("registry_match")
+def q_registry_match(spark, sf):
+    df = M.registry_match(cases(spark, sf), B.registry(spark, sf))
+    return df.select("item_id", "client_id", "reg_found", "reg_tab", "reg_full_name")
+
+
+@register("archive_flag")
+def q_archive_flag(spark, sf):
+    df = M.archive_flag(M.registry_match(cases(spark, sf), B.registry(spark, sf)))
+    return df.filter("reg_found").select("item_id", "active_archived", "new_active_archived",
+                                         "needs_rearchive")
+
+
+@register("normalise_name")
+def q_normalise_name(spark, sf):
+    g = B.registry(spark, sf)
+    return g.select("client_id", "tab", TX.normalise_name(
+        F.col("first_name"), F.col("middle_name"), F.col("last_name")).alias("full_name"))
+
+
+@register("service_match_semi")
+def q_service_match_semi(spark, sf):
+    return M.service_match_semi(cases(spark, sf), B.service_lines(spark, sf))
+
+
+@register("service_match_anti")
+def q_service_match_anti(spark, sf):
+    return M.service_match_anti(cases(spark, sf), B.service_lines(spark, sf))
+
+
+@register("extract_codes")
+def q_extract_codes(spark, sf):
+    return B.service_lines(spark, sf).select(
+        "line_id", TX.extract_codes(F.col("dx_text")).alias("dx_codes"))
+
+
+@register("charge_rule")
+def q_charge_rule(spark, sf):
+    df = CL.dx_present(M.service_match(cases(spark, sf), B.service_lines(spark, sf)))
+    df = CL.charge_rule(df.filter(F.col("svc_found") & F.col("dx_ok")))
+    return df.select("item_id", "status", "charge_amount", "client_amount", "insurer_amount",
+                     "quantity", CL.money_cents(F.col("charge_amount")).alias("charge_cents"))
+
+
+def _resolved(spark, sf):
+    return M.provider_resolution(cases(spark, sf), B.rules(spark), B.provider_by_payor(spark, sf),
+                                 B.provider_by_staff(spark, sf),
+                                 B.provider_by_staff_private(spark, sf))
+
+
+@register("provider_resolution")
+def q_provider_resolution(spark, sf):
+    return _resolved(spark, sf).select("item_id", "provider_source", "rendering_provider",
+                                       "billing_provider", "provider_found")
+
+
+@register("missing_master")
+def q_missing_master(spark, sf):
+    return _resolved(spark, sf).filter(~F.col("provider_found")).select(
+        "item_id", "provider_source", "staff", "payor_name")
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf):
+    parts = [(B.provider_by_payor(spark, sf), "payer", "provider_by_payor"),
+             (B.provider_by_staff(spark, sf), "staff", "provider_by_staff"),
+             (B.provider_by_staff_private(spark, sf), "staff", "provider_by_staff_private")]
+    out = None
+    for dim, key, name in parts:
+        d = LK.duplicate_keys(dim, key).select(F.lit(name).alias("master"),
+                                               F.col(key).alias("key"), "n_rows")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@register("active_coverage")
+def q_active_coverage(spark, sf):
+    return M.active_coverage(B.coverage(spark, sf), B.rules(spark))
+
+
+@register("case_routing")
+def q_case_routing(spark, sf):
+    return CL.case_routing(_resolved(spark, sf)).select("item_id", "payor_name", "status", "route")
+
+
+@register("exception_tagging")
+def q_exception_tagging(spark, sf):
+    return CW.worked_cases(case_inputs(spark, sf)).select("item_id", "route", "exceptions",
+                                                          "is_billed")
+
+
+@register("claim_record")
+def q_claim_record(spark, sf):
+    return CW.claim_records(case_inputs(spark, sf))
+
+
+@register("claim_assembly")
+def q_claim_assembly(spark, sf):
+    return CL.flatten_claim(CW.claim_forms(case_inputs(spark, sf)))
+
+
+@register("diagnosis_explode")
+def q_diagnosis_explode(spark, sf):
+    return CL.diagnosis_explode(CW.claim_records(case_inputs(spark, sf)))
+
+
+@register("apply_outcome")
+def q_apply_outcome(spark, sf):
+    df = CL.case_routing(_resolved(spark, sf))
+    df = df.filter(F.col("route").isin("await_submission", "claim_file"))
+    df = CL.apply_outcome(CL.with_outcome(df, B.outcomes(spark, sf)))
+    return df.select("item_id", "route", "is_billed", "exceptions", "transaction_number",
+                     "submitted")
+
+
+@register("invoice_annotate")
+def q_invoice_annotate(spark, sf):
+    x = case_inputs(spark, sf)
+    df = M.invoice_annotate(CW.claims_with_transactions(x), x.invoices)
+    return df.select("item_id", "claim_invoice_number", "transaction_number",
+                     "invoice_position", "invoice_note", "transaction_status")
