@@ -1,9 +1,17 @@
-"""Join helpers with an explicit, checked broadcast decision.
+"""Join helpers and the broadcast policy.
 
-A side is broadcast only when a bounded count proves it small
-(``df.limit(n + 1).count() <= n``). Beyond the bound the join is left to the
-planner (sort-merge / shuffle-hash, with AQE skew splitting), so results are
-the same at any size; only the strategy changes.
+Two kinds of small side exist:
+
+* config tables (rule lists, provider masters): hinted with ``broadcast`` only
+  after a bounded count proves them small (``df.limit(n + 1).count() <= n``);
+  beyond the bound the hint is dropped.
+* data-sized tables (client export, registry, service lines, coverage,
+  invoices, outcomes): never hinted. The planner broadcasts them only while
+  their size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and
+  AQE re-decides from measured shuffle sizes; otherwise the join is
+  sort-merge with AQE splitting skewed partitions.
+
+Results are identical either way; only the physical strategy changes.
 """
 
 from __future__ import annotations
@@ -26,26 +34,17 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def null_safe_left_join(left: DataFrame, dim: DataFrame, left_key: str, right_key: str,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def null_safe_left_join(left: DataFrame, dim: DataFrame, left_key: str,
+                        right_key: str) -> DataFrame:
     """Left join where a NULL key matches a NULL key and duplicates fan out.
 
-    Small ``dim``: one broadcast hash join on ``<=>`` (no shuffle of ``left``).
-    Large ``dim``: NULL keys would all hash to one reducer, so the NULL-key
-    rows are split off and joined against the (size-checked) NULL-key part of
-    ``dim``; non-NULL keys take an ordinary shuffle join that AQE can split
-    when one key is hot.
+    ``<=>`` plans as an equi join on ``(coalesce(k, ''), isnull(k))``, so it
+    stays a hash join: broadcast while ``dim`` is under the planner's size
+    threshold, sort-merge beyond it. There all NULL keys share one reducer;
+    AQE's skew-join rule splits that partition of ``left`` (the NULL part of
+    ``dim`` is what gets replicated, and it is small in any master table).
     """
-    lk, rk = F.col(left_key), F.col(right_key)
-    if fits_broadcast(dim, max_rows):
-        return left.join(F.broadcast(dim), left[left_key].eqNullSafe(dim[right_key]), "left")
-    dim_null = dim.filter(rk.isNull())
-    dim_keyed = dim.filter(rk.isNotNull())
-    keyed = left.filter(lk.isNotNull()).join(
-        dim_keyed, left[left_key] == dim_keyed[right_key], "left")
-    nulls = left.filter(lk.isNull())
-    nulls = nulls.join(maybe_broadcast(dim_null, max_rows), F.lit(True), "left")
-    return keyed.unionByName(nulls)
+    return left.join(dim, F.col(left_key).eqNullSafe(F.col(right_key)), "left")
 
 
 def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false
 from billflow.functions.text import recode_contains
-from billflow.operators.joins import maybe_broadcast, null_safe_left_join
+from billflow.operators.joins import null_safe_left_join
 
 
 def first_by_position(df: DataFrame, keys: list[str], order: list[str],
@@ -62,7 +62,7 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
 def missing_master(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Fact rows whose key has no master entry (NULL keys count as missing)."""
     d = dim.select(F.col(dim_key).alias("_mm_key"))
-    return facts.join(maybe_broadcast(d), F.col(fact_key) == F.col("_mm_key"), "left_anti")
+    return facts.join(d, F.col(fact_key) == F.col("_mm_key"), "left_anti")
 
 
 def assert_no_missing(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> None:
@@ -77,5 +77,5 @@ def left_flag_join(df: DataFrame, other: DataFrame, cond: Column, flag: str) ->
     ``other`` must be unique on the join key (use ``first_by_position`` or a
     distinct key set) so the left side never fans out.
     """
-    return df.join(maybe_broadcast(other.withColumn(flag, F.lit(True))), cond, "left") \
+    return df.join(other.withColumn(flag, F.lit(True)), cond, "left") \
         .withColumn(flag, match_or_false(F.col(flag)))

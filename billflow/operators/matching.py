@@ -41,7 +41,7 @@ def registry_match(cases: DataFrame, registry: DataFrame) -> DataFrame:
     client-id equality, so this is an equi join on the id. NULL ids never match.
     """
     best = _prefixed(best_registry_entry(registry), "reg_", ["client_id"] + REGISTRY_FIELDS)
-    j = cases.join(maybe_broadcast(best), F.col("client_id") == F.col("reg_client_id"), "left")
+    j = cases.join(best, F.col("client_id") == F.col("reg_client_id"), "left")
     return (j.withColumn("reg_found", F.col("reg_client_id").isNotNull())
             .withColumn("reg_full_name", normalise_name(F.col("reg_first_name"),
                                                         F.col("reg_middle_name"),
@@ -122,7 +122,7 @@ def active_coverage(coverage: DataFrame, rules: DataFrame) -> DataFrame:
 
 def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame) -> DataFrame:
     cov = _prefixed(active_coverage(coverage, rules), "cov_", ["client_id", "payor", "insured_id"])
-    j = cases.join(maybe_broadcast(cov), F.col("client_id") == F.col("cov_client_id"), "left")
+    j = cases.join(cov, F.col("client_id") == F.col("cov_client_id"), "left")
     return j.withColumn("cov_found", F.col("cov_client_id").isNotNull()).drop("cov_client_id")
 
 
@@ -188,7 +188,7 @@ def first_invoice(cases: DataFrame, invoices: DataFrame) -> DataFrame:
     inv = first_by_position(invoices, ["client_id"], ["position"], ["invoice_no"])
     inv = inv.select(F.col("client_id").alias("_inv_client"),
                      F.col("invoice_no").alias("claim_invoice_number"))
-    return cases.join(maybe_broadcast(inv), F.col("client_id") == F.col("_inv_client"), "left") \
+    return cases.join(inv, F.col("client_id") == F.col("_inv_client"), "left") \
         .drop("_inv_client")
 
 
@@ -200,10 +200,10 @@ def invoice_annotate(claims: DataFrame, invoices: DataFrame) -> DataFrame:
     """
     cand = invoices.groupBy("client_id", "invoice_no").agg(F.min("position").alias("_inv_pos")) \
         .select(F.col("client_id").alias("_i_client"), F.col("invoice_no").alias("_i_no"), "_inv_pos")
-    j = claims.join(maybe_broadcast(cand), (F.col("client_id") == F.col("_i_client"))
+    j = claims.join(cand, (F.col("client_id") == F.col("_i_client"))
                     & (F.col("claim_invoice_number") == F.col("_i_no")), "left")
     matched = F.col("_i_no").isNotNull() & F.col("transaction_number").isNotNull()
-    return (j.withColumn("invoice_position", F.when(matched, F.col("_inv_pos")))
+    return (j.withColumn("invoice_position", F.when(matched, F.col("_inv_pos").cast("string")))
             .withColumn("invoice_note", F.when(matched, note_text(INVOICE_NOTE_PREFIX,
                                                                    F.col("transaction_number"))))
             .withColumn("transaction_status", F.when(matched, F.lit(TXN_UPDATED)))

@@ -97,3 +97,226 @@ SQL: dict[str, str] = {
     "scrub_manual": with_scrub(f"SELECT {W_COLS}, payor_name FROM manual"),
     "scrub_exception": with_scrub(f"SELECT {W_COLS} FROM exc"),
 }
+
+
+# ---- case work ------------------------------------------------------------------
+
+NO_DX = "None of the Cases related to this session have billable diagnoses entered."
+
+
+def cents_text(x: str) -> str:
+    return f"concat(CAST(({x}) // 100 AS VARCHAR), '.', lpad(CAST(({x}) % 100 AS VARCHAR), 2, '0'))"
+
+
+def first_row(src: str, part: str, order: str) -> str:
+    return (f"(SELECT * EXCLUDE (rn) FROM (SELECT s.*, row_number() OVER "
+            f"(PARTITION BY {part} ORDER BY {order}) AS rn FROM {src} s) WHERE rn = 1)")
+
+
+def norm_name(a: str) -> str:
+    return (f"trim(regexp_replace(concat_ws(' ', {a}.first_name, {a}.middle_name, {a}.last_name),"
+            f" '\\s+', ' ', 'g'))")
+
+
+G_COLS = """CAST(c_custkey AS VARCHAR) AS client_id,
+    concat(' Pat', CAST(c_custkey % 100 AS VARCHAR)) AS first_name,
+    CASE WHEN c_custkey % 2 = 0 THEN 'Q.' END AS middle_name,
+    concat('Doe  ', CAST(c_nationkey AS VARCHAR)) AS last_name,
+    strftime(DATE '1980-01-01' + CAST(c_custkey % 9000 AS INTEGER), '%m/%d/%Y') AS dob,
+    CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+    concat(CAST(c_custkey AS VARCHAR), ' Main St') AS street,
+    concat('City ', CAST(c_nationkey AS VARCHAR)) AS city,
+    CASE c_nationkey % 3 WHEN 0 THEN 'New York' WHEN 1 THEN 'New Jersey' ELSE 'Connecticut' END AS state,
+    lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip"""
+
+CASE_CTES = f"""{SCRUB_CTES},
+cases AS (SELECT s.*, CASE WHEN item_id % 5 = 0 THEN 'Archived' WHEN item_id % 5 = 1 THEN 'Active' END
+    AS active_archived FROM straight s),
+g AS (SELECT {G_COLS}, CASE WHEN c_custkey % 4 = 0 THEN 'Archived' ELSE 'Active' END AS tab
+    FROM customer WHERE c_custkey % 9 <> 0
+  UNION ALL SELECT {G_COLS}, 'Active' FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 12 = 0),
+g_best AS {first_row('g', 'client_id', "CASE tab WHEN 'Active' THEN 0 WHEN 'Archived' THEN 1 ELSE 2 END")},
+reg AS (SELECT c.*, b.client_id IS NOT NULL AS reg_found, b.tab AS reg_tab, b.first_name AS reg_first_name,
+    b.last_name AS reg_last_name, b.dob AS reg_dob, b.gender AS reg_gender, b.street AS reg_street,
+    b.city AS reg_city, b.state AS reg_state, b.zip AS reg_zip, {norm_name('b')} AS reg_full_name
+  FROM cases c LEFT JOIN g_best b ON c.client_id = b.client_id),
+l AS (SELECT o_orderkey AS line_id,
+    CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS client_id,
+    concat(strftime(DATE '2026-11-20' + CAST(o_orderkey % 14 AS INTEGER), '%m/%d/%Y'), ', 10:00 AM') AS dos_text,
+    CASE WHEN o_orderkey % 7 = 0 THEN '90834: other' WHEN o_orderkey % 11 <> 0 THEN concat(
+      CASE o_orderkey % 4 WHEN 0 THEN '993' WHEN 1 THEN '90837' WHEN 2 THEN '90791' ELSE '999' END, ': svc')
+      END AS service_type,
+    CASE WHEN o_orderkey % 2 = 0 THEN '11' ELSE '02' END AS place_of_service,
+    {cents_text('(o_orderkey * 37) % 20000 + 5000')} AS amount,
+    CASE WHEN o_orderkey % 3 = 0 THEN '2' ELSE '1' END AS units,
+    CASE WHEN o_orderkey % 13 = 0 THEN '{NO_DX}' ELSE concat('Anxiety (F41.', CAST(o_orderkey % 10 AS VARCHAR),
+      ') and Depression (F32.', CAST(o_orderkey % 3 AS VARCHAR), ')',
+      CASE WHEN o_orderkey % 4 = 0 THEN ' with (Z63.0)' ELSE '' END) END AS dx_text,
+    o_orderkey AS position
+  FROM orders WHERE o_orderkey % 5 <> 0),
+pairs AS (SELECT DISTINCT c.client_id AS p_client, c.date_time AS p_dt, c.status AS p_status,
+    c.service_type AS p_svc, l.*
+  FROM cases c JOIN l ON c.client_id = l.client_id AND trim(replace(c.date_time, ' ET', '')) = l.dos_text
+   AND (NOT coalesce(c.status IN ('Late Cancel', 'No Show'), false) OR c.service_type = l.service_type)),
+line1 AS {first_row('pairs', 'p_client, p_dt, p_status, p_svc', 'position')},
+svc AS (SELECT r.*, m.line_id AS ln_line_id, m.place_of_service AS ln_place_of_service,
+    m.amount AS ln_amount, m.units AS ln_units, m.dx_text AS ln_dx_text, m.line_id IS NOT NULL AS svc_found
+  FROM reg r LEFT JOIN line1 m ON r.client_id = m.p_client AND r.date_time = m.p_dt
+   AND r.status IS NOT DISTINCT FROM m.p_status AND r.service_type IS NOT DISTINCT FROM m.p_svc),
+charged AS (SELECT s.*, NOT coalesce(contains(ln_dx_text, '{NO_DX}'), false) AS dx_ok,
+    CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN '65.00' ELSE ln_amount END AS charge_amount,
+    CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN '65.00' ELSE '0.00' END AS client_amount,
+    CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN '0.00' END AS insurer_amount,
+    CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN ln_units ELSE '1' END AS quantity
+  FROM svc s),
+pp_raw AS (SELECT CASE n_nationkey WHEN 0 THEN 'Optum' WHEN 1 THEN 'Plan C' WHEN 2 THEN 'Optum' END AS payer,
+    concat('Rendering ', n_name) AS rendering_provider,
+    CASE WHEN n_nationkey % 3 = 0 THEN 'No' ELSE concat('Billing ', n_name) END AS billing_provider,
+    n_nationkey AS position FROM nation WHERE n_nationkey < 3),
+ps_raw AS (SELECT concat('Staff ', CAST(n_nationkey AS VARCHAR)) AS staff,
+    concat('Rendering S', CAST(n_nationkey AS VARCHAR)) AS rendering_provider,
+    CASE WHEN n_nationkey % 3 = 0 THEN 'No' ELSE concat('Billing S', CAST(n_nationkey AS VARCHAR)) END
+      AS billing_provider,
+    n_nationkey AS position FROM nation WHERE n_nationkey < 7 AND n_nationkey <> 3),
+pv_raw AS (SELECT concat('Staff ', CAST(n_nationkey % 8 AS VARCHAR)) AS staff,
+    concat('Rendering P', CAST(n_nationkey AS VARCHAR)) AS rendering_provider,
+    concat('Billing P', CAST(n_nationkey AS VARCHAR)) AS billing_provider,
+    concat(n_name, ' MD, NPI ', CAST(n_nationkey * 111 AS VARCHAR)) AS portal_rendering_provider,
+    concat('Group ', CAST(n_regionkey AS VARCHAR), ', NPI 9') AS portal_billing_provider,
+    n_nationkey AS position FROM nation WHERE n_nationkey < 9 AND n_nationkey <> 5),
+pp AS {first_row('pp_raw', 'payer', 'position')},
+ps AS {first_row('ps_raw', 'staff', 'position')},
+pv AS {first_row('pv_raw', 'staff', 'position')},
+src AS (SELECT c.*,
+    coalesce(c.payor_name IN (SELECT value FROM r WHERE rule_name = 'private_payor'), false) AS is_private,
+    CASE WHEN c.payor_name IN (SELECT value FROM r WHERE rule_name = 'private_payor') THEN 'staff_private'
+      WHEN c.payor_name IN (SELECT value FROM r WHERE rule_name = 'staff_payor') THEN 'staff'
+      ELSE 'payor' END AS provider_source
+  FROM charged c),
+resolved AS (SELECT s.*,
+    CASE provider_source WHEN 'staff_private' THEN pv.rendering_provider WHEN 'staff' THEN ps.rendering_provider
+      ELSE pp.rendering_provider END AS rendering_provider,
+    CASE provider_source WHEN 'staff_private' THEN pv.billing_provider WHEN 'staff' THEN ps.billing_provider
+      ELSE pp.billing_provider END AS billing_provider,
+    CASE provider_source WHEN 'staff_private' THEN pv.staff IS NOT NULL WHEN 'staff' THEN ps.staff IS NOT NULL
+      ELSE pp.payer IS NOT NULL END AS provider_found,
+    CASE WHEN is_private THEN 'claim_file'
+      WHEN coalesce(s.status IN ('Late Cancel', 'No Show'), false) THEN 'save_only'
+      ELSE 'await_submission' END AS route
+  FROM src s LEFT JOIN pv ON s.staff = pv.staff LEFT JOIN ps ON s.staff = ps.staff
+    LEFT JOIN pp ON s.payor_name = pp.payer),
+v AS (SELECT CAST(c_custkey AS VARCHAR) AS client_id,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Plan B' ELSE 'Plan C' END AS payor,
+    CASE WHEN c_custkey % 3 = 0 THEN 'Inactive' ELSE 'Active' END AS status,
+    concat('INS', CAST(c_custkey AS VARCHAR), 'A') AS insured_id, 0 AS position FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'Plan B',
+    CASE WHEN c_custkey % 2 = 0 THEN 'Active' ELSE 'Inactive' END,
+    concat('INS', CAST(c_custkey AS VARCHAR), 'B'), 1 FROM customer),
+v_ok AS (SELECT * FROM v WHERE status = 'Active'
+    AND payor IN (SELECT value FROM r WHERE rule_name = 'private_payor')),
+cov AS {first_row('v_ok', 'client_id', 'position')},
+inv AS (SELECT CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS client_id,
+    concat('INV', CAST(o_orderkey AS VARCHAR)) AS invoice_no, NULL::VARCHAR AS note, o_orderkey * 2 AS position
+  FROM orders
+  UNION ALL SELECT CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END,
+    concat('INV', CAST(o_orderkey AS VARCHAR)), 'copy', o_orderkey * 2 + 1 FROM orders WHERE o_orderkey % 10 = 0),
+inv1 AS {first_row('(SELECT * FROM inv WHERE client_id IS NOT NULL)', 'client_id', 'position')},
+o AS (SELECT event_id // 2 AS case_id, event_id AS seq, event_type <> 'error' AS ok,
+    CASE WHEN event_type <> 'error' THEN concat('TXN', CAST(event_id AS VARCHAR)) END AS transaction_no,
+    CASE WHEN event_type = 'error' THEN concat('Submission error ', props) END AS error_text FROM events),
+lo AS (SELECT case_id, ok AS out_ok, transaction_no AS out_txn, error_text AS out_error
+  FROM {first_row('o', 'case_id', 'seq DESC')}),
+worked AS (SELECT x.*, cov.client_id IS NOT NULL AS cov_found, cov.insured_id AS cov_insured_id,
+    inv1.invoice_no AS claim_invoice_number, lo.out_ok, lo.out_txn, lo.out_error,
+    CASE WHEN NOT x.reg_found THEN 'Client Name or ID not found'
+      WHEN NOT x.svc_found THEN 'No claims are present in particular DOS'
+      WHEN NOT x.dx_ok THEN 'DX code not found'
+      WHEN x.route = 'claim_file' AND cov.client_id IS NULL
+        THEN 'The claim encountered an error during the ''Awaiting Submission'' process.'
+      WHEN x.route = 'await_submission' AND lo.case_id IS NOT NULL AND NOT lo.out_ok THEN lo.out_error
+    END AS exc
+  FROM resolved x LEFT JOIN cov ON x.client_id = cov.client_id
+    LEFT JOIN inv1 ON x.client_id = inv1.client_id LEFT JOIN lo ON x.item_id = lo.case_id),
+tagged AS (SELECT w.*, exc AS exceptions,
+    CASE WHEN exc IS NOT NULL THEN NULL WHEN route IN ('save_only', 'claim_file') THEN 'Yes'
+      WHEN coalesce(out_ok, false) THEN 'Yes' END AS tagged_billed
+  FROM worked w),
+rec AS (SELECT item_id, reg_full_name AS client_name, client_id, date_time, service_type, staff, payor_name,
+    reg_first_name AS first_name, reg_last_name AS last_name, reg_dob AS dob, reg_gender AS gender,
+    reg_street AS street, reg_city AS city, reg_state AS state, reg_zip AS zip, claim_invoice_number,
+    cov_insured_id AS insurance_number, ln_place_of_service AS place_of_service,
+    array_to_string(list_transform(regexp_extract_all(ln_dx_text, '\\(([^)]+)\\)', 1),
+      lambda x: replace(x, '.', '')), ',') AS dx_code,
+    charge_amount, quantity
+  FROM tagged WHERE route = 'claim_file' AND exceptions IS NULL)"""
+
+
+def with_cases(select: str) -> str:
+    return f"WITH {CASE_CTES}\n{select}"
+
+
+REC_COLS = ("item_id, client_name, client_id, date_time, service_type, staff, payor_name, first_name, "
+            "last_name, dob, gender, street, city, state, zip, claim_invoice_number, insurance_number, "
+            "place_of_service, dx_code, charge_amount, quantity")
+
+SQL.update({
+    "registry_match": with_cases(
+        "SELECT item_id, client_id, reg_found, reg_tab, reg_full_name FROM reg"),
+    "archive_flag": with_cases("""SELECT item_id, active_archived,
+        CASE WHEN reg_tab = 'Active' OR active_archived IS DISTINCT FROM 'Archived' THEN 'Active'
+          WHEN reg_tab = 'Archived' THEN 'Archived' ELSE active_archived END AS new_active_archived,
+        (reg_tab = 'Archived' OR active_archived IS NOT DISTINCT FROM 'Archived') AS needs_rearchive
+      FROM reg WHERE reg_found"""),
+    "normalise_name": with_cases(f"SELECT client_id, tab, {norm_name('g')} AS full_name FROM g"),
+    "service_match_semi": with_cases(
+        f"SELECT {W_COLS}, payor_name, active_archived FROM svc WHERE svc_found"),
+    "service_match_anti": with_cases(
+        f"SELECT {W_COLS}, payor_name, active_archived FROM svc WHERE NOT svc_found"),
+    "extract_codes": with_cases("""SELECT line_id, array_to_string(list_transform(
+        regexp_extract_all(dx_text, '\\(([^)]+)\\)', 1), lambda x: replace(x, '.', '')), ',') AS dx_codes FROM l"""),
+    "charge_rule": with_cases("""SELECT item_id, status, charge_amount, client_amount, insurer_amount, quantity,
+        CAST(CAST(charge_amount AS DECIMAL(12,2)) * 100 AS BIGINT) AS charge_cents
+      FROM charged WHERE svc_found AND dx_ok"""),
+    "provider_resolution": with_cases("""SELECT item_id, provider_source, rendering_provider, billing_provider,
+        provider_found FROM resolved"""),
+    "missing_master": with_cases(
+        "SELECT item_id, provider_source, staff, payor_name FROM resolved WHERE NOT provider_found"),
+    "duplicate_keys": with_cases("""
+        SELECT 'provider_by_payor' AS master, payer AS key, count(*) AS n_rows FROM pp_raw GROUP BY payer HAVING count(*) > 1
+        UNION ALL SELECT 'provider_by_staff', staff, count(*) FROM ps_raw GROUP BY staff HAVING count(*) > 1
+        UNION ALL SELECT 'provider_by_staff_private', staff, count(*) FROM pv_raw GROUP BY staff HAVING count(*) > 1"""),
+    "active_coverage": with_cases("SELECT client_id, payor, insured_id FROM cov"),
+    "case_routing": with_cases("SELECT item_id, payor_name, status, route FROM resolved"),
+    "exception_tagging": with_cases(
+        "SELECT item_id, route, exceptions, tagged_billed AS is_billed FROM tagged"),
+    "claim_record": with_cases(f"SELECT {REC_COLS} FROM rec"),
+    "diagnosis_explode": with_cases("""SELECT item_id, i - 1 AS slot, string_split(dx_code, ',')[i] AS code,
+        i AS pointer FROM rec, range(1, len(string_split(dx_code, ',')) + 1) t(i)"""),
+    "claim_assembly": with_cases("""SELECT rec.item_id, first_name AS patient_first_name, state AS patient_state,
+        zip AS patient_zip, insurance_number AS member_id,
+        trim(split_part(pv.portal_rendering_provider, ',', 1)) AS rendering,
+        trim(split_part(pv.portal_billing_provider, ',', 1)) AS billing,
+        '1' AS frequency, 'A -' AS assignment, 'Y -' AS release_info, 'Yes' AS signature, place_of_service,
+        len(string_split(dx_code, ',')) AS n_diagnoses,
+        split_part(date_time, ',', 1) AS from_date, split_part(date_time, ',', 1) AS to_date,
+        split_part(service_type, ':', 1) AS procedure_code, charge_amount AS amount, quantity,
+        array_to_string(list_transform(range(1, len(string_split(dx_code, ',')) + 1), lambda x: CAST(x AS VARCHAR)), ',')
+          AS pointers
+      FROM rec LEFT JOIN pv ON rec.staff = pv.staff"""),
+    "apply_outcome": with_cases("""SELECT item_id, route,
+        CASE WHEN coalesce(out_ok, false) THEN 'Yes' ELSE is_billed END AS is_billed,
+        CASE WHEN out_ok = false THEN out_error END AS exceptions,
+        CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN out_txn END AS transaction_number,
+        CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN 'Yes' END AS submitted
+      FROM worked WHERE route IN ('await_submission', 'claim_file')"""),
+    "invoice_annotate": with_cases("""SELECT rec.item_id, rec.claim_invoice_number,
+        CASE WHEN lo.out_ok THEN lo.out_txn END AS transaction_number,
+        CASE WHEN lo.out_ok AND ip.pos IS NOT NULL THEN CAST(ip.pos AS VARCHAR) END AS invoice_position,
+        CASE WHEN lo.out_ok AND ip.pos IS NOT NULL
+          THEN concat('Claim submitted through availity portal under the transaction ID#', lo.out_txn) END
+          AS invoice_note,
+        CASE WHEN lo.out_ok AND ip.pos IS NOT NULL THEN 'Transaction Number updated' END AS transaction_status
+      FROM rec LEFT JOIN lo ON rec.item_id = lo.case_id
+        LEFT JOIN (SELECT client_id, invoice_no, min(position) AS pos FROM inv GROUP BY ALL) ip
+          ON rec.client_id = ip.client_id AND rec.claim_invoice_number = ip.invoice_no"""),
+})
