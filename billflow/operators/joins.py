@@ -24,9 +24,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably holds at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` provably holds at most ``max_rows`` rows.
+
+    The bounded count runs once per distinct plan (``semanticHash``) and
+    session; a config table joined by several operators is counted once.
+    """
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -31,8 +31,15 @@ RULES = {
 }
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table as one reusable DataFrame per session (one file listing)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def rules(spark: SparkSession) -> DataFrame:
