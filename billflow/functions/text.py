@@ -44,7 +44,7 @@ def strip_zone(c: Column, zone: str = " ET") -> Column:
 
 def to_service_date(c: Column) -> Column:
     """Typed date of the date text; unparseable text gives NULL (ANSI-safe)."""
-    return F.try_to_date(first10(c), F.lit("MM/dd/yyyy"))
+    return F.try_to_date(first10(c), "MM/dd/yyyy")
 
 
 def list_head(c: Column, sep: str = ",") -> Column:

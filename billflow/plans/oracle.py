@@ -320,3 +320,186 @@ SQL.update({
         LEFT JOIN (SELECT client_id, invoice_no, min(position) AS pos FROM inv GROUP BY ALL) ip
           ON rec.client_id = ip.client_id AND rec.claim_invoice_number = ip.invoice_no"""),
 })
+
+
+# ---- scalars, gates, sources -------------------------------------------------------
+
+def with_scrub_extra(extra: str, select: str) -> str:
+    return f"WITH {SCRUB_CTES},\n{extra}\n{select}"
+
+
+def lookback_where(asof_sql: str) -> str:
+    return (f"try_strptime(substr(date_time, 1, 10), '%m/%d/%Y')::DATE BETWEEN {asof_sql} - "
+            f"(CASE WHEN isodow({asof_sql}) = 1 THEN 4 ELSE 2 END) AND {asof_sql} - 2")
+
+
+RAGGED = """cs AS (SELECT c_custkey AS ck FROM customer)"""
+
+SQL.update({
+    "scan_text": with_scrub(f"SELECT {W_COLS} FROM w"),
+    "rules_unpivot": f"""WITH {RAGGED}
+        SELECT 'exclude_status' AS rule_name,
+          CASE ck % 3 WHEN 0 THEN 'Canceled' WHEN 1 THEN 'Rescheduled' ELSE 'Upcoming' END AS value
+          FROM cs WHERE ck % 50 = 0
+        UNION ALL SELECT 'no_show_cpts', CAST(ck % 1000 AS VARCHAR) FROM cs WHERE ck % 7 = 0
+        UNION ALL SELECT 'late_cancel_cpts', CAST(ck % 500 + 90000 AS VARCHAR) FROM cs WHERE ck % 11 = 0
+        UNION ALL SELECT 'kept_cpts', CAST(ck % 300 AS VARCHAR) FROM cs WHERE ck % 13 = 0
+        UNION ALL SELECT 'private_payor', concat('Plan ', CAST(ck % 5 AS VARCHAR)) FROM cs WHERE ck % 17 = 0
+        UNION ALL SELECT 'exception_client', CAST(ck AS VARCHAR) FROM cs WHERE ck % 19 = 0
+        UNION ALL SELECT 'staff_payor', concat('Payor ', CAST(ck % 4 AS VARCHAR)) FROM cs WHERE ck % 23 = 0""",
+    "strip_headers": """SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS client_name,
+        c_mktsegment AS payor FROM customer""",
+    "project_rename_drop": with_scrub("SELECT client_id, payor AS payor_name FROM c"),
+    "add_missing_columns": with_scrub(
+        f"SELECT {W_COLS}, NULL::VARCHAR AS exceptions, NULL::VARCHAR AS active_archived FROM w"),
+    "null_to_empty": with_scrub("""SELECT item_id, coalesce(client_id, '') AS client_id,
+        coalesce(is_billed, '') AS is_billed, coalesce(status, '') AS status,
+        coalesce(service_type, '') AS service_type, coalesce(date_time, '') AS date_time,
+        coalesce(staff, '') AS staff FROM w"""),
+    "recode_contains": with_scrub("""SELECT client_id, payor, CASE WHEN contains(payor, 'United Healthcare')
+        OR contains(payor, 'UnitedHealthcare') THEN 'Optum' ELSE payor END AS payor_recoded FROM c"""),
+    "code_prefix": with_scrub("""SELECT item_id, CASE WHEN strpos(service_type, ':') > 0
+        THEN split_part(service_type, ':', 1) END AS code FROM w"""),
+    "date_part_text": with_scrub("""SELECT item_id, split_part(date_time, ',', 1) AS date_text,
+        substr(date_time, 1, 10) AS first10, trim(replace(date_time, ' ET', '')) AS no_zone,
+        strftime(try_strptime(substr(date_time, 1, 10), '%m/%d/%Y'), '%Y-%m-%d') AS service_date FROM w"""),
+    "split_parts": """SELECT CAST(c_custkey AS VARCHAR) AS client_id,
+        trim(split_part(concat('Dr ', c_name, ' , NPI ', CAST(c_custkey AS VARCHAR)), ',', 1)) AS provider_head,
+        regexp_extract(concat('/clients/details/', CAST(c_custkey AS VARCHAR)), '[^/]*$') AS url_id,
+        string_split_regex(trim(concat('  ', c_name, '   Smith')), '\\s+')[1] AS first_token
+      FROM customer""",
+    "date_labels": """SELECT o_orderkey AS item_id, strftime(o_orderdate, '%m%d%Y') AS mmddyyyy,
+        strftime(o_orderdate, '%m-%d-%Y') AS dashed, strftime(o_orderdate, '%m %b''%Y') AS month_label,
+        strftime(CAST(o_orderdate AS DATE) - 1, '%m/%d/%Y') AS yesterday,
+        strftime(date_trunc('month', o_orderdate), '%m/%d/%Y') AS month_start FROM orders""",
+    "billed_split": with_scrub("""SELECT item_id, CASE WHEN is_billed IS NOT DISTINCT FROM 'Yes'
+        THEN 'billed' ELSE 'open' END AS route FROM w"""),
+    "status_exclusion": with_scrub(f"SELECT {W_COLS} FROM w WHERE {not_in_rule('status', 'exclude_status')}"),
+    "client_exclusion": with_scrub(
+        f"SELECT {W_COLS} FROM w WHERE {not_in_rule('client_id', 'exception_client')}"),
+    "code_gate": with_scrub(f"""SELECT {W_COLS} FROM w e
+        WHERE NOT coalesce(e.status IN ('No Show', 'Late Cancel', 'Kept'), false) OR {code_match('e')}"""),
+    "billed_exception_gate": with_scrub(f"""SELECT {W_COLS} FROM billed b
+        WHERE {not_in_rule('b.status', 'exclude_status')}
+          AND NOT (b.status IS NOT DISTINCT FROM 'No Show' AND {code_match('b')})
+          AND NOT (b.status IS NOT DISTINCT FROM 'Late Cancel' AND {code_match('b')})
+          AND NOT (b.status IS NOT DISTINCT FROM 'Kept' AND {code_match('b')})"""),
+    "inactive_blank_filter": with_scrub(f"""SELECT w.*, c.payor AS payor_name FROM w
+        LEFT JOIN c ON w.client_id IS NOT DISTINCT FROM c.client_id
+        WHERE NOT coalesce(contains(w.staff, 'Inactive'), false) AND c.payor IS NOT NULL"""),
+    "business_day_lookback": with_scrub(f"SELECT {W_COLS} FROM w WHERE {lookback_where(ASOF_SQL)}"),
+    "business_day_lookback_weekday": with_scrub(
+        f"SELECT {W_COLS} FROM w WHERE {lookback_where(f'({ASOF_SQL} + 2)')}"),
+    "payor_lookup": with_scrub(f"""SELECT w.*, c.payor AS payor_name FROM w
+        LEFT JOIN c ON w.client_id IS NOT DISTINCT FROM c.client_id"""),
+    "payor_lookup_first": with_scrub(f"""SELECT w.*, c1.payor AS payor_name FROM w
+        LEFT JOIN {first_row('c', 'client_id', 'position')} c1 ON w.client_id IS NOT DISTINCT FROM c1.client_id"""),
+    "stage_counts": with_scrub("""SELECT 'exception' AS route, count(*) AS n_rows FROM exc
+        UNION ALL SELECT 'manual', count(*) FROM manual
+        UNION ALL SELECT 'straightforward', count(*) FROM straight"""),
+})
+
+
+# ---- remittance ---------------------------------------------------------------------
+
+D0 = f"strftime({ASOF_SQL}, '%m/%d/%Y')"
+D1 = f"strftime({ASOF_SQL} - 1, '%m/%d/%Y')"
+
+REMIT_CTES = f"""t AS (SELECT o_orderkey AS item_id, concat('NATION_', CAST(c_nationkey AS VARCHAR)) AS practice,
+    CASE WHEN o_orderkey % 23 = 0 THEN concat_ws(chr(10), f1, f2, f3, f4)
+      ELSE concat_ws(chr(10), f1, f2, f3, f4, f5, f6) END AS row_text
+  FROM (SELECT o_orderkey, c_nationkey,
+      concat('CHK', CAST(o_orderkey % 4000 AS VARCHAR)) AS f1,
+      concat('Payer: ', c_mktsegment, CASE WHEN o_orderkey % 3 = 0 THEN ' / A|B*' ELSE '' END) AS f2,
+      concat('Payee <', c_name, '>') AS f3,
+      strftime({ASOF_SQL} - CAST(o_orderkey % 5 AS INTEGER), '%m/%d/%Y') AS f4,
+      strftime({ASOF_SQL} - CAST(o_orderkey % 7 AS INTEGER), '%m/%d/%Y') AS f5,
+      {cents_text('(o_orderkey * 53) % 100000 + 100')} AS f6
+    FROM orders JOIN customer ON o_custkey = c_custkey)),
+p AS (SELECT item_id, practice, parts[1] AS check_no, parts[2] AS payer, parts[3] AS payee,
+    parts[4] AS check_date, parts[5] AS received_date, parts[6] AS amount, len(parts) >= 6 AS parse_ok
+  FROM (SELECT item_id, practice, string_split(row_text, chr(10)) AS parts FROM t)),
+ps AS (SELECT item_id, practice, check_no, regexp_replace(payer, '[:?/|''*<>]', '', 'g') AS payer,
+    regexp_replace(payee, '[:?/|''*<>]', '', 'g') AS payee, check_date, received_date, amount, parse_ok FROM p),
+cand AS (SELECT *, concat(concat_ws('_', coalesce(check_no, ''), coalesce(payer, ''), coalesce(payee, ''),
+      coalesce(amount, '')), '.pdf') AS doc_name
+  FROM ps WHERE parse_ok AND (received_date IN ({D0}, {D1}) OR check_date IN ({D0}, {D1}))),
+prior AS (SELECT check_no FROM p WHERE item_id % 6 = 0),
+dl AS (SELECT concat('/eob/', doc_name) AS path FROM cand WHERE item_id % 4 <> 0),
+dl_names AS (SELECT DISTINCT regexp_extract(path, '[^/]*$') AS file FROM dl),
+wl AS (SELECT concat('login', CAST(n_regionkey % 2 AS VARCHAR)) AS login,
+    CASE WHEN n_nationkey % 6 = 5 THEN 'Nowhere' ELSE concat('State ', CAST(n_regionkey AS VARCHAR)) END AS state_name,
+    concat('RSM ', CAST(n_nationkey % 3 AS VARCHAR)) AS rsm,
+    CASE WHEN n_nationkey % 7 = 6 THEN 'Unknown practice' ELSE n_name END AS practice FROM nation),
+wls AS (SELECT wl.*, CASE
+    WHEN wl.state_name NOT IN (SELECT concat('State ', CAST(r_regionkey AS VARCHAR)) FROM region) THEN 'State Not found'
+    WHEN NOT EXISTS (SELECT 1 FROM t WHERE t.practice = wl.practice) THEN 'Practice name not found in Drop Down'
+    WHEN NOT EXISTS (SELECT 1 FROM p WHERE p.practice = wl.practice
+      AND (p.received_date IN ({D0}, {D1}) OR p.check_date IN ({D0}, {D1}))) THEN 'No EOBs for Cheque Date'
+    ELSE 'Processed' END AS wl_status FROM wl),
+fresh AS (SELECT * FROM cand WHERE practice IN (SELECT practice FROM wls WHERE wl_status = 'Processed')
+    AND check_no NOT IN (SELECT check_no FROM prior))"""
+
+
+def with_remit(select: str) -> str:
+    return f"WITH {REMIT_CTES}\n{select}"
+
+
+SQL.update({
+    "parse_remit_row": with_remit("""SELECT item_id, practice, check_no, payer, payee, check_date,
+        received_date, amount, parse_ok FROM p"""),
+    "sanitise_text": with_remit("SELECT item_id, payer, payee FROM ps"),
+    "remit_date_window": with_remit("SELECT item_id, check_no, check_date, received_date FROM cand"),
+    "doc_name": with_remit("SELECT item_id, doc_name FROM cand"),
+    "unseen_checks": with_remit(
+        "SELECT item_id, check_no FROM cand WHERE check_no NOT IN (SELECT check_no FROM prior)"),
+    "download_reconcile": with_remit("""SELECT item_id, doc_name, CASE WHEN doc_name IN (SELECT file FROM dl_names)
+        THEN 'File Downloaded' ELSE 'File Not Downloaded' END AS status FROM cand"""),
+    "worklist_status": with_remit("SELECT login, state_name, practice, rsm, wl_status FROM wls"),
+    "remit_ledger": with_remit("""SELECT f.check_no, f.payer, f.payee, f.check_date, f.amount,
+        CASE WHEN f.doc_name IN (SELECT file FROM dl_names) THEN 'File Downloaded' ELSE 'File Not Downloaded' END
+          AS status, r.rsm
+      FROM fresh f LEFT JOIN (SELECT practice, min(rsm) AS rsm FROM wl GROUP BY practice) r
+        ON f.practice = r.practice"""),
+    "distinct_keys": with_remit("SELECT DISTINCT check_no FROM prior"),
+})
+
+
+# ---- state log and file arrivals ---------------------------------------------------------
+
+STATE_CTES = """sl AS (SELECT event_id // 3 AS case_id, event_id AS seq,
+    CASE event_type WHEN 'purchase' THEN 'is_billed' WHEN 'error' THEN 'exceptions'
+      WHEN 'signup' THEN 'active_archived' WHEN 'click' THEN 'transaction_number'
+      WHEN 'view' THEN 'transaction_status' END AS field,
+    CASE event_type WHEN 'purchase' THEN 'Yes' WHEN 'error' THEN concat('err ', props)
+      WHEN 'signup' THEN CASE WHEN "value" > 50 THEN 'Archived' ELSE 'Active' END
+      WHEN 'click' THEN concat('TXN', CAST(event_id AS VARCHAR))
+      WHEN 'view' THEN 'Transaction Number updated' END AS value
+  FROM events),
+cur AS (SELECT case_id,
+    arg_max(value, seq) FILTER (WHERE field = 'is_billed') AS is_billed,
+    arg_max(value, seq) FILTER (WHERE field = 'exceptions') AS exceptions,
+    arg_max(value, seq) FILTER (WHERE field = 'active_archived') AS active_archived,
+    arg_max(value, seq) FILTER (WHERE field = 'transaction_number') AS transaction_number,
+    arg_max(value, seq) FILTER (WHERE field = 'transaction_status') AS transaction_status
+  FROM sl GROUP BY case_id),
+inv_now AS (SELECT concat('/landing/', event_type, '/', CAST(event_id AS VARCHAR),
+      CASE event_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.csv' ELSE '.xlsx' END) AS path,
+    ts AS mtime, CAST(floor("value" * 100) AS BIGINT) AS length, event_id FROM events)"""
+
+SQL.update({
+    "state_current": f"WITH {STATE_CTES}\nSELECT * FROM cur",
+    "pending_work": f"""WITH {STATE_CTES}
+        SELECT case_id FROM cur WHERE is_billed IS DISTINCT FROM 'Yes' AND exceptions IS NULL""",
+    "seed_or_resume": with_cases(f""", {STATE_CTES}
+        SELECT case_id AS item_id, is_billed, exceptions, active_archived FROM cur
+        UNION ALL SELECT DISTINCT item_id, NULL, NULL, NULL FROM cases
+          WHERE item_id NOT IN (SELECT case_id FROM cur)""".replace("\n        SELECT", "\nSELECT", 1)),
+    "new_arrivals": f"""WITH {STATE_CTES}
+        SELECT path, length FROM inv_now
+        WHERE path NOT IN (SELECT path FROM inv_now WHERE event_id % 4 <> 0) AND suffix(path, '.csv')""",
+    "latest_arrival": f"""WITH {STATE_CTES},
+      pdf AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, * FROM inv_now WHERE suffix(path, '.pdf'))
+      SELECT folder, path, length, strftime(mtime, '%Y-%m-%d %H:%M:%S.%f') AS mtime
+      FROM {first_row('pdf', 'folder', 'mtime DESC, path DESC')}""",
+})

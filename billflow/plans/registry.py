@@ -182,3 +182,284 @@ def q_invoice_annotate(spark, sf):
     df = M.invoice_annotate(CW.claims_with_transactions(x), x.invoices)
     return df.select("item_id", "claim_invoice_number", "transaction_number",
                      "invoice_position", "invoice_note", "transaction_status")
+
+
+# ---- scalars, gates, sources, remittance, state ----
+
+import datetime as _dt  # noqa: E402
+
+from billflow.functions.nulls import match_or_false  # noqa: E402
+from billflow.operators import gates as GT  # noqa: E402
+from billflow.operators import remit as RM  # noqa: E402
+from billflow.operators import state as ST  # noqa: E402
+from billflow.plans import remit as RP  # noqa: E402
+from billflow.sources import files as FS  # noqa: E402
+from billflow.sources.rules import rules_long  # noqa: E402
+
+W_COLS = ["item_id", "client_id", "is_billed", "status", "service_type", "date_time", "staff"]
+
+
+@register("scan_text")
+def q_scan_text(spark, sf):
+    path = FS.scratch_path(spark, "attendance-csv")
+    FS.write_text_table(B.attendance(spark, sf), path)
+    df = FS.read_text_table(spark, path, columns=W_COLS)
+    return df.withColumn("item_id", F.col("item_id").cast("bigint"))
+
+
+def ragged_sheet(spark, sf):
+    """A rule sheet with ragged columns (NULL padding), built from customer."""
+    c = B.table(spark, sf, "customer")
+    ck = F.col("c_custkey")
+    return c.select(
+        F.when(ck % 50 == 0, F.element_at(F.array(F.lit("Canceled"), F.lit("Rescheduled"),
+                                                   F.lit("Upcoming")), (ck % 3 + 1).cast("int")))
+         .alias("Status"),
+        F.when(ck % 7 == 0, (ck % 1000 + 0.0)).alias("No Show CPT's"),
+        F.when(ck % 11 == 0, (ck % 500 + 90000.0)).alias("Late Cancel CPT's"),
+        F.when(ck % 13 == 0, F.concat((ck % 300).cast("string"), F.lit(".0"))).alias("Kept CPT's"),
+        F.when(ck % 17 == 0, F.concat(F.lit("Plan "), (ck % 5).cast("string"))).alias("Availity Payors"),
+        F.when(ck % 19 == 0, ck.cast("string")).alias("Exception Client ID"),
+        F.when(ck % 23 == 0, F.concat(F.lit("Payor "), (ck % 4).cast("string"))).alias("Staff Member payors"),
+    )
+
+
+@register("rules_unpivot")
+def q_rules_unpivot(spark, sf):
+    return rules_long(ragged_sheet(spark, sf))
+
+
+@register("strip_headers")
+def q_strip_headers(spark, sf):
+    c = B.table(spark, sf, "customer")
+    raw = c.select(F.col("c_custkey").cast("string").alias("  Client Id "),
+                   F.col("c_name").alias("Client Name  "),
+                   F.col("c_mktsegment").alias(" Primary Insurance: Provider Name"),
+                   F.lit(None).cast("string").alias("   "))
+    return FS.rename_to_canonical(FS.strip_headers(raw))
+
+
+@register("project_rename_drop")
+def q_project_rename_drop(spark, sf):
+    c = B.client_export(spark, sf)
+    return c.select("client_id", "payor", "position").withColumnRenamed("payor", "payor_name") \
+        .drop("position")
+
+
+@register("add_missing_columns")
+def q_add_missing_columns(spark, sf):
+    return FS.add_missing_columns(B.attendance(spark, sf), ["exceptions", "active_archived", "status"])
+
+
+@register("null_to_empty")
+def q_null_to_empty(spark, sf):
+    return FS.null_to_empty(B.attendance(spark, sf))
+
+
+@register("recode_contains")
+def q_recode_contains(spark, sf):
+    c = B.client_export(spark, sf)
+    return c.select("client_id", "payor", TX.recode_contains(F.col("payor")).alias("payor_recoded"))
+
+
+@register("code_prefix")
+def q_code_prefix(spark, sf):
+    w = B.attendance(spark, sf)
+    return w.select("item_id", TX.code_prefix(F.col("service_type")).alias("code"))
+
+
+@register("date_part_text")
+def q_date_part_text(spark, sf):
+    w = B.attendance(spark, sf)
+    d = F.col("date_time")
+    return w.select("item_id", TX.date_text(d).alias("date_text"), TX.first10(d).alias("first10"),
+                    TX.strip_zone(d).alias("no_zone"),
+                    F.date_format(TX.to_service_date(d), "yyyy-MM-dd").alias("service_date"))
+
+
+@register("split_parts")
+def q_split_parts(spark, sf):
+    c = B.table(spark, sf, "customer")
+    ck = F.col("c_custkey").cast("string")
+    provider = F.concat(F.lit("Dr "), F.col("c_name"), F.lit(" , NPI "), ck)
+    url = F.concat(F.lit("/clients/details/"), ck)
+    name = F.concat(F.lit("  "), F.col("c_name"), F.lit("   Smith"))
+    return c.select(ck.alias("client_id"), TX.list_head(provider).alias("provider_head"),
+                    TX.path_tail(url).alias("url_id"), TX.first_token(name).alias("first_token"))
+
+
+@register("date_labels")
+def q_date_labels(spark, sf):
+    o = B.table(spark, sf, "orders")
+    d = F.to_date(F.col("o_orderdate"))
+    mmddyyyy = F.date_format(d, "MMddyyyy")
+    return o.select(
+        F.col("o_orderkey").alias("item_id"), mmddyyyy.alias("mmddyyyy"),
+        F.concat_ws("-", F.substring(mmddyyyy, 1, 2), F.substring(mmddyyyy, 3, 2),
+                    F.substring(mmddyyyy, 5, 4)).alias("dashed"),
+        F.date_format(d, "MM MMM''yyyy").alias("month_label"),
+        F.date_format(F.date_sub(d, 1), "MM/dd/yyyy").alias("yesterday"),
+        F.date_format(F.trunc(d, "month"), "MM/dd/yyyy").alias("month_start"))
+
+
+@register("billed_split")
+def q_billed_split(spark, sf):
+    return GT.tag_billed(B.attendance(spark, sf)).select("item_id", "route")
+
+
+@register("status_exclusion")
+def q_status_exclusion(spark, sf):
+    return GT.status_exclusion(B.attendance(spark, sf), B.rules(spark))
+
+
+@register("client_exclusion")
+def q_client_exclusion(spark, sf):
+    return GT.client_exclusion(B.attendance(spark, sf), B.rules(spark))
+
+
+@register("code_gate")
+def q_code_gate(spark, sf):
+    return GT.code_gate(B.attendance(spark, sf), B.rules(spark))
+
+
+@register("billed_exception_gate")
+def q_billed_exception_gate(spark, sf):
+    """The symmetric variant (Kept clause negated like the other two)."""
+    return scrub.scrub_exception(B.attendance(spark, sf), B.rules(spark), symmetric=True)
+
+
+@register("inactive_blank_filter")
+def q_inactive_blank_filter(spark, sf):
+    df = LK.payor_lookup(B.attendance(spark, sf), B.client_export(spark, sf))
+    return GT.drop_blank(GT.drop_inactive_staff(df))
+
+
+@register("business_day_lookback")
+def q_business_day_lookback(spark, sf):
+    return GT.business_day_lookback(B.attendance(spark, sf), B.ASOF)
+
+
+@register("business_day_lookback_weekday")
+def q_business_day_lookback_weekday(spark, sf):
+    return GT.business_day_lookback(B.attendance(spark, sf), B.ASOF + _dt.timedelta(days=2))
+
+
+@register("payor_lookup")
+def q_payor_lookup(spark, sf):
+    return LK.payor_lookup(B.attendance(spark, sf), B.client_export(spark, sf))
+
+
+@register("payor_lookup_first")
+def q_payor_lookup_first(spark, sf):
+    return LK.payor_lookup(B.attendance(spark, sf), B.client_export(spark, sf), dup="first")
+
+
+@register("stage_counts")
+def q_stage_counts(spark, sf):
+    routes = scrub.scrub_routes(B.attendance(spark, sf), B.client_export(spark, sf),
+                                B.rules(spark), B.ASOF)
+    return ST.stage_counts(routes)
+
+
+# remittance
+
+def prior_ledger(spark, sf):
+    """Checks seen earlier in the day (every sixth remittance row)."""
+    p = RM.parse_remit_row(B.remit_rows(spark, sf)).filter(F.col("item_id") % 6 == 0)
+    return p.select("check_no")
+
+
+def downloaded(spark, sf):
+    """Documents that arrived: three of every four expected names."""
+    c = RM.with_doc_name(RM.remit_candidates(B.remit_rows(spark, sf), B.ASOF))
+    return c.filter(F.col("item_id") % 4 != 0).select(
+        F.concat(F.lit("/eob/"), F.col("doc_name")).alias("path"))
+
+
+@register("parse_remit_row")
+def q_parse_remit_row(spark, sf):
+    return RM.parse_remit_row(B.remit_rows(spark, sf)).drop("row_text")
+
+
+@register("sanitise_text")
+def q_sanitise_text(spark, sf):
+    p = RM.sanitise_names(RM.parse_remit_row(B.remit_rows(spark, sf)))
+    return p.select("item_id", "payer", "payee")
+
+
+@register("remit_date_window")
+def q_remit_date_window(spark, sf):
+    c = RM.remit_candidates(B.remit_rows(spark, sf), B.ASOF)
+    return c.select("item_id", "check_no", "check_date", "received_date")
+
+
+@register("doc_name")
+def q_doc_name(spark, sf):
+    c = RM.with_doc_name(RM.remit_candidates(B.remit_rows(spark, sf), B.ASOF))
+    return c.select("item_id", "doc_name")
+
+
+@register("unseen_checks")
+def q_unseen_checks(spark, sf):
+    c = RM.remit_candidates(B.remit_rows(spark, sf), B.ASOF)
+    return RM.unseen_checks(c, prior_ledger(spark, sf)).select("item_id", "check_no")
+
+
+@register("download_reconcile")
+def q_download_reconcile(spark, sf):
+    c = RM.with_doc_name(RM.remit_candidates(B.remit_rows(spark, sf), B.ASOF))
+    return RM.download_reconcile(c, downloaded(spark, sf)).select("item_id", "doc_name", "status")
+
+
+@register("worklist_status")
+def q_worklist_status(spark, sf):
+    return RM.worklist_status(B.worklist(spark, sf), B.known_states(spark, sf),
+                              B.remit_rows(spark, sf), B.ASOF) \
+        .select("login", "state_name", "practice", "rsm", "wl_status")
+
+
+@register("remit_ledger")
+def q_remit_ledger(spark, sf):
+    return RP.ledger_delta(B.remit_rows(spark, sf), B.worklist(spark, sf), B.known_states(spark, sf),
+                           prior_ledger(spark, sf), downloaded(spark, sf), B.ASOF)
+
+
+@register("distinct_keys")
+def q_distinct_keys(spark, sf):
+    return ST.distinct_keys(prior_ledger(spark, sf), "check_no")
+
+
+# state and file arrivals
+
+@register("state_current")
+def q_state_current(spark, sf):
+    return ST.state_current(B.state_log(spark, sf), list(B.STATE_FIELDS))
+
+
+@register("pending_work")
+def q_pending_work(spark, sf):
+    cur = ST.state_current(B.state_log(spark, sf), list(B.STATE_FIELDS))
+    return GT.pending_cases(cur).select("case_id")
+
+
+@register("seed_or_resume")
+def q_seed_or_resume(spark, sf):
+    cols = ["is_billed", "exceptions", "active_archived"]
+    existing = ST.state_current(B.state_log(spark, sf), cols).withColumnRenamed("case_id", "item_id")
+    seed = cases(spark, sf).select("item_id").distinct().withColumns(
+        {c: F.lit(None).cast("string") for c in cols})
+    return FS.seed_or_resume(existing, seed, ["item_id"])
+
+
+@register("new_arrivals")
+def q_new_arrivals(spark, sf):
+    return FS.new_arrivals(B.inventory_now(spark, sf), B.inventory_before(spark, sf), ".csv") \
+        .select("path", "length")
+
+
+@register("latest_arrival")
+def q_latest_arrival(spark, sf):
+    inv = B.inventory_now(spark, sf).withColumn("folder", FS.folder_of())
+    out = FS.latest_arrival(inv, by=["folder"], suffix=".pdf")
+    return out.select("folder", "path", "length",
+                      F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
