@@ -135,9 +135,20 @@ def write_routes(tagged: DataFrame, path: str, asof: dt.date) -> None:
     write_run(tagged, path, asof, extra_partitions=["route"])
 
 
+PARTITION_TEXT_COLS = ("run_year", "run_month", "run_date", "route")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs, with folder keys kept as text ('01052026' must not become 1052026)."""
+    inferred = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in PARTITION_TEXT_COLS
+                           else f for f in inferred.fields])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_run(spark: SparkSession, path: str, asof: dt.date, route: str | None = None) -> DataFrame:
     """Read one run back; the date literals prune to that run's folders."""
-    df = spark.read.parquet(path)
+    df = read_runs(spark, path)
     keys = run_partition_columns(asof)
     cond = (F.col("run_date") == keys["run_date"]) & (F.col("run_year") == keys["run_year"])
     if route:
