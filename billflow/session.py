@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture costs several JVM round trips per Column call
+    # while plans are built; error messages lose the Python line, nothing else.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
