@@ -22,9 +22,11 @@ def first_by_position(df: DataFrame, keys: list[str], order: list[str],
     Ties on ``order`` are broken by the values themselves, so the result is
     deterministic. Runs as a partial + final aggregate (skew-safe).
     """
-    packed = F.min(F.struct(*[F.col(c) for c in order + values])).alias("_first")
+    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    fields += [F.col(c).alias(f"_v{i}") for i, c in enumerate(values)]
+    packed = F.min(F.struct(*fields)).alias("_first")
     return (df.groupBy(*keys).agg(packed)
-            .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in values]))
+            .select(*keys, *[F.col(f"_first._v{i}").alias(c) for i, c in enumerate(values)]))
 
 
 # ---- O-30a payor lookup --------------------------------------------------------

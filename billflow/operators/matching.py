@@ -82,11 +82,13 @@ def service_match(cases: DataFrame, lines: DataFrame) -> DataFrame:
     service) before the join, so each case meets at most one line per side.
     """
     keys = ["client_id", "dos_text"]
-    any_line = _prefixed(first_by_position(lines, keys, ["position"], LINE_FIELDS),
+    # One full pass over the lines: first line per (client, dos, service); the
+    # first per (client, dos) is then taken from that already-reduced table.
+    per_svc = first_by_position(lines.withColumn("_svc", F.col("service_type")),
+                                keys + ["_svc"], ["position"], LINE_FIELDS + ["position"])
+    svc_line = _prefixed(per_svc, "ls_", keys + ["_svc"] + LINE_FIELDS)
+    any_line = _prefixed(first_by_position(per_svc, keys, ["position"], LINE_FIELDS),
                          "la_", keys + LINE_FIELDS)
-    svc_line = _prefixed(first_by_position(lines.withColumn("_svc", F.col("service_type")),
-                                           keys + ["_svc"], ["position"], LINE_FIELDS),
-                         "ls_", keys + ["_svc"] + LINE_FIELDS)
     c = cases.withColumn("_dos", strip_zone(F.col("date_time")))
     cancel = match_or_false(F.col("status").isin(list(CANCEL_STATUSES)))
     j = (c.join(any_line, (F.col("client_id") == F.col("la_client_id"))

@@ -45,19 +45,14 @@ def worked_cases(x: CaseInputs) -> DataFrame:
     return CL.exception_tagging(df)
 
 
-def claim_records(x: CaseInputs) -> DataFrame:
-    return CL.claim_record(worked_cases(x))
-
-
-def claims_with_transactions(x: CaseInputs) -> DataFrame:
+def claims_with_transactions(rec: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Claim records plus the transaction number their submission returned."""
-    rec = claim_records(x)
-    lo = CL.latest_outcome(x.outcomes)
+    lo = CL.latest_outcome(outcomes)
     return (rec.join(lo, F.col("item_id") == F.col("case_id"), "left")
             .withColumn("transaction_number", F.when(F.col("out_ok"), F.col("out_txn")))
             .drop("case_id", "out_ok", "out_txn", "out_error"))
 
 
-def claim_forms(x: CaseInputs) -> DataFrame:
-    rec = M.portal_providers(claim_records(x), x.by_staff_private)
-    return CL.claim_assembly(rec)
+def claim_forms(rec: DataFrame, by_staff_private: DataFrame) -> DataFrame:
+    """Nested claim forms of the claim records (the submission stage's input)."""
+    return CL.claim_assembly(M.portal_providers(rec, by_staff_private))

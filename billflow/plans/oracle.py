@@ -503,3 +503,14 @@ SQL.update({
       SELECT folder, path, length, strftime(mtime, '%Y-%m-%d %H:%M:%S.%f') AS mtime
       FROM {first_row('pdf', 'folder', 'mtime DESC, path DESC')}""",
 })
+
+
+SQL.update({
+    "pending_claims": with_cases("""SELECT rec.item_id, rec.client_id, rec.claim_invoice_number
+        FROM rec LEFT JOIN lo ON rec.item_id = lo.case_id WHERE NOT coalesce(lo.out_ok, false)"""),
+    "pending_annotations": with_cases("""SELECT rec.item_id, rec.claim_invoice_number,
+        CASE WHEN lo.out_ok THEN lo.out_txn END AS transaction_number
+        FROM rec LEFT JOIN lo ON rec.item_id = lo.case_id
+        WHERE NOT (coalesce(lo.out_ok, false) AND EXISTS (SELECT 1 FROM inv
+          WHERE inv.client_id = rec.client_id AND inv.invoice_no = rec.claim_invoice_number))"""),
+})

@@ -152,19 +152,30 @@ def q_exception_tagging(spark, sf):
                                                           "is_billed")
 
 
+def worked(spark, sf):
+    """The case-work stage's output, landed once per session; the claim stages
+    read it the way the source's later scripts read the file it writes."""
+    return B.landed(spark, sf, "worked_cases", lambda s, d: CW.worked_cases(case_inputs(s, d)))
+
+
+def claim_records(spark, sf):
+    return CL.claim_record(worked(spark, sf))
+
+
 @register("claim_record")
 def q_claim_record(spark, sf):
-    return CW.claim_records(case_inputs(spark, sf))
+    return claim_records(spark, sf)
 
 
 @register("claim_assembly")
 def q_claim_assembly(spark, sf):
-    return CL.flatten_claim(CW.claim_forms(case_inputs(spark, sf)))
+    return CL.flatten_claim(CW.claim_forms(claim_records(spark, sf),
+                                           B.provider_by_staff_private(spark, sf)))
 
 
 @register("diagnosis_explode")
 def q_diagnosis_explode(spark, sf):
-    return CL.diagnosis_explode(CW.claim_records(case_inputs(spark, sf)))
+    return CL.diagnosis_explode(claim_records(spark, sf))
 
 
 @register("apply_outcome")
@@ -176,10 +187,13 @@ def q_apply_outcome(spark, sf):
                      "submitted")
 
 
+def claims_txn(spark, sf):
+    return CW.claims_with_transactions(claim_records(spark, sf), B.outcomes(spark, sf))
+
+
 @register("invoice_annotate")
 def q_invoice_annotate(spark, sf):
-    x = case_inputs(spark, sf)
-    df = M.invoice_annotate(CW.claims_with_transactions(x), x.invoices)
+    df = M.invoice_annotate(claims_txn(spark, sf), B.invoices(spark, sf))
     return df.select("item_id", "claim_invoice_number", "transaction_number",
                      "invoice_position", "invoice_note", "transaction_status")
 
@@ -463,3 +477,20 @@ def q_latest_arrival(spark, sf):
     out = FS.latest_arrival(inv, by=["folder"], suffix=".pdf")
     return out.select("folder", "path", "length",
                       F.date_format("modificationTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mtime"))
+
+
+@register("pending_claims")
+def q_pending_claims(spark, sf):
+    """Claim records not yet submitted (Status != 'Yes') after the outcomes."""
+    rec = claims_txn(spark, sf).withColumn(
+        "submitted", F.when(F.col("transaction_number").isNotNull(), F.lit("Yes")))
+    return GT.pending_claims(rec).select("item_id", "client_id", "claim_invoice_number")
+
+
+@register("pending_annotations")
+def q_pending_annotations(spark, sf):
+    """Claim records whose invoice note is not written yet."""
+    ann = M.invoice_annotate(claims_txn(spark, sf), B.invoices(spark, sf)).withColumn(
+        "submitted", F.when(F.col("transaction_number").isNotNull(), F.lit("Yes")))
+    return GT.pending_annotations(ann, "Transaction Number updated").select(
+        "item_id", "claim_invoice_number", "transaction_number")
