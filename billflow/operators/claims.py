@@ -174,7 +174,7 @@ def flatten_claim(claims: DataFrame) -> DataFrame:
         F.col(f"{ci}.release").alias("release_info"),
         F.col(f"{ci}.signature").alias("signature"),
         F.col(f"{ci}.place_of_service").alias("place_of_service"),
-        F.size(F.col(f"{ci}.diagnoses")).alias("n_diagnoses"),
+        F.size(F.col(f"{ci}.diagnoses")).cast("bigint").alias("n_diagnoses"),
         sl.getField("from_date").alias("from_date"),
         sl.getField("to_date").alias("to_date"),
         sl.getField("procedure_code").alias("procedure_code"),
@@ -190,5 +190,5 @@ def flatten_claim(claims: DataFrame) -> DataFrame:
 def diagnosis_explode(records: DataFrame) -> DataFrame:
     """One row per diagnosis code: slot (0-based) and pointer (slot + 1)."""
     return (records.select("item_id", F.posexplode(F.split(F.col("dx_code"), ",")))
-            .select("item_id", F.col("pos").alias("slot"), F.col("col").alias("code"),
-                    (F.col("pos") + 1).alias("pointer")))
+            .select("item_id", F.col("pos").cast("bigint").alias("slot"), F.col("col").alias("code"),
+                    (F.col("pos") + 1).cast("bigint").alias("pointer")))

@@ -130,11 +130,31 @@ def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame) -> Da
 
 # ---- O-30b provider resolution ----------------------------------------------------
 
-def _in_rule(df: DataFrame, col: str, rules: DataFrame, rule: str, flag: str) -> DataFrame:
-    vals = rule_values(rules, rule, "_rv").distinct()
-    return (df.join(maybe_broadcast(vals.withColumn(flag, F.lit(True))),
-                    F.col(col) == F.col("_rv"), "left")
-            .drop("_rv").withColumn(flag, match_or_false(F.col(flag))))
+def payor_flags(df: DataFrame, rules: DataFrame, col: str = "payor_name") -> DataFrame:
+    """Add ``is_private`` / ``is_staff_payor``: is the payor on either rule list.
+
+    One small aggregate turns both lists into one row per payor, joined once.
+    """
+    flags = (rules.filter(F.col("rule_name").isin("private_payor", "staff_payor"))
+             .groupBy(F.col("value").alias("_rv"))
+             .agg(F.max(F.col("rule_name") == "private_payor").alias("_fp"),
+                  F.max(F.col("rule_name") == "staff_payor").alias("_fs")))
+    j = df.join(maybe_broadcast(flags), F.col(col) == F.col("_rv"), "left")
+    return (j.withColumns({"is_private": match_or_false(F.col("_fp")),
+                           "is_staff_payor": match_or_false(F.col("_fs"))})
+            .drop("_rv", "_fp", "_fs"))
+
+
+def provider_masters(by_payor: DataFrame, by_staff: DataFrame,
+                     by_staff_private: DataFrame) -> DataFrame:
+    """The three provider tables as one, tagged by source; first row per key wins."""
+    vals = ["rendering_provider", "billing_provider"]
+    parts = [by_payor.select(F.lit("payor").alias("_src"), F.col("payer").alias("_key"), "position", *vals),
+             by_staff.select(F.lit("staff").alias("_src"), F.col("staff").alias("_key"), "position", *vals),
+             by_staff_private.select(F.lit("staff_private").alias("_src"), F.col("staff").alias("_key"),
+                                     "position", *vals)]
+    allm = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return first_by_position(allm, ["_src", "_key"], ["position"], vals)
 
 
 def provider_resolution(cases: DataFrame, rules: DataFrame, by_payor: DataFrame,
@@ -144,30 +164,17 @@ def provider_resolution(cases: DataFrame, rules: DataFrame, by_payor: DataFrame,
     private payor -> staff table for private payors; payor listed as
     staff-driven -> staff table; otherwise the payor table. A miss in the
     chosen table is a miss (``provider_found`` false): there is no
-    fall-through to the next table.
+    fall-through to the next table. One join on (source, key).
     """
-    df = _in_rule(cases, "payor_name", rules, "private_payor", "_is_private")
-    df = _in_rule(df, "payor_name", rules, "staff_payor", "_is_staff_payor")
-    src = (F.when(F.col("_is_private"), "staff_private")
-           .when(F.col("_is_staff_payor"), "staff").otherwise("payor"))
+    df = payor_flags(cases, rules)
+    src = (F.when(F.col("is_private"), "staff_private")
+           .when(F.col("is_staff_payor"), "staff").otherwise("payor"))
     df = df.withColumn("provider_source", src)
-    vals = ["rendering_provider", "billing_provider"]
-    tables = {
-        "pp": (by_payor, "payer", "payor_name", "payor"),
-        "ps": (by_staff, "staff", "staff", "staff"),
-        "pv": (by_staff_private, "staff", "staff", "staff_private"),
-    }
-    for p, (dim, key, case_col, source) in tables.items():
-        first = first_by_position(dim, [key], ["position"], vals)
-        dimp = first.select(F.col(key).alias(p + "_key"), F.lit(source).alias(p + "_src"),
-                            *[F.col(v).alias(f"{p}_{v}") for v in vals])
-        df = df.join(maybe_broadcast(dimp), (F.col(case_col) == F.col(p + "_key"))
-                     & (F.col("provider_source") == F.col(p + "_src")), "left")
-    pick = {v: F.coalesce(*[F.col(f"{p}_{v}") for p in tables]) for v in vals}
-    found = F.coalesce(*[F.col(p + "_key") for p in tables]).isNotNull()
-    drop = [c for p in tables for c in (p + "_key", p + "_src", *[f"{p}_{v}" for v in vals])]
-    return (df.withColumns({**pick, "provider_found": found})
-            .withColumnRenamed("_is_private", "is_private").drop(*drop, "_is_staff_payor"))
+    key = F.when(F.col("provider_source") == "payor", F.col("payor_name")).otherwise(F.col("staff"))
+    m = maybe_broadcast(provider_masters(by_payor, by_staff, by_staff_private))
+    j = df.join(m, (F.col("provider_source") == F.col("_src")) & (key == F.col("_key")), "left")
+    return j.withColumn("provider_found", F.col("_key").isNotNull()) \
+        .drop("_src", "_key", "is_staff_payor")
 
 
 def portal_providers(claims: DataFrame, by_staff_private: DataFrame) -> DataFrame:
