@@ -33,3 +33,17 @@ def test_matches_oracle(spark, con, name):
     assert len(s) == len(d)
     assert sorted(s.columns) == sorted(d.columns)
     assert digest(s) == digest(d)
+
+
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR",
+                 "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, fn in E.queries().items():
+        s = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in fn(spark, SF_SMALL).schema.fields}
+        d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+        if s != d:
+            bad[name] = (s, d)
+    assert not bad

@@ -53,3 +53,16 @@ def test_scrub_counts_on_smoke_data(spark):
     counts = {x.route: x.n for x in routes.groupBy("route").agg(F.count("*").alias("n")).collect()}
     assert counts["straightforward"] == 90
     assert counts["manual"] >= counts["straightforward"]
+
+
+def test_run_scrub_writes_three_outputs_in_one_pass(spark, scratch):
+    from billflow.sources.files import read_run
+    w, c, r = B.attendance(spark, SF_SMALL), B.client_export(spark, SF_SMALL), B.rules(spark)
+    counts = scrub.run_scrub(w, c, r, B.ASOF, scratch)
+    assert counts["straightforward"] == 90
+    assert counts["manual"] == scrub.scrub_manual(w, c, r).count()
+    assert counts["exception"] == scrub.scrub_exception(w, r).count()
+    back = read_run(spark, scratch, B.ASOF, route="straightforward")
+    assert back.count() == 90
+    p = scrub.scrub_routes(w, c, r, B.ASOF)._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" in p and p.count("FileScan parquet") == 3  # orders once, customer twice
