@@ -1,4 +1,7 @@
-"""Case state as an append-only log (O-44), resume filters and run metrics (O-37/38)."""
+"""Case state as an append-only log (O-44) and run metrics (O-37/38).
+
+Same-job metrics for a written output use ``DataFrame.observe`` (see
+``plans.scrub.run_scrub``)."""
 
 from __future__ import annotations
 
@@ -29,14 +32,5 @@ def stage_counts(tagged: DataFrame, col: str = "route") -> DataFrame:
     return tagged.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def observed(df: DataFrame, name: str) -> DataFrame:
-    """Attach a row-count metric collected by the same job that writes ``df``."""
-    from pyspark.sql import Observation  # local import: optional at call sites
-    obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    out._billflow_observation = obs  # type: ignore[attr-defined]
-    return out
-
-
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()

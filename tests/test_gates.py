@@ -66,3 +66,18 @@ def test_run_scrub_writes_three_outputs_in_one_pass(spark, scratch):
     assert back.count() == 90
     p = scrub.scrub_routes(w, c, r, B.ASOF)._jdf.queryExecution().executedPlan().toString()
     assert "orders.parquet" in p and p.count("FileScan parquet") == 3  # orders once, customer twice
+
+
+def test_resume_predicates(spark):
+    df = spark.createDataFrame(
+        [(1, "Yes", None, "Yes", "Transaction Number updated", "", "l1"),
+         (2, None, None, None, None, None, "l1"),
+         (3, "No", "err", "Yes", None, "Processed", "l2")],
+        "item_id long, is_billed string, exceptions string, submitted string, "
+        "transaction_status string, wl_status string, login string")
+    assert ids(G.pending_cases(df)) == [2]
+    assert ids(G.pending_claims(df)) == [2]
+    assert ids(G.pending_annotations(df, "Transaction Number updated")) == [2, 3]
+    assert ids(G.pending_worklist(df)) == [1, 2]
+    assert ids(G.pending_worklist(df, "l1")) == [1, 2]
+    assert ids(G.pending_worklist(df, "l2")) == []

@@ -68,3 +68,14 @@ def test_diagnosis_pointers(spark):
     recs = spark.createDataFrame([(1, "A1,B2,C3")], "item_id long, dx_code string")
     rows = [(r.slot, r.code, r.pointer) for r in CL.diagnosis_explode(recs).orderBy("slot").collect()]
     assert rows == [(0, "A1", 1), (1, "B2", 2), (2, "C3", 3)]
+
+
+def test_strict_missing_master(spark):
+    import pytest
+    from billflow.operators.lookups import assert_no_missing, missing_master
+    facts = spark.createDataFrame([("S1",), ("S2",), (None,)], "staff string")
+    dim = spark.createDataFrame([("S1",)], "staff string")
+    assert sorted(str(r.staff) for r in missing_master(facts, "staff", dim, "staff").collect()) == ["None", "S2"]
+    with pytest.raises(ValueError):
+        assert_no_missing(facts, "staff", dim, "staff")
+    assert_no_missing(facts.filter("staff = 'S1'"), "staff", dim, "staff")

@@ -37,3 +37,17 @@ def test_ledger_sink_is_idempotent(spark, scratch):
     sink(batch, 0)  # replayed batch
     got = spark.read.parquet(f"{scratch}/run_date=11302026")
     assert sorted(r.check_no for r in got.collect()) == ["C1", "C2"]
+
+
+def test_watermark_dedupe_of_checks(spark, scratch):
+    import datetime as _dt
+    src = os.path.join(scratch, "rows")
+    t0 = _dt.datetime(2026, 11, 30, 9, 0, 0)
+    rows = [("C1", t0), ("C1", t0 + _dt.timedelta(minutes=5)), ("C2", t0)]
+    spark.createDataFrame(rows, "check_no string, arrived_at timestamp").write.parquet(src)
+    stream = spark.readStream.schema("check_no string, arrived_at timestamp").parquet(src)
+    q = (A.dedupe_checks_stream(stream).writeStream.format("memory").queryName("dedupe_checks")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.check_no for r in spark.sql("SELECT check_no FROM dedupe_checks").collect())
+    assert got == ["C1", "C2"]
