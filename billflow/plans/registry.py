@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from billflow.functions import text as TX
+from billflow.operators import claims as CL
+from billflow.operators import gates as GT
+from billflow.operators import lookups as LK
+from billflow.operators import matching as M
+from billflow.operators import remit as RM
+from billflow.operators import state as ST
 from billflow.plans import bindings as B
+from billflow.plans import casework as CW
+from billflow.plans import remit as RP
 from billflow.plans import scrub
+from billflow.sources import files as FS
+from billflow.sources.rules import rules_long
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,14 +51,6 @@ def q_scrub_exception(spark, sf):
 
 # ---- case work (registry, service lines, coverage, providers, claims) ----
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from billflow.functions import text as TX  # noqa: E402
-from billflow.operators import claims as CL  # noqa: E402
-from billflow.operators import lookups as LK  # noqa: E402
-from billflow.operators import matching as M  # noqa: E402
-from billflow.plans import casework as CW  # noqa: E402
-
 
 def cases(spark, sf):
     """Today's straightforward cases, carrying their prior Active/Archived state."""
@@ -200,15 +205,6 @@ def q_invoice_annotate(spark, sf):
 
 # ---- scalars, gates, sources, remittance, state ----
 
-import datetime as _dt  # noqa: E402
-
-from billflow.functions.nulls import match_or_false  # noqa: E402
-from billflow.operators import gates as GT  # noqa: E402
-from billflow.operators import remit as RM  # noqa: E402
-from billflow.operators import state as ST  # noqa: E402
-from billflow.plans import remit as RP  # noqa: E402
-from billflow.sources import files as FS  # noqa: E402
-from billflow.sources.rules import rules_long  # noqa: E402
 
 W_COLS = ["item_id", "client_id", "is_billed", "status", "service_type", "date_time", "staff"]
 

@@ -72,7 +72,8 @@ def file_inventory(spark: SparkSession, folder: str, glob: str = "*") -> DataFra
     """(path, modificationTime, length) of the files in a folder.
 
     ``binaryFile`` with the ``content`` column pruned never opens the files;
-    only the listing is read.
+    only the listing is read. Zero-byte files are not listed (Spark's file scan
+    skips them), so an empty download counts as not downloaded.
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", True).load(folder))
