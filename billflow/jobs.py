@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billflow.operators import claims as CL
+from billflow.operators.gates import lookback_dates
 from billflow.plans import casework as CW
 from billflow.plans import scrub as SC
 from billflow.plans.remit import run_remit
@@ -84,7 +85,8 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> N
         rules=rules_table(spark, a.rules),
         by_payor=with_position(read_table(spark, a.by_payor)),
         by_staff=with_position(read_table(spark, a.by_staff)),
-        by_staff_private=with_position(read_table(spark, a.by_staff_private)))
+        by_staff_private=with_position(read_table(spark, a.by_staff_private)),
+        dos_days=[d.strftime("%m/%d/%Y") for d in lookback_dates(asof)])
     FS.write_run(CW.worked_cases(x), a.out, asof)
 
 

@@ -105,9 +105,13 @@ def exception_tagging(df: DataFrame) -> DataFrame:
 def claim_record(df: DataFrame) -> DataFrame:
     """The 20-column flat claim record of each clean private-payor case."""
     ok = (F.col("route") == "claim_file") & F.col("exceptions").isNull()
+    # The attendance export's client name when it has one, else the registry's.
+    name = F.col("reg_full_name")
+    if "client_name" in df.columns:
+        name = F.coalesce(F.col("client_name"), name)
     return df.filter(ok).select(
         "item_id",
-        F.col("reg_full_name").alias("client_name"), "client_id", "date_time",
+        name.alias("client_name"), "client_id", "date_time",
         "service_type", "staff", "payor_name",
         F.col("reg_first_name").alias("first_name"), F.col("reg_last_name").alias("last_name"),
         F.col("reg_dob").alias("dob"), F.col("reg_gender").alias("gender"),

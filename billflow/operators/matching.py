@@ -73,15 +73,23 @@ def archive_flag(matched: DataFrame, prior: str = "active_archived") -> DataFram
 LINE_FIELDS = ["line_id", "service_type", "place_of_service", "amount", "units", "dx_text"]
 
 
-def service_match(cases: DataFrame, lines: DataFrame) -> DataFrame:
+def service_match(cases: DataFrame, lines: DataFrame,
+                  dos_days: list[str] | None = None) -> DataFrame:
     """Add ``svc_found`` and the first matching service line (``ln_*``).
 
     A line matches when client id and the full date-time text (zone removed)
     are equal; for Late Cancel / No Show the service type must match too.
     Lines are reduced to the first per (client, dos) and per (client, dos,
     service) before the join, so each case meets at most one line per side.
+
+    ``dos_days`` (MM/dd/yyyy texts) are the only service days the cases can
+    have; when given, the line history is cut to those days first. This is exact
+    (a match needs equal date text) and is a literal predicate the scan can push
+    down or use to prune date partitions.
     """
     keys = ["client_id", "dos_text"]
+    if dos_days:
+        lines = lines.filter(F.substring(F.col("dos_text"), 1, 10).isin(list(dos_days)))
     # One full pass over the lines: first line per (client, dos, service); the
     # first per (client, dos) is then taken from that already-reduced table.
     per_svc = first_by_position(lines.withColumn("_svc", F.col("service_type")),
@@ -102,14 +110,16 @@ def service_match(cases: DataFrame, lines: DataFrame) -> DataFrame:
     return out.withColumn("svc_found", F.col("ln_line_id").isNotNull())
 
 
-def service_match_semi(cases: DataFrame, lines: DataFrame) -> DataFrame:
+def service_match_semi(cases: DataFrame, lines: DataFrame,
+                       dos_days: list[str] | None = None) -> DataFrame:
     """Cases that have a service line on their date (left semi)."""
-    return service_match(cases, lines).filter("svc_found").select(*cases.columns)
+    return service_match(cases, lines, dos_days).filter("svc_found").select(*cases.columns)
 
 
-def service_match_anti(cases: DataFrame, lines: DataFrame) -> DataFrame:
+def service_match_anti(cases: DataFrame, lines: DataFrame,
+                       dos_days: list[str] | None = None) -> DataFrame:
     """Cases without one (the 'no claims on this date' exception)."""
-    return service_match(cases, lines).filter(~F.col("svc_found")).select(*cases.columns)
+    return service_match(cases, lines, dos_days).filter(~F.col("svc_found")).select(*cases.columns)
 
 
 # ---- O-34 active coverage -------------------------------------------------------

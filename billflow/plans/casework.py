@@ -28,13 +28,15 @@ class CaseInputs:
     by_payor: DataFrame
     by_staff: DataFrame
     by_staff_private: DataFrame
+    # Service days the cases can have (MM/dd/yyyy); prunes the line history.
+    dos_days: list[str] | None = None
 
 
 def worked_cases(x: CaseInputs) -> DataFrame:
     """Every case with its match results, charges, route and exception."""
     df = M.registry_match(x.cases, x.registry)
     df = M.archive_flag(df)
-    df = M.service_match(df, x.lines)
+    df = M.service_match(df, x.lines, x.dos_days)
     df = CL.dx_present(df)
     df = CL.charge_rule(df)
     df = M.provider_resolution(df, x.rules, x.by_payor, x.by_staff, x.by_staff_private)

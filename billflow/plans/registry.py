@@ -63,7 +63,12 @@ def case_inputs(spark, sf) -> CW.CaseInputs:
         coverage=B.coverage(spark, sf), invoices=B.invoices(spark, sf),
         outcomes=B.outcomes(spark, sf), rules=B.rules(spark),
         by_payor=B.provider_by_payor(spark, sf), by_staff=B.provider_by_staff(spark, sf),
-        by_staff_private=B.provider_by_staff_private(spark, sf))
+        by_staff_private=B.provider_by_staff_private(spark, sf), dos_days=lookback_days())
+
+
+def lookback_days() -> list[str]:
+    """The service days today's straightforward cases can have."""
+    return [d.strftime("%m/%d/%Y") for d in GT.lookback_dates(B.ASOF)]
 
 
 @register("registry_match")
@@ -88,12 +93,12 @@ def q_normalise_name(spark, sf):
 
 @register("service_match_semi")
 def q_service_match_semi(spark, sf):
-    return M.service_match_semi(cases(spark, sf), B.service_lines(spark, sf))
+    return M.service_match_semi(cases(spark, sf), B.service_lines(spark, sf), lookback_days())
 
 
 @register("service_match_anti")
 def q_service_match_anti(spark, sf):
-    return M.service_match_anti(cases(spark, sf), B.service_lines(spark, sf))
+    return M.service_match_anti(cases(spark, sf), B.service_lines(spark, sf), lookback_days())
 
 
 @register("extract_codes")
@@ -104,7 +109,7 @@ def q_extract_codes(spark, sf):
 
 @register("charge_rule")
 def q_charge_rule(spark, sf):
-    df = CL.dx_present(M.service_match(cases(spark, sf), B.service_lines(spark, sf)))
+    df = CL.dx_present(M.service_match(cases(spark, sf), B.service_lines(spark, sf), lookback_days()))
     df = CL.charge_rule(df.filter(F.col("svc_found") & F.col("dx_ok")))
     return df.select("item_id", "status", "charge_amount", "client_amount", "insurer_amount",
                      "quantity", CL.money_cents(F.col("charge_amount")).alias("charge_cents"))

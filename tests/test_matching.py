@@ -79,3 +79,11 @@ def test_strict_missing_master(spark):
     with pytest.raises(ValueError):
         assert_no_missing(facts, "staff", dim, "staff")
     assert_no_missing(facts.filter("staff = 'S1'"), "staff", dim, "staff")
+
+
+def test_line_history_pruning_is_exact(spark):
+    cases = RG.cases(spark, SF_SMALL)
+    lines = RG.B.service_lines(spark, SF_SMALL)
+    full = M.service_match(cases, lines).select("item_id", "payor_name", "ln_line_id")
+    pruned = M.service_match(cases, lines, RG.lookback_days()).select("item_id", "payor_name", "ln_line_id")
+    assert full.exceptAll(pruned).isEmpty() and pruned.exceptAll(full).isEmpty()
