@@ -19,27 +19,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for broadcasting a dimension; ~2M narrow rows stays well under the
-# default 8 GB broadcast ceiling and executor memory.
+# Row bound for broadcasting a config table; ~2M narrow rows stays well under the
+# default 8 GB broadcast ceiling and executor memory. Per session it can be set
+# with ``spark.billflow.broadcastMaxRows`` (0 disables the explicit hints).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+MAX_ROWS_CONF = "spark.billflow.broadcastMaxRows"
 
 
 _CHECKED: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+def broadcast_row_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` provably holds at most ``max_rows`` rows.
 
     The bounded count runs once per distinct plan (``semanticHash``) and
     session; a config table joined by several operators is counted once.
     """
+    max_rows = broadcast_row_limit(df) if max_rows is None else max_rows
+    if max_rows <= 0:
+        return False
     key = (id(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when the size check passes, else ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
@@ -58,6 +67,6 @@ def null_safe_left_join(left: DataFrame, dim: DataFrame, left_key: str,
 
 
 def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,
-            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            max_rows: int | None = None) -> DataFrame:
     """``left_semi`` / ``left_anti`` with a checked broadcast of ``right``."""
     return left.join(maybe_broadcast(right, max_rows), cond, how)
