@@ -44,16 +44,22 @@ def get_session(master: str | None = None, app: str = "billflow",
     return spark
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local tests) is a private scratch folder created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(spark))
     if not d:
-        d = tempfile.mkdtemp(prefix="billflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="billflow-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some deployments reject core settings at runtime
+            pass
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
