@@ -72,6 +72,8 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> N
     """Straightforward cases -> worked cases (matches, charges, route, exception)."""
     cases = FS.read_run(spark, a.scrubbed, asof, route="straightforward") \
         .drop("run_year", "run_month", "run_date", "route")
+    if cases.isEmpty():  # nothing to work today (a one-row probe, not a count)
+        return
     if "active_archived" not in cases.columns:
         cases = cases.withColumn("active_archived", F.lit(None).cast("string"))
     x = CW.CaseInputs(

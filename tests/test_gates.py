@@ -81,3 +81,12 @@ def test_resume_predicates(spark):
     assert ids(G.pending_worklist(df)) == [1, 2]
     assert ids(G.pending_worklist(df, "l1")) == [1, 2]
     assert ids(G.pending_worklist(df, "l2")) == []
+
+
+def test_lookup_with_unique_keys_keeps_row_count(spark):
+    from billflow.operators.lookups import payor_lookup
+    w, c = B.attendance(spark, SF_SMALL), B.client_export(spark, SF_SMALL)
+    assert payor_lookup(w, c, dup="first").count() == w.count()
+    unique = c.filter(F.col("position") == 0)
+    assert payor_lookup(w, unique).count() == w.count()
+    assert payor_lookup(w, c).count() > w.count()  # duplicates fan out (source merge)

@@ -69,3 +69,11 @@ def test_state_current_latest_per_field(spark):
     got = {r.case_id: (r.is_billed, r.exceptions)
            for r in state_current(log, ["is_billed", "exceptions"]).collect()}
     assert got == {1: ("Yes", "e"), 2: (None, "x")}
+
+
+def test_append_state_then_current(spark):
+    from billflow.operators.state import append_state
+    log = spark.createDataFrame([(1, 1, "is_billed", "No")], "case_id long, seq long, field string, value string")
+    more = spark.createDataFrame([("Yes", "is_billed", 2, 1)], "value string, field string, seq long, case_id long")
+    cur = state_current(append_state(log, more), ["is_billed"]).first()
+    assert (cur.case_id, cur.is_billed) == (1, "Yes")
