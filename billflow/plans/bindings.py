@@ -50,6 +50,15 @@ def _s(c):
     return c.cast("string")
 
 
+def _rows(df: DataFrame, *rows: F.Column) -> DataFrame:
+    """One input row -> several output rows in a single pass (no second scan).
+
+    Each ``rows`` item is a struct, or NULL to emit nothing for that slot.
+    """
+    arr = F.filter(F.array(*rows), lambda r: r.isNotNull())
+    return df.select(F.explode(arr).alias("_r")).select("_r.*")
+
+
 def service_day(orderkey) -> F.Column:
     return F.date_add(F.lit(BASE_DAY).cast("date"), (orderkey % 14).cast("int"))
 
@@ -84,11 +93,11 @@ def client_export(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(seg == "MACHINERY", "UnitedHealthcare")
              .when(seg == "FURNITURE", "Self Pay")
              .when(seg == "HOUSEHOLD", "Plan B"))
-    base = c.select(F.when(ck != 0, _s(ck)).alias("client_id"), payor.alias("payor"),
+    base = F.struct(F.when(ck != 0, _s(ck)).alias("client_id"), payor.alias("payor"),
                     F.lit(0).alias("position"))
-    dup = c.filter((ck % 3 == 0) & (ck != 0)).select(
-        _s(ck).alias("client_id"), F.lit("Plan Z").alias("payor"), F.lit(1).alias("position"))
-    return base.unionByName(dup)
+    dup = F.when((ck % 3 == 0) & (ck != 0), F.struct(
+        _s(ck).alias("client_id"), F.lit("Plan Z").alias("payor"), F.lit(1).alias("position")))
+    return _rows(c, base, dup)
 
 
 # ---- registry, service lines, coverage, invoices (from customer / orders) ----
@@ -117,10 +126,10 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise("Connecticut").alias("state"),
         F.lpad(_s(ck % 100000), 5, "0").alias("zip"),
     ]
-    present = c.filter(ck % 9 != 0)
-    base = present.select(*cols, F.when(ck % 4 == 0, "Archived").otherwise("Active").alias("tab"))
-    both = present.filter(ck % 12 == 0).select(*cols, F.lit("Active").alias("tab"))
-    return base.unionByName(both)
+    tab = F.when(ck % 4 == 0, "Archived").otherwise("Active")
+    base = F.struct(*cols, tab.alias("tab"))
+    both = F.when(ck % 12 == 0, F.struct(*cols, F.lit("Active").alias("tab")))
+    return _rows(c.filter(ck % 9 != 0), base, both)
 
 
 def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,18 +159,18 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``V``: two insurance rows per client in list order."""
     c = table(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
-    first = c.select(
+    first = F.struct(
         _s(ck).alias("client_id"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Plan B").otherwise("Plan C").alias("payor"),
         F.when(ck % 3 == 0, "Inactive").otherwise("Active").alias("status"),
         F.concat(F.lit("INS"), _s(ck), F.lit("A")).alias("insured_id"),
         F.lit(0).alias("position"))
-    second = c.select(
+    second = F.struct(
         _s(ck).alias("client_id"), F.lit("Plan B").alias("payor"),
         F.when(ck % 2 == 0, "Active").otherwise("Inactive").alias("status"),
         F.concat(F.lit("INS"), _s(ck), F.lit("B")).alias("insured_id"),
         F.lit(1).alias("position"))
-    return first.unionByName(second)
+    return _rows(c, first, second)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,10 +179,10 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     cols = [F.when(ck % 17 != 0, _s(ck)).alias("client_id"),
             F.concat(F.lit("INV"), _s(k)).alias("invoice_no")]
-    one = o.select(*cols, F.lit(None).cast("string").alias("note"), (k * 2).alias("position"))
-    two = o.filter(k % 10 == 0).select(*cols, F.lit("copy").alias("note"),
-                                       (k * 2 + 1).alias("position"))
-    return one.unionByName(two)
+    one = F.struct(*cols, F.lit(None).cast("string").alias("note"), (k * 2).alias("position"))
+    two = F.when(k % 10 == 0, F.struct(*cols, F.lit("copy").alias("note"),
+                                        (k * 2 + 1).alias("position")))
+    return _rows(o, one, two)
 
 
 def prior_state(cases: DataFrame) -> DataFrame:

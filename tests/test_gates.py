@@ -65,7 +65,7 @@ def test_run_scrub_writes_three_outputs_in_one_pass(spark, scratch):
     back = read_run(spark, scratch, B.ASOF, route="straightforward")
     assert back.count() == 90
     p = scrub.scrub_routes(w, c, r, B.ASOF)._jdf.queryExecution().executedPlan().toString()
-    assert "orders.parquet" in p and p.count("FileScan parquet") == 3  # orders once, customer twice
+    assert "orders.parquet" in p and p.count("FileScan parquet") == 2  # orders once, customer once
 
 
 def test_resume_predicates(spark):
