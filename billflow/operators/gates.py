@@ -57,13 +57,14 @@ def client_exclusion(df: DataFrame, rules: DataFrame, col: str = "client_id") ->
 
 # ---- O-26 / O-27 procedure-code gates -----------------------------------------
 
-def _gate_table(rules: DataFrame) -> DataFrame:
-    """(gated status, allowed codes) — one row per status with a non-empty list."""
+def _gate_pairs(rules: DataFrame) -> DataFrame:
+    """Distinct (gated status, allowed code) pairs from the code rules."""
     status_of = F.create_map(*[x for s, r in GATED_STATUS_RULE.items()
                                for x in (F.lit(r), F.lit(s))])
     return (rules.filter(F.col("rule_name").isin(list(GATED_STATUS_RULE.values())))
-            .select(status_of[F.col("rule_name")].alias("_gate_status"), "value")
-            .groupBy("_gate_status").agg(F.collect_set("value").alias("_gate_codes")))
+            .select(status_of[F.col("rule_name")].alias("_gate_status"),
+                    F.col("value").alias("_gate_code"))
+            .distinct())
 
 
 def _with_code_match(df: DataFrame, rules: DataFrame, status: str, service: str) -> DataFrame:
@@ -71,14 +72,22 @@ def _with_code_match(df: DataFrame, rules: DataFrame, status: str, service: str)
 
     Mirrors an anchored ``^(c1:|c2:…)`` regex: the text before the first ':'
     must equal a listed code, and a NULL service never matches. An empty list
-    matches any non-null service (the regex ``^()``).
+    matches any non-null service (the regex ``^()``). Two flag joins against
+    distinct rule rows (both broadcast after the size check), so no row fans
+    out and no list is gathered into one value.
     """
-    gate = maybe_broadcast(_gate_table(rules))
-    j = df.join(gate, F.col(status) == F.col("_gate_status"), "left")
+    pairs = _gate_pairs(rules)
+    listed = pairs.select(F.col("_gate_status").alias("_listed_status")).distinct() \
+        .withColumn("_has_list", F.lit(True))
+    hits = pairs.withColumn("_hit", F.lit(True))
     svc = F.col(service)
-    hit = F.col("_gate_codes").isNull() | match_or_false(
-        F.array_contains(F.col("_gate_codes"), code_prefix(svc)))
-    return j.withColumn("_code_match", svc.isNotNull() & hit).drop("_gate_status", "_gate_codes")
+    j = (df.withColumn("_code", code_prefix(svc))
+         .join(maybe_broadcast(hits), (F.col(status) == F.col("_gate_status"))
+               & (F.col("_code") == F.col("_gate_code")), "left")
+         .join(maybe_broadcast(listed), F.col(status) == F.col("_listed_status"), "left"))
+    match = svc.isNotNull() & (~match_or_false(F.col("_has_list")) | match_or_false(F.col("_hit")))
+    return j.withColumn("_code_match", match).drop(
+        "_code", "_gate_status", "_gate_code", "_hit", "_listed_status", "_has_list")
 
 
 def code_gate(df: DataFrame, rules: DataFrame, status: str = "status",
