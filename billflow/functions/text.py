@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from billflow.schema import HOSTILE_CHARS, PAYOR_RECODE_FROM, PAYOR_RECODE_TO
 
 NL = "\n"
+# Python's str.split() / str.strip() treat every Unicode whitespace as blank;
+# Spark's trim() only removes ' '. These patterns match Python's notion.
+_WS = r"(?U)\s+"
+_EDGE_WS = r"(?U)^\s+|\s+$"
+
+
+def strip_ws(c: Column) -> Column:
+    """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
+    return F.regexp_replace(c, _EDGE_WS, "")
 
 
 def recode_contains(c: Column, needles=PAYOR_RECODE_FROM, label: str = PAYOR_RECODE_TO) -> Column:
@@ -38,8 +47,8 @@ def first10(c: Column) -> Column:
 
 
 def strip_zone(c: Column, zone: str = " ET") -> Column:
-    """'… 10:00 AM ET' -> '… 10:00 AM' (zone removed, then trimmed)."""
-    return F.trim(F.replace(c, F.lit(zone), F.lit("")))
+    """'… 10:00 AM ET' -> '… 10:00 AM' (zone removed, then stripped)."""
+    return strip_ws(F.replace(c, F.lit(zone), F.lit("")))
 
 
 def to_service_date(c: Column) -> Column:
@@ -48,8 +57,8 @@ def to_service_date(c: Column) -> Column:
 
 
 def list_head(c: Column, sep: str = ",") -> Column:
-    """O-16: first element of a separated list, trimmed."""
-    return F.trim(F.substring_index(c, sep, 1))
+    """O-16: first element of a separated list, stripped."""
+    return strip_ws(F.substring_index(c, sep, 1))
 
 
 def path_tail(c: Column, sep: str = "/") -> Column:
@@ -58,13 +67,13 @@ def path_tail(c: Column, sep: str = "/") -> Column:
 
 
 def first_token(c: Column) -> Column:
-    """O-16: first whitespace-separated token."""
-    return F.split(F.trim(c), r"\s+").getItem(0)
+    """O-16: first whitespace-separated token (Python ``str.split()[0]``)."""
+    return F.split(strip_ws(c), _WS).getItem(0)
 
 
 def normalise_name(*parts: Column) -> Column:
-    """O-17: join name parts with spaces, collapse runs of whitespace, trim."""
-    return F.trim(F.regexp_replace(F.concat_ws(" ", *parts), r"\s+", " "))
+    """O-17: join name parts with spaces, collapse runs of whitespace, strip."""
+    return F.trim(F.regexp_replace(F.concat_ws(" ", *parts), _WS, " "))
 
 
 def extract_codes(c: Column) -> Column:

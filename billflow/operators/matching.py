@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false, ne_keep_null
-from billflow.functions.text import normalise_name, note_text, strip_zone
+from billflow.functions.text import list_head, normalise_name, note_text, strip_zone
 from billflow.operators.joins import maybe_broadcast
 from billflow.operators.lookups import first_by_position
 from billflow.schema import CANCEL_STATUSES, TABS, TXN_UPDATED, INVOICE_NOTE_PREFIX
@@ -192,10 +192,8 @@ def portal_providers(claims: DataFrame, by_staff_private: DataFrame) -> DataFram
     first = first_by_position(by_staff_private, ["staff"], ["position"],
                               ["portal_rendering_provider", "portal_billing_provider"])
     dimp = first.select(F.col("staff").alias("_pv_staff"),
-                        F.trim(F.substring_index("portal_rendering_provider", ",", 1))
-                         .alias("portal_rendering"),
-                        F.trim(F.substring_index("portal_billing_provider", ",", 1))
-                         .alias("portal_billing"))
+                        list_head(F.col("portal_rendering_provider")).alias("portal_rendering"),
+                        list_head(F.col("portal_billing_provider")).alias("portal_billing"))
     return claims.join(maybe_broadcast(dimp), F.col("staff") == F.col("_pv_staff"), "left") \
         .drop("_pv_staff")
 

@@ -110,3 +110,14 @@ def test_extract_codes_and_name(spark):
     r = df.select(TX.extract_codes(F.col("t")).alias("c"),
                   TX.normalise_name(F.col("f"), F.col("m"), F.col("l")).alias("n")).first()
     assert r.c == "F411,F320" and r.n == "a b c"
+
+
+def test_python_whitespace_semantics(spark):
+    raw = "\t Dr Who , NPI 1"
+    df = spark.createDataFrame([(raw, "\n a \tb ", "11/28/2026, 10:00 AM ET ")], "p string, n string, d string")
+    r = df.select(TX.list_head(F.col("p")).alias("h"), TX.first_token(F.col("n")).alias("t"),
+                  TX.normalise_name(F.col("n")).alias("nn"), TX.strip_zone(F.col("d")).alias("z")).first()
+    assert r.h == raw.split(",")[0].strip()
+    assert r.t == "\n a \tb ".split()[0]
+    assert r.nn == " ".join("\n a \tb ".split())
+    assert r.z == "11/28/2026, 10:00 AM ET ".replace(" ET", "").strip()
