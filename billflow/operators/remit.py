@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false
-from billflow.functions.text import doc_name, path_tail, sanitise, split_lines
+from billflow.functions.text import doc_name, path_tail, sanitise, split_lines, strip_ws
 from billflow.operators.gates import date_window
 from billflow.schema import (FILE_DOWNLOADED, FILE_NOT_DOWNLOADED, WL_NO_EOBS,
                              WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND)
@@ -82,7 +82,7 @@ def worklist_status(worklist: DataFrame, known_states: DataFrame, rows: DataFram
                     .join(parsed.groupBy("practice").agg(F.count(F.lit(1)).alias("n_window")),
                           "practice", "left"))
     states = known_states.select(F.col("state_name").alias("_state")).distinct()
-    j = (worklist.join(states, F.col("state_name") == F.col("_state"), "left")
+    j = (worklist.join(states, strip_ws(F.col("state_name")) == F.col("_state"), "left")
          .join(per_practice, "practice", "left"))
     status = (F.when(F.col("_state").isNull(), F.lit(WL_STATE_NOT_FOUND))
               .when(F.col("n_rows").isNull(), F.lit(WL_PRACTICE_NOT_FOUND))
