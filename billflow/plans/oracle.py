@@ -324,10 +324,6 @@ SQL.update({
 
 # ---- scalars, gates, sources -------------------------------------------------------
 
-def with_scrub_extra(extra: str, select: str) -> str:
-    return f"WITH {SCRUB_CTES},\n{extra}\n{select}"
-
-
 def lookback_where(asof_sql: str) -> str:
     return (f"try_strptime(substr(date_time, 1, 10), '%m/%d/%Y')::DATE BETWEEN {asof_sql} - "
             f"(CASE WHEN isodow({asof_sql}) = 1 THEN 4 ELSE 2 END) AND {asof_sql} - 2")

@@ -76,7 +76,6 @@ WL_STATE_NOT_FOUND = "State Not found"
 WL_PRACTICE_NOT_FOUND = "Practice name not found in Drop Down"
 WL_NO_EOBS = "No EOBs for Cheque Date"
 WL_PROCESSED = "Processed"
-WL_UNMATCHED = "Unmatched"
 # Characters removed from remittance names (colon, question mark, slash, pipe,
 # apostrophe, star, angle brackets; not backslash, not double quote).
 HOSTILE_CHARS = ":?/|'*<>"
@@ -91,10 +90,6 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "n/a", "nan", "null")
 # --- end of fixed values ---
 
-ATTENDANCE_COLS = ("client_name", "client_id", "date_time", "staff", "status",
-                   "service_type", "is_billed")
-
-ATTENDANCE = T.StructType([T.StructField(c, S) for c in ATTENDANCE_COLS])
 
 CLAIM_RECORD_COLS = (
     "client_name", "client_id", "date_time", "service_type", "staff", "payor_name",
@@ -108,9 +103,3 @@ REMIT_LEDGER = T.StructType([
     T.StructField("check_date", S), T.StructField("amount", S),
     T.StructField("status", S), T.StructField("rsm", S),
 ])
-
-FILE_INVENTORY = T.StructType([
-    T.StructField("path", S),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-])

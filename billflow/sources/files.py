@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billflow.schema import EXPORT_HEADERS, FILE_INVENTORY, NA_TOKENS
+from billflow.schema import EXPORT_HEADERS, NA_TOKENS
 from billflow.session import checkpoint_dir
 
 
@@ -104,10 +104,6 @@ def folder_of(path_col: str = "path") -> F.Column:
     return F.regexp_extract(F.col(path_col), r"^(.*)/[^/]*$", 1)
 
 
-def empty_inventory(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], FILE_INVENTORY)
-
-
 # ---- O-07 / O-08 dated layout and three-way sink -------------------------------------------
 
 def run_partition_columns(asof: dt.date) -> dict[str, F.Column]:

@@ -87,3 +87,9 @@ def test_line_history_pruning_is_exact(spark):
     full = M.service_match(cases, lines).select("item_id", "payor_name", "ln_line_id")
     pruned = M.service_match(cases, lines, RG.lookback_days()).select("item_id", "payor_name", "ln_line_id")
     assert full.exceptAll(pruned).isEmpty() and pruned.exceptAll(full).isEmpty()
+
+
+def test_claim_record_has_the_twenty_columns(spark):
+    from billflow.schema import CLAIM_RECORD_COLS
+    rec = RG.q_claim_record(spark, SF_SMALL)
+    assert rec.columns == ["item_id", *CLAIM_RECORD_COLS] and len(CLAIM_RECORD_COLS) == 20
