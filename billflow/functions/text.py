@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from billflow.schema import HOSTILE_CHARS, PAYOR_RECODE_FROM, PAYOR_RECODE_TO
 
 NL = "\n"
-# Python's str.split() / str.strip() treat every Unicode whitespace as blank;
-# Spark's trim() only removes ' '. These patterns match Python's notion.
-_WS = r"(?U)\s+"
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's str.split() / str.strip() treat every str.isspace() character as blank;
+# Spark's trim() only removes ' '. The set is derived by rule from Python itself.
+WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+_WS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in WS_CHARS) + "]+"
 
 
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def recode_contains(c: Column, needles=PAYOR_RECODE_FROM, label: str = PAYOR_RECODE_TO) -> Column:

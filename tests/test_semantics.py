@@ -121,3 +121,12 @@ def test_python_whitespace_semantics(spark):
     assert r.t == "\n a \tb ".split()[0]
     assert r.nn == " ".join("\n a \tb ".split())
     assert r.z == "11/28/2026, 10:00 AM ET ".replace(" ET", "").strip()
+
+
+def test_unicode_whitespace_parity(spark):
+    vals = ["\xa0x\x1cy　", "  a b \x85"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select(TX.strip_ws(F.col("v")).alias("s"), TX.first_token(F.col("v")).alias("t"),
+                     TX.normalise_name(F.col("v")).alias("n")).collect()
+    for v, r in zip(vals, rows):
+        assert (r.s, r.t, r.n) == (v.strip(), v.split()[0], " ".join(v.split()))
