@@ -282,7 +282,8 @@ SQL.update({
     "missing_master": with_cases(
         "SELECT item_id, provider_source, staff, payor_name FROM resolved WHERE NOT provider_found"),
     "duplicate_keys": with_cases("""
-        SELECT 'provider_by_payor' AS master, payer AS key, count(*) AS n_rows FROM pp_raw GROUP BY payer HAVING count(*) > 1
+        SELECT 'client_export' AS master, client_id AS key, count(*) AS n_rows FROM c GROUP BY client_id HAVING count(*) > 1
+        UNION ALL SELECT 'provider_by_payor', payer, count(*) FROM pp_raw GROUP BY payer HAVING count(*) > 1
         UNION ALL SELECT 'provider_by_staff', staff, count(*) FROM ps_raw GROUP BY staff HAVING count(*) > 1
         UNION ALL SELECT 'provider_by_staff_private', staff, count(*) FROM pv_raw GROUP BY staff HAVING count(*) > 1"""),
     "active_coverage": with_cases("SELECT client_id, payor, insured_id FROM cov"),

@@ -135,7 +135,8 @@ def q_missing_master(spark, sf):
 
 @register("duplicate_keys")
 def q_duplicate_keys(spark, sf):
-    parts = [(B.provider_by_payor(spark, sf), "payer", "provider_by_payor"),
+    parts = [(B.client_export(spark, sf), "client_id", "client_export"),
+             (B.provider_by_payor(spark, sf), "payer", "provider_by_payor"),
              (B.provider_by_staff(spark, sf), "staff", "provider_by_staff"),
              (B.provider_by_staff_private(spark, sf), "staff", "provider_by_staff_private")]
     out = None
