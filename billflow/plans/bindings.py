@@ -37,7 +37,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table as one reusable DataFrame per session (one file listing)."""
     key = (id(spark), sf_dir, name)
-    if key not in _TABLES:
+    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]
 
@@ -275,7 +275,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     from billflow.session import checkpoint_dir
 
     key = (id(spark), sf_dir, name)
-    if key not in _LANDED:
+    if key not in _LANDED or _LANDED[key].sparkSession is not spark:
         import uuid
         path = f"{checkpoint_dir(spark).rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
         build(spark, sf_dir).write.mode("overwrite").parquet(path)
