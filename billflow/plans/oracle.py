@@ -8,6 +8,7 @@ unlikely. Tables ``orders``, ``customer``, … are views the checker registers.
 from __future__ import annotations
 
 from billflow.plans.bindings import ASOF, RULES
+from billflow.schema import INVOICE_NOTE_PREFIX
 
 
 def _q(v: str) -> str:
@@ -310,11 +311,11 @@ SQL.update({
         CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN out_txn END AS transaction_number,
         CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN 'Yes' END AS submitted
       FROM worked WHERE route IN ('await_submission', 'claim_file')"""),
-    "invoice_annotate": with_cases("""SELECT rec.item_id, rec.claim_invoice_number,
+    "invoice_annotate": with_cases(f"""SELECT rec.item_id, rec.claim_invoice_number,
         CASE WHEN lo.out_ok THEN lo.out_txn END AS transaction_number,
         CASE WHEN lo.out_ok AND ip.pos IS NOT NULL THEN CAST(ip.pos AS VARCHAR) END AS invoice_position,
         CASE WHEN lo.out_ok AND ip.pos IS NOT NULL
-          THEN concat('Claim submitted through availity portal under the transaction ID#', lo.out_txn) END
+          THEN concat('{_q(INVOICE_NOTE_PREFIX)[1:-1]}', lo.out_txn) END
           AS invoice_note,
         CASE WHEN lo.out_ok AND ip.pos IS NOT NULL THEN 'Transaction Number updated' END AS transaction_status
       FROM rec LEFT JOIN lo ON rec.item_id = lo.case_id

@@ -19,6 +19,7 @@ from billflow.plans import bindings as B
 from billflow.plans import casework as CW
 from billflow.plans import remit as RP
 from billflow.plans import scrub
+from billflow.schema import RULE_COLUMNS
 from billflow.sources import files as FS
 from billflow.sources.rules import rules_long
 
@@ -227,16 +228,17 @@ def ragged_sheet(spark, sf):
     """A rule sheet with ragged columns (NULL padding), built from customer."""
     c = B.table(spark, sf, "customer")
     ck = F.col("c_custkey")
+    h = {rule: header for header, rule in RULE_COLUMNS.items()}
     return c.select(
         F.when(ck % 50 == 0, F.element_at(F.array(F.lit("Canceled"), F.lit("Rescheduled"),
                                                    F.lit("Upcoming")), (ck % 3 + 1).cast("int")))
-         .alias("Status"),
-        F.when(ck % 7 == 0, (ck % 1000 + 0.0)).alias("No Show CPT's"),
-        F.when(ck % 11 == 0, (ck % 500 + 90000.0)).alias("Late Cancel CPT's"),
-        F.when(ck % 13 == 0, F.concat((ck % 300).cast("string"), F.lit(".0"))).alias("Kept CPT's"),
-        F.when(ck % 17 == 0, F.concat(F.lit("Plan "), (ck % 5).cast("string"))).alias("Availity Payors"),
-        F.when(ck % 19 == 0, ck.cast("string")).alias("Exception Client ID"),
-        F.when(ck % 23 == 0, F.concat(F.lit("Payor "), (ck % 4).cast("string"))).alias("Staff Member payors"),
+         .alias(h["exclude_status"]),
+        F.when(ck % 7 == 0, (ck % 1000 + 0.0)).alias(h["no_show_cpts"]),
+        F.when(ck % 11 == 0, (ck % 500 + 90000.0)).alias(h["late_cancel_cpts"]),
+        F.when(ck % 13 == 0, F.concat((ck % 300).cast("string"), F.lit(".0"))).alias(h["kept_cpts"]),
+        F.when(ck % 17 == 0, F.concat(F.lit("Plan "), (ck % 5).cast("string"))).alias(h["private_payor"]),
+        F.when(ck % 19 == 0, ck.cast("string")).alias(h["exception_client"]),
+        F.when(ck % 23 == 0, F.concat(F.lit("Payor "), (ck % 4).cast("string"))).alias(h["staff_payor"]),
     )
 
 
