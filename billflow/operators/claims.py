@@ -61,8 +61,8 @@ def latest_outcome(outcomes: DataFrame) -> DataFrame:
 
 def with_outcome(df: DataFrame, outcomes: DataFrame, key: str = "item_id") -> DataFrame:
     lo = latest_outcome(outcomes)
-    j = df.join(lo, F.col(key) == F.col("case_id"), "left").drop("case_id")
-    return j.withColumn("out_found", F.col("out_ok").isNotNull())
+    j = df.join(lo, F.col(key) == F.col("case_id"), "left")
+    return j.withColumns({"out_found": F.col("out_ok").isNotNull()}).drop("case_id")
 
 
 def apply_outcome(df: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def exception_tagging(df: DataFrame) -> DataFrame:
     billed = (F.when(exc.isNotNull(), F.lit(None))
               .when(F.col("route").isin("save_only", "claim_file"), F.lit(YES))
               .when(match_or_false(F.col("out_ok")), F.lit(YES)))
-    return df.withColumn("exceptions", exc).withColumn("is_billed", billed.cast("string"))
+    return df.withColumns({"exceptions": exc, "is_billed": billed.cast("string")})
 
 
 # ---- O-43 claim record ----------------------------------------------------------------

@@ -42,11 +42,11 @@ def registry_match(cases: DataFrame, registry: DataFrame) -> DataFrame:
     """
     best = _prefixed(best_registry_entry(registry), "reg_", ["client_id"] + REGISTRY_FIELDS)
     j = cases.join(best, F.col("client_id") == F.col("reg_client_id"), "left")
-    return (j.withColumn("reg_found", F.col("reg_client_id").isNotNull())
-            .withColumn("reg_full_name", normalise_name(F.col("reg_first_name"),
-                                                        F.col("reg_middle_name"),
-                                                        F.col("reg_last_name")))
-            .drop("reg_client_id"))
+    return j.withColumns({
+        "reg_found": F.col("reg_client_id").isNotNull(),
+        "reg_full_name": normalise_name(F.col("reg_first_name"), F.col("reg_middle_name"),
+                                        F.col("reg_last_name")),
+    }).drop("reg_client_id")
 
 
 # ---- O-46 active / archived flag ------------------------------------------------
@@ -65,7 +65,7 @@ def archive_flag(matched: DataFrame, prior: str = "active_archived") -> DataFram
             .when(active | ne_keep_null(p, TABS[1]), F.lit(TABS[0]))
             .when(archived, F.lit(TABS[1])).otherwise(p))
     rearchive = F.col("reg_found") & (match_or_false(archived) | p.eqNullSafe(TABS[1]))
-    return matched.withColumn("new_active_archived", flag).withColumn("needs_rearchive", rearchive)
+    return matched.withColumns({"new_active_archived": flag, "needs_rearchive": rearchive})
 
 
 # ---- O-32b service-line match ----------------------------------------------------
@@ -135,7 +135,7 @@ def active_coverage(coverage: DataFrame, rules: DataFrame) -> DataFrame:
 def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame) -> DataFrame:
     cov = _prefixed(active_coverage(coverage, rules), "cov_", ["client_id", "payor", "insured_id"])
     j = cases.join(cov, F.col("client_id") == F.col("cov_client_id"), "left")
-    return j.withColumn("cov_found", F.col("cov_client_id").isNotNull()).drop("cov_client_id")
+    return j.withColumns({"cov_found": F.col("cov_client_id").isNotNull()}).drop("cov_client_id")
 
 
 # ---- O-30b provider resolution ----------------------------------------------------
