@@ -35,6 +35,9 @@ def test_daily_jobs_end_to_end(spark, scratch):
 
     counts = J.scrub_job(spark, f"{scratch}/attendance.csv", f"{scratch}/clients.csv",
                          f"{scratch}/rules.csv", f"{scratch}/scrub", B.ASOF)
+    J.main(["scrub", "--attendance", f"{scratch}/attendance.csv", "--clients", f"{scratch}/clients.csv",
+            "--rules", f"{scratch}/rules.csv", "--out", f"{scratch}/scrub_cli", "--asof", "2026-11-30"])
+    assert FS.read_run(spark, f"{scratch}/scrub_cli", B.ASOF, "straightforward").count() == 90
     assert counts["straightforward"] == 90
     straight = FS.read_run(spark, f"{scratch}/scrub", B.ASOF, "straightforward")
     want = RG.q_scrub_straightforward(spark, SF_SMALL)
