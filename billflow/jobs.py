@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billflow.operators import claims as CL
-from billflow.operators.gates import lookback_dates
+from billflow.operators.gates import lookback_dates, pending_worklist
 from billflow.plans import casework as CW
 from billflow.plans import scrub as SC
 from billflow.plans.remit import run_remit
@@ -61,6 +61,8 @@ def scrub_job(spark: SparkSession, attendance: str, clients: str, rules: str, ou
               asof: dt.date) -> dict[str, int]:
     """Exports -> exception / manual / straightforward lists (one scan, one write)."""
     att = read_table(spark, attendance)
+    if att.isEmpty():  # nothing exported today
+        return {"exception": 0, "manual": 0, "straightforward": 0}
     if "item_id" not in att.columns:
         att = att.withColumn("item_id", F.monotonically_increasing_id())
     cl = with_position(read_table(spark, clients))
@@ -97,6 +99,8 @@ def claims_job(spark: SparkSession, casework: str, by_staff_private: str, out: s
     """Worked cases -> flat claim records (``out/records``) and nested claim forms
     (``out/forms``), both in dated folders."""
     worked = FS.read_run(spark, casework, asof).drop("run_year", "run_month", "run_date")
+    if worked.isEmpty():
+        return
     rec = CL.claim_record(worked)
     FS.write_run(rec, f"{out.rstrip('/')}/records", asof)
     forms = CW.claim_forms(FS.read_run(spark, f"{out.rstrip('/')}/records", asof)
@@ -108,9 +112,11 @@ def claims_job(spark: SparkSession, casework: str, by_staff_private: str, out: s
 def remit_job(spark: SparkSession, rows: str, worklist: str, states: str, documents: str,
               ledger: str, asof: dt.date) -> int:
     """Remittance rows -> the day's new ledger rows (rerun-safe)."""
+    wl = read_table(spark, worklist)
+    if "wl_status" in wl.columns and pending_worklist(wl).isEmpty():
+        return 0  # every practice already has a status for today
     inv = FS.file_inventory(spark, documents, "*.pdf")
-    return run_remit(spark, read_table(spark, rows), read_table(spark, worklist),
-                     read_table(spark, states), inv, ledger, asof)
+    return run_remit(spark, read_table(spark, rows), wl, read_table(spark, states), inv, ledger, asof)
 
 
 def main(argv: list[str] | None = None) -> None:

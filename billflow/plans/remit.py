@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billflow.operators import remit as R
+from billflow.operators.gates import pending_worklist
 from billflow.schema import REMIT_LEDGER, WL_PROCESSED
 from billflow.sources.files import read_if_exists
 
@@ -15,7 +16,10 @@ from billflow.sources.files import read_if_exists
 def ledger_delta(rows: DataFrame, worklist: DataFrame, known_states: DataFrame,
                  ledger: DataFrame, inventory: DataFrame, asof: dt.date) -> DataFrame:
     """Ledger rows this run adds: unseen checks of workable practices, with
-    whether their document arrived."""
+    whether their document arrived. Work-list rows that already carry a status
+    (worked earlier today) are skipped, as in the source."""
+    if "wl_status" in worklist.columns:
+        worklist = pending_worklist(worklist)
     status = R.worklist_status(worklist, known_states, rows, asof)
     workable = status.filter(F.col("wl_status") == WL_PROCESSED).select("practice")
     cand = R.remit_candidates(rows.join(workable, "practice", "left_semi"), asof)
