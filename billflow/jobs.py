@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,16 @@ def rules_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _read_run_or_none(spark: SparkSession, path: str, asof: dt.date,
+                      route: str | None = None) -> DataFrame | None:
+    """The day's output of the previous stage; None when it wrote nothing (an
+    empty partitioned write leaves no files, so there is no schema to read)."""
+    try:
+        return FS.read_run(spark, path, asof, route).drop("run_year", "run_month", "run_date")
+    except AnalysisException:
+        return None
+
+
 def scrub_job(spark: SparkSession, attendance: str, clients: str, rules: str, out: str,
               asof: dt.date) -> dict[str, int]:
     """Exports -> exception / manual / straightforward lists (one scan, one write)."""
@@ -72,10 +83,10 @@ def scrub_job(spark: SparkSession, attendance: str, clients: str, rules: str, ou
 
 def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> None:
     """Straightforward cases -> worked cases (matches, charges, route, exception)."""
-    cases = FS.read_run(spark, a.scrubbed, asof, route="straightforward") \
-        .drop("run_year", "run_month", "run_date", "route")
-    if cases.isEmpty():  # nothing to work today (a one-row probe, not a count)
+    cases = _read_run_or_none(spark, a.scrubbed, asof, route="straightforward")
+    if cases is None or cases.isEmpty():  # nothing to work today (a one-row probe, not a count)
         return
+    cases = cases.drop("route")
     if "active_archived" not in cases.columns:
         cases = cases.withColumn("active_archived", F.lit(None).cast("string"))
     x = CW.CaseInputs(
@@ -98,8 +109,8 @@ def claims_job(spark: SparkSession, casework: str, by_staff_private: str, out: s
                asof: dt.date) -> None:
     """Worked cases -> flat claim records (``out/records``) and nested claim forms
     (``out/forms``), both in dated folders."""
-    worked = FS.read_run(spark, casework, asof).drop("run_year", "run_month", "run_date")
-    if worked.isEmpty():
+    worked = _read_run_or_none(spark, casework, asof)
+    if worked is None or worked.isEmpty():
         return
     rec = CL.claim_record(worked)
     FS.write_run(rec, f"{out.rstrip('/')}/records", asof)

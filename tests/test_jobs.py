@@ -74,3 +74,14 @@ def test_daily_jobs_end_to_end(spark, scratch):
     assert first > 0 and J.remit_job(spark, *args) == 0
     led = spark.read.parquet(f"{scratch}/ledger/run_date=11302026")
     assert led.filter(F.col("status") == "File Downloaded").count() > 0
+
+
+def test_jobs_exit_early_on_empty_input(spark, scratch):
+    empty = spark.createDataFrame([], "item_id long, client_id string, date_time string, status string")
+    FS.write_routes(empty.withColumn("route", F.lit("straightforward")), f"{scratch}/scrub", B.ASOF)
+    a = argparse.Namespace(scrubbed=f"{scratch}/scrub", out=f"{scratch}/cases")
+    assert J.casework_job(spark, a, B.ASOF) is None
+    assert not os.path.exists(f"{scratch}/cases")  # nothing was written
+    pd.DataFrame({"Client ID Number": pd.Series([], dtype=str)}).to_csv(f"{scratch}/att.csv", index=False)
+    assert J.scrub_job(spark, f"{scratch}/att.csv", "unused", "unused", f"{scratch}/o", B.ASOF) == \
+        {"exception": 0, "manual": 0, "straightforward": 0}
