@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, secrets, syncmers
+from . import bpe, minhash, secrets, syncmers
 from .common import read
 
 
@@ -27,4 +27,8 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_syncmers, op4_bpe)}
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_syncmers, op4_bpe, op6_minhash)}
