@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, minhash, secrets, syncmers
+from . import bpe, minhash, personal, quality, secrets, syncmers
 from .common import read
 
 
@@ -31,4 +32,22 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_syncmers, op4_bpe, op6_minhash)}
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Learned from the labelled documents outside the held-out fold."""
+    labels = read(spark, sf_dir, "labels").filter(~quality.held_out("doc_id"))
+    return quality.fit(docs, labels)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= quality.ACCEPT, 1).otherwise(0).alias("predicted"))
+
+
+def op10_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return personal.personal_digest(personal.find_personal(docs, personal.fit(docs)))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_syncmers, op4_bpe, op6_minhash, op8_quality, op10_personal)}
