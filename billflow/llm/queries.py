@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, mixing, personal, quality, secrets, syncmers, urls
+from . import bpe, hnsw, lines, minhash, mixing, personal, quality, secrets, syncmers, urls
 from .common import read
 
 
@@ -38,6 +38,10 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.fit(docs, labels)
 
 
+def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = quality.score(docs, quality_model(spark, docs, sf_dir))
@@ -93,5 +97,5 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secrets, op2_line_dedup, op3_syncmers, op4_bpe, op5_mixing, op6_minhash, op8_quality, op9_url_filter,
+    op1_secrets, op2_line_dedup, op3_syncmers, op4_bpe, op5_mixing, op6_minhash, op7_hnsw, op8_quality, op9_url_filter,
     op10_personal)}
