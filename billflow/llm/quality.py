@@ -24,11 +24,13 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import map_batches, unit_hash
+from .common import unit_hash
 
 PER_CLASS, MAX_CHARS, LEAST = 1500, 8000, 8
 PIECE, DICT_BYTES, LEVEL = 4096, 112_640, 3
@@ -140,26 +142,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
-    """Per row: id, score (or the columns ``keep`` of the row, then score)."""
+    """Per row: id and score; with ``keep``, a struct ``row`` of those columns and score."""
     cols = keep or [id_col]
-    t = dict(docs.dtypes)
     names = [f"c{i}" for i in range(len(cols))]
     made = docs.select(F.col(text_col).alias("t"), *[F.col(c).alias(n) for c, n in zip(cols, names)])
-    cache: dict = {}
-
-    def run(values):
-        texts = [x or "" for x in values[0]]
-        if model.weights:
-            sizes = cache.get("sizes") or cache.setdefault("sizes", Sizes(model.good, model.bad))
-            z = _design(np.array([sizes.features(x) for x in texts])) @ np.array(model.weights)
-            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-        else:
-            p = np.full(len(texts), model.share)
-        yield {**dict(zip(names, values[1:])), "score": p}
-
-    schema = ", ".join(f"{n} {t[c]}" for n, c in zip(names, cols)) + ", score double"
-    out = map_batches(made, run, schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, cols)], "score")
+    schema = StructType([*made.schema.fields[1:], StructField("score", DoubleType())])
+
+    def run(batches):
+        sizes = Sizes(model.good, model.bad) if model.weights else None
+        for b in batches:
+            texts = [t or "" for t in b.column(0).to_pylist()]
+            if sizes:
+                z = _design(np.array([sizes.features(t) for t in texts]).reshape(-1, 2)) @ np.array(model.weights)
+                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            else:
+                p = np.full(len(texts), model.share)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64())], names=[*names, "score"])
+
+    out = made.mapInArrow(run, schema)
+    if keep is None:
+        return out.select(F.col("c0").alias(id_col), "score")
+    return out.select(F.struct(*[F.col(n).alias(c) for n, c in zip(names, cols)]).alias("row"), "score")
 
 
 def held_out(id_col: str) -> "F.Column":

@@ -22,7 +22,7 @@ from billflow.session import checkpoint_dir
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from labels outside the held-out fold."""
     scored = quality.score(docs, quality_model(spark, docs, sf_dir), keep=docs.columns)
-    return scored.filter(F.col("score") >= quality.ACCEPT).select(docs.columns)
+    return scored.filter(F.col("score") >= quality.ACCEPT).select("row.*")
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
