@@ -9,8 +9,8 @@ from billflow.functions.nulls import match_or_false
 from billflow.functions.text import code_head, date_text, extract_codes
 from billflow.schema import (CANCEL_FEE, CANCEL_STATUSES, CLAIM_ASSIGNMENT, CLAIM_FREQUENCY,
                              CLAIM_RELEASE, CLAIM_SIGNATURE, DEFAULT_UNITS, EXC_AWAITING,
-                             EXC_CLIENT_NOT_FOUND, EXC_NO_DX, EXC_NO_SERVICE, NO_DX_LABEL,
-                             YES, ZERO_AMOUNT)
+                             EXC_CLIENT_NOT_FOUND, EXC_NO_DX, EXC_NO_PROVIDER, EXC_NO_SERVICE,
+                             NO_DX_LABEL, YES, ZERO_AMOUNT)
 
 
 def _cancel():
@@ -67,13 +67,15 @@ def with_outcome(df: DataFrame, outcomes: DataFrame, key: str = "item_id") -> Da
 
 def apply_outcome(df: DataFrame) -> DataFrame:
     """Submitted claims: ok -> billed (claim files also get the transaction
-    number and Status = Yes); failure -> exception text."""
+    number and Status = Yes); failure -> the fixed exception text, with the
+    portal's own text in ``error_detail``."""
     ok = match_or_false(F.col("out_ok"))
     bad = F.col("out_found") & ~ok
     claim_file = F.col("route") == "claim_file"
     return df.withColumns({
         "is_billed": F.when(ok, F.lit(YES)).otherwise(F.col("is_billed")),
-        "exceptions": F.when(bad, F.col("out_error")),
+        "exceptions": F.when(bad, F.lit(EXC_AWAITING)),
+        "error_detail": F.when(bad, F.col("out_error")),
         "transaction_number": F.when(ok & claim_file, F.col("out_txn")),
         "submitted": F.when(ok & claim_file, F.lit(YES)),
     })
@@ -84,20 +86,25 @@ def apply_outcome(df: DataFrame) -> DataFrame:
 def exception_tagging(df: DataFrame) -> DataFrame:
     """First failing check wins; a case with an exception is not billed.
 
-    Order: client not found; no service on the date; no diagnosis; a private
-    payor without active coverage; a failed submission.
+    Order: client not found; no service on the date; no diagnosis; no provider
+    in the chosen master table; a private payor without active coverage; a failed
+    submission (its own text goes to ``error_detail``). ``is_billed`` keeps its
+    prior value unless the case bills.
     """
     awaiting_fail = (F.col("route") == "await_submission") & \
         F.col("out_found") & ~match_or_false(F.col("out_ok"))
-    exc = (F.when(~F.col("reg_found"), F.lit(EXC_CLIENT_NOT_FOUND))
-           .when(~F.col("svc_found"), F.lit(EXC_NO_SERVICE))
-           .when(~F.col("dx_ok"), F.lit(EXC_NO_DX))
-           .when((F.col("route") == "claim_file") & ~F.col("cov_found"), F.lit(EXC_AWAITING))
-           .when(awaiting_fail, F.col("out_error")))
-    billed = (F.when(exc.isNotNull(), F.lit(None))
-              .when(F.col("route").isin("save_only", "claim_file"), F.lit(YES))
-              .when(match_or_false(F.col("out_ok")), F.lit(YES)))
-    return df.withColumns({"exceptions": exc, "is_billed": billed.cast("string")})
+    checked = (F.when(~F.col("reg_found"), F.lit(EXC_CLIENT_NOT_FOUND))
+               .when(~F.col("svc_found"), F.lit(EXC_NO_SERVICE))
+               .when(~F.col("dx_ok"), F.lit(EXC_NO_DX))
+               .when(~F.col("provider_found"), F.lit(EXC_NO_PROVIDER))
+               .when((F.col("route") == "claim_file") & ~F.col("cov_found"), F.lit(EXC_AWAITING)))
+    failed = checked.isNull() & awaiting_fail
+    exc = F.when(failed, F.lit(EXC_AWAITING)).otherwise(checked)
+    bills = exc.isNull() & (F.col("route").isin("save_only", "claim_file")
+                            | match_or_false(F.col("out_ok")))
+    return df.withColumns({
+        "exceptions": exc, "error_detail": F.when(failed, F.col("out_error")),
+        "is_billed": F.when(bills, F.lit(YES)).otherwise(F.col("is_billed"))})
 
 
 # ---- O-43 claim record ----------------------------------------------------------------
@@ -162,15 +169,18 @@ def claim_assembly(records: DataFrame) -> DataFrame:
 
 
 def flatten_claim(claims: DataFrame) -> DataFrame:
-    """Scalar view of a nested claim (for reports and comparisons)."""
+    """Scalar view of every field of a nested claim (for reports and comparisons)."""
     ci = "claim.claim_information"
     sl = F.col(f"{ci}.service_lines").getItem(0)
+    text = lambda items, f: F.array_join(F.transform(items, lambda x: f(x).cast("string")), ",")
+    diagnoses = F.col(f"{ci}.diagnoses")
     return claims.select(
         "item_id",
-        F.col("claim.patient.first_name").alias("patient_first_name"),
-        F.col("claim.patient.state").alias("patient_state"),
+        *[F.col(f"claim.patient.{c}").alias(f"patient_{c}")
+          for c in ("first_name", "last_name", "dob", "gender", "street", "city", "state")],
         F.col("claim.patient.zip_code").alias("patient_zip"),
         F.col("claim.subscriber.member_id").alias("member_id"),
+        F.col("claim.subscriber.payer").alias("payer"),
         F.col("claim.providers.rendering").alias("rendering"),
         F.col("claim.providers.billing").alias("billing"),
         F.col(f"{ci}.frequency").alias("frequency"),
@@ -178,14 +188,17 @@ def flatten_claim(claims: DataFrame) -> DataFrame:
         F.col(f"{ci}.release").alias("release_info"),
         F.col(f"{ci}.signature").alias("signature"),
         F.col(f"{ci}.place_of_service").alias("place_of_service"),
-        F.size(F.col(f"{ci}.diagnoses")).cast("bigint").alias("n_diagnoses"),
+        F.col(f"{ci}.patient_control_number").alias("control_number"),
+        F.size(diagnoses).cast("bigint").alias("n_diagnoses"),
+        text(diagnoses, lambda d: d["slot"]).alias("dx_slots"),
+        text(diagnoses, lambda d: d["code"]).alias("dx_codes"),
+        F.size(F.col(f"{ci}.service_lines")).cast("bigint").alias("n_service_lines"),
         sl.getField("from_date").alias("from_date"),
         sl.getField("to_date").alias("to_date"),
         sl.getField("procedure_code").alias("procedure_code"),
         sl.getField("amount").alias("amount"),
         sl.getField("quantity").alias("quantity"),
-        F.array_join(F.transform(sl.getField("pointers"), lambda p: p.cast("string")), ",")
-         .alias("pointers"),
+        text(sl.getField("pointers"), lambda p: p).alias("pointers"),
     )
 
 

@@ -201,12 +201,18 @@ def portal_providers(claims: DataFrame, by_staff_private: DataFrame) -> DataFram
 # ---- O-35 invoice annotate --------------------------------------------------------
 
 def first_invoice(cases: DataFrame, invoices: DataFrame) -> DataFrame:
-    """The client's first open invoice number (list order)."""
-    inv = first_by_position(invoices, ["client_id"], ["position"], ["invoice_no"])
-    inv = inv.select(F.col("client_id").alias("_inv_client"),
+    """The first open invoice number (list order) of the client for this case.
+
+    The invoice that a case's billing saved is the one listed for its client
+    and its case id (or, where the listing has no case id, its service date-time).
+    """
+    by = "case_id" if "case_id" in invoices.columns else "dos_text"
+    inv = first_by_position(invoices, ["client_id", by], ["position"], ["invoice_no"])
+    inv = inv.select(F.col("client_id").alias("_inv_client"), F.col(by).alias("_inv_case"),
                      F.col("invoice_no").alias("claim_invoice_number"))
-    return cases.join(inv, F.col("client_id") == F.col("_inv_client"), "left") \
-        .drop("_inv_client")
+    case = F.col("item_id") if by == "case_id" else strip_zone(F.col("date_time"))
+    return cases.join(inv, (F.col("client_id") == F.col("_inv_client"))
+                      & (case == F.col("_inv_case")), "left").drop("_inv_client", "_inv_case")
 
 
 def invoice_annotate(claims: DataFrame, invoices: DataFrame) -> DataFrame:

@@ -113,7 +113,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     ck, nk = F.col("c_custkey"), F.col("c_nationkey")
     cols = [
-        _s(ck).alias("client_id"),
+        # every ninth client is listed under an id that no case has
+        F.when(ck % 9 == 0, F.concat(F.lit("X"), _s(ck))).otherwise(_s(ck)).alias("client_id"),
         F.concat(F.lit(" Pat"), _s(ck % 100)).alias("first_name"),
         F.when(ck % 2 == 0, F.lit("Q.")).alias("middle_name"),
         F.concat(F.lit("Doe  "), _s(nk)).alias("last_name"),
@@ -129,7 +130,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     tab = F.when(ck % 4 == 0, "Archived").otherwise("Active")
     base = F.struct(*cols, tab.alias("tab"))
     both = F.when(ck % 12 == 0, F.struct(*cols, F.lit("Active").alias("tab")))
-    return _rows(c.filter(ck % 9 != 0), base, both)
+    return _rows(c, base, both)
 
 
 def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,9 +143,11 @@ def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     dx = F.when(k % 13 == 0, F.lit(NO_DX_LABEL)).otherwise(F.concat(
         F.lit("Anxiety (F41."), _s(k % 10), F.lit(") and Depression (F32."), _s(k % 3),
         F.lit(")"), F.when(k % 4 == 0, F.lit(" with (Z63.0)")).otherwise(F.lit(""))))
-    return o.filter(k % 5 != 0).select(
+    return o.select(
         k.alias("line_id"),
-        F.when(ck % 17 != 0, _s(ck)).alias("client_id"),
+        # every fifth line stands under an id that no case has
+        F.when(k % 5 == 0, F.concat(F.lit("X"), _s(ck)))
+         .when(ck % 17 != 0, _s(ck)).alias("client_id"),
         F.concat(F.date_format(service_day(k), "MM/dd/yyyy"), F.lit(", 10:00 AM")).alias("dos_text"),
         F.when(k % 7 == 0, F.lit("90834: other")).otherwise(w_service).alias("service_type"),
         F.when(k % 2 == 0, "11").otherwise("02").alias("place_of_service"),
@@ -174,11 +177,11 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``I``: open invoices per client; every tenth invoice is listed twice."""
+    """``I``: open invoices per client and case; every tenth invoice is listed twice."""
     o = table(spark, sf_dir, "orders")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     cols = [F.when(ck % 17 != 0, _s(ck)).alias("client_id"),
-            F.concat(F.lit("INV"), _s(k)).alias("invoice_no")]
+            F.concat(F.lit("INV"), _s(k)).alias("invoice_no"), k.alias("case_id")]
     one = F.struct(*cols, F.lit(None).cast("string").alias("note"), (k * 2).alias("position"))
     two = F.when(k % 10 == 0, F.struct(*cols, F.lit("copy").alias("note"),
                                         (k * 2 + 1).alias("position")))
@@ -197,8 +200,9 @@ def prior_state(cases: DataFrame) -> DataFrame:
 def provider_by_payor(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     nk = F.col("n_nationkey")
-    payer = F.when(nk == 0, "Optum").when(nk == 1, "Plan C").when(nk == 2, "Optum")
-    return n.filter(nk < 3).select(
+    payer = F.when(nk == 0, "Optum").when(nk == 1, "Plan C").when(nk == 2, "Optum") \
+        .otherwise(F.concat(F.lit("Payer "), F.col("n_name")))
+    return n.select(
         payer.alias("payer"),
         F.concat(F.lit("Rendering "), F.col("n_name")).alias("rendering_provider"),
         F.when(nk % 3 == 0, "No").otherwise(F.concat(F.lit("Billing "), F.col("n_name")))
@@ -209,8 +213,8 @@ def provider_by_payor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def provider_by_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     nk = F.col("n_nationkey")
-    return n.filter((nk < 7) & (nk != 3)).select(
-        F.concat(F.lit("Staff "), _s(nk)).alias("staff"),
+    return n.select(
+        F.when(nk == 3, "Absent 3").otherwise(F.concat(F.lit("Staff "), _s(nk))).alias("staff"),
         F.concat(F.lit("Rendering S"), _s(nk)).alias("rendering_provider"),
         F.when(nk % 3 == 0, "No").otherwise(F.concat(F.lit("Billing S"), _s(nk)))
          .alias("billing_provider"),
@@ -220,8 +224,9 @@ def provider_by_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def provider_by_staff_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     nk = F.col("n_nationkey")
-    return n.filter((nk < 9) & (nk != 5)).select(
-        F.concat(F.lit("Staff "), _s(nk % 8)).alias("staff"),
+    return n.select(
+        F.when(nk == 5, "Absent 5").when(nk < 9, F.concat(F.lit("Staff "), _s(nk % 8)))
+         .otherwise(F.concat(F.lit("Staff "), _s(nk))).alias("staff"),
         F.concat(F.lit("Rendering P"), _s(nk)).alias("rendering_provider"),
         F.concat(F.lit("Billing P"), _s(nk)).alias("billing_provider"),
         F.concat(F.col("n_name"), F.lit(" MD, NPI "), _s(nk * 111)).alias("portal_rendering_provider"),
@@ -265,31 +270,8 @@ def state_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- remittance rows, work-list, file inventories ----
 
-_LANDED: dict[tuple, DataFrame] = {}
-
-
-def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write a derived table once per session to the shared checkpoint folder and
-    read it back, as an ingest step would land it. Later queries scan the
-    stored columns instead of re-deriving them (and lineage stops here)."""
-    from billflow.session import checkpoint_dir
-
-    key = (id(spark), sf_dir, name)
-    if key not in _LANDED or _LANDED[key].sparkSession is not spark:
-        import uuid
-        path = f"{checkpoint_dir(spark).rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _LANDED[key] = spark.read.parquet(path)
-    return _LANDED[key]
-
-
 def remit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``T``: remittance rows as landed from the payer portal."""
-    return landed(spark, sf_dir, "remit_rows", _remit_rows)
-
-
-def _remit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One remittance row text per order (newline-separated fields)."""
+    """``T``: one remittance row text per order (newline-separated fields)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     k = F.col("o_orderkey")

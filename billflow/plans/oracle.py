@@ -8,7 +8,7 @@ unlikely. Tables ``orders``, ``customer``, … are views the checker registers.
 from __future__ import annotations
 
 from billflow.plans.bindings import ASOF, RULES
-from billflow.schema import INVOICE_NOTE_PREFIX
+from billflow.schema import EXC_AWAITING, EXC_NO_PROVIDER, INVOICE_NOTE_PREFIX, NO_DX_LABEL
 
 
 def _q(v: str) -> str:
@@ -102,7 +102,7 @@ SQL: dict[str, str] = {
 
 # ---- case work ------------------------------------------------------------------
 
-NO_DX = "None of the Cases related to this session have billable diagnoses entered."
+NO_DX = NO_DX_LABEL
 
 
 def cents_text(x: str) -> str:
@@ -119,7 +119,8 @@ def norm_name(a: str) -> str:
             f" '\\s+', ' ', 'g'))")
 
 
-G_COLS = """CAST(c_custkey AS VARCHAR) AS client_id,
+G_COLS = """CASE WHEN c_custkey % 9 = 0 THEN concat('X', CAST(c_custkey AS VARCHAR))
+      ELSE CAST(c_custkey AS VARCHAR) END AS client_id,
     concat(' Pat', CAST(c_custkey % 100 AS VARCHAR)) AS first_name,
     CASE WHEN c_custkey % 2 = 0 THEN 'Q.' END AS middle_name,
     concat('Doe  ', CAST(c_nationkey AS VARCHAR)) AS last_name,
@@ -134,15 +135,16 @@ CASE_CTES = f"""{SCRUB_CTES},
 cases AS (SELECT s.*, CASE WHEN item_id % 5 = 0 THEN 'Archived' WHEN item_id % 5 = 1 THEN 'Active' END
     AS active_archived FROM straight s),
 g AS (SELECT {G_COLS}, CASE WHEN c_custkey % 4 = 0 THEN 'Archived' ELSE 'Active' END AS tab
-    FROM customer WHERE c_custkey % 9 <> 0
-  UNION ALL SELECT {G_COLS}, 'Active' FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 12 = 0),
+    FROM customer
+  UNION ALL SELECT {G_COLS}, 'Active' FROM customer WHERE c_custkey % 12 = 0),
 g_best AS {first_row('g', 'client_id', "CASE tab WHEN 'Active' THEN 0 WHEN 'Archived' THEN 1 ELSE 2 END")},
 reg AS (SELECT c.*, b.client_id IS NOT NULL AS reg_found, b.tab AS reg_tab, b.first_name AS reg_first_name,
     b.last_name AS reg_last_name, b.dob AS reg_dob, b.gender AS reg_gender, b.street AS reg_street,
     b.city AS reg_city, b.state AS reg_state, b.zip AS reg_zip, {norm_name('b')} AS reg_full_name
   FROM cases c LEFT JOIN g_best b ON c.client_id = b.client_id),
 l AS (SELECT o_orderkey AS line_id,
-    CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS client_id,
+    CASE WHEN o_orderkey % 5 = 0 THEN concat('X', CAST(o_custkey AS VARCHAR))
+      WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS client_id,
     concat(strftime(DATE '2026-11-20' + CAST(o_orderkey % 14 AS INTEGER), '%m/%d/%Y'), ', 10:00 AM') AS dos_text,
     CASE WHEN o_orderkey % 7 = 0 THEN '90834: other' WHEN o_orderkey % 11 <> 0 THEN concat(
       CASE o_orderkey % 4 WHEN 0 THEN '993' WHEN 1 THEN '90837' WHEN 2 THEN '90791' ELSE '999' END, ': svc')
@@ -154,7 +156,7 @@ l AS (SELECT o_orderkey AS line_id,
       ') and Depression (F32.', CAST(o_orderkey % 3 AS VARCHAR), ')',
       CASE WHEN o_orderkey % 4 = 0 THEN ' with (Z63.0)' ELSE '' END) END AS dx_text,
     o_orderkey AS position
-  FROM orders WHERE o_orderkey % 5 <> 0),
+  FROM orders),
 pairs AS (SELECT DISTINCT c.client_id AS p_client, c.date_time AS p_dt, c.status AS p_status,
     c.service_type AS p_svc, l.*
   FROM cases c JOIN l ON c.client_id = l.client_id AND trim(replace(c.date_time, ' ET', '')) = l.dos_text
@@ -170,21 +172,25 @@ charged AS (SELECT s.*, NOT coalesce(contains(ln_dx_text, '{NO_DX}'), false) AS
     CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN '0.00' END AS insurer_amount,
     CASE WHEN coalesce(status IN ('Late Cancel', 'No Show'), false) THEN ln_units ELSE '1' END AS quantity
   FROM svc s),
-pp_raw AS (SELECT CASE n_nationkey WHEN 0 THEN 'Optum' WHEN 1 THEN 'Plan C' WHEN 2 THEN 'Optum' END AS payer,
+pp_raw AS (SELECT CASE n_nationkey WHEN 0 THEN 'Optum' WHEN 1 THEN 'Plan C' WHEN 2 THEN 'Optum'
+      ELSE concat('Payer ', n_name) END AS payer,
     concat('Rendering ', n_name) AS rendering_provider,
     CASE WHEN n_nationkey % 3 = 0 THEN 'No' ELSE concat('Billing ', n_name) END AS billing_provider,
-    n_nationkey AS position FROM nation WHERE n_nationkey < 3),
-ps_raw AS (SELECT concat('Staff ', CAST(n_nationkey AS VARCHAR)) AS staff,
+    n_nationkey AS position FROM nation),
+ps_raw AS (SELECT CASE WHEN n_nationkey = 3 THEN 'Absent 3'
+      ELSE concat('Staff ', CAST(n_nationkey AS VARCHAR)) END AS staff,
     concat('Rendering S', CAST(n_nationkey AS VARCHAR)) AS rendering_provider,
     CASE WHEN n_nationkey % 3 = 0 THEN 'No' ELSE concat('Billing S', CAST(n_nationkey AS VARCHAR)) END
       AS billing_provider,
-    n_nationkey AS position FROM nation WHERE n_nationkey < 7 AND n_nationkey <> 3),
-pv_raw AS (SELECT concat('Staff ', CAST(n_nationkey % 8 AS VARCHAR)) AS staff,
+    n_nationkey AS position FROM nation),
+pv_raw AS (SELECT CASE WHEN n_nationkey = 5 THEN 'Absent 5' WHEN n_nationkey < 9
+      THEN concat('Staff ', CAST(n_nationkey % 8 AS VARCHAR))
+      ELSE concat('Staff ', CAST(n_nationkey AS VARCHAR)) END AS staff,
     concat('Rendering P', CAST(n_nationkey AS VARCHAR)) AS rendering_provider,
     concat('Billing P', CAST(n_nationkey AS VARCHAR)) AS billing_provider,
     concat(n_name, ' MD, NPI ', CAST(n_nationkey * 111 AS VARCHAR)) AS portal_rendering_provider,
     concat('Group ', CAST(n_regionkey AS VARCHAR), ', NPI 9') AS portal_billing_provider,
-    n_nationkey AS position FROM nation WHERE n_nationkey < 9 AND n_nationkey <> 5),
+    n_nationkey AS position FROM nation),
 pp AS {first_row('pp_raw', 'payer', 'position')},
 ps AS {first_row('ps_raw', 'staff', 'position')},
 pv AS {first_row('pv_raw', 'staff', 'position')},
@@ -217,11 +223,12 @@ v_ok AS (SELECT * FROM v WHERE status = 'Active'
     AND payor IN (SELECT value FROM r WHERE rule_name = 'private_payor')),
 cov AS {first_row('v_ok', 'client_id', 'position')},
 inv AS (SELECT CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS client_id,
-    concat('INV', CAST(o_orderkey AS VARCHAR)) AS invoice_no, NULL::VARCHAR AS note, o_orderkey * 2 AS position
+    concat('INV', CAST(o_orderkey AS VARCHAR)) AS invoice_no, o_orderkey AS case_id, NULL::VARCHAR AS note,
+    o_orderkey * 2 AS position
   FROM orders
   UNION ALL SELECT CASE WHEN o_custkey % 17 <> 0 THEN CAST(o_custkey AS VARCHAR) END,
-    concat('INV', CAST(o_orderkey AS VARCHAR)), 'copy', o_orderkey * 2 + 1 FROM orders WHERE o_orderkey % 10 = 0),
-inv1 AS {first_row('(SELECT * FROM inv WHERE client_id IS NOT NULL)', 'client_id', 'position')},
+    concat('INV', CAST(o_orderkey AS VARCHAR)), o_orderkey, 'copy', o_orderkey * 2 + 1 FROM orders WHERE o_orderkey % 10 = 0),
+inv1 AS {first_row('(SELECT * FROM inv WHERE client_id IS NOT NULL)', 'client_id, case_id', 'position')},
 o AS (SELECT event_id // 2 AS case_id, event_id AS seq, event_type <> 'error' AS ok,
     CASE WHEN event_type <> 'error' THEN concat('TXN', CAST(event_id AS VARCHAR)) END AS transaction_no,
     CASE WHEN event_type = 'error' THEN concat('Submission error ', props) END AS error_text FROM events),
@@ -232,15 +239,17 @@ worked AS (SELECT x.*, cov.client_id IS NOT NULL AS cov_found, cov.insured_id AS
     CASE WHEN NOT x.reg_found THEN 'Client Name or ID not found'
       WHEN NOT x.svc_found THEN 'No claims are present in particular DOS'
       WHEN NOT x.dx_ok THEN 'DX code not found'
-      WHEN x.route = 'claim_file' AND cov.client_id IS NULL
-        THEN 'The claim encountered an error during the ''Awaiting Submission'' process.'
-      WHEN x.route = 'await_submission' AND lo.case_id IS NOT NULL AND NOT lo.out_ok THEN lo.out_error
+      WHEN NOT x.provider_found THEN {_q(EXC_NO_PROVIDER)}
+      WHEN x.route = 'claim_file' AND cov.client_id IS NULL THEN {_q(EXC_AWAITING)}
+      WHEN x.route = 'await_submission' AND lo.case_id IS NOT NULL AND NOT lo.out_ok THEN {_q(EXC_AWAITING)}
     END AS exc
   FROM resolved x LEFT JOIN cov ON x.client_id = cov.client_id
-    LEFT JOIN inv1 ON x.client_id = inv1.client_id LEFT JOIN lo ON x.item_id = lo.case_id),
+    LEFT JOIN inv1 ON x.client_id = inv1.client_id AND x.item_id = inv1.case_id LEFT JOIN lo ON x.item_id = lo.case_id),
 tagged AS (SELECT w.*, exc AS exceptions,
-    CASE WHEN exc IS NOT NULL THEN NULL WHEN route IN ('save_only', 'claim_file') THEN 'Yes'
-      WHEN coalesce(out_ok, false) THEN 'Yes' END AS tagged_billed
+    CASE WHEN exc IS NULL AND (route IN ('save_only', 'claim_file') OR coalesce(out_ok, false)) THEN 'Yes'
+      ELSE is_billed END AS tagged_billed,
+    CASE WHEN route = 'await_submission' AND out_ok = false AND reg_found AND svc_found AND dx_ok
+      AND provider_found THEN out_error END AS error_detail
   FROM worked w),
 rec AS (SELECT item_id, reg_full_name AS client_name, client_id, date_time, service_type, staff, payor_name,
     reg_first_name AS first_name, reg_last_name AS last_name, reg_dob AS dob, reg_gender AS gender,
@@ -290,24 +299,29 @@ SQL.update({
     "active_coverage": with_cases("SELECT client_id, payor, insured_id FROM cov"),
     "case_routing": with_cases("SELECT item_id, payor_name, status, route FROM resolved"),
     "exception_tagging": with_cases(
-        "SELECT item_id, route, exceptions, tagged_billed AS is_billed FROM tagged"),
+        "SELECT item_id, route, exceptions, error_detail, tagged_billed AS is_billed FROM tagged"),
     "claim_record": with_cases(f"SELECT {REC_COLS} FROM rec"),
     "diagnosis_explode": with_cases("""SELECT item_id, i - 1 AS slot, string_split(dx_code, ',')[i] AS code,
         i AS pointer FROM rec, range(1, len(string_split(dx_code, ',')) + 1) t(i)"""),
-    "claim_assembly": with_cases("""SELECT rec.item_id, first_name AS patient_first_name, state AS patient_state,
-        zip AS patient_zip, insurance_number AS member_id,
+    "claim_assembly": with_cases("""SELECT rec.item_id, first_name AS patient_first_name,
+        last_name AS patient_last_name, dob AS patient_dob, gender AS patient_gender, street AS patient_street,
+        city AS patient_city, state AS patient_state,
+        zip AS patient_zip, insurance_number AS member_id, payor_name AS payer,
         trim(split_part(pv.portal_rendering_provider, ',', 1)) AS rendering,
         trim(split_part(pv.portal_billing_provider, ',', 1)) AS billing,
         '1' AS frequency, 'A -' AS assignment, 'Y -' AS release_info, 'Yes' AS signature, place_of_service,
-        len(string_split(dx_code, ',')) AS n_diagnoses,
+        claim_invoice_number AS control_number, len(string_split(dx_code, ',')) AS n_diagnoses,
+        array_to_string(list_transform(range(0, len(string_split(dx_code, ','))), lambda x: CAST(x AS VARCHAR)), ',')
+          AS dx_slots, dx_code AS dx_codes, 1::BIGINT AS n_service_lines,
         split_part(date_time, ',', 1) AS from_date, split_part(date_time, ',', 1) AS to_date,
         split_part(service_type, ':', 1) AS procedure_code, charge_amount AS amount, quantity,
         array_to_string(list_transform(range(1, len(string_split(dx_code, ',')) + 1), lambda x: CAST(x AS VARCHAR)), ',')
           AS pointers
       FROM rec LEFT JOIN pv ON rec.staff = pv.staff"""),
-    "apply_outcome": with_cases("""SELECT item_id, route,
+    "apply_outcome": with_cases(f"""SELECT item_id, route,
         CASE WHEN coalesce(out_ok, false) THEN 'Yes' ELSE is_billed END AS is_billed,
-        CASE WHEN out_ok = false THEN out_error END AS exceptions,
+        CASE WHEN out_ok = false THEN {_q(EXC_AWAITING)} END AS exceptions,
+        CASE WHEN out_ok = false THEN out_error END AS error_detail,
         CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN out_txn END AS transaction_number,
         CASE WHEN coalesce(out_ok, false) AND route = 'claim_file' THEN 'Yes' END AS submitted
       FROM worked WHERE route IN ('await_submission', 'claim_file')"""),

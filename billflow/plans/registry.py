@@ -161,13 +161,12 @@ def q_case_routing(spark, sf):
 @register("exception_tagging")
 def q_exception_tagging(spark, sf):
     return CW.worked_cases(case_inputs(spark, sf)).select("item_id", "route", "exceptions",
-                                                          "is_billed")
+                                                          "error_detail", "is_billed")
 
 
 def worked(spark, sf):
-    """The case-work stage's output, landed once per session; the claim stages
-    read it the way the source's later scripts read the file it writes."""
-    return B.landed(spark, sf, "worked_cases", lambda s, d: CW.worked_cases(case_inputs(s, d)))
+    """The case-work stage's output, which the claim stages start from."""
+    return CW.worked_cases(case_inputs(spark, sf))
 
 
 def claim_records(spark, sf):
@@ -195,8 +194,8 @@ def q_apply_outcome(spark, sf):
     df = CL.case_routing(_resolved(spark, sf))
     df = df.filter(F.col("route").isin("await_submission", "claim_file"))
     df = CL.apply_outcome(CL.with_outcome(df, B.outcomes(spark, sf)))
-    return df.select("item_id", "route", "is_billed", "exceptions", "transaction_number",
-                     "submitted")
+    return df.select("item_id", "route", "is_billed", "exceptions", "error_detail",
+                     "transaction_number", "submitted")
 
 
 def claims_txn(spark, sf):

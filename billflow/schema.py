@@ -65,6 +65,8 @@ EXC_CLIENT_NOT_FOUND = "Client Name or ID not found"
 EXC_NO_SERVICE = "No claims are present in particular DOS"
 EXC_NO_DX = "DX code not found"
 EXC_AWAITING = "The claim encountered an error during the 'Awaiting Submission' process."
+# (The source stops the run at a missing provider; here the case gets its own exception.)
+EXC_NO_PROVIDER = "Provider not found in the master tables"
 NO_DX_LABEL = "None of the Cases related to this session have billable diagnoses entered."
 # Invoice note and the state it leaves.
 INVOICE_NOTE_PREFIX = "Claim submitted through availity portal under the transaction ID#"
