@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false
 from billflow.functions.text import code_head, date_text, extract_codes
+from billflow.operators.joins import unique_left_join
 from billflow.schema import (CANCEL_FEE, CANCEL_STATUSES, CLAIM_ASSIGNMENT, CLAIM_FREQUENCY,
                              CLAIM_RELEASE, CLAIM_SIGNATURE, DEFAULT_UNITS, EXC_AWAITING,
                              EXC_CLIENT_NOT_FOUND, EXC_NO_DX, EXC_NO_PROVIDER, EXC_NO_SERVICE,
@@ -61,7 +62,7 @@ def latest_outcome(outcomes: DataFrame) -> DataFrame:
 
 def with_outcome(df: DataFrame, outcomes: DataFrame, key: str = "item_id") -> DataFrame:
     lo = latest_outcome(outcomes)
-    j = df.join(lo, F.col(key) == F.col("case_id"), "left")
+    j = unique_left_join(df, lo, [(F.col(key), "case_id")], key)
     return j.withColumns({"out_found": F.col("out_ok").isNotNull()}).drop("case_id")
 
 

@@ -141,11 +141,13 @@ def lookback_dates(asof: dt.date) -> list[dt.date]:
 def business_day_lookback(df: DataFrame, asof: dt.date, col: str = "date_time") -> DataFrame:
     """Keep rows whose date text (first 10 chars, MM/dd/yyyy) is a lookback day.
 
-    The dates fold to literals on the driver, so the filter is a plain IN list
-    that Spark can push into a scan or a date-partitioned layout.
+    The dates fold to literals on the driver and are tested as prefixes, which
+    a scan takes as pushed filters (a test on ``substring`` stays above it).
     """
-    days = [d.strftime("%m/%d/%Y") for d in lookback_dates(asof)]
-    return df.filter(F.substring(F.col(col), 1, 10).isin(days))
+    keep = F.lit(False)
+    for d in lookback_dates(asof):
+        keep = keep | F.col(col).startswith(d.strftime("%m/%d/%Y"))
+    return df.filter(keep)
 
 
 # ---- O-29b two-column date window -------------------------------------------------

@@ -70,3 +70,34 @@ def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,
             max_rows: int | None = None) -> DataFrame:
     """``left_semi`` / ``left_anti`` with a checked broadcast of ``right``."""
     return left.join(maybe_broadcast(right, max_rows), cond, how)
+
+
+SALTS = 8
+
+
+def unique_left_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], salt_by: str) -> DataFrame:
+    """Left join to a ``right`` that holds at most one row per key.
+
+    ``right`` is an aggregate, and a partition of ``left`` that one hot key fills
+    is not split by the planner against an aggregate. So ``left`` is dealt over a
+    few salts (by ``salt_by``) and ``right``, which is small by then, repeated for them.
+    A NULL key matches nothing; such rows are dealt over many salts.
+    """
+    null = on[0][0].isNull()
+    for k, _ in on[1:]:
+        null = null | k.isNull()
+    salt = F.pmod(F.xxhash64(salt_by), F.when(null, F.lit(64 * SALTS)).otherwise(F.lit(SALTS)))
+    r = right.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_right_salt"))
+    cond = F.col("_left_salt") == F.col("_right_salt")
+    for k, name in on:
+        cond = cond & (k == F.col(name))
+    return left.withColumn("_left_salt", salt).join(r, cond, "left").drop("_left_salt", "_right_salt")
+
+
+def of_keys(table: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
+    """The rows of ``table`` whose ``col`` is among ``keys`` (one column, any name);
+    all rows when ``keys`` is None. Used to cut a history to a day's keys before it is reduced."""
+    if keys is None:
+        return table
+    k = keys.select(F.col(keys.columns[0]).alias("_day_key")).distinct()
+    return table.join(k, F.col(col) == F.col("_day_key"), "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billflow.functions.text import recode_contains
-from billflow.operators.joins import null_safe_left_join
+from billflow.operators.joins import null_safe_left_join, unique_left_join
 
 
 def first_by_position(df: DataFrame, keys: list[str], order: list[str],
@@ -43,6 +43,11 @@ def payor_lookup(cases: DataFrame, clients: DataFrame, dup: str = "fanout",
                          *(["position"] if "position" in clients.columns else []))
     if dup == "first":
         dim = first_by_position(dim, ["_lk_key"], ["position"], [out_col])
+        # one row per key, NULL included: a stand-in for NULL makes it a plain equality
+        whole = lambda c: F.coalesce(c, F.lit("\0"))
+        dim = dim.select(whole(F.col("_lk_key")).alias("_lk_key"), out_col)
+        salt = "item_id" if "item_id" in cases.columns else case_key
+        return unique_left_join(cases, dim, [(whole(F.col(case_key)), "_lk_key")], salt).drop("_lk_key")
     dim = dim.select("_lk_key", out_col)
     return null_safe_left_join(cases, dim, case_key, "_lk_key").drop("_lk_key")
 

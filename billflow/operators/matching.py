@@ -7,12 +7,14 @@ partner per key, so no join ever emits all pairs of a hot key.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false, ne_keep_null
-from billflow.functions.text import list_head, normalise_name, note_text, strip_zone
-from billflow.operators.joins import maybe_broadcast
+from billflow.functions.text import list_head, normalise_name, note_text, strip_zone, to_service_date
+from billflow.operators.joins import maybe_broadcast, unique_left_join
 from billflow.operators.lookups import first_by_position
 from billflow.schema import CANCEL_STATUSES, TABS, TXN_UPDATED, INVOICE_NOTE_PREFIX
 from billflow.sources.rules import rule_values
@@ -41,7 +43,7 @@ def registry_match(cases: DataFrame, registry: DataFrame) -> DataFrame:
     client-id equality, so this is an equi join on the id. NULL ids never match.
     """
     best = _prefixed(best_registry_entry(registry), "reg_", ["client_id"] + REGISTRY_FIELDS)
-    j = cases.join(best, F.col("client_id") == F.col("reg_client_id"), "left")
+    j = unique_left_join(cases, best, [(F.col("client_id"), "reg_client_id")], "item_id")
     return j.withColumns({
         "reg_found": F.col("reg_client_id").isNotNull(),
         "reg_full_name": normalise_name(F.col("reg_first_name"), F.col("reg_middle_name"),
@@ -73,8 +75,34 @@ def archive_flag(matched: DataFrame, prior: str = "active_archived") -> DataFram
 LINE_FIELDS = ["line_id", "service_type", "place_of_service", "amount", "units", "dx_text"]
 
 
-def service_match(cases: DataFrame, lines: DataFrame,
-                  dos_days: list[str] | None = None) -> DataFrame:
+DosRange = tuple[dt.date | None, dt.date | None, bool]
+
+
+def with_dos_date(lines: DataFrame) -> DataFrame:
+    """The typed service date (``dos_date``) of a line history, made at ingest so that
+    the stored table can be partitioned or pruned by it."""
+    return lines if "dos_date" in lines.columns else \
+        lines.withColumn("dos_date", to_service_date(F.col("dos_text")))
+
+
+def dos_range(cases: DataFrame) -> DosRange:
+    """First and last service date of the cases, and whether any has a text that is no date."""
+    d = to_service_date(F.col("date_time"))
+    r = cases.agg(F.min(d).alias("lo"), F.max(d).alias("hi"),
+                  F.count_if(d.isNull() & F.col("date_time").isNotNull()).alias("odd")).first()
+    return r.lo, r.hi, r.odd > 0
+
+
+def in_dos_range(lines: DataFrame, days: DosRange) -> DataFrame:
+    """The lines that cases of these service dates can match: a literal range on
+    ``dos_date``, which reaches the scan. Lines without a date stay if a case has none."""
+    lo, hi, odd = days
+    c = F.col("dos_date")
+    keep = F.lit(False) if lo is None else c.between(F.lit(lo), F.lit(hi))
+    return with_dos_date(lines).filter(keep | c.isNull() if odd else keep)
+
+
+def service_match(cases: DataFrame, lines: DataFrame, days: DosRange | None = None) -> DataFrame:
     """Add ``svc_found`` and the first matching service line (``ln_*``).
 
     A line matches when client id and the full date-time text (zone removed)
@@ -82,14 +110,12 @@ def service_match(cases: DataFrame, lines: DataFrame,
     Lines are reduced to the first per (client, dos) and per (client, dos,
     service) before the join, so each case meets at most one line per side.
 
-    ``dos_days`` (MM/dd/yyyy texts) are the only service days the cases can
-    have; when given, the line history is cut to those days first. This is exact
-    (a match needs equal date text) and is a literal predicate the scan can push
-    down or use to prune date partitions.
+    ``days`` (:func:`dos_range` of the cases, or the days they were selected by)
+    cuts the line history first; equal date texts have equal dates, so no match is lost.
     """
     keys = ["client_id", "dos_text"]
-    if dos_days:
-        lines = lines.filter(F.substring(F.col("dos_text"), 1, 10).isin(list(dos_days)))
+    if days:
+        lines = in_dos_range(lines, days)
     # One full pass over the lines: first line per (client, dos, service); the
     # first per (client, dos) is then taken from that already-reduced table.
     per_svc = first_by_position(lines.withColumn("_svc", F.col("service_type")),
@@ -99,27 +125,25 @@ def service_match(cases: DataFrame, lines: DataFrame,
                          "la_", keys + LINE_FIELDS)
     c = cases.withColumn("_dos", strip_zone(F.col("date_time")))
     cancel = match_or_false(F.col("status").isin(list(CANCEL_STATUSES)))
-    j = (c.join(any_line, (F.col("client_id") == F.col("la_client_id"))
-                & (F.col("_dos") == F.col("la_dos_text")) & ~cancel, "left")
-          .join(svc_line, (F.col("client_id") == F.col("ls_client_id"))
-                & (F.col("_dos") == F.col("ls_dos_text"))
-                & (F.col("service_type") == F.col("ls__svc")) & cancel, "left"))
+    client = F.col("client_id")
+    j = unique_left_join(c, any_line, [(F.when(~cancel, client), "la_client_id"), (F.col("_dos"), "la_dos_text")],
+                         "item_id")
+    j = unique_left_join(j, svc_line, [(F.when(cancel, client), "ls_client_id"), (F.col("_dos"), "ls_dos_text"),
+                                       (F.col("service_type"), "ls__svc")], "item_id")
     out = j.select(
         *cases.columns,
         *[F.coalesce(F.col("la_" + f), F.col("ls_" + f)).alias("ln_" + f) for f in LINE_FIELDS])
     return out.withColumn("svc_found", F.col("ln_line_id").isNotNull())
 
 
-def service_match_semi(cases: DataFrame, lines: DataFrame,
-                       dos_days: list[str] | None = None) -> DataFrame:
+def service_match_semi(cases: DataFrame, lines: DataFrame, days: DosRange | None = None) -> DataFrame:
     """Cases that have a service line on their date (left semi)."""
-    return service_match(cases, lines, dos_days).filter("svc_found").select(*cases.columns)
+    return service_match(cases, lines, days).filter("svc_found").select(*cases.columns)
 
 
-def service_match_anti(cases: DataFrame, lines: DataFrame,
-                       dos_days: list[str] | None = None) -> DataFrame:
+def service_match_anti(cases: DataFrame, lines: DataFrame, days: DosRange | None = None) -> DataFrame:
     """Cases without one (the 'no claims on this date' exception)."""
-    return service_match(cases, lines, dos_days).filter(~F.col("svc_found")).select(*cases.columns)
+    return service_match(cases, lines, days).filter(~F.col("svc_found")).select(*cases.columns)
 
 
 # ---- O-34 active coverage -------------------------------------------------------
@@ -134,7 +158,7 @@ def active_coverage(coverage: DataFrame, rules: DataFrame) -> DataFrame:
 
 def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame) -> DataFrame:
     cov = _prefixed(active_coverage(coverage, rules), "cov_", ["client_id", "payor", "insured_id"])
-    j = cases.join(cov, F.col("client_id") == F.col("cov_client_id"), "left")
+    j = unique_left_join(cases, cov, [(F.col("client_id"), "cov_client_id")], "item_id")
     return j.withColumns({"cov_found": F.col("cov_client_id").isNotNull()}).drop("cov_client_id")
 
 
@@ -211,8 +235,8 @@ def first_invoice(cases: DataFrame, invoices: DataFrame) -> DataFrame:
     inv = inv.select(F.col("client_id").alias("_inv_client"), F.col(by).alias("_inv_case"),
                      F.col("invoice_no").alias("claim_invoice_number"))
     case = F.col("item_id") if by == "case_id" else strip_zone(F.col("date_time"))
-    return cases.join(inv, (F.col("client_id") == F.col("_inv_client"))
-                      & (case == F.col("_inv_case")), "left").drop("_inv_client", "_inv_case")
+    return unique_left_join(cases, inv, [(F.col("client_id"), "_inv_client"), (case, "_inv_case")],
+                            "item_id").drop("_inv_client", "_inv_case")
 
 
 def invoice_annotate(claims: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -223,8 +247,8 @@ def invoice_annotate(claims: DataFrame, invoices: DataFrame) -> DataFrame:
     """
     cand = invoices.groupBy("client_id", "invoice_no").agg(F.min("position").alias("_inv_pos")) \
         .select(F.col("client_id").alias("_i_client"), F.col("invoice_no").alias("_i_no"), "_inv_pos")
-    j = claims.join(cand, (F.col("client_id") == F.col("_i_client"))
-                    & (F.col("claim_invoice_number") == F.col("_i_no")), "left")
+    j = unique_left_join(claims, cand, [(F.col("client_id"), "_i_client"),
+                                        (F.col("claim_invoice_number"), "_i_no")], "item_id")
     matched = F.col("_i_no").isNotNull() & F.col("transaction_number").isNotNull()
     return (j.withColumn("invoice_position", F.when(matched, F.col("_inv_pos").cast("string")))
             .withColumn("invoice_note", F.when(matched, note_text(INVOICE_NOTE_PREFIX,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from billflow.functions.nulls import match_or_false
 from billflow.functions.text import doc_name, path_tail, sanitise, split_lines, strip_ws
 from billflow.operators.gates import date_window
+from billflow.operators.joins import maybe_broadcast
 from billflow.schema import (FILE_DOWNLOADED, FILE_NOT_DOWNLOADED, WL_NO_EOBS,
-                             WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND)
+                             WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND, WL_UNMATCHED)
 
 REMIT_FIELDS = ("check_no", "payer", "payee", "check_date", "received_date", "amount")
 
@@ -37,13 +38,20 @@ def remit_window(df: DataFrame, asof: dt.date) -> DataFrame:
     return date_window(df, ("received_date", "check_date"), asof, days=2)
 
 
+def searched(df: DataFrame, asof: dt.date) -> DataFrame:
+    """What the portal's search shows: rows whose check date is asof or the day before."""
+    return date_window(df, ("check_date", "check_date"), asof, days=2)
+
+
 def unseen_checks(df: DataFrame, ledger: DataFrame, dedupe: bool = False) -> DataFrame:
     """O-33: drop checks already in the run's ledger (any status).
 
     The seen-list is the ledger as read at the start of the run, so repeats
-    inside one batch pass; ``dedupe=True`` also keeps one row per check.
+    inside one batch pass; ``dedupe=True`` also keeps one row per check. The
+    ledger is not reduced first: both sides of the join are then plain shuffles,
+    whose hot partitions AQE splits.
     """
-    seen = ledger.select(F.col("check_no").alias("_seen")).distinct()
+    seen = ledger.select(F.col("check_no").alias("_seen"))
     out = df.join(seen, F.col("check_no") == F.col("_seen"), "left_anti")
     return out.dropDuplicates(["check_no"]) if dedupe else out
 
@@ -62,33 +70,38 @@ def download_reconcile(expected: DataFrame, inventory: DataFrame) -> DataFrame:
                         .otherwise(F.lit(FILE_NOT_DOWNLOADED))).drop("_file")
 
 
-def ledger_rows(reconciled: DataFrame, worklist: DataFrame) -> DataFrame:
-    """The 7-column ledger rows, with the practice's RSM."""
-    wl = worklist.groupBy("practice").agg(F.min("rsm").alias("rsm"))
-    j = reconciled.join(wl, "practice", "left")
-    return j.select("check_no", "payer", "payee", "check_date", "amount", "status", "rsm")
+def ledger_rows(reconciled: DataFrame) -> DataFrame:
+    """The 7-column ledger rows; ``rsm`` comes from the work-list row that was worked."""
+    return reconciled.select("check_no", "payer", "payee", "check_date", "amount", "status", "rsm")
 
 
-def worklist_status(worklist: DataFrame, known_states: DataFrame, rows: DataFrame,
-                    asof: dt.date) -> DataFrame:
+def worklist_status(worklist: DataFrame, known_states: DataFrame, known_practices: DataFrame,
+                    rows: DataFrame, asof: dt.date) -> DataFrame:
     """O-47: status of each work-list row.
 
-    State not offered -> 'State Not found'; practice without any remittance
-    rows -> 'Practice name not found'; no row in the date window -> 'No EOBs';
-    otherwise 'Processed'. Counts are combined map-side per practice.
+    No such state offered -> 'State Not found'; a state offered that is not
+    spelled as asked -> 'Unmatched'; practice not offered -> 'Practice name not
+    found'; no check dated in the searched days -> 'No EOBs'; otherwise
+    'Processed'. Rows are counted once per practice, combined map-side.
     """
-    parsed = remit_window(parse_remit_row(rows), asof)
-    per_practice = (rows.groupBy("practice").agg(F.count(F.lit(1)).alias("n_rows"))
-                    .join(parsed.groupBy("practice").agg(F.count(F.lit(1)).alias("n_window")),
-                          "practice", "left"))
-    states = known_states.select(F.col("state_name").alias("_state")).distinct()
-    j = (worklist.join(states, strip_ws(F.col("state_name")) == F.col("_state"), "left")
+    shown = parse_remit_row(rows)
+    days = [(asof - dt.timedelta(days=i)).strftime("%m/%d/%Y") for i in range(2)]
+    per_practice = shown.groupBy("practice").agg(
+        F.count_if(match_or_false(F.col("check_date").isin(days))).alias("_n_shown"))
+    fold = lambda c: F.lower(strip_ws(c))
+    states = known_states.groupBy(fold(F.col("state_name")).alias("_folded")).agg(
+        F.collect_set("state_name").alias("_spelled"))  # the few spellings of one state
+    practices = known_practices.select(F.col("practice").alias("_practice")).distinct()
+    j = (worklist.join(maybe_broadcast(states), fold(F.col("state_name")) == F.col("_folded"), "left")
+         .join(maybe_broadcast(practices), F.col("practice") == F.col("_practice"), "left")
          .join(per_practice, "practice", "left"))
-    status = (F.when(F.col("_state").isNull(), F.lit(WL_STATE_NOT_FOUND))
-              .when(F.col("n_rows").isNull(), F.lit(WL_PRACTICE_NOT_FOUND))
-              .when(F.coalesce(F.col("n_window"), F.lit(0)) == 0, F.lit(WL_NO_EOBS))
+    status = (F.when(F.col("_folded").isNull(), F.lit(WL_STATE_NOT_FOUND))
+              .when(~F.array_contains("_spelled", strip_ws(F.col("state_name"))), F.lit(WL_UNMATCHED))
+              .when(F.col("_practice").isNull(), F.lit(WL_PRACTICE_NOT_FOUND))
+              .when(F.coalesce(F.col("_n_shown"), F.lit(0)) == 0, F.lit(WL_NO_EOBS))
               .otherwise(F.lit(WL_PROCESSED)))
-    return j.withColumn("wl_status", status).drop("_state", "n_rows", "n_window")
+    return j.withColumn("wl_status", status).select(
+        *worklist.columns, *([] if "wl_status" in worklist.columns else ["wl_status"]))
 
 
 def remit_candidates(rows: DataFrame, asof: dt.date) -> DataFrame:

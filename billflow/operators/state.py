@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 
 def state_current(log: DataFrame, fields: list[str], key: str = "case_id") -> DataFrame:
-    """Latest value of each field per case, one wide row per case.
+    """Latest value of each field per case, one wide row per case. Of events with
+    the same ``seq`` the larger value counts, so the result does not depend on their order.
 
     One aggregation: for every field, ``max_by(value, seq)`` over that field's
     events only (other rows give a NULL ordering and are skipped). It combines
     map-side, so a case with a third of all events is pre-reduced before the
     shuffle; no pivot pass is needed.
     """
-    aggs = [F.max_by(F.col("value"), F.when(F.col("field") == f, F.col("seq"))).alias(f)
-            for f in fields]
+    order = F.struct(F.col("seq"), F.col("value"))
+    aggs = [F.max_by(F.col("value"), F.when(F.col("field") == f, order)).alias(f) for f in fields]
     return log.groupBy(key).agg(*aggs)
 
 

@@ -287,21 +287,34 @@ def remit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     text = F.when(k % 23 == 0, F.concat_ws("\n", *fields[:4])).otherwise(F.concat_ws("\n", *fields))
     return j.select(k.alias("item_id"),
-                    F.concat(F.lit("NATION_"), _s(F.col("c_nationkey"))).alias("practice"),
+                    # practice 7's rows stand under another name: it is known, but has none
+                    F.concat(F.lit("NATION_"), _s(F.col("c_nationkey")),
+                             F.when(F.col("c_nationkey") == 7, " branch").otherwise("")).alias("practice"),
                     text.alias("row_text"))
 
 
 def worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Remittance work-list: one row per practice (from nation)."""
+    """Remittance work-list: one row per practice (from nation), every fourth listed
+    a second time under another state and RSM."""
     n = table(spark, sf_dir, "nation")
     nk = F.col("n_nationkey")
-    return n.select(
-        F.concat(F.lit("login"), _s(F.col("n_regionkey") % 2)).alias("login"),
-        F.when(nk % 6 == 5, F.lit("Nowhere"))
-         .otherwise(F.concat(F.lit("State "), _s(F.col("n_regionkey")))).alias("state_name"),
-        F.concat(F.lit("RSM "), _s(nk % 3)).alias("rsm"),
-        F.when(nk % 7 == 6, F.lit("Unknown practice")).otherwise(F.col("n_name")).alias("practice"),
-        F.lit(None).cast("string").alias("wl_status"))
+    state = F.concat(F.lit("State "), _s(F.col("n_regionkey")))
+    practice = F.when(nk % 7 == 6, F.lit("Unknown practice")).otherwise(F.col("n_name")).alias("practice")
+    login = F.concat(F.lit("login"), _s(F.col("n_regionkey") % 2)).alias("login")
+    blank = F.lit(None).cast("string").alias("wl_status")
+    one = F.struct(
+        login, F.when(nk % 6 == 5, F.lit("Nowhere")).when(nk % 11 == 10, F.lower(state))
+        .when(nk % 4 == 0, F.lit("Elsewhere")).otherwise(state).alias("state_name"),
+        F.concat(F.lit("RSM "), _s(nk % 3)).alias("rsm"), practice, blank, (nk * 2).alias("position"))
+    two = F.when(nk % 4 == 0, F.struct(
+        login, state.alias("state_name"), F.concat(F.lit("RSM second "), _s(nk % 3)).alias("rsm"), practice, blank,
+        (nk * 2 + 1).alias("position")))
+    return _rows(n, one, two)
+
+
+def known_practices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Practices that the portal offers."""
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("practice"))
 
 
 def known_states(spark: SparkSession, sf_dir: str) -> DataFrame:

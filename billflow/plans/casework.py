@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from billflow.operators import claims as CL
 from billflow.operators import matching as M
+from billflow.operators.joins import of_keys
 
 
 @dataclass
@@ -28,22 +29,27 @@ class CaseInputs:
     by_payor: DataFrame
     by_staff: DataFrame
     by_staff_private: DataFrame
-    # Service days the cases can have (MM/dd/yyyy); prunes the line history.
-    dos_days: list[str] | None = None
+    # Service dates that the cases can have; cuts the line history (None: uncut).
+    days: M.DosRange | None = None
+    # Cut the histories to the cases' clients and ids before they are reduced. Pays
+    # when ``cases`` is a stored table (a job), as it is then read once per history.
+    prune: bool = False
 
 
 def worked_cases(x: CaseInputs) -> DataFrame:
     """Every case with its match results, charges, route and exception."""
-    df = M.registry_match(x.cases, x.registry)
+    clients = x.cases.select("client_id") if x.prune else None
+    ids = x.cases.select("item_id") if x.prune else None
+    df = M.registry_match(x.cases, of_keys(x.registry, "client_id", clients))
     df = M.archive_flag(df)
-    df = M.service_match(df, x.lines, x.dos_days)
+    df = M.service_match(df, of_keys(x.lines, "client_id", clients), x.days)
     df = CL.dx_present(df)
     df = CL.charge_rule(df)
     df = M.provider_resolution(df, x.rules, x.by_payor, x.by_staff, x.by_staff_private)
     df = CL.case_routing(df)
-    df = M.with_coverage(df, x.coverage, x.rules)
-    df = M.first_invoice(df, x.invoices)
-    df = CL.with_outcome(df, x.outcomes)
+    df = M.with_coverage(df, of_keys(x.coverage, "client_id", clients), x.rules)
+    df = M.first_invoice(df, of_keys(x.invoices, "client_id", clients))
+    df = CL.with_outcome(df, of_keys(x.outcomes, "case_id", ids))
     return CL.exception_tagging(df)
 
 

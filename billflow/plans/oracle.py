@@ -417,7 +417,8 @@ SQL.update({
 D0 = f"strftime({ASOF_SQL}, '%m/%d/%Y')"
 D1 = f"strftime({ASOF_SQL} - 1, '%m/%d/%Y')"
 
-REMIT_CTES = f"""t AS (SELECT o_orderkey AS item_id, concat('NATION_', CAST(c_nationkey AS VARCHAR)) AS practice,
+REMIT_CTES = f"""t AS (SELECT o_orderkey AS item_id, concat('NATION_', CAST(c_nationkey AS VARCHAR),
+      CASE WHEN c_nationkey = 7 THEN ' branch' ELSE '' END) AS practice,
     CASE WHEN o_orderkey % 23 = 0 THEN concat_ws(chr(10), f1, f2, f3, f4)
       ELSE concat_ws(chr(10), f1, f2, f3, f4, f5, f6) END AS row_text
   FROM (SELECT o_orderkey, c_nationkey,
@@ -440,16 +441,25 @@ prior AS (SELECT check_no FROM p WHERE item_id % 6 = 0),
 dl AS (SELECT concat('/eob/', doc_name) AS path FROM cand WHERE item_id % 4 <> 0),
 dl_names AS (SELECT DISTINCT regexp_extract(path, '[^/]*$') AS file FROM dl),
 wl AS (SELECT concat('login', CAST(n_regionkey % 2 AS VARCHAR)) AS login,
-    CASE WHEN n_nationkey % 6 = 5 THEN 'Nowhere' ELSE concat('State ', CAST(n_regionkey AS VARCHAR)) END AS state_name,
+    CASE WHEN n_nationkey % 6 = 5 THEN 'Nowhere'
+      WHEN n_nationkey % 11 = 10 THEN concat('state ', CAST(n_regionkey AS VARCHAR))
+      WHEN n_nationkey % 4 = 0 THEN 'Elsewhere' ELSE concat('State ', CAST(n_regionkey AS VARCHAR)) END AS state_name,
     concat('RSM ', CAST(n_nationkey % 3 AS VARCHAR)) AS rsm,
-    CASE WHEN n_nationkey % 7 = 6 THEN 'Unknown practice' ELSE n_name END AS practice FROM nation),
+    CASE WHEN n_nationkey % 7 = 6 THEN 'Unknown practice' ELSE n_name END AS practice, n_nationkey * 2 AS position
+  FROM nation
+  UNION ALL SELECT concat('login', CAST(n_regionkey % 2 AS VARCHAR)), concat('State ', CAST(n_regionkey AS VARCHAR)),
+    concat('RSM second ', CAST(n_nationkey % 3 AS VARCHAR)),
+    CASE WHEN n_nationkey % 7 = 6 THEN 'Unknown practice' ELSE n_name END, n_nationkey * 2 + 1
+  FROM nation WHERE n_nationkey % 4 = 0),
 wls AS (SELECT wl.*, CASE
-    WHEN wl.state_name NOT IN (SELECT concat('State ', CAST(r_regionkey AS VARCHAR)) FROM region) THEN 'State Not found'
-    WHEN NOT EXISTS (SELECT 1 FROM t WHERE t.practice = wl.practice) THEN 'Practice name not found in Drop Down'
-    WHEN NOT EXISTS (SELECT 1 FROM p WHERE p.practice = wl.practice
-      AND (p.received_date IN ({D0}, {D1}) OR p.check_date IN ({D0}, {D1}))) THEN 'No EOBs for Cheque Date'
+    WHEN lower(wl.state_name) NOT IN (SELECT concat('state ', CAST(r_regionkey AS VARCHAR)) FROM region)
+      THEN 'State Not found'
+    WHEN wl.state_name NOT IN (SELECT concat('State ', CAST(r_regionkey AS VARCHAR)) FROM region) THEN 'Unmatched'
+    WHEN NOT EXISTS (SELECT 1 FROM nation WHERE n_name = wl.practice) THEN 'Practice name not found in Drop Down'
+    WHEN NOT EXISTS (SELECT 1 FROM p WHERE p.practice = wl.practice AND p.check_date IN ({D0}, {D1}))
+      THEN 'No EOBs for Cheque Date'
     ELSE 'Processed' END AS wl_status FROM wl),
-fresh AS (SELECT * FROM cand WHERE practice IN (SELECT practice FROM wls WHERE wl_status = 'Processed')
+fresh AS (SELECT * FROM cand WHERE check_date IN ({D0}, {D1}) AND practice IN (SELECT practice FROM wls WHERE wl_status = 'Processed')
     AND check_no NOT IN (SELECT check_no FROM prior))"""
 
 
@@ -471,8 +481,9 @@ SQL.update({
     "remit_ledger": with_remit("""SELECT f.check_no, f.payer, f.payee, f.check_date, f.amount,
         CASE WHEN f.doc_name IN (SELECT file FROM dl_names) THEN 'File Downloaded' ELSE 'File Not Downloaded' END
           AS status, r.rsm
-      FROM fresh f LEFT JOIN (SELECT practice, min(rsm) AS rsm FROM wl GROUP BY practice) r
-        ON f.practice = r.practice"""),
+      FROM fresh f LEFT JOIN (SELECT practice, arg_min(rsm, position) AS rsm FROM wls
+        WHERE wl_status = 'Processed' GROUP BY practice) r ON f.practice = r.practice"""),
+    "parse_rejects": with_remit("SELECT t.item_id, t.practice, row_text FROM t JOIN p USING (item_id) WHERE NOT parse_ok"),
     "distinct_keys": with_remit("SELECT DISTINCT check_no FROM prior"),
 })
 

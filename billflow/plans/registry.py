@@ -64,12 +64,13 @@ def case_inputs(spark, sf) -> CW.CaseInputs:
         coverage=B.coverage(spark, sf), invoices=B.invoices(spark, sf),
         outcomes=B.outcomes(spark, sf), rules=B.rules(spark),
         by_payor=B.provider_by_payor(spark, sf), by_staff=B.provider_by_staff(spark, sf),
-        by_staff_private=B.provider_by_staff_private(spark, sf), dos_days=lookback_days())
+        by_staff_private=B.provider_by_staff_private(spark, sf), days=lookback_days())
 
 
-def lookback_days() -> list[str]:
-    """The service days today's straightforward cases can have."""
-    return [d.strftime("%m/%d/%Y") for d in GT.lookback_dates(B.ASOF)]
+def lookback_days() -> M.DosRange:
+    """The service dates that today's straightforward cases are selected by."""
+    days = GT.lookback_dates(B.ASOF)
+    return min(days), max(days), False
 
 
 @register("registry_match")
@@ -428,17 +429,25 @@ def q_download_reconcile(spark, sf):
     return RM.download_reconcile(c, downloaded(spark, sf)).select("item_id", "doc_name", "status")
 
 
+def remit_status(spark, sf):
+    return RM.worklist_status(RP.todo(B.worklist(spark, sf)), B.known_states(spark, sf),
+                              B.known_practices(spark, sf), B.remit_rows(spark, sf), B.ASOF)
+
+
+@register("parse_rejects")
+def q_parse_rejects(spark, sf):
+    return RM.parse_rejects(B.remit_rows(spark, sf)).select("item_id", "practice", "row_text")
+
+
 @register("worklist_status")
 def q_worklist_status(spark, sf):
-    return RM.worklist_status(B.worklist(spark, sf), B.known_states(spark, sf),
-                              B.remit_rows(spark, sf), B.ASOF) \
-        .select("login", "state_name", "practice", "rsm", "wl_status")
+    return remit_status(spark, sf).select("login", "state_name", "practice", "rsm", "wl_status")
 
 
 @register("remit_ledger")
 def q_remit_ledger(spark, sf):
-    return RP.ledger_delta(B.remit_rows(spark, sf), B.worklist(spark, sf), B.known_states(spark, sf),
-                           prior_ledger(spark, sf), downloaded(spark, sf), B.ASOF)
+    return RP.ledger_delta(B.remit_rows(spark, sf), remit_status(spark, sf), prior_ledger(spark, sf),
+                           downloaded(spark, sf), B.ASOF)
 
 
 @register("distinct_keys")

@@ -4,43 +4,76 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billflow.operators import remit as R
 from billflow.operators.gates import pending_worklist
+from billflow.operators.joins import maybe_broadcast
+from billflow.operators.lookups import first_by_position
 from billflow.schema import REMIT_LEDGER, WL_PROCESSED
+from billflow.session import checkpoint_dir
 from billflow.sources.files import read_if_exists
 
+WORKED = T.StructType([T.StructField(c, T.StringType())
+                       for c in ("login", "state_name", "practice", "wl_status")])
 
-def ledger_delta(rows: DataFrame, worklist: DataFrame, known_states: DataFrame,
-                 ledger: DataFrame, inventory: DataFrame, asof: dt.date) -> DataFrame:
-    """Ledger rows this run adds: unseen checks of workable practices, with
-    whether their document arrived. Work-list rows that already carry a status
-    (worked earlier today) are skipped, as in the source."""
-    if "wl_status" in worklist.columns:
-        worklist = pending_worklist(worklist)
-    status = R.worklist_status(worklist, known_states, rows, asof)
-    workable = status.filter(F.col("wl_status") == WL_PROCESSED).select("practice")
-    cand = R.remit_candidates(rows.join(workable, "practice", "left_semi"), asof)
+
+def worked_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
+    """The rows of workable practices, with the RSM of the work-list row that is
+    worked: the first workable one of the practice. The work-list is config-sized."""
+    workable = status.filter(F.col("wl_status") == WL_PROCESSED)
+    first = first_by_position(workable, ["practice"], ["position"], ["rsm"])
+    return rows.join(maybe_broadcast(first), "practice")
+
+
+def ledger_delta(rows: DataFrame, status: DataFrame, ledger: DataFrame, inventory: DataFrame,
+                 asof: dt.date) -> DataFrame:
+    """Ledger rows this run adds: unseen checks of workable practices that the
+    search shows, with whether their document arrived. ``status``: the work-list
+    with the status of this run (:func:`billflow.operators.remit.worklist_status`)."""
+    cand = R.searched(R.remit_candidates(worked_rows(rows, status), asof), asof)
     expected = R.with_doc_name(R.unseen_checks(cand, ledger))
-    return R.ledger_rows(R.download_reconcile(expected, inventory), worklist)
+    return R.ledger_rows(R.download_reconcile(expected, inventory))
+
+
+def todo(worklist: DataFrame, worked: DataFrame | None = None, login: str | None = None) -> DataFrame:
+    """Work-list rows of ``login`` (all, if None) without a status, neither their
+    own nor one that an earlier run of the day recorded."""
+    if "wl_status" not in worklist.columns:
+        worklist = worklist.withColumn("wl_status", F.lit(None).cast("string"))
+    left = pending_worklist(worklist, login)
+    if worked is None:
+        return left
+    keys = ["login", "state_name", "practice"]
+    done = worked.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(maybe_broadcast(done), same, "left_anti")
 
 
-def run_remit(spark: SparkSession, rows: DataFrame, worklist: DataFrame,
-              known_states: DataFrame, inventory: DataFrame, ledger_path: str,
-              asof: dt.date) -> int:
-    """Append this run's delta to the day's ledger table and return its size.
+def run_remit(spark: SparkSession, rows: DataFrame, worklist: DataFrame, known_states: DataFrame,
+              known_practices: DataFrame, inventory: DataFrame, ledger_path: str, asof: dt.date,
+              login: str | None = None) -> int:
+    """Work the pending work-list rows: append the new checks to the day's ledger,
+    the rows that do not parse to its rejects, and each worked row's status to its
+    record, in this order; return the number of new ledger rows.
 
-    The delta is written to the ledger (a table in shared storage) before it
-    is counted, so a lost executor re-runs tasks against the same inputs and
-    the ledger read at the start of the run; a rerun of the day adds nothing.
+    The delta is checkpointed in shared storage before it is appended, so what is
+    written does not depend on the ledger being written. A run that dies before
+    the statuses are recorded is run again and adds only what is missing.
     """
-    day = f"{ledger_path.rstrip('/')}/run_date={asof.strftime('%m%d%Y')}"
-    ledger = read_if_exists(spark, day, REMIT_LEDGER)
-    delta = ledger_delta(rows, worklist, known_states, ledger, inventory, asof)
-    staged = f"{ledger_path.rstrip('/')}/_staging/{asof.strftime('%m%d%Y')}-{id(delta)}"
-    delta.write.mode("overwrite").parquet(staged)
-    written = spark.read.parquet(staged)
-    written.write.mode("append").parquet(day)
-    return written.count()
+    checkpoint_dir(spark)
+    root, day = ledger_path.rstrip("/"), f"run_date={asof.strftime('%m%d%Y')}"
+    pending = todo(worklist, read_if_exists(spark, f"{root}/_worklist/{day}", WORKED), login)
+    if pending.isEmpty():
+        return 0
+    status = R.worklist_status(pending, known_states, known_practices, rows, asof).checkpoint()
+    ledger = read_if_exists(spark, f"{root}/{day}", REMIT_LEDGER)
+    delta = ledger_delta(rows, status, ledger, inventory, asof).checkpoint()
+    seen = Observation()
+    delta.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(f"{root}/{day}")
+    rejects = R.parse_rejects(worked_rows(rows, status)).select("practice", "row_text", "rsm")
+    rejects.write.mode("append").parquet(f"{root}/_rejects/{day}")
+    status.select(*WORKED.names).write.mode("append").parquet(f"{root}/_worklist/{day}")
+    return int(seen.get["n"])

@@ -28,6 +28,45 @@ EXPORT_HEADERS = {
     "Active/Archived": "active_archived",
     "Transaction Number": "transaction_number",
     "Transaction Status": "transaction_status",
+    "First Name": "first_name",
+    "Last Name": "last_name",
+    "DOB": "dob",
+    "Gender": "gender",
+    "Street": "street",
+    "City": "city",
+    "State": "state",
+    "ZIP Code": "zip",
+    "Claim Invoice Number": "claim_invoice_number",
+    "Insurance Number": "insurance_number",
+    "Place of Service": "place_of_service",
+    "DX Code": "dx_code",
+    "Charge Amount": "charge_amount",
+    "Quantity": "quantity",
+}
+# Headers of the provider masters, the remittance work-list and the ledger.
+PROVIDER_HEADERS = {
+    "Payer": "payer",
+    "Staff Members": "staff",
+    "Rendering Provider": "rendering_provider",
+    "Billing Provider": "billing_provider",
+    "Availity Rendering Provider": "portal_rendering_provider",
+    "Availity Billing Provider": "portal_billing_provider",
+}
+WORKLIST_HEADERS = {
+    "Availity Login": "login",
+    "State Name": "state_name",
+    "RSMs": "rsm",
+    "Practice Name": "practice",
+    "Status": "wl_status",
+}
+LEDGER_HEADERS = {
+    "Check/EFT": "check_no",
+    "Payer": "payer",
+    "Payee": "payee",
+    "Check Date": "check_date",
+    "Check/EFT Amount": "amount",
+    "Status": "status",
+    "RSM": "rsm",
 }
 # Ragged rule-sheet columns -> rule name.
 RULE_COLUMNS = {
@@ -78,6 +117,7 @@ WL_STATE_NOT_FOUND = "State Not found"
 WL_PRACTICE_NOT_FOUND = "Practice name not found in Drop Down"
 WL_NO_EOBS = "No EOBs for Cheque Date"
 WL_PROCESSED = "Processed"
+WL_UNMATCHED = "Unmatched"
 # Characters removed from remittance names (colon, question mark, slash, pipe,
 # apostrophe, star, angle brackets; not backslash, not double quote).
 HOSTILE_CHARS = ":?/|'*<>"

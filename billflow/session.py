@@ -50,11 +50,16 @@ _LOCAL_DIRS: dict[int, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a private scratch folder created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only where driver and
+    executors are one process (a ``local`` master, as in tests) and it is unset is
+    a private folder made; elsewhere an unset folder is an error, as executors
+    could not read what others write.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(spark))
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = _LOCAL_DIRS[id(spark)] = tempfile.mkdtemp(prefix="billflow-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

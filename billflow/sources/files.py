@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,12 +20,15 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
                     schema: T.StructType | None = None) -> DataFrame:
     """CSV export with every column read as text; pandas' NA tokens become NULL.
 
+    Quoted cells may hold line breaks and doubled quotes, as spreadsheets write
+    them (a file with such cells is read by one task; split exports by file).
     No schema inference (one pass, no sampling job). Spark's ``nullValue``
     takes a single token, so the remaining tokens are mapped in one projection.
     """
     if schema is None and columns is not None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    r = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+         .option("multiLine", True).option("escape", '"'))
     df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
     na = list(NA_TOKENS)
     return df.select([F.when(F.col(f"`{c}`").isin(na), None).otherwise(F.col(f"`{c}`")).alias(c)
@@ -32,7 +36,7 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
 
 
 def write_text_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -113,17 +117,36 @@ def run_partition_columns(asof: dt.date) -> dict[str, F.Column]:
             "run_date": F.lit(asof.strftime("%m%d%Y"))}
 
 
+def _escaped(value: str) -> str:
+    """A partition value as Spark names its folder."""
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^" else c for c in value)
+
+
+def run_folder(path: str, asof: dt.date) -> str:
+    """The folder of one run: run_year=.../run_month=.../run_date=..."""
+    keys = {"run_year": asof.strftime("%Y"), "run_month": asof.strftime("%m %b'%Y"),
+            "run_date": asof.strftime("%m%d%Y")}
+    return "/".join([path.rstrip("/"), *(f"{k}={_escaped(v)}" for k, v in keys.items())])
+
+
 def write_run(df: DataFrame, path: str, asof: dt.date, fmt: str = "parquet",
               extra_partitions: list[str] | None = None) -> None:
-    """Write one run's output under year/month/day folders.
+    """Write one run's output under its year/month/day folder.
 
-    Dynamic partition overwrite replaces only this run's folders, so re-running
-    a day is idempotent and other days are untouched.
+    The run's whole folder is replaced, so a rerun leaves nothing of an earlier
+    run of the day behind, also where its output (or a route of it) is empty now;
+    other days are untouched.
     """
-    out = df.withColumns(run_partition_columns(asof))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_year", "run_month", "run_date", *(extra_partitions or []))
-        .format(fmt).save(path))
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
+    if extra_partitions:
+        w = w.partitionBy(*extra_partitions)
+    w.save(run_folder(path, asof))
+
+
+def clear_run(spark: SparkSession, path: str, asof: dt.date) -> None:
+    """Replace the run's folder by an empty one (a day without input)."""
+    none = spark.createDataFrame([], "none string, part string")
+    write_run(none, path, asof, extra_partitions=["part"])
 
 
 def write_routes(tagged: DataFrame, path: str, asof: dt.date) -> None:
@@ -164,9 +187,32 @@ def seed_or_resume(existing: DataFrame | None, seed: DataFrame, key: list[str])
     return existing.unionByName(fresh.select(*existing.columns))
 
 
+def missing_path(e: AnalysisException) -> bool:
+    """Whether the error says that a path is not there (or holds no data file yet)."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a parquet table, or an empty one of ``schema`` when absent."""
+    """Read a parquet table, or an empty one of ``schema`` when its path is absent.
+
+    Any other failure (permissions, storage) is raised: taking it for "no ledger"
+    would admit again what the ledger already holds.
+    """
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing path is the "create" branch
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return spark.createDataFrame([], schema)
+
+
+def read_run_or_none(spark: SparkSession, path: str, asof: dt.date,
+                     route: str | None = None) -> DataFrame | None:
+    """One run's output without its folder keys; None when there is none or it is empty."""
+    try:
+        df = read_run(spark, path, asof, route).drop("run_year", "run_month", "run_date")
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
+        return None
+    return None if df.isEmpty() else df

@@ -10,8 +10,12 @@ from billflow.schema import CODE_RULES, RULE_COLUMNS
 
 
 def _int_text(c):
-    """'993.0' / '993' / 993.0 -> '993'; non-numeric text stays NULL."""
-    return c.try_cast("double").try_cast("bigint").cast("string")
+    """'993.0' / '993' / 993.0 -> '993'. A code that is not a number stops the
+    run: dropping it could empty its list, and an empty list lets every service
+    through."""
+    code = c.try_cast("double").try_cast("bigint").cast("string")
+    bad = F.raise_error(F.concat(F.lit("rule sheet: procedure code is not a number: "), c)).cast("string")
+    return F.when(c.isNull() | code.isNotNull(), code).otherwise(bad)
 
 
 def rules_long(sheet: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
