@@ -11,9 +11,10 @@ whole sequence as one; none without words). Two documents are linked when
 2. Documents of one class collapse into its smallest id, so copies cost one row
    each however many they are.
 3. Representatives that share a band hash share a bucket. Each is verified
-   against the smallest member of its buckets (a star, not all pairs); groups are
-   formed; only buckets that still hold members of different groups have their
-   remaining pairs compared, so no link between groups is lost.
+   against the smallest member of its buckets (a star, not all pairs) and groups
+   are formed. Members of buckets that still hold different groups are compared
+   through an exact prefix and position filter over their full sets, so no link
+   between groups is lost and no bucket is expanded into its pairs.
 4. Groups are contracted by distributed union-find: every root hooks to its
    smallest neighbour, paths are halved by joins, edges are rewritten, until none
    is left. Nothing is collected to the driver.
@@ -207,30 +208,48 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of different roots among ``docs`` (id, root) that can be as alike as ``percent`` asks.
+
+    Prefix and position filter: shingles are ordered by how many of these
+    documents hold them, rarest first. Two sets that are alike enough share a
+    shingle among the first n - ceil(percent * n / 100) + 1 of each, and the first they
+    share leaves enough of both for the overlap they need. A document with many
+    shingles of its own thus meets nobody, however large the bucket it came from.
+    """
+    mine = docs.join(sets, "id").select("id", "root", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
+    often = mine.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
+    placed = (mine.join(often, "token").groupBy("id", "root", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("t")))  # of one document's own set
+    alone = F.col("n") - F.size("t")  # shingles that no other holds come first
+    prefix = F.col("n") - F.ceil(F.lit(int(percent)) * F.col("n") / 100) + 1
+    first = placed.select("id", "root", "n", alone.alias("alone"),
+                          F.posexplode(F.slice("t", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))))
+    first = cut(first.select("id", "root", "n", (F.col("alone") + F.col("pos")).alias("at"), F.col("col.token").alias("token")))
+    x = first.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "at")])
+    y = first.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "at")])
+    need = f"{int(percent)} * (n_a + n_b) <= {100 + int(percent)} * least(n_a - at_a, n_b - at_b)"
+    return (x.join(y, (x["token"] == y["token"]) & F.expr("id_a < id_b and root_a <> root_b") & F.expr(need))
+            .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+
+
 def links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Verified links that connect whatever all links would connect.
 
-    ``shared`` (band, hub, id, n): the members of every bucket of two or more,
-    with the bucket's smallest member as hub.
+    ``shared`` (band, hub, id): the members of every bucket of two or more, with
+    the bucket's smallest member as hub.
     """
     star = cut(shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     found = cut(verified(star, sets, percent))
-    groups = components(found)
-    # buckets whose members are still in different groups: their remaining pairs
-    tagged = (shared.select("band", "id", "n").join(groups.withColumnRenamed("node", "id"), "id", "left")
-              .select("band", "id", "n", F.coalesce("root", "id").alias("root")))
+    # members of buckets that still hold different groups
+    tagged = (shared.select("band", "id").join(components(found).withColumnRenamed("node", "id"), "id", "left")
+              .select("band", "id", F.coalesce("root", "id").alias("root")))
     split = (tagged.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                         F.count("*").alias("members"))
              .filter("lo <> hi and members > 2").select("band"))
-    rest = cut(tagged.join(split, "band"))
-    x = rest.select("band", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "root")])
-    y = rest.select("band", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "root")])
-    pairs = (x.join(y, "band")
-             .filter("id_a < id_b and root_a <> root_b")
-             .filter(f"100 * least(n_a, n_b) >= {int(percent)} * greatest(n_a, n_b)")
-             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    return found.unionByName(verified(cut(pairs), sets, percent))
+    rest = cut(tagged.join(split, "band").select("id", "root").distinct())
+    pairs = cut(prefix_pairs(rest, sets, percent).join(star, ["a", "b"], "left_anti"))
+    return found.unionByName(verified(pairs, sets, percent))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -239,11 +258,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     done = cut(sketches(docs, "id", "text", shingle, bands, rows))
     classes = cut(done.filter("n > 0").groupBy("c1", "c2")
-                  .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
-    members = classes.filter("id is not null").select(F.explode("bands").alias("band"), "id", "n")
+                  .agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
+    members = classes.filter("id is not null").select(F.explode("bands").alias("band"), "id")
     hubs = cut(members.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("members"))
                .filter("members > 1").select("band", "hub"))
-    shared = cut(members.join(hubs, "band").select("band", "hub", "id", "n"))
+    shared = cut(members.join(hubs, "band").select("band", "hub", "id"))
     needed = cut(shared.select("id").distinct())
     sets = cut(shingle_sets(docs.join(needed, "id", "left_semi"), shingle))
     groups = components(links(shared, sets, percent))
