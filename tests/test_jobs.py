@@ -1,87 +1,171 @@
-"""End-to-end daily jobs on export files written from the smoke bindings."""
+"""End-to-end daily jobs on CSV exports with human headers, written from the smoke bindings."""
 
 import argparse
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from billflow import jobs as J
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
-from billflow.schema import EXPORT_HEADERS, RULE_COLUMNS
+from billflow.schema import EXPORT_HEADERS, PROVIDER_HEADERS, RULE_COLUMNS, WORKLIST_HEADERS
 from billflow.sources import files as FS
 from tests.conftest import SF_SMALL
 
+DAY1, DAY2 = B.ASOF, B.ASOF + J.dt.timedelta(days=1)
+ATT = {"client_id": "Client ID Number", "date_time": "Date/Time", "staff": "Staff Member(s)",
+       "status": "Status", "service_type": "Service Type", "is_billed": "Is Billed"}
 
-def _csv(df, path):
-    df.toPandas().to_csv(path, index=False)
 
+def csv(df, path, headers=None):
+    back = {}
+    for h, c in (headers or {}).items():
+        back.setdefault(c, h)
+    df.toPandas().rename(columns=back).to_csv(path, index=False)
 
-def test_daily_jobs_end_to_end(spark, scratch):
-    to_header = {"client_id": "Client ID Number", "date_time": "Date/Time", "staff": "Staff Member(s)",
-                 "status": "Status", "service_type": "Service Type", "is_billed": "Is Billed"}
-    att = B.attendance(spark, SF_SMALL)
-    _csv(att.select("item_id", *[F.col(c).alias(h) for c, h in to_header.items()]),
-         f"{scratch}/attendance.csv")
-    _csv(B.client_export(spark, SF_SMALL).orderBy("client_id", "position").select(
-        F.col("client_id").alias("Client Id"), F.col("payor").alias("Primary Insurance: Provider Name"),
-        "position"), f"{scratch}/clients.csv")
+
+@pytest.fixture()
+def inputs(spark, scratch):
+    """Every table of the work-queue as a CSV export."""
+    p = {k: f"{scratch}/{k}.csv" for k in ("attendance", "clients", "rules", "registry", "lines", "coverage", "invoices",
+                                           "outcomes", "by_payor", "by_staff", "by_staff_private", "rows", "worklist",
+                                           "states", "practices")}
+    csv(B.attendance(spark, SF_SMALL).drop("item_id"), p["attendance"], {h: c for c, h in ATT.items()})
+    csv(B.client_export(spark, SF_SMALL).orderBy("client_id", "position").select(
+        F.col("client_id").alias("Client Id"), F.col("payor").alias("Primary Insurance: Provider Name"), "position"),
+        p["clients"])
     by_rule = {r: h for h, r in RULE_COLUMNS.items()}
     width = max(len(v) for v in B.RULES.values())
-    pd.DataFrame({by_rule[k]: v + [None] * (width - len(v)) for k, v in B.RULES.items()}) \
-        .to_csv(f"{scratch}/rules.csv", index=False)
-    assert set(EXPORT_HEADERS) >= set(to_header.values())
-
-    counts = J.scrub_job(spark, f"{scratch}/attendance.csv", f"{scratch}/clients.csv",
-                         f"{scratch}/rules.csv", f"{scratch}/scrub", B.ASOF)
-    J.main(["scrub", "--attendance", f"{scratch}/attendance.csv", "--clients", f"{scratch}/clients.csv",
-            "--rules", f"{scratch}/rules.csv", "--out", f"{scratch}/scrub_cli", "--asof", "2026-11-30"])
-    assert FS.read_run(spark, f"{scratch}/scrub_cli", B.ASOF, "straightforward").count() == 90
-    assert counts["straightforward"] == 90
-    straight = FS.read_run(spark, f"{scratch}/scrub", B.ASOF, "straightforward")
-    want = RG.q_scrub_straightforward(spark, SF_SMALL)
-    assert straight.select(*want.columns).exceptAll(want).isEmpty()
-
-    tables = {"registry": B.registry, "lines": B.service_lines, "coverage": B.coverage,
-              "invoices": B.invoices, "outcomes": B.outcomes, "by_payor": B.provider_by_payor,
-              "by_staff": B.provider_by_staff, "by_staff_private": B.provider_by_staff_private}
-    for name, fn in tables.items():
-        fn(spark, SF_SMALL).write.parquet(f"{scratch}/{name}")
-    a = argparse.Namespace(scrubbed=f"{scratch}/scrub", rules=f"{scratch}/rules.csv", out=f"{scratch}/cases",
-                           **{k: f"{scratch}/{k}" for k in tables})
-    J.casework_job(spark, a, B.ASOF)
-    worked = FS.read_run(spark, f"{scratch}/cases", B.ASOF).select("item_id", "route", "exceptions", "is_billed")
-    ref = RG.q_exception_tagging(spark, SF_SMALL)
-    assert worked.count() == ref.count() and worked.exceptAll(ref).isEmpty()
-
-    J.claims_job(spark, f"{scratch}/cases", f"{scratch}/by_staff_private", f"{scratch}/claims", B.ASOF)
-    recs = FS.read_run(spark, f"{scratch}/claims/records", B.ASOF)
-    assert recs.count() == RG.q_claim_record(spark, SF_SMALL).count()
-    forms = FS.read_run(spark, f"{scratch}/claims/forms", B.ASOF)
-    assert forms.count() == recs.count() and "claim" in forms.columns
+    pd.DataFrame({by_rule[k]: v + [None] * (width - len(v)) for k, v in B.RULES.items()}).to_csv(p["rules"], index=False)
+    people = {h: c for h, c in EXPORT_HEADERS.items() if c not in ("client_id", "status", "service_type", "payor")}
+    csv(B.registry(spark, SF_SMALL), p["registry"], people)
+    csv(B.service_lines(spark, SF_SMALL), p["lines"])
+    csv(B.coverage(spark, SF_SMALL), p["coverage"])
+    # the portal's listing has the service date-time, not the case id
+    csv(B.invoices(spark, SF_SMALL).join(B.service_lines(spark, SF_SMALL).select(F.col("line_id").alias("case_id"), "dos_text"),
+                                         "case_id").drop("case_id"), p["invoices"])
+    csv(B.provider_by_payor(spark, SF_SMALL), p["by_payor"], PROVIDER_HEADERS)
+    csv(B.provider_by_staff(spark, SF_SMALL), p["by_staff"], PROVIDER_HEADERS)
+    csv(B.provider_by_staff_private(spark, SF_SMALL), p["by_staff_private"], PROVIDER_HEADERS)
+    pd.DataFrame({"case_id": [], "seq": [], "ok": [], "transaction_no": [], "error_text": []}).to_csv(p["outcomes"], index=False)
+    csv(B.remit_rows(spark, SF_SMALL).drop("item_id"), p["rows"], WORKLIST_HEADERS)
+    csv(B.worklist(spark, SF_SMALL), p["worklist"], WORKLIST_HEADERS)
+    csv(B.known_states(spark, SF_SMALL), p["states"], WORKLIST_HEADERS)
+    csv(B.known_practices(spark, SF_SMALL), p["practices"], WORKLIST_HEADERS)
+    return p
+
+
+def case_args(p, scratch, strict=False):
+    names = ("registry", "lines", "coverage", "invoices", "outcomes", "rules", "by_payor", "by_staff", "by_staff_private")
+    return argparse.Namespace(scrubbed=f"{scratch}/scrub", state=f"{scratch}/state", out=f"{scratch}/cases", strict=strict,
+                              **{k: p[k] for k in names})
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_scrub_reads_exports(spark, scratch, inputs):
+    counts = J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
+    J.main(["scrub", "--attendance", inputs["attendance"], "--clients", inputs["clients"], "--rules", inputs["rules"],
+            "--out", f"{scratch}/cli", "--asof", DAY1.isoformat()])
+    want = RG.q_scrub_straightforward(spark, SF_SMALL).drop("item_id")
+    assert counts["straightforward"] == want.count() == 90
+    for out in ("scrub", "cli"):
+        got = FS.read_run(spark, f"{scratch}/{out}", DAY1, "straightforward")
+        assert rows_of(got.select(want.columns)) == rows_of(want)
+
+
+def test_case_ids_do_not_depend_on_the_files(spark, scratch, inputs):
+    att = J.read_table(spark, inputs["attendance"])
+    att = att.unionByName(att.limit(40)).unionByName(att.limit(40))  # copies get ids of their own
+    one = J.with_case_id(att.coalesce(1))
+    att.orderBy(F.rand(3)).repartition(7).write.option("header", True).csv(f"{scratch}/split")
+    two = J.with_case_id(J.read_table(spark, f"{scratch}/split"))
+    assert rows_of(one) == rows_of(two)
+    assert one.select("item_id").distinct().count() == att.count()
 
+
+def test_two_days(spark, scratch, inputs):
+    J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
+    a = case_args(inputs, scratch)
+    with pytest.raises(ValueError, match="provider"):
+        J.casework_job(spark, case_args(inputs, scratch, strict=True), DAY1)
+    assert not os.path.exists(f"{scratch}/cases") and not os.path.exists(f"{scratch}/state")
+    n = J.casework_job(spark, a, DAY1)
+    worked = FS.read_run(spark, f"{scratch}/cases", DAY1)
+    assert n == worked.count() == 90
+    left = worked.filter("is_billed is distinct from 'Yes' and exceptions is null").count()
+    lost = worked.filter("not provider_found")
+    assert lost.count() > 0 and lost.filter("is_billed = 'Yes' or exceptions is null").isEmpty()
+
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state)
+    records = FS.read_run(spark, f"{scratch}/claims/records", DAY1)
+    forms = FS.read_run(spark, f"{scratch}/claims/forms", DAY1)
+    assert records.count() == forms.count() > 0
+    assert forms.filter("claim.providers.rendering is null or claim.providers.billing is null").isEmpty()
+    shared = records.groupBy("claim_invoice_number").count().filter("count > 1 and claim_invoice_number is not null")
+    assert shared.isEmpty()
+
+    # the portal takes half of the claims
+    ids = sorted(r.item_id for r in records.collect())
+    ok = ids[::2]
+    pd.DataFrame([(i, 1, i in ok, f"TXN{i}" if i in ok else None, None if i in ok else "no") for i in ids],
+                 columns=["case_id", "seq", "ok", "transaction_no", "error_text"]).to_csv(inputs["outcomes"], index=False)
+    for _ in range(2):  # a rerun records the same
+        assert J.submit_job(spark, f"{scratch}/claims", inputs["outcomes"], a.state, DAY1) == len(ok)
+    noted = [J.annotate_job(spark, f"{scratch}/claims", inputs["invoices"], a.state, f"{scratch}/notes", DAY1) for _ in range(2)]
+    assert noted[0] == noted[1] > 0
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state)
+    assert FS.read_run(spark, f"{scratch}/claims/forms", DAY1).count() == len(ids) - len(ok)
+
+    # a rerun of the day works the same cases to the same end
+    before = rows_of(J.read_state(spark, a.state).filter("stage = 'casework'"))
+    assert J.casework_job(spark, a, DAY1) == 90
+    after = rows_of(J.read_state(spark, a.state).filter("stage = 'casework'"))
+    assert after == before, (set(after) ^ set(before))
+
+    # the next day's export still holds the day's cases: what is done is left alone
+    today = FS.read_run(spark, f"{scratch}/scrub", DAY1).drop("run_year", "run_month", "run_date")
+    FS.write_routes(today, f"{scratch}/scrub", DAY2)
+    assert J.casework_job(spark, a, DAY2) == left < 90
+    if left == 0:
+        assert FS.read_run_or_none(spark, a.out, DAY2) is None
+    assert J.annotate_job(spark, f"{scratch}/claims", inputs["invoices"], a.state, f"{scratch}/notes", DAY2) == 0
+
+
+def test_remit(spark, scratch, inputs):
     docs = os.path.join(scratch, "docs")
     os.makedirs(docs)
     for r in RG.downloaded(spark, SF_SMALL).collect():
         with open(os.path.join(docs, r.path.rsplit("/", 1)[-1]), "w") as f:
             f.write("%PDF")
-    B.remit_rows(spark, SF_SMALL).write.parquet(f"{scratch}/rows")
-    B.worklist(spark, SF_SMALL).write.parquet(f"{scratch}/worklist")
-    B.known_states(spark, SF_SMALL).write.parquet(f"{scratch}/states")
-    args = [f"{scratch}/rows", f"{scratch}/worklist", f"{scratch}/states", docs, f"{scratch}/ledger", B.ASOF]
-    first = J.remit_job(spark, *args)
-    assert first > 0 and J.remit_job(spark, *args) == 0
-    led = spark.read.parquet(f"{scratch}/ledger/run_date=11302026")
-    assert led.filter(F.col("status") == "File Downloaded").count() > 0
-
-
-def test_jobs_exit_early_on_empty_input(spark, scratch):
-    empty = spark.createDataFrame([], "item_id long, client_id string, date_time string, status string")
-    FS.write_routes(empty.withColumn("route", F.lit("straightforward")), f"{scratch}/scrub", B.ASOF)
-    a = argparse.Namespace(scrubbed=f"{scratch}/scrub", out=f"{scratch}/cases")
-    assert J.casework_job(spark, a, B.ASOF) is None
-    assert not os.path.exists(f"{scratch}/cases")  # nothing was written
+    args = [*(inputs[k] for k in ("rows", "worklist", "states", "practices")), docs, f"{scratch}/ledger", DAY1]
+    one = J.remit_job(spark, *args, login="login0")
+    two = J.remit_job(spark, *args)  # the other login's rows
+    assert one > 0 and two > 0 and J.remit_job(spark, *args) == 0
+    ledger = spark.read.parquet(f"{scratch}/ledger/run_date=11302026")
+    assert ledger.count() == one + two
+    assert ledger.filter(F.col("status") == "File Downloaded").count() > 0
+    assert spark.read.parquet(f"{scratch}/ledger/_rejects/run_date=11302026").count() > 0
+    status = spark.read.parquet(f"{scratch}/ledger/_worklist/run_date=11302026")
+    assert status.count() == B.worklist(spark, SF_SMALL).count()
+
+
+def test_empty_days(spark, scratch, inputs):
     pd.DataFrame({"Client ID Number": pd.Series([], dtype=str)}).to_csv(f"{scratch}/att.csv", index=False)
-    assert J.scrub_job(spark, f"{scratch}/att.csv", "unused", "unused", f"{scratch}/o", B.ASOF) == \
+    a = case_args(inputs, scratch)
+    J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
+    assert J.casework_job(spark, a, DAY1) == 90
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1)
+    # the day is run again, and now nothing was exported: nothing of the first run may stand
+    assert J.scrub_job(spark, f"{scratch}/att.csv", "unused", "unused", f"{scratch}/scrub", DAY1) == \
         {"exception": 0, "manual": 0, "straightforward": 0}
+    assert J.casework_job(spark, a, DAY1) == 0
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1)
+    assert J.submit_job(spark, f"{scratch}/claims", inputs["outcomes"], a.state, DAY1) == 0
+    for out in ("scrub", "cases", "claims/records", "claims/forms"):
+        assert FS.read_run_or_none(spark, f"{scratch}/{out}", DAY1) is None
+    assert J.read_state(spark, a.state).isEmpty()
