@@ -3,8 +3,8 @@
 Two kinds of small side exist:
 
 * config tables (rule lists, provider masters): hinted with ``broadcast`` only
-  after a bounded count proves them small (``df.limit(n + 1).count() <= n``);
-  beyond the bound the hint is dropped.
+  after one bounded pass (``df.limit(n + 1)``) proves both their rows and their
+  bytes small; beyond either bound the hint is dropped.
 * data-sized tables (client export, registry, service lines, coverage,
   invoices, outcomes): never hinted. The planner broadcasts them only while
   their size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 # with ``spark.billflow.broadcastMaxRows`` (0 disables the explicit hints).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 MAX_ROWS_CONF = "spark.billflow.broadcastMaxRows"
+# And the bound on its size: the text length of all values, and 16 bytes for each.
+MAX_BYTES = 128 << 20
 
 
 _CHECKED: dict[tuple, bool] = {}
@@ -34,17 +36,22 @@ def broadcast_row_limit(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` provably holds at most ``max_rows`` rows.
+    """True when ``df`` provably holds at most ``max_rows`` rows and ``MAX_BYTES`` bytes.
 
-    The bounded count runs once per distinct plan (``semanticHash``) and
-    session; a config table joined by several operators is counted once.
+    The bounded pass runs once per distinct plan over the same files in an
+    application; a config table joined by several operators is measured once, and
+    again when it is read from other (or more) files.
     """
     max_rows = broadcast_row_limit(df) if max_rows is None else max_rows
     if max_rows <= 0:
         return False
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.inputFiles()), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        width = F.lit(0)
+        for c in df.columns:
+            width = width + F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16
+        rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        _CHECKED[key] = rows <= max_rows and size <= MAX_BYTES
     return _CHECKED[key]
 
 

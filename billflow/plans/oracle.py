@@ -349,6 +349,11 @@ RAGGED = """cs AS (SELECT c_custkey AS ck FROM customer)"""
 
 SQL.update({
     "scan_text": with_scrub(f"SELECT {W_COLS} FROM w"),
+    "dated_run": with_scrub(f"""SELECT {W_COLS}, strftime({ASOF_SQL}, '%Y') AS run_year,
+        strftime({ASOF_SQL}, '%m %b''%Y') AS run_month, strftime({ASOF_SQL}, '%m%d%Y') AS run_date FROM w"""),
+    "route_sink": with_scrub(f"""SELECT {W_COLS}, NULL::VARCHAR AS payor_name, 'exception' AS route FROM exc
+        UNION ALL SELECT {W_COLS}, payor_name, 'manual' FROM manual
+        UNION ALL SELECT {W_COLS}, payor_name, 'straightforward' FROM straight"""),
     "rules_unpivot": f"""WITH {RAGGED}
         SELECT 'exclude_status' AS rule_name,
           CASE ck % 3 WHEN 0 THEN 'Canceled' WHEN 1 THEN 'Rescheduled' ELSE 'Upcoming' END AS value

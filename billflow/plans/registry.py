@@ -224,6 +224,25 @@ def q_scan_text(spark, sf):
     return df.withColumn("item_id", F.col("item_id").cast("bigint"))
 
 
+@register("dated_run")
+def q_dated_run(spark, sf):
+    """O-07: a run written to its year/month/day folder and read back by its date."""
+    path = FS.scratch_path(spark, "dated-run")
+    FS.write_run(B.attendance(spark, sf), path, B.ASOF)
+    return FS.read_run(spark, path, B.ASOF)
+
+
+@register("route_sink")
+def q_route_sink(spark, sf):
+    """O-08: the three outputs of a run written into sibling folders in one write, and
+    a rerun of the day, which replaces them."""
+    path = FS.scratch_path(spark, "route-sink")
+    routes = scrub.scrub_routes(B.attendance(spark, sf), B.client_export(spark, sf), B.rules(spark), B.ASOF)
+    FS.write_routes(routes.limit(5).withColumn("route", F.lit("stale")), path, B.ASOF)
+    FS.write_routes(routes, path, B.ASOF)
+    return FS.read_run(spark, path, B.ASOF).drop("run_year", "run_month", "run_date")
+
+
 def ragged_sheet(spark, sf):
     """A rule sheet with ragged columns (NULL padding), built from customer."""
     c = B.table(spark, sf, "customer")

@@ -2,9 +2,12 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
 from billflow.operators import gates as G
+from billflow.operators import matching as M
 from tests.conftest import SF_SMALL
 
 
@@ -64,3 +67,55 @@ def test_state_current_is_one_aggregation(spark):
     p = plan(df)
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
     assert shuffles_over_parquet(df) == 1  # the helper does see data shuffles
+
+
+def test_line_history_is_cut_by_a_date_range_at_the_scan(spark, scratch):
+    lines = M.with_dos_date(B.service_lines(spark, SF_SMALL))
+    lines.write.parquet(f"{scratch}/lines")
+    lines.write.partitionBy("dos_date").parquet(f"{scratch}/by_day")
+    cases = RG.cases(spark, SF_SMALL)
+    days = M.dos_range(cases)
+    flat = plan(M.service_match(cases, spark.read.parquet(f"{scratch}/lines"), days))
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(dos_date,2026-11-26\)", flat)
+    parts = plan(M.service_match(cases, spark.read.parquet(f"{scratch}/by_day"), days))
+    assert re.search(r"PartitionFilters: \[[^]]*dos_date#\d+ >= 2026-11-26", parts)
+
+
+def test_cases_off_the_lookback_days_keep_their_lines(spark):
+    cases = RG.cases(spark, SF_SMALL).limit(20)
+    old = cases.withColumn("date_time", F.lit("01/02/2020, 10:00 AM ET"))
+    odd = cases.withColumn("date_time", F.lit("soon ET"))
+    both = old.unionByName(odd)
+    lines = both.select(F.col("item_id").alias("line_id"), "client_id", F.regexp_replace("date_time", " ET", "").alias("dos_text"),
+                        "service_type", *[F.lit("x").alias(c) for c in ("place_of_service", "amount", "units", "dx_text")],
+                        F.lit(0).alias("position"))
+    with_range = M.service_match(both, lines, M.dos_range(both)).filter("svc_found").count()
+    assert with_range == M.service_match(both, lines).filter("svc_found").count() > 0
+
+
+def test_lookback_reaches_the_scan(spark, scratch):
+    B.attendance(spark, SF_SMALL).write.parquet(f"{scratch}/att")
+    p = plan(G.business_day_lookback(spark.read.parquet(f"{scratch}/att"), B.ASOF))
+    assert "StringStartsWith(date_time,11/26/2026)" in p
+
+
+def test_hot_and_null_keys_are_dealt_over_salts(spark):
+    """With broadcasting off, a client with most of the cases does not fill one partition."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    for k, v in zip(old, ("-1", "false", "64")):
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        cases = spark.range(6000).select(i.alias("item_id"), F.when(i % 3 == 0, "hot").when(i % 3 == 1, i.cast("string"))
+                                         .alias("client_id"))
+        reg = spark.range(3).select(F.when(F.col("id") == 0, "hot").otherwise("x").alias("client_id"), F.lit("Active").alias("tab"),
+                                    *[F.lit("v").alias(c) for c in M.REGISTRY_FIELDS[1:]])
+        out = M.registry_match(cases, reg)
+        assert out.count() == 6000 and out.filter("reg_found").count() == 2000
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 1200  # the hot client has 2000 rows, and as many have none
+        assert "_left_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

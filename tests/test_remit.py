@@ -1,11 +1,15 @@
 """Remittance parsing, reconciliation, and the rerun property of the ledger."""
 
 import datetime as dt
+import os
+
+import pytest
 
 from billflow.operators import remit as R
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
-from billflow.plans.remit import run_remit
+from billflow.plans.remit import ledger_delta, run_remit
+from billflow.schema import (WL_NO_EOBS, WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND, WL_UNMATCHED)
 from tests.conftest import SF_SMALL
 
 
@@ -32,19 +36,51 @@ def test_unseen_checks_ignores_status_and_keeps_in_run_repeats(spark):
     assert R.unseen_checks(rows, ledger, dedupe=True).count() == 1
 
 
+def run(spark, scratch, **more):
+    return run_remit(spark, B.remit_rows(spark, SF_SMALL), B.worklist(spark, SF_SMALL), B.known_states(spark, SF_SMALL),
+                     B.known_practices(spark, SF_SMALL), RG.downloaded(spark, SF_SMALL), scratch, B.ASOF, **more)
+
+
 def test_rerun_adds_nothing(spark, scratch):
-    rows, wl, st = B.remit_rows(spark, SF_SMALL), B.worklist(spark, SF_SMALL), B.known_states(spark, SF_SMALL)
-    inv = RG.downloaded(spark, SF_SMALL)
-    first = run_remit(spark, rows, wl, st, inv, scratch, B.ASOF)
-    second = run_remit(spark, rows, wl, st, inv, scratch, B.ASOF)
-    assert first > 0 and second == 0
+    first = run(spark, scratch)
+    assert first > 0 and run(spark, scratch) == 0
     ledger = spark.read.parquet(f"{scratch}/run_date=11302026")
     assert ledger.count() == first
     statuses = {r.status for r in ledger.select("status").distinct().collect()}
     assert statuses <= {"File Downloaded", "File Not Downloaded"}
+    assert spark.read.parquet(f"{scratch}/_rejects/run_date=11302026").count() > 0
+
+
+def test_only_the_login_s_rows_are_worked(spark, scratch):
+    one = run(spark, scratch, login="login1")
+    done = spark.read.parquet(f"{scratch}/_worklist/run_date=11302026")
+    assert {r.login for r in done.collect()} == {"login1"}
+    assert one > 0 and run(spark, scratch, login="login1") == 0 < run(spark, scratch)
+
+
+def test_a_ledger_that_cannot_be_read_is_no_empty_ledger(spark, scratch):
+    os.makedirs(f"{scratch}/run_date=11302026")
+    with open(f"{scratch}/run_date=11302026/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        run(spark, scratch)
 
 
 def test_worklist_statuses(spark):
-    out = RG.q_worklist_status(spark, SF_SMALL)
-    got = {r.wl_status for r in out.collect()}
-    assert {"State Not found", "Practice name not found in Drop Down", "Processed"} <= got
+    got = {r.wl_status for r in RG.q_worklist_status(spark, SF_SMALL).collect()}
+    assert got == {WL_STATE_NOT_FOUND, WL_UNMATCHED, WL_PRACTICE_NOT_FOUND, WL_NO_EOBS, WL_PROCESSED}
+
+
+def test_rsm_of_the_row_that_is_worked(spark):
+    wl = spark.createDataFrame([("l", "Nowhere", "A", "P", 0), ("l", "State 1", "B", "P", 1), ("l", "State 1", "C", "P", 2)],
+                               "login string, state_name string, rsm string, practice string, position int")
+    rows = spark.createDataFrame([("P", "C1\np\nq\n11/30/2026\n01/01/2000\n1.00"),
+                                  ("P", "C2\np\nq\n01/01/2000\n11/30/2026\n1.00")], "practice string, row_text string")
+    states = spark.createDataFrame([("State 1",)], "state_name string")
+    status = R.worklist_status(wl, states, wl.select("practice"), rows, B.ASOF)
+    none = spark.createDataFrame([], "check_no string, path string")
+    got = ledger_delta(rows, status, none, none, B.ASOF).collect()
+    assert [(r.check_no, r.rsm) for r in got] == [("C1", "B")]  # C2 was not shown by the search
+    late = rows.filter("row_text like 'C2%'")
+    assert {r.wl_status for r in R.worklist_status(wl, states, wl.select("practice"), late, B.ASOF).collect()} == \
+        {WL_STATE_NOT_FOUND, WL_NO_EOBS}

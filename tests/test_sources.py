@@ -4,10 +4,13 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from billflow.operators.state import state_current
+from billflow.session import checkpoint_dir
 from billflow.sources import files as FS
+from billflow.sources.rules import rules_long
 
 
 def test_text_scan_na_tokens(spark, scratch):
@@ -43,14 +46,14 @@ def test_inventory_new_and_latest(spark, scratch):
     assert FS.latest_arrival(now, suffix=".csv").first().path.endswith("b.csv")
 
 
-def test_dated_layout_roundtrip_and_dynamic_overwrite(spark, scratch):
+def test_dated_layout_roundtrip_and_rerun(spark, scratch):
     d1, d2 = dt.date(2026, 11, 30), dt.date(2026, 12, 1)
     df = spark.createDataFrame([(1, "manual"), (2, "straightforward")], "item_id long, route string")
     FS.write_routes(df, scratch, d1)
     FS.write_routes(df.filter("item_id = 1"), scratch, d2)
     FS.write_routes(df.filter("item_id = 2"), scratch, d1)  # rerun of d1, one route only
     got = sorted((r.run_date, r.route, r.item_id) for r in FS.read_runs(spark, scratch).collect())
-    assert got == [("11302026", "manual", 1), ("11302026", "straightforward", 2), ("12012026", "manual", 1)]
+    assert got == [("11302026", "straightforward", 2), ("12012026", "manual", 1)]
     assert FS.read_run(spark, scratch, d2).count() == 1
 
 
@@ -77,3 +80,53 @@ def test_append_state_then_current(spark):
     more = spark.createDataFrame([("Yes", "is_billed", 2, 1)], "value string, field string, seq long, case_id long")
     cur = state_current(append_state(log, more), ["is_billed"]).first()
     assert (cur.case_id, cur.is_billed) == (1, "Yes")
+
+
+def test_quoted_cells_with_line_breaks(spark, scratch):
+    with open(os.path.join(scratch, "q.csv"), "w") as f:
+        f.write('practice,row_text\nP,"C1\n""Payer"", Inc\nQ\n11/30/2026\n11/29/2026\n10.00"\nP2,x\n')
+    rows = FS.read_text_table(spark, os.path.join(scratch, "q.csv")).collect()
+    assert [r.practice for r in rows] == ["P", "P2"]
+    assert rows[0].row_text.split("\n")[1] == '"Payer", Inc' and rows[0].row_text.count("\n") == 5
+
+
+def test_rerun_leaves_no_stale_route(spark, scratch):
+    df = spark.createDataFrame([(1, "manual"), (2, "exception")], "item_id int, route string")
+    day, other = dt.date(2026, 11, 30), dt.date(2026, 11, 29)
+    FS.write_routes(df, scratch, other)
+    FS.write_routes(df, scratch, day)
+    FS.write_routes(df.filter("route = 'manual'"), scratch, day)
+    assert [r.item_id for r in FS.read_run(spark, scratch, day).collect()] == [1]
+    assert FS.read_run(spark, scratch, other).count() == 2
+    FS.clear_run(spark, scratch, day)
+    assert FS.read_run_or_none(spark, scratch, day) is None
+    assert FS.read_run(spark, scratch, other).count() == 2
+
+
+def test_only_an_absent_path_reads_as_empty(spark, scratch):
+    schema = spark.range(1).schema
+    assert FS.read_if_exists(spark, os.path.join(scratch, "none"), schema).count() == 0
+    with open(os.path.join(scratch, "bad.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        FS.read_if_exists(spark, os.path.join(scratch, "bad.parquet"), schema).count()
+
+
+def test_codes_that_are_no_numbers_stop_the_run(spark):
+    sheet = spark.createDataFrame([("H0031",), ("993.0",), (None,)], "kept_cpts string")
+    with pytest.raises(Exception, match="not a number: H0031"):
+        rules_long(sheet, {"kept_cpts": "kept_cpts"}).collect()
+    ok = rules_long(sheet.filter("kept_cpts is distinct from 'H0031'"), {"kept_cpts": "kept_cpts"})
+    assert [r.value for r in ok.collect()] == ["993"]
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error():
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
