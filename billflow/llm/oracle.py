@@ -87,4 +87,27 @@ v AS (
 SELECT page_id, p.host, p.day, coalesce(n_active, 0)::BIGINT AS n_active, decided_by, coalesce(blocked, false) AS blocked
 FROM p LEFT JOIN v ON p.host = v.host AND p.day = v.day"""
 
-SQL: dict[str, str] = {"op2_line_dedup": OP2, "op5_mixing": OP5, "op9_url_filter": OP9}
+OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS x, b AS y FROM ways UNION SELECT reach.x, ways.b FROM reach JOIN ways ON reach.y = ways.a),
+low AS (SELECT x, least(x, min(y)) AS component_id FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(low.component_id, w.doc_id) AS component_id,
+  coalesce(low.component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN low ON low.x = w.doc_id"""
+
+SQL: dict[str, str] = {"op2_line_dedup": OP2, "op5_mixing": OP5, "op6_minhash": OP6, "op9_url_filter": OP9}
