@@ -36,11 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from billflow.operators.joins import maybe_broadcast
+
 from .common import cut, map_batches, mix64
 
 _U = np.uint64
 BANDS, ROWS = 40, 5
 CHUNK = 1 << 18  # shingles whose permutations are held at once
+BROADCAST_IDS = 2_000_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _STEP = _U(0x9E3779B97F4A7C15)
 
@@ -217,10 +220,11 @@ def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     share leaves enough of both for the overlap they need. A document with many
     shingles of its own thus meets nobody, however large the bucket it came from.
     """
-    mine = docs.join(sets, "id").select("id", "root", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
+    mine = docs.join(sets, "id").select("id", F.explode("hashes").alias("token"))
     often = mine.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
-    placed = (mine.join(often, "token").groupBy("id", "root", "n")
+    placed = (mine.join(often, "token").groupBy("id")
               .agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("t")))  # of one document's own set
+    placed = placed.join(docs.join(sets.select("id", F.size("hashes").alias("n")), "id"), "id")
     alone = F.col("n") - F.size("t")  # shingles that no other holds come first
     prefix = F.col("n") - F.ceil(F.lit(int(percent)) * F.col("n") / 100) + 1
     first = placed.select("id", "root", "n", alone.alias("alone"),
@@ -264,7 +268,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .filter("members > 1").select("band", "hub"))
     shared = cut(members.join(hubs, "band").select("band", "hub", "id"))
     needed = cut(shared.select("id").distinct())
-    sets = cut(shingle_sets(docs.join(needed, "id", "left_semi"), shingle))
+    # up to a counted bound the ids go to the texts; beyond it both are shuffled
+    sets = cut(shingle_sets(docs.join(maybe_broadcast(needed, BROADCAST_IDS), "id", "left_semi"), shingle))
     groups = components(links(shared, sets, percent))
     rooted = cut(classes.select("c1", "c2", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
                  .select("c1", "c2", F.coalesce("root", "id").alias("component_id")))
@@ -276,15 +281,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                          percent: int = 80) -> DataFrame:
-    """The rows of ``df``, all columns, one document of each group (rows of one id count as one document)."""
-    from pyspark.sql import Window
+    """The rows of ``df``, all columns, one document of each group (rows of one id count as one document).
 
+    What goes is few beside what stays, so the ids that go meet the rows (sent to
+    them up to a counted bound); only rows that share an id are shuffled.
+    """
     found = near_duplicates(df, id_col, text_col, shingle, percent)
-    keep = found.filter("kept").select(id_col).distinct()
-    named = df.filter(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").select(df.columns)
-    rank = "_copy"
-    while rank in df.columns:
-        rank += "_"
-    one = (named.withColumn(rank, F.row_number().over(Window.partitionBy(id_col).orderBy(id_col)))
-           .filter(F.col(rank) == 1).select(df.columns))
-    return one.unionByName(df.filter(F.col(id_col).isNull()))
+    gone = cut(found.filter("not kept").select(F.col(id_col).alias("_gone")).distinct())
+    gone = maybe_broadcast(gone, BROADCAST_IDS)
+    left = df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    again = cut(df.groupBy(F.col(id_col).alias("_again")).agg(F.count("*").alias("n"))
+                .filter("n > 1 and _again is not null").select("_again"))
+    if again.isEmpty():
+        return left
+    again = maybe_broadcast(again, BROADCAST_IDS)
+    match = left[id_col] == again["_again"]
+    packed = left.join(again, match, "left_semi").select(F.col(id_col).alias("_id"), F.struct(*df.columns).alias("row"))
+    one = packed.groupBy("_id").agg(F.first("row").alias("row")).select("row.*")
+    return left.join(again, match, "left_anti").unionByName(one)
