@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -20,6 +21,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def with_code(df: DataFrame) -> DataFrame:
+    """``df``, after Python workers were told where this package is, if they have no
+    other copy (an installed one, or one sent with ``--py-files``)."""
+    env = df.sparkSession.sparkContext.environment
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, here])
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: an eager checkpoint in the folder ``spark.checkpoint.dir`` names."""
     checkpoint_dir(df.sparkSession)
@@ -44,7 +56,7 @@ def map_batches(df: DataFrame, fn: Callable[[list[list]], Iterable[dict]], schem
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return with_code(df).mapInArrow(run, schema)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

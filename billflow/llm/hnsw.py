@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix64
+from .common import cut, mix64, with_code
 
 SHARDS, ROWS, QUERY_BLOCK = 8, 32_768, 2048
 M, EF_BUILD, EF_SEARCH, WIDE = 16, 64, 128, 4
@@ -278,7 +278,7 @@ def build_index(df: DataFrame, id_col: str, vec_col: str, k: int) -> tuple[DataF
             .withColumn("dim", F.size("v")))
     shards = max(SHARDS, -(-good.count() // ROWS))
     dealt = good.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    index = dealt.groupBy("dim", "shard").applyInPandas(
+    index = with_code(dealt).groupBy("dim", "shard").applyInPandas(
         lambda pdf: _build_shard(pdf, k),
         "dim int, shard int, n int, vectors binary, sizes array<int>, links binary, member_node binary, member_id binary")
     return good, cut(index)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from billflow.operators.joins import maybe_broadcast
 
-from .common import cut, map_batches, mix64
+from .common import cut, map_batches, mix64, with_code
 
 _U = np.uint64
 BANDS, ROWS = 40, 5
@@ -184,7 +184,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep)) for c in (0, 1)],
                                                  names=["a", "b"])
 
-    return both.mapInArrow(run, f"a {t}, b {t}")
+    return with_code(both).mapInArrow(run, f"a {t}, b {t}")
 
 
 def components(edges: DataFrame) -> DataFrame:

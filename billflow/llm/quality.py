@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import unit_hash
+from .common import unit_hash, with_code
 
 PER_CLASS, MAX_CHARS, LEAST = 1500, 8000, 8
 PIECE, DICT_BYTES, LEVEL = 4096, 112_640, 3
@@ -159,7 +159,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 p = np.full(len(texts), model.share)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(p, pa.float64())], names=[*names, "score"])
 
-    out = made.mapInArrow(run, schema)
+    out = with_code(made).mapInArrow(run, schema)
     if keep is None:
         return out.select(F.col("c0").alias(id_col), "score")
     return out.select(F.struct(*[F.col(n).alias(c) for n, c in zip(names, cols)]).alias("row"), "score")

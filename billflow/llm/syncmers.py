@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, mix64, sha
+from .common import map_batches, mix64, sha, with_code
 
 K, S, KEEP = 20, 13, 128
 _U = np.uint64
@@ -217,4 +217,4 @@ def fingerprint_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
-    return with_next(df, id_col, text_col).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return with_code(with_next(df, id_col, text_col)).mapInArrow(run, schema).withColumnRenamed("id", id_col)
