@@ -11,8 +11,8 @@ Text is read as the tokenizer file says: special tokens are cut out of the raw
 text, the rest is NFC-normalised and lower-cased by code point, white space
 separates, and the split pattern makes words. White space never lies inside a
 word, so the unit that is kept from document to document is the stretch between
-white space. Kept stretches are bounded (``MAX_KEPT``); a batch's new words are
-encoded in blocks of at most ``MAX_NEW`` words.
+white space, with its ids packed in bytes. Kept stretches are bounded
+(``MAX_KEPT``); a batch's new ones are encoded in blocks of about ``MAX_NEW``.
 
 Defined results: a null text counts as empty; an empty text has no ids and
 decodes to the empty text; repeated rows each get their result.
@@ -24,8 +24,7 @@ import gc
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import regex
@@ -33,8 +32,8 @@ from pyspark.sql import DataFrame
 
 from .common import map_batches, sha
 
-MAX_KEPT = 400_000
-MAX_NEW = 400_000
+MAX_KEPT = 250_000
+MAX_NEW = 150_000
 
 
 class Vocabulary:
@@ -48,6 +47,7 @@ class Vocabulary:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         by_id = {i: t for t, i in [*vocab.items(), *self.special.items()]}
         self.tokens = [by_id.get(i, "") for i in range(max(by_id) + 1)]
+        self.packed = np.dtype(np.uint16 if len(self.tokens) <= 1 << 16 else np.uint32)
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
@@ -100,10 +100,10 @@ class PairIndex:
         return r, np.unique(np.concatenate(at)) if len(at) > 1 else np.sort(at[0])
 
 
-def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
-    """The ids of each (non-empty) word, given as UTF-8."""
+def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all (non-empty) words, given as UTF-8, one after another; and where each begins."""
     if not words:
-        return []
+        return np.empty(0, np.int32), np.zeros(1, np.int64)
     raw = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum(np.fromiter((len(w) for w in words), np.int64, len(words)))
     starts = np.concatenate([[0], ends[:-1]])
@@ -145,9 +145,13 @@ def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
         index.add(np.concatenate([v.rank(sym[p], sym[at[has]]), v.rank(sym[at[more]], sym[far[more]])]),
                   np.concatenate([p, at[more]]))
     alive = sym >= 0
-    bounds = np.concatenate([[0], np.cumsum(alive)])[np.concatenate([starts, [n]])].tolist()
-    ids = sym[alive].tolist()
-    return [ids[lo:hi] for lo, hi in zip(bounds, bounds[1:])]
+    return sym[alive], np.concatenate([[0], np.cumsum(alive)])[np.concatenate([starts, [n]])]
+
+
+def encode_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
+    """The ids of each (non-empty) word, given as UTF-8."""
+    ids, bounds = merge_words(words, v)
+    return [ids[lo:hi].tolist() for lo, hi in zip(bounds.tolist(), bounds[1:].tolist())]
 
 
 def _lower(text: str) -> str:
@@ -155,6 +159,19 @@ def _lower(text: str) -> str:
     return text.lower() if text.isascii() or "Σ" not in text else "".join(c.lower() for c in text)
 
 
+class Texts(Sequence):
+    """An Arrow column of texts, turned into Python one text at a time; null is empty."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def __getitem__(self, i: int) -> str:
+        return self.column[i].as_py() or ""
+
+
 class Encoder:
     """Encodes batches of texts; keeps what stretches between white space became."""
 
@@ -164,7 +181,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.v = Vocabulary(path)
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}
 
     def stretches(self, text: str) -> list[str]:
         if self.ODD.search(text):
@@ -186,7 +203,7 @@ class Encoder:
         return self.v.words.findall(_lower(stretch))
 
     def _learn(self, new: list[str]) -> None:
-        gc.disable()  # many small tuples, none of them in a cycle
+        gc.disable()  # many small objects, none of them in a cycle
         try:
             self._encode_new(new)
         finally:
@@ -195,24 +212,29 @@ class Encoder:
     def _encode_new(self, new: list[str]) -> None:
         parts = [self._parts(x) for x in new]
         words = {w: None for p in parts for w in p if isinstance(w, str)}
-        ids = dict(zip(words, encode_words([w.encode("utf-8", "surrogatepass") for w in words], self.v)))
+        ids, bounds = merge_words([w.encode("utf-8", "surrogatepass") for w in words], self.v)
+        flat, at = ids.astype(self.v.packed).tobytes(), (bounds * self.v.packed.itemsize).tolist()
+        for w, lo, hi in zip(words, at, at[1:]):
+            words[w] = flat[lo:hi]
         for x, p in zip(new, parts):
-            self.kept[x] = tuple(chain.from_iterable(ids[w] if isinstance(w, str) else (w,) for w in p))
+            self.kept[x] = words[p[0]] if len(p) == 1 and isinstance(p[0], str) else b"".join(
+                [words[w] if isinstance(w, str) else self.v.packed.type(w).tobytes() for w in p])
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode(self, texts: Sequence[str]) -> Iterator[list[int]]:
         """The ids of each text, in order."""
         lo = 0
         while lo < len(texts):
-            if len(self.kept) > MAX_KEPT:
-                self.kept.clear()
             new: set[str] = set()
             hi = lo
             while hi < len(texts) and len(new) < MAX_NEW:
                 new.update(set(self.stretches(texts[hi])).difference(self.kept))
                 hi += 1
             self._learn(list(new))
-            for t in texts[lo:hi]:
-                yield list(chain.from_iterable(map(self.kept.__getitem__, self.stretches(t))))
+            for i in range(lo, hi):
+                flat = b"".join(map(self.kept.__getitem__, self.stretches(texts[i])))
+                yield np.frombuffer(flat, self.v.packed).tolist()
+            if len(self.kept) > MAX_KEPT:  # an idle worker holds no more than that
+                self.kept.clear()
             lo = hi
 
     def decode(self, ids: list[int]) -> str:
@@ -235,10 +257,11 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id and the array of token ids. ``path``: the tokenizer file, on every node."""
 
     def run(cols):
-        yield {"id": cols[0], "ids": list(encoder(path).encode([t or "" for t in cols[1]]))}
+        yield {"id": cols[0].to_pylist(), "ids": list(encoder(path).encode(Texts(cols[1])))}
 
     t = dict(df.dtypes)[id_col]
-    return map_batches(df.select(id_col, text_col), run, f"id {t}, ids array<int>").withColumnRenamed("id", id_col)
+    return map_batches(df.select(id_col, text_col), run, f"id {t}, ids array<int>", lists=False
+                       ).withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -257,9 +280,8 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def run(cols):
         e = encoder(path)
         number = [str(i) for i in range(len(e.v.tokens))]
-        out = {"id": cols[0], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        texts = [t or "" for t in cols[1]]
-        for ids in e.encode(texts):
+        out = {"id": cols[0].to_pylist(), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for ids in e.encode(Texts(cols[1])):
             out["n_tokens"].append(len(ids))
             out["ids_sha256"].append(sha(" ".join([number[i] for i in ids])))
             out["decoded_sha256"].append(sha(e.decode(ids)))
@@ -267,5 +289,5 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     t = dict(df.dtypes)[id_col]
     return map_batches(df.select(id_col, text_col), run,
-                       f"id {t}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+                       f"id {t}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", lists=False
                        ).withColumnRenamed("id", id_col)

@@ -38,8 +38,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[list[list]], Iterable[dict]], schema: str) -> DataFrame:
-    """Run ``fn`` on each Arrow batch: columns as Python lists in, dicts of columns out.
+def map_batches(df: DataFrame, fn: Callable[[list], Iterable[dict]], schema: str, lists: bool = True) -> DataFrame:
+    """Run ``fn`` on each Arrow batch: columns as Python lists (or Arrow arrays) in, dicts of columns out.
 
     Spark bounds a batch by rows and by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     ``fn`` holds no state that a lost executor would take with it.
@@ -52,7 +52,7 @@ def map_batches(df: DataFrame, fn: Callable[[list[list]], Iterable[dict]], schem
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                for out in fn([c.to_pylist() for c in b.columns]):
+                for out in fn([c.to_pylist() for c in b.columns] if lists else b.columns):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow)
 
