@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut
+from .common import cut
 
 RATIO, MIN_PAGES, SALTS, BROADCAST_LINES = 0.1, 10, 32, 100_000
 
@@ -44,7 +44,7 @@ def html_lines(html: Column) -> Column:
 
 
 def _trim(line: Column) -> Column:
-    return F.regexp_replace(line, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def _key(line: Column) -> Column:
