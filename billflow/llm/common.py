@@ -23,7 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def with_code(df: DataFrame) -> DataFrame:
     """``df``, after Python workers were told where this package is, if they have no
-    other copy (an installed one, or one sent with ``--py-files``)."""
+    other copy (an installed one, or one sent with ``--py-files``), and Arrow batches
+    were bounded to ``spark.billflow.arrowBatchBytes`` (8 MB): the buffers of larger
+    ones stay with the executor for good."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", conf.get("spark.billflow.arrowBatchBytes", "8m"))
     env = df.sparkSession.sparkContext.environment
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

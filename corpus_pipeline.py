@@ -5,6 +5,13 @@ what a stage kept as Parquet, in a folder of its own under the shared folder tha
 ``spark.checkpoint.dir`` names, and the next stage reads it. All stages but the last
 return the columns of documents. Every stage works on whole texts and on all that
 the stage before it kept.
+
+Nulls in any column, empty and very long texts, repeated rows, an empty table and
+extra columns of any name go through every stage as its operator's docstring says: a
+null or empty text is scored, has no lines to drop, is linked with nothing, weighs
+nothing in the mix (and so is not taken) and has no tokens. The folders of a run stay,
+so that a run can be looked at or taken up from any stage; whoever owns the shared
+folder clears it.
 """
 
 from __future__ import annotations
