@@ -9,9 +9,12 @@ decoded by Viterbi.
 
 Windows are reconciled globally. A window owns the spans whose first trigger
 character (a digit or @) lies in its middle part, the middle parts tile the text,
-and every span that can be accepted has a trigger; so each span comes whole from
-one window, with context on both sides, and a window without a trigger in its
-middle owns nothing and need not be run. What the windows own is checked (an
+and every span that can be accepted has a trigger; so each span comes from one
+window, and a window without a trigger in its middle owns nothing and need not be
+run. Where a span that a window owns comes near an edge of it that is no edge of
+the text, the window is widened on that side and decoded again, until the span
+lies inside with context on both sides, however long it is; windows that meet as
+they widen become one stretch. What the windows own is checked (an
 address has its parts, a card its check sum ...) and kept where it touches no
 base span and no earlier span of the model. Base spans always stay.
 
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 KINDS = ["email", "ip", "card", "phone"]
-WINDOW, MARGIN, HIDDEN = 112, 40, 12
+WINDOW, MARGIN, CONTEXT, HIDDEN = 112, 40, 16, 12
 STRIDE = WINDOW - 2 * MARGIN
 SAMPLE_DOCS, SAMPLE_SPANS, STEPS, BATCH = 20_000, 2_000, 240, 48
 
@@ -114,7 +117,7 @@ def classes(text: str) -> np.ndarray:
 def tags_of(spans: list[Span], n: int) -> np.ndarray:
     y = np.zeros(n, np.int64)
     for k, s, e in spans:
-        y[s:e] = 2 + 2 * k
+        y[max(s, 0):e] = 2 + 2 * k  # a span that began before the window has no begin
         if s >= 0:
             y[s] = 1 + 2 * k
     return y
@@ -285,14 +288,31 @@ def rewritten(kind: int, form: str, rng: np.random.Generator) -> str:
     return form
 
 
+def shortened(form: str) -> str:
+    """The form with each part (before and from the @) over two windows cut in its middle: no window shows more."""
+    at = form.find("@")
+    parts = [form[:at], form[at:]] if at >= 0 else [form]
+    return "".join(p if len(p) <= 2 * WINDOW else p[:WINDOW] + p[-WINDOW:] for p in parts)
+
+
 def labelled(rows: list[tuple[str, int, str, str]], seed: int = 11) -> list[tuple[str, list[Span]]]:
-    """Training windows from (text before, kind or -1, form, text after): as found, and rewritten."""
+    """Training windows from (text before, kind or -1, form, text after): as found, and rewritten.
+
+    A form over half a window gives windows over all its length, each with its part of the span.
+    """
     rng = np.random.default_rng(seed)
     out = []
     for left, kind, form, right in rows:
         for f in ([form] if kind < 0 else [form, rewritten(kind, form, rng)]):
             shift = int(rng.integers(MARGIN // 2, WINDOW // 2))
             head = left[-shift:] if left else ""
+            if len(f) > WINDOW // 2:
+                whole, s, e = head + f + right, len(head), len(head) + len(f)
+                for lo in range(0, e, WINDOW // 2):
+                    text = whole[lo:lo + WINDOW]
+                    spans = [x for x in base_spans(text) if x[1] >= e - lo or x[2] <= s - lo]
+                    out.append((text, sorted([(kind, s - lo, e - lo), *spans], key=lambda x: x[1])))
+                continue
             text = (head + f + right)[:WINDOW]
             s, e = len(head), min(len(head) + len(f), WINDOW)
             spans = [(kind, s, e)] if kind >= 0 and e == len(head) + len(f) else []
@@ -306,7 +326,7 @@ def fit(df: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, s
         steps: int = STEPS) -> dict | None:
     """Train from the base spans (and digits that are none) of about ``sample_docs`` documents, by hash.
 
-    At most ``sample_spans`` short snippets reach the driver.
+    At most ``sample_spans`` snippets of bounded length (:func:`shortened`) reach the driver.
     """
     total = df.count()
     share = min(1.0, sample_docs / max(1, total))
@@ -318,13 +338,13 @@ def fit(df: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, s
         left, kind, form, right = [], [], [], []
         for t in cols[0]:
             spans = base_spans(t)
-            found = [(k, s, e) for k, s, e in spans if e - s <= WINDOW // 2]
+            found = list(spans)
             free = (m for m in TRIGGER.finditer(t) if not any(s <= m.start() < e for _, s, e in spans))
             found += [(-1, m.start(), m.end()) for m, _ in zip(free, range(2))]
             for k, s, e in found:
                 left.append(t[max(0, s - WINDOW):s])
                 kind.append(k)
-                form.append(t[s:e])
+                form.append(shortened(t[s:e]))
                 right.append(t[e:e + WINDOW])
         yield {"l": left, "k": kind, "f": form, "r": right}
 
@@ -368,30 +388,67 @@ def _alone(text: str, s: int, e: int) -> bool:
         e < len(text) and text[e].isalnum() and text[e - 1].isalnum())
 
 
+def hopeless(kind: int, piece: str) -> bool:
+    """Whether no datum of the kind can hold this piece, whatever stands around it."""
+    if "\n" in piece:
+        return True
+    return piece.count("@") > 1 if kind == 0 else len(_digits(piece)) > (12, 19, 15)[kind - 1]
+
+
+def _owned(text: str, tags: np.ndarray, lo: int, owns: frozenset[int]) -> list[Span]:
+    """The tagged spans of a stretch that starts at ``lo`` whose first trigger lies in one of its middle parts."""
+    out = []
+    for kind, a, b in spans_of(tags):
+        a, b = a + lo, b + lo
+        if a < 0 or b > len(text):
+            continue
+        m = TRIGGER.search(text, a, b)
+        if m and m.start() // STRIDE in owns:
+            out.append((kind, a, b))
+    return out
+
+
+def _merged(stretches: list[tuple[int, int, int, frozenset[int]]]) -> list[tuple[int, int, int, frozenset[int]]]:
+    """Stretches (text, start, end, owned middle parts) with those of one text that overlap made one."""
+    out: list[tuple[int, int, int, frozenset[int]]] = []
+    for d, lo, hi, owns in sorted(stretches, key=lambda x: x[:3]):
+        if out and out[-1][0] == d and lo < out[-1][2]:
+            _, lo, before, more = out.pop()
+            hi, owns = max(hi, before), owns | more
+        out.append((d, lo, hi, owns))
+    return out
+
+
 def model_spans(w: dict, texts: list[str], base: list[list[Span]], prune: bool = True,
                 block: int = 1024) -> list[list[Span]]:
     """What the model adds to each text's base spans, reconciled over its windows."""
-    jobs = [(d, s) for d, t in enumerate(texts) for s in windows(t, prune)]
+    todo = [(d, s, s + WINDOW, frozenset([(s + MARGIN) // STRIDE])) for d, t in enumerate(texts) for s in windows(t, prune)]
     found: list[list[Span]] = [[] for _ in texts]
-    for lo in range(0, len(jobs), block):
-        part = jobs[lo:lo + block]
-        c = np.zeros((len(part), WINDOW), np.int64)
-        for i, (d, s) in enumerate(part):
-            piece = classes(texts[d][max(0, s):s + WINDOW])
-            c[i, max(0, -s):max(0, -s) + len(piece)] = piece
-        tags = decode(w, c)
-        for i in np.flatnonzero(tags.any(axis=1)).tolist():
-            d, s = part[i]
-            text = texts[d]
-            for kind, a, b in spans_of(tags[i]):
-                a, b = a + s, b + s
-                if a < 0 or b > len(text):
-                    continue
-                m = TRIGGER.search(text, a, b)
-                # the first trigger decides which window owns the span
-                if m and s + MARGIN <= m.start() < s + MARGIN + STRIDE and a >= s and plausible(kind, text[a:b]) \
-                        and _alone(text, a, b):
-                    found[d].append((kind, a, b))
+    while todo:
+        todo.sort(key=lambda x: (x[2] - x[1], x[0], x[1]))
+        wider, at = [], 0
+        while at < len(todo):
+            # rows of one length, so that no row is padded for another
+            size = todo[at][2] - todo[at][1]
+            most = at + max(1, block * WINDOW // size)
+            part = [x for x in todo[at:most] if x[2] - x[1] == size]
+            at += len(part)
+            c = np.zeros((len(part), size), np.int64)
+            for i, (d, lo, hi, _) in enumerate(part):
+                piece = classes(texts[d][max(0, lo):hi])
+                c[i, max(0, -lo):max(0, -lo) + len(piece)] = piece
+            tags = decode(w, c)
+            for i in np.flatnonzero(tags.any(axis=1)).tolist():
+                d, lo, hi, owns = part[i]
+                text, mine = texts[d], _owned(texts[d], tags[i], part[i][1], part[i][3])
+                open_ = [(a, b) for kind, a, b in mine if not hopeless(kind, text[a:b])]
+                left = lo > 0 and any(a - lo < CONTEXT for a, _ in open_)
+                right = hi < len(text) and any(hi - b < CONTEXT for _, b in open_)
+                if left or right:
+                    wider.append((d, lo - left * size, hi + right * size, owns))
+                else:
+                    found[d] += [(k, a, b) for k, a, b in mine if plausible(k, text[a:b]) and _alone(text, a, b)]
+        todo = _merged(wider)
     out = []
     for mine, more in zip(base, found):
         taken = sorted((s, e) for _, s, e in mine)

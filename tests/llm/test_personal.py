@@ -72,6 +72,44 @@ def test_skipped_windows_own_nothing(spark, weights):
     assert P.model_spans(weights, texts, base) == P.model_spans(weights, texts, base, prune=False)
 
 
+LONG = "maria.gonzalez7 @ translational-medicine.university-hospital-zurich.example"
+
+
+def test_long_spans_come_whole_at_every_offset(monkeypatch):
+    signs = {c: ch for ch in "a1.-@ " for c in P.classes(ch).tolist()}
+
+    def tagger(_, c):  # knows spaced addresses, also where an edge of its window cuts them
+        y = np.zeros(c.shape, np.int64)
+        for i, row in enumerate(c.tolist()):
+            for m in re.finditer(r"[a1.-]+ @ [a1.-]+|^(?: ?@ )?[a1.-]*[.-][a1.-]+|[a1.-]*1 ?@? ?$", "".join(signs.get(x, "_") for x in row)):
+                y[i, m.start():m.end()] = 2
+                y[i, m.start()] = 1
+        return y
+
+    monkeypatch.setattr(P, "decode", tagger)
+    for form in (LONG, "jo7 @ " + "sub-domain." * 200 + "example", "x" * 90 + "7 @ b.example", "x" * 300 + " @ b.example"):
+        for at in range(100, 100 + 2 * P.STRIDE):
+            text = "word " * 20 + "_" * (at - 100) + " " + form + " and so on" * 20
+            s = text.index(form)
+            assert P.model_spans({}, [text, ""], [[], []]) == [[(0, s, s + len(form))], []], (form[:20], at)
+
+
+def test_learns_long_forms(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghinorstu"), rng.integers(3, 12)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, f"{prose(30)} {word()}.{word()}{i % 90}@{'-'.join(word() for _ in range(4))}."
+                f"{'-'.join(word() for _ in range(4))}.example {prose(30)}", "s") for i in range(400)]
+    w = P.fit(documents(spark, rows))
+    found = 0
+    for at in range(P.STRIDE):
+        text = prose(40)[-100 - at:] + " " + LONG + " " + prose(30)
+        got, = P.model_spans(w, [text], [P.base_spans(text)])
+        found += any(text[s:e] == LONG for _, s, e in got)
+        assert not any(text[s:e] in LONG and text[s:e] != LONG for _, s, e in got), at
+    assert found > 0.9 * P.STRIDE
+
+
 def test_digest(spark, weights):
     text = "mail a.b@c.de, ip 1.2.3.4; card 4111 1111 1111 1111 and +1 (988) 555-2485!"
     r, = P.personal_digest(P.find_personal(documents(spark, [(1, text, "s")]), weights)).collect()
