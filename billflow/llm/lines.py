@@ -2,7 +2,9 @@
 
 Pages are grouped by host. A line's boilerplate ratio is the number of the
 host's pages that contain it over the number of the host's pages; lines above
-the ratio, on hosts with enough pages, are dropped wherever they stand. Lines are
+the ratio and on two pages or more are dropped wherever they stand, on hosts with
+``min_pages`` pages: 10 unless given, as in the SQL of op2; the pipeline has no
+such floor. Lines are
 compared trimmed; blank lines are never counted nor dropped on their own account.
 
 Lines travel as 128-bit hashes and are counted map-side before the shuffle, each

@@ -33,8 +33,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that are boilerplate on their source; n_chars follows the text."""
-    done = lines.drop_lines(docs, F.col("source"), F.col("text"), docs.columns)
+    """Texts without the lines that are boilerplate on their source, whatever its size; n_chars follows the text."""
+    done = lines.drop_lines(docs, F.col("source"), F.col("text"), docs.columns, min_pages=1)
     clean = F.when(F.col("row.text").isNull(), F.lit(None)).otherwise(F.col("clean"))
     made = {"text": clean, "n_chars": F.when(F.col("n_dropped") > 0, F.length("clean")).otherwise(F.col("row.n_chars"))}
     types = dict(docs.dtypes)

@@ -10,7 +10,7 @@ from billflow.llm import lines as L
 from billflow.llm import quality as Q
 from billflow.llm.queries import quality_model, tokenizer_path
 
-from .conftest import plain
+from .conftest import documents, plain
 from .test_lines import brute as brute_lines
 from .test_minhash import brute as brute_groups
 from .test_mixing import brute as brute_mix
@@ -53,6 +53,13 @@ def test_every_stage(spark, monkeypatch):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_small_sources_lose_boilerplate_too(spark):
+    rows = [(i, f"own text {i}\nmenu | home", f"s{n}") for n in range(1, 10) for i in range(10 * n, 11 * n)]
+    out = dict(C.STAGES)["line_dedup"](spark, documents(spark, rows), SF)
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        i: t if s == "s1" else f"own text {i}" for i, t, s in rows}  # one page alone shares nothing
+
+
 def test_run_equals_its_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, f in C.STAGES:
