@@ -16,8 +16,8 @@ together are small (checked), and else joined by host, the pages salted.
 
 Defined results: a null text counts as empty; pages without a host (null) are
 left whole; a page whose lines would all go is left whole, as it has no content
-that boilerplate surrounds (the duplicate stages deal with such pages); a
-repeated row counts as another page; an empty table gives an empty result.
+that boilerplate surrounds (the duplicate stages deal with such pages), and its
+n_over tells it from a page without boilerplate; a repeated row counts as another page; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,7 +66,11 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio: float = RATIO,
                min_pages: int = MIN_PAGES) -> DataFrame:
-    """Per row: a struct ``row`` of the columns ``keep``, n_lines, n_dropped, clean (the text left)."""
+    """Per row: a struct ``row`` of the columns ``keep``, n_lines, n_dropped, n_over, clean (the text left).
+
+    n_over counts the lines that are boilerplate. It is n_dropped, but on a page left whole for
+    having no others, where n_dropped is 0.
+    """
     pages = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), host.alias("host"),
                       F.coalesce(text, F.lit("")).alias("text"))
     lists = cut(boilerplate(pages.select("host", "text"), ratio, min_pages))
@@ -83,6 +87,7 @@ def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio
     out = both.select("row", "text", F.size(lines).alias("n_lines"), left.alias("left"))
     whole = ~F.exists("left", lambda x: _trim(x) != "")
     n_left = F.when(whole, F.col("n_lines")).otherwise(F.size("left"))
+    n_over = F.col("n_lines") - F.size("left")
     return out.select("row", F.col("n_lines").cast("long").alias("n_lines"),
-                      (F.col("n_lines") - n_left).cast("long").alias("n_dropped"),
+                      (F.col("n_lines") - n_left).cast("long").alias("n_dropped"), n_over.cast("long").alias("n_over"),
                       F.when(whole, F.col("text")).otherwise(F.array_join("left", "\n")).alias("clean"))

@@ -49,6 +49,14 @@ def test_matches_plain_python(spark, monkeypatch, broadcast):
     assert got[0][0].n_dropped == 0 and got[4][0].n_dropped == 2
 
 
+def test_pages_of_boilerplate_alone_are_told(spark):
+    df = documents(spark, site())
+    got = by_id(L.drop_lines(df, F.col("source"), F.col("text"), df.columns)
+                .select("row.doc_id", "n_lines", "n_dropped", "n_over"))
+    assert [(r.n_lines, r.n_dropped, r.n_over) for d in (900, 4, 0, 990) for r in got[d]] == [
+        (2, 0, 2), (5, 2, 2), (5, 0, 0), (1, 0, 0)]
+
+
 def test_odd_rows(messy, empty):
     got = L.drop_lines(messy, F.col("source"), F.col("text"), messy.columns)
     assert got.count() == 12 and got.agg(F.sum("n_dropped")).first()[0] == 0
