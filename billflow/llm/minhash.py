@@ -279,23 +279,44 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       F.coalesce(F.col("id") == comp, comp.isNull()).alias("kept"))
 
 
+def _one_of_each(rows: DataFrame, again: DataFrame, key: str, keep: list[str]) -> DataFrame:
+    """``rows`` (columns ``keep``) with one row of each key that ``again`` (a column _again) names."""
+    again = maybe_broadcast(again, BROADCAST_IDS)
+    match = rows[key] == again["_again"]
+    packed = rows.join(again, match, "left_semi").select(F.col(key).alias("_id"), F.struct(*keep).alias("row"))
+    one = packed.groupBy("_id").agg(F.first("row").alias("row")).select("row.*")
+    return rows.join(again, match, "left_anti").select(*keep).unionByName(one)
+
+
+def _without_copies(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    found = near_duplicates(df, id_col, text_col, shingle, percent)
+    gone = cut(found.filter("not kept").select(F.col(id_col).alias("_gone")).distinct())
+    gone = maybe_broadcast(gone, BROADCAST_IDS)
+    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+
+
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                          percent: int = 80) -> DataFrame:
-    """The rows of ``df``, all columns, one document of each group (rows of one id count as one document).
+    """The rows of ``df``, all columns, one document of each group (rows of one id and text count as one document).
 
     What goes is few beside what stays, so the ids that go meet the rows (sent to
-    them up to a counted bound); only rows that share an id are shuffled.
+    them up to a counted bound); only rows that share an id are shuffled. Where an
+    id is null or stands on unlike texts, id and text together name a document: a
+    text stays unless a copy of it is kept, with an id before one without. Texts
+    without words are no copies; those without an id all stay.
     """
-    found = near_duplicates(df, id_col, text_col, shingle, percent)
-    gone = cut(found.filter("not kept").select(F.col(id_col).alias("_gone")).distinct())
-    gone = maybe_broadcast(gone, BROADCAST_IDS)
-    left = df.join(gone, df[id_col] == gone["_gone"], "left_anti")
-    again = cut(df.groupBy(F.col(id_col).alias("_again")).agg(F.count("*").alias("n"))
-                .filter("n > 1 and _again is not null").select("_again"))
-    if again.isEmpty():
-        return left
-    again = maybe_broadcast(again, BROADCAST_IDS)
-    match = left[id_col] == again["_again"]
-    packed = left.join(again, match, "left_semi").select(F.col(id_col).alias("_id"), F.struct(*df.columns).alias("row"))
-    one = packed.groupBy("_id").agg(F.first("row").alias("row")).select("row.*")
-    return left.join(again, match, "left_anti").unionByName(one)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    ids = cut(df.groupBy(F.col(id_col).alias("_again"))
+              .agg(F.count("*").alias("n"), (F.min(F.xxhash64(text)) != F.max(F.xxhash64(text))).alias("unlike"))
+              .filter("n > 1 or _again is null"))
+    if ids.filter("unlike or _again is null").isEmpty():
+        left = _without_copies(df, id_col, text_col, shingle, percent)
+        again = ids.select("_again")
+        return left if again.isEmpty() else _one_of_each(left, again, id_col, df.columns)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                   F.xxhash64(text).alias("a"), F.xxhash64(F.lit(17), text).alias("b"))
+    keyed = df.select(key.alias("_key"), text.alias("_text"), F.struct(*df.columns).alias("_row"))
+    again = cut(keyed.filter(~F.col("_key.none") | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
+                .groupBy(F.col("_key").alias("_again")).agg(F.count("*").alias("n")).filter("n > 1").select("_again"))
+    left = _without_copies(keyed, "_key", "_text", shingle, percent)
+    return _one_of_each(left, again, "_key", ["_row"]).select("_row.*")

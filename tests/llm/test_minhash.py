@@ -108,3 +108,15 @@ def test_odd_rows(messy, empty):
     assert left.columns == messy.columns
     assert sorted(r.doc_id or -1 for r in left.collect()) == [-1, 1, 2, 3, 4, 6, 7, 9, 10]
     assert M.drop_near_duplicates(empty).count() == 0
+
+
+def test_unlike_texts_under_one_id(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(1, one, "s"), (2, one, "s"), (2, two, "s"), (3, three, "s"), (3, one, "s"), (3, three, "s"), (4, two + " x", "s"),
+            (None, three, "s"), (None, two + " y z", "t"), (None, "own words of no id at all", "s"),
+            (None, "own words of no id at all", "t"), (None, "", "s"), (None, "", "t"), (None, None, "s"), (5, None, "s"), (5, "", "s")]
+    df = documents(spark, rows)
+    left = M.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [
+        (0, ""), (0, ""), (0, ""), (0, "own words of no id at all"), (1, one), (2, two), (3, three), (5, "")]
