@@ -126,7 +126,9 @@ MORE = [
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("url_login", r"[a-z][a-z0-9+]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{4,64}@"),
+    # no limit on user and password: the class leaves out what ends them, so a possessive run is linear
+    Rule("url_login", r"[a-z][a-z0-9+]{1,20}://[^\s/:@]++:[^\s/:@]{4,}+@"),
+    Rule("github_pat", r"github_pat_[A-Za-z0-9_]{82}"),
 ]
 
 

@@ -62,3 +62,19 @@ def test_odd_rows(messy, empty):
     got = by_id(S.secret_digest(S.find_secrets(messy)))
     assert len(got[1]) == 2 and got[2][0].spans == "" and None in got
     assert S.find_secrets(empty).count() == 0
+
+
+def test_long_logins_and_tokens(spark):
+    pat = "github_pat_" + "a1B2c3D4e5F" * 2 + "_" + "x" * 59
+    texts = [f"https://x:{pat}@github.com", f"https://{'u' * 200}:{'p' * 5000}@h", f"key {pat}.", f"https://x:abc@h {pat[:-1]}"]
+    got = by_id(S.secret_digest(S.find_secrets(documents(spark, [(i, t, "s") for i, t in enumerate(texts)]))))
+    assert [got[i][0].spans for i in range(4)] == [
+        "url_login:0:104,github_pat:10:103", "url_login:0:5210", "github_pat:4:97", ""]
+
+
+def test_long_runs_are_linear():
+    import time
+
+    start = time.perf_counter()
+    S.scan_shard(["https://" + "a" * 1_000_000, "https://a:" + "b" * 1_000_000, "a://b:" * 100_000], S.prepared(S.MORE))
+    assert time.perf_counter() - start < 20
