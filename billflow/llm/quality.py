@@ -109,6 +109,16 @@ def _dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICT_BYTES:]
 
 
+def sample(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, max_chars: int) -> DataFrame:
+    """(id, y, u, t): one non-empty stretch of text for each chosen id (id, y, u), reduced map-side to one row an id."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    offset = (F.greatest(F.length(text) - max_chars, F.lit(0)) * F.col("u")).cast("int") + 1
+    return (docs.select(F.col(id_col).alias("id"), text_col)
+            .join(F.broadcast(chosen), "id")  # at most 2 * per_class rows
+            .select("id", "y", "u", F.substring(text, offset, F.lit(max_chars)).alias("t")).filter("t <> ''")
+            .groupBy("id", "y", "u").agg(F.min("t").alias("t")))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
     """Learn from the labelled ids given; the sample that reaches the driver is bounded by the two limits."""
@@ -122,12 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for y in (0, 1):
         part = named.filter(F.col("y") == y).withColumn("u", unit_hash("id", seed=8)).orderBy("u", "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    offset = (F.greatest(F.length(text) - max_chars, F.lit(0)) * F.col("u")).cast("int") + 1
-    rows = (docs.select(F.col(id_col).alias("id"), text_col)
-            .join(F.broadcast(chosen), "id")  # at most 2 * per_class rows
-            .select("id", "y", "u", F.substring(text, offset, F.lit(max_chars)).alias("t")).collect())
-    rows = sorted(((r.u, r.id, r.y, r.t) for r in rows if r.t), key=lambda r: (r[0], str(r[1])))[:4 * per_class]
+    rows = sample(docs, chosen, id_col, text_col, max_chars).collect()
+    rows = sorted(((r.u, r.id, r.y, r.t) for r in rows), key=lambda r: (r[0], str(r[1])))
     by = {y: [t for _, _, z, t in rows if z == y] for y in (0, 1)}
     if min(map(len, by.values())) < LEAST:
         return Model(share=share)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from billflow.llm import quality as Q
 from billflow.llm.queries import op8_quality
 
-from .conftest import by_id
+from .conftest import by_id, documents
 
 
 def test_held_out_accuracy(spark):
@@ -43,3 +43,10 @@ def test_odd_rows(spark, messy, empty):
     s = {i: r[0].score for i, r in by_id(Q.score(docs, fitted)).items()}
     assert s[90] == s[91] and 0 <= s[90] <= 1
     assert min(s[i] for i in texts if i % 2) > max(s[i] for i in texts if not i % 2)
+
+
+def test_sample_is_one_row_an_id(spark):
+    docs = documents(spark, [(1, f"text {i}", "s") for i in range(500)] + [(2, None, "s"), (2, "", "s"), (2, "words", "s"), (3, "", "s"), (4, "not chosen", "s")])
+    chosen = spark.createDataFrame([(1, 1, 0.5), (2, 0, 0.1), (3, 0, 0.2)], "id long, y int, u double")
+    got = Q.sample(docs, chosen, "doc_id", "text", 100).collect()
+    assert sorted((r.id, r.y, r.t) for r in got) == [(1, 1, "text 0"), (2, 0, "words")]
