@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hnsw, lines, minhash, mixing, personal, quality, secrets, syncmers, urls
+from . import (bpe, hnsw, lines, minhash, mixing, negatives, personal, quality, secrets, spelling, syncmers, token_files,
+               urls)
 from .common import read
 
 
@@ -96,6 +97,20 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.evaluate(captures, list_entries(pages), "page_id", "url", "day")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(read(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_line_dedup, op3_syncmers, op4_bpe, op5_mixing, op6_minhash, op7_hnsw, op8_quality, op9_url_filter,
-    op10_personal)}
+    op10_personal, op11_spelling, op12_token_files, op13_negatives)}
