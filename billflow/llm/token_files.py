@@ -44,6 +44,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -355,10 +356,10 @@ class Tokens:
                     text = texts[len(out) + len(some)]
                     some.append(text.split())
                     size += len(text)
-                new = set().union(*some).difference(self.kept)
-                if len(self.kept) + len(new) > MAX_KEPT:
-                    self.kept.clear()
-                    new = set().union(*some)
+                new = {p for x in some for p in filterfalse(self.kept.__contains__, x)}
+                if len(self.kept) + len(new) > MAX_KEPT:  # only what these texts use stays
+                    used = set().union(*some)
+                    self.kept = {p: self.kept[p] for p in used.difference(new)}
                 self.learn(list(new))
                 out.extend([b"".join([*map(self.kept.__getitem__, x), *last]) for x in some])
         finally:
