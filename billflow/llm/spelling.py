@@ -10,7 +10,8 @@ one: near words are within Hamming distance two. PartEnum finds such pairs exact
 places are dealt by hash into ``PARTS`` parts; what two words differ in lies in two parts
 at most, so that, of all ways to leave two parts out, one leaves both words the same
 rest. A signature is a hash of that rest, of the parts left out and of the length. Words
-of unlike lengths differ in one place only, so for them one part is left out.
+of unlike lengths differ in one place only: for them the places are dealt into
+``PARTS_ONE`` parts, and one is left out.
 
 Multisets know no order, and anagrams would share all signatures. Near words also share
 their first half or their last half, letter by letter (the halves of the shorter one), so
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import cut, mix64, with_code
 
 LETTERS, LEAST, SEEN, ONE_IN, MORE = "A-Za-z\\u00C0-\\u00FF", 7, 2, 31, 10
-PARTS = 4
+PARTS, PARTS_ONE = 3, 2
 SAME, SHORT, LONG = 0, 1, 2  # sides of the join: equal lengths, the shorter word, the longer one
 _U = np.uint64
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,19 +66,19 @@ def words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
             .groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= seen))
 
 
-def _parts(word: str, place: dict[tuple[str, int], tuple[int, int]]) -> list[int]:
-    """For each part a hash of the places (letter, k) of the word's multiset that lie in it."""
-    out, count = [0] * PARTS, {}
+def _parts(word: str, place: dict[tuple[str, int], tuple[int, int, int]]) -> list[int]:
+    """Hashes of the places (letter, k) of the word's multiset: by part of PARTS, then by part of PARTS_ONE."""
+    out, count = [0] * (PARTS + PARTS_ONE), {}
     for c in word:
         k = count[c] = count.get(c, 0) + 1
         at = place.get((c, k))
         if at is None:
             h = int(mix64(np.array([ord(c) << 32 | k], _U))[0])
-            at = h >> 32
-            if k <= 4 and len(place) < 1 << 16:
-                place[c, k] = at % PARTS, h
-            at = at % PARTS, h
-        out[at[0]] ^= at[1]
+            at = h, (h >> 32) % PARTS, PARTS + (h >> 48) % PARTS_ONE
+            if len(place) < 1 << 16:
+                place[c, k] = at
+        out[at[1]] ^= at[0]
+        out[at[2]] ^= at[0]
     return out
 
 
@@ -91,8 +92,8 @@ def signatures_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Index of the word, side and key of every signature of the words."""
     place: dict = {}
     size = np.array([len(w) for w in words], _U)
-    part = np.array([_parts(w, place) for w in words], _U).reshape(len(words), PARTS)
-    whole = np.bitwise_xor.reduce(part, axis=1)
+    part = np.array([_parts(w, place) for w in words], _U).reshape(len(words), PARTS + PARTS_ONE)
+    whole = np.bitwise_xor.reduce(part[:, :PARTS], axis=1)
     own = np.array([_halves(w, len(w) // 2, len(w) - len(w) // 2) for w in words], _U).reshape(len(words), 2)
     less = np.array([_halves(w, (len(w) - 1) // 2, len(w) // 2) for w in words], _U).reshape(len(words), 2)
     sides, keys = [], []
@@ -104,9 +105,9 @@ def signatures_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
     for n, (i, j) in enumerate(combinations(range(PARTS), 2)):
         add(SAME, 1 + n, whole ^ part[:, i] ^ part[:, j], size, own)
-    for i in range(PARTS):
-        add(SHORT, 101 + i, whole ^ part[:, i], size, own)
-        add(LONG, 101 + i, whole ^ part[:, i], size - _U(1), less)
+    for i in range(PARTS_ONE):
+        add(SHORT, 101 + i, whole ^ part[:, PARTS + i], size, own)
+        add(LONG, 101 + i, whole ^ part[:, PARTS + i], size - _U(1), less)
     n = len(words)
     return (np.tile(np.arange(n), len(keys)), np.repeat(np.array(sides, np.int8), n),
             np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64))
@@ -130,11 +131,12 @@ def signatures(counted: DataFrame) -> DataFrame:
 def near_pairs(counted: DataFrame) -> DataFrame:
     """(word, n) -> (a, n_a, b, n_b): every two words that differ by one code point, once."""
     rows = signatures(counted)
-    x = rows.filter(F.col("side") != LONG).select("key", F.col("side").alias("sx"), F.col("word").alias("a"), F.col("n").alias("n_a"))
-    y = rows.filter(F.col("side") != SHORT).select("key", F.col("side").alias("sy"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    sides = ((F.col("sx") == SAME) & (F.col("sy") == SAME) & (F.col("a") < F.col("b"))) | (
+    x = rows.select("key", F.col("side").alias("sx"), F.col("word").alias("a"), F.col("n").alias("n_a"))
+    y = rows.select("key", F.col("side").alias("sy"), F.col("word").alias("b"), F.col("n").alias("n_b"))
+    # one condition on both sides, so that nothing is pushed below the shuffle that they share (merged: sizes are not known)
+    meets = F.when(F.col("sx") + F.col("sy") == SAME, F.col("a") < F.col("b")).otherwise(
         (F.col("sx") == SHORT) & (F.col("sy") == LONG))
-    met = x.join(y, "key").filter(sides & (F.levenshtein("a", "b", 1) == 1))
+    met = x.join(y.hint("merge"), "key").filter(meets & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "n_a", "b", "n_b").distinct()
 
 
