@@ -2,17 +2,17 @@
 
 Pages are grouped by host. A line's boilerplate ratio is the number of the
 host's pages that contain it over the number of the host's pages; lines above
-the ratio and on two pages or more are dropped wherever they stand, on hosts with
-``min_pages`` pages: 10 unless given, as in the SQL of op2; the pipeline has no
-such floor. Lines are
-compared trimmed; blank lines are never counted nor dropped on their own account.
+the ratio and on two pages or more are dropped wherever they stand, on hosts of any
+size. Lines are compared trimmed; blank lines are never counted nor dropped on their own
+account.
 
 Lines travel as 128-bit hashes and are counted map-side before the shuffle, each
 once per page, so neither a hot host nor a line that every page has gathers in a
 task; texts are not shuffled. Of one host, fewer than (mean distinct lines of a
 page) / ratio lines can be above the ratio, so a host's list of dropped lines is
 bounded whatever its pages number; the lists are broadcast when all of them
-together are small (checked), and else joined by host, the pages salted.
+together are small (checked), and else joined by host, the pages salted. A line is looked
+up by the first half of its hash; the second half decides on a hit.
 
 Defined results: a null text counts as empty; pages without a host (null) are
 left whole; a page whose lines would all go is left whole, as it has no content
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-RATIO, MIN_PAGES, SALTS, BROADCAST_LINES = 0.1, 10, 32, 100_000
+RATIO, SALTS, BROADCAST_LINES = 0.1, 32, 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -38,8 +38,9 @@ def host_of(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """The visible text of an HTML page, one line for each block element."""
-    text = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"[\r\n]+", " ")
+    # what is no text, and line breaks, in one pass that stops only at "<" and at breaks
+    text = F.regexp_replace(html, r"(?is)[<\r\n](?:(?<=[\r\n])[\r\n]*|(?<=<)(?:script[^>]*>.*?</script>"
+                                  r"|style[^>]*>.*?</style>|!--.*?-->))", " ")
     block = r"(?i)</?(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|nav|article|section|header|footer|title|body|head|html)(?:\s[^>]*)?/?>"
     text = F.regexp_replace(text, block, "\n")
     return F.regexp_replace(text, r"<[^>]*>", "")
@@ -53,19 +54,19 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(17), line).alias("b"))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = RATIO) -> DataFrame:
     """(host, text) -> (host, drop): for each host with any, the keys of its lines above the ratio."""
     named = pages.filter("host is not null")
-    totals = named.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
-    keys = F.array_distinct(F.transform(F.filter(F.transform(F.split("text", "\n"), _trim), lambda x: x != ""), _key))
-    counted = (named.select("host", F.explode(keys).alias("key"))
+    totals = named.groupBy("host").agg(F.count("*").alias("pages"))
+    # distinct as strings: structs are compared each with each
+    once = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), _trim), lambda x: x != ""))
+    counted = (named.select("host", F.explode(F.transform(once, _key)).alias("key"))
                .groupBy("host", "key").agg(F.count("*").alias("on")).filter("on > 1"))
     return (counted.join(totals, "host").filter(F.col("on") > ratio * F.col("pages"))
             .groupBy("host").agg(F.collect_list("key").alias("drop")))
 
 
-def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio: float = RATIO,
-               min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio: float = RATIO) -> DataFrame:
     """Per row: a struct ``row`` of the columns ``keep``, n_lines, n_dropped, n_over, clean (the text left).
 
     n_over counts the lines that are boilerplate. It is n_dropped, but on a page left whole for
@@ -73,7 +74,7 @@ def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio
     """
     pages = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), host.alias("host"),
                       F.coalesce(text, F.lit("")).alias("text"))
-    lists = cut(boilerplate(pages.select("host", "text"), ratio, min_pages))
+    lists = cut(boilerplate(pages.select("host", "text"), ratio))
     if (lists.agg(F.sum(F.size("drop"))).first()[0] or 0) <= BROADCAST_LINES:
         both = pages.join(F.broadcast(lists), "host", "left")
     else:
@@ -81,7 +82,8 @@ def drop_lines(df: DataFrame, host: Column, text: Column, keep: list[str], ratio
         both = (pages.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
                 .join(salted, ["host", "salt"], "left"))
     lines = F.split("text", "\n")
-    gone = lambda x: F.array_contains(F.col("drop"), _key(_trim(x)))
+    gone = lambda x: (F.array_contains(F.col("drop")["a"], F.xxhash64(_trim(x)))
+                      & F.array_contains(F.col("drop"), _key(_trim(x))))
     left = F.when(F.col("drop").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~gone(x)))
     out = both.select("row", "text", F.size(lines).alias("n_lines"), left.alias("left"))

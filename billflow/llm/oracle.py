@@ -13,7 +13,7 @@ WITH pages_ AS (
   FROM pages),
 trimmed AS (
   SELECT *, list_transform(lines, lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS cut FROM pages_),
-totals AS (SELECT host, count(*) AS pages FROM pages_ WHERE host IS NOT NULL GROUP BY host HAVING count(*) >= 10),
+totals AS (SELECT host, count(*) AS pages FROM pages_ WHERE host IS NOT NULL GROUP BY host),
 each AS (SELECT host, unnest(list_distinct(list_filter(cut, lambda x: x <> ''))) AS line FROM trimmed WHERE host IS NOT NULL),
 counted AS (SELECT host, line, count(*) AS n FROM each GROUP BY host, line HAVING count(*) > 1),
 drops AS (SELECT host, list(line) AS dropped FROM counted JOIN totals USING (host) WHERE n > 0.1 * pages GROUP BY host),

@@ -13,7 +13,7 @@ from .conftest import by_id, documents
 TRIM = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def brute(rows, ratio=L.RATIO, min_pages=L.MIN_PAGES):
+def brute(rows, ratio=L.RATIO):
     """[(id, text, host)] -> id -> (n_lines, n_dropped, text left); repeated ids in order."""
     pages = Counter(h for _, _, h in rows)
     on: Counter = Counter()
@@ -22,7 +22,7 @@ def brute(rows, ratio=L.RATIO, min_pages=L.MIN_PAGES):
     out: dict = {}
     for d, t, h in rows:
         lines = (t or "").split("\n")
-        gone = lambda x: h is not None and pages[h] >= min_pages and on[h, x] > 1 and on[h, x] > ratio * pages[h]
+        gone = lambda x: h is not None and on[h, x] > 1 and on[h, x] > ratio * pages[h]
         left = [x for x in lines if not (x.strip(TRIM) and gone(x.strip(TRIM)))]
         if not any(x.strip(TRIM) for x in left):
             left = lines
@@ -46,7 +46,7 @@ def test_matches_plain_python(spark, monkeypatch, broadcast):
     df = documents(spark, rows)
     got = by_id(L.drop_lines(df, F.col("source"), F.col("text"), df.columns).select("row.doc_id", "n_lines", "n_dropped", "clean"))
     assert {d: sorted((r.n_lines, r.n_dropped, r.clean) for r in rs) for d, rs in got.items()} == brute(rows)
-    assert got[0][0].n_dropped == 0 and got[4][0].n_dropped == 2
+    assert got[0][0].n_dropped == 3 and got[4][0].n_dropped == 2
 
 
 def test_pages_of_boilerplate_alone_are_told(spark):
@@ -54,7 +54,7 @@ def test_pages_of_boilerplate_alone_are_told(spark):
     got = by_id(L.drop_lines(df, F.col("source"), F.col("text"), df.columns)
                 .select("row.doc_id", "n_lines", "n_dropped", "n_over"))
     assert [(r.n_lines, r.n_dropped, r.n_over) for d in (900, 4, 0, 990) for r in got[d]] == [
-        (2, 0, 2), (5, 2, 2), (5, 0, 0), (1, 0, 0)]
+        (2, 0, 2), (5, 2, 2), (5, 3, 3), (1, 0, 0)]
 
 
 def test_odd_rows(messy, empty):
@@ -71,3 +71,12 @@ def test_html_lines_and_hosts(spark):
     assert [x.strip() for x in got[0].t.split("\n") if x.strip()] == ["T &amp; x", "onetwo", "3"]
     assert [r.h for r in got] == list(urls.values())
     assert not re.search("[<>]", got[0].t)
+
+
+@pytest.mark.parametrize("pages", range(2, 10))
+def test_small_hosts_are_treated_alike(spark, pages):
+    """A menu that stands on all pages of a host goes, however few they are; lines of one page stay."""
+    rows = [(i, f"menu\nown {i}\nfooter", "few") for i in range(pages)] + [(99, "menu\nown 99\nfooter", "one")]
+    got = by_id(L.drop_lines(documents(spark, rows), F.col("source"), F.col("text"), ["doc_id"]).select("row.doc_id", "n_dropped", "clean"))
+    assert all((got[i][0].n_dropped, got[i][0].clean) == (2, f"own {i}") for i in range(pages))
+    assert got[99][0].n_dropped == 0

@@ -6,7 +6,6 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
-from billflow.llm import lines as L
 from billflow.llm import quality as Q
 from billflow.llm.queries import quality_model, tokenizer_path
 
@@ -18,9 +17,7 @@ from .test_mixing import brute as brute_mix
 SF = "/root/testdata/sf0.001"
 
 
-def test_every_stage(spark, monkeypatch):
-    monkeypatch.setattr(L, "MIN_PAGES", 5)
-    monkeypatch.setattr(L.drop_lines, "__defaults__", (L.RATIO, 5))
+def test_every_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
     model = quality_model(spark, docs, SF)
@@ -31,7 +28,7 @@ def test_every_stage(spark, monkeypatch):
     out = stage["quality"](spark, docs, SF).cache()
     assert plain(out.collect()) == sorted(tuple(r) for r in good) and 0 < len(good) < len(rows)
 
-    left = {d: v[0] for d, v in brute_lines([(r.doc_id, r.text, r.source) for r in good], min_pages=5).items()}
+    left = {d: v[0] for d, v in brute_lines([(r.doc_id, r.text, r.source) for r in good]).items()}
     out = stage["line_dedup"](spark, out, SF).cache()
     assert out.columns == docs.columns and any(v[1] for v in left.values())
     assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {
