@@ -14,6 +14,9 @@ word, so the unit that is kept from document to document is the stretch between
 white space, with its ids packed in bytes. Kept stretches are bounded
 (``MAX_KEPT``); a batch's new ones are encoded in blocks of about ``MAX_NEW``.
 
+The library knows the letters of Unicode 16.0 and the case pairs of 17.0. Later letters,
+and case pairs that Python's own tables lack, are stated below; texts that hold any take a pattern without the former.
+
 Defined results: a null text counts as empty; an empty text has no ids and
 decodes to the empty text; repeated rows each get their result.
 """
@@ -35,6 +38,21 @@ from .common import map_batches, sha
 MAX_KEPT = 250_000
 MAX_NEW = 150_000
 
+# Fixed values. Letters after Unicode 16.0, as ranges of code points.
+LATER = ((0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+         (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1),
+         (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+         (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF),
+         (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128),
+         (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+         (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+         (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F))
+# Lower case of capitals that Unicode 16.0 and 17.0 added.
+LOWER_17 = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB,
+            0xA7DC: 0x19B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+_LATER = "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER)
+RARE = regex.compile(f"[{_LATER}{''.join(map(chr, LOWER_17))}]")
+
 
 class Vocabulary:
     """What the tokenizer file says, in the arrays that encoding needs."""
@@ -51,6 +69,7 @@ class Vocabulary:
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
+        self.words_16 = regex.compile(split["pattern"]["Regex"].replace(r"\p{L}", rf"[\p{{L}}--[{_LATER}]]"), regex.V1)
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in
                   (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
         self.left, self.right, self.made = np.array(merges, np.int64).T
@@ -200,6 +219,8 @@ class Encoder:
                 return [stretch.lower()]
         else:
             stretch = unicodedata.normalize("NFC", stretch)
+            if RARE.search(stretch):
+                return self.v.words_16.findall(_lower(stretch).translate(LOWER_17))
         return self.v.words.findall(_lower(stretch))
 
     def _learn(self, new: list[str]) -> None:

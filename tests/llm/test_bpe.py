@@ -71,3 +71,14 @@ def test_general_interface(spark, library, messy, empty):
     back = by_id(B.decode(coded, tokenizer_path()))
     assert back[7][0].text == "alpha</w>" == back[8][0].text
     assert B.round_trip(empty, tokenizer_path()).count() == 0
+
+
+def test_every_code_point(library):
+    """Each code point between letters, as the library reads it; also those newer than Python's own tables."""
+    e = B.Encoder(tokenizer_path())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or 0xA000 <= c < 0xAC00 or 0xD7A4 <= c < 0x20000
+                                                                          or c % 16 == 0 or any(a <= c <= b for a, b in B.LATER))]
+    for lo in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)}b" for c in points[lo:lo + 20_000]]
+        want = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [t for t, w, g in zip(texts, want, e.encode(texts)) if w != g] == []

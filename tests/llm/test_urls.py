@@ -66,3 +66,23 @@ def test_empty_tables(spark):
     assert run(spark, [], [("block", "a.b", 1, True)]).count() == 0
     r, = run(spark, one, [("block", "a.b", 3, True)]).collect()
     assert r.blocked and r.decided_by == "a.b"
+
+
+def test_far_and_negative_days(spark):
+    """Days apart by billions make no more rows than the captures have, and open entries hold to the last."""
+    captures = [(1, "http://a.b/", 7), (2, "http://a.b/", 2_000_000_000), (3, "http://a.b/", -2_000_000_000),
+                (4, "http://c.d/", -70), (5, "http://c.d/", -64), (6, "http://c.d/", -1), (7, "http://c.d/", 0)]
+    entries = [("block", "a.b", 3, True), ("block", "c.d", -70, True), ("block", "c.d", -64, False),
+               ("allow", "c.d", -1, True), ("block", "c.d", -2, True), ("block", "a.b", -2_147_483_648, True)]
+    got = by_id(run(spark, captures, entries), "page_id")
+    want = brute(captures, entries)
+    assert {p: [tuple(r)[1:] for r in rs] for p, rs in got.items()} == want
+    assert [got[i][0].blocked for i in range(1, 8)] == [True, True, True, True, False, False, False]
+
+
+def test_rows_without_a_host_are_spread(spark):
+    captures = [(i, None, 3) for i in range(400)] + [(i, "http://hot.com/", 5) for i in range(400, 800)]
+    got = run(spark, captures, [("block", "hot.com", 1, True)])
+    assert got.filter("blocked").count() == 400 and got.count() == 800
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_left_salt" in plan
