@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from billflow.operators import claims as CL
 from billflow.operators import gates as GT
+from billflow.operators import lookups as LK
 from billflow.operators import matching as M
 from billflow.operators import state as ST
 from billflow.plans import casework as CW
@@ -160,9 +161,10 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> i
 
     What earlier days decided is left alone. A rerun of the day works the day's
     cases again from the same inputs and replaces its output and events, so nothing
-    is worked twice. With ``strict`` (the default) a case whose provider is in no
-    master stops the run before anything is written, as the source does; without, it
-    gets its exception.
+    is worked twice. With ``strict`` (the default) a provider master that lists a key
+    twice, or a case whose provider is in no master, stops the run before anything is
+    written, as the source does; without, the first row in list order counts, and such
+    a case gets its exception. With ``by_name`` clients are found by the name search.
     """
     cases = FS.read_run_or_none(spark, a.scrubbed, asof, route="straightforward")
     checkpoint_dir(spark)
@@ -186,10 +188,13 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> i
         invoices=invoices_table(spark, a.invoices),
         outcomes=outcomes_table(spark, a.outcomes), rules=rules_table(spark, a.rules),
         by_payor=provider(a.by_payor), by_staff=provider(a.by_staff), by_staff_private=provider(a.by_staff_private),
-        days=M.dos_range(cases), prune=True)
+        days=M.dos_range(cases), prune=True, by_name=getattr(a, "by_name", False))
     worked = CW.worked_cases(x).checkpoint()
-    if getattr(a, "strict", True) and not worked.filter("not provider_found").isEmpty():
-        raise ValueError("a master table lacks the provider of some cases (see the key missing_master)")
+    if getattr(a, "strict", True):
+        key = F.when(F.col("provider_source") == "payor", F.col("payor_name")).otherwise(F.col("staff"))
+        lost = worked.filter("not provider_found").select(F.concat(F.lit("by_"), "provider_source").alias("master"), key.alias("key"))
+        LK.validate_masters({"by_payor": (x.by_payor, "payer"), "by_staff": (x.by_staff, "staff"),
+                             "by_staff_private": (x.by_staff_private, "staff")}, lost)
     FS.write_run(worked, a.out, asof)
     done = worked.withColumn("active_archived", F.col("new_active_archived"))
     write_events(done, a.state, asof, "casework", ["is_billed", "exceptions", "active_archived"])
@@ -202,20 +207,23 @@ def invoices_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def claims_job(spark: SparkSession, casework: str, by_staff_private: str, out: str, asof: dt.date,
-               state: str | None = None) -> None:
+               state: str | None = None, strict: bool = True) -> None:
     """Worked cases -> flat claim records (``out/records``) and nested claim forms of
-    those not submitted yet (``out/forms``), both in dated folders."""
+    those not submitted yet (``out/forms``), both in dated folders. With ``strict`` (the
+    default) a portal master that lists a staff member twice stops it before it writes."""
     worked = FS.read_run_or_none(spark, casework, asof)
     records, forms = (f"{out.rstrip('/')}/{x}" for x in ("records", "forms"))
     if worked is None:
         FS.clear_run(spark, records, asof)
         FS.clear_run(spark, forms, asof)
         return
+    providers = with_position(read_table(spark, by_staff_private, PROVIDER_HEADERS))
+    if strict:
+        LK.validate_masters({"by_staff_private": (providers, "staff")})
     FS.write_run(CL.claim_record(worked), records, asof)
     rec = FS.read_run(spark, records, asof).drop("run_year", "run_month", "run_date")
     if state:
         rec = GT.pending_claims(with_state(rec, read_state(spark, state), ["submitted"])).drop("submitted")
-    providers = with_position(read_table(spark, by_staff_private, PROVIDER_HEADERS))
     FS.write_run(CW.claim_forms(rec, providers), forms, asof)
 
 
@@ -275,8 +283,10 @@ def main(argv: list[str] | None = None) -> None:
         for o in options:
             sp.add_argument(f"--{o}", required=True)
         sp.add_argument("--asof", required=True, type=dt.date.fromisoformat)
-        if job == "casework":
+        if job in ("casework", "claims"):  # masters as they are: first row of a key, exceptions for missing ones
             sp.add_argument("--allow-missing-providers", dest="strict", action="store_false")
+        if job == "casework":
+            sp.add_argument("--by-name", dest="by_name", action="store_true")
         if job == "remit":
             sp.add_argument("--login")
     a = p.parse_args(argv)
@@ -286,7 +296,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "casework":
         print(casework_job(spark, a, a.asof))
     elif a.job == "claims":
-        claims_job(spark, a.casework, a.by_staff_private, a.out, a.asof, a.state)
+        claims_job(spark, a.casework, a.by_staff_private, a.out, a.asof, a.state, a.strict)
     elif a.job == "submit":
         print(submit_job(spark, a.claims, a.outcomes, a.state, a.asof))
     elif a.job == "annotate":

@@ -65,6 +65,37 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
+def duplicate_master_keys(masters: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(master, key, n_rows) of all masters' keys that occur more than once, in one pass."""
+    parts = [df.select(F.lit(name).alias("master"), F.col(key).cast("string").alias("key")) for name, (df, key) in masters.items()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy("master", "key").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
+class BadMasters(ValueError):
+    """Master tables that the source would not work with: keys listed twice, or missing."""
+
+
+NAMED = 20  # keys that the error names
+
+
+def validate_masters(masters: dict[str, tuple[DataFrame, str]], missing: DataFrame | None = None) -> None:
+    """O-31, enforced: raise :class:`BadMasters` if any master lists a key twice, or if
+    ``missing`` (master, key of what no master has) holds a row.
+
+    One job over all masters and the missing keys; only the first ``NAMED`` reach the
+    driver. To be called before anything is written.
+    """
+    bad = duplicate_master_keys(masters).select("master", "key", F.lit("twice").alias("what"))
+    if missing is not None:
+        bad = bad.unionByName(missing.select("master", "key", F.lit("missing").alias("what")).distinct())
+    rows = bad.orderBy("what", "master", "key").limit(NAMED).collect()
+    if rows:
+        raise BadMasters("provider masters: " + "; ".join(f"{r.master}: {r.key!r} {r.what}" for r in rows))
+
+
 def missing_master(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Fact rows whose key has no master entry (NULL keys count as missing)."""
     d = dim.select(F.col(dim_key).alias("_mm_key"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from billflow.functions.nulls import match_or_false, ne_keep_null
 from billflow.functions.text import list_head, normalise_name, note_text, strip_zone, to_service_date
-from billflow.operators.joins import maybe_broadcast, unique_left_join
+from billflow.operators.joins import maybe_broadcast, of_keys, unique_left_join
 from billflow.operators.lookups import first_by_position
 from billflow.schema import CANCEL_STATUSES, TABS, TXN_UPDATED, INVOICE_NOTE_PREFIX
 from billflow.sources.rules import rule_values
@@ -51,6 +51,63 @@ def registry_match(cases: DataFrame, registry: DataFrame) -> DataFrame:
     }).drop("reg_client_id")
 
 
+BY_FULL, BY_FIRST = "full name", "first token"
+
+
+def registry_index(registry: DataFrame) -> DataFrame:
+    """Inverted index of the registry: (rank, by, term, client_id, the entry's fields).
+
+    In each tab an entry stands under its full name and under each token of it, in
+    lower case and with single spaces. ``rank`` is the order of the searches: the
+    Active tab before the Archived one, in a tab the full name before the first token.
+    """
+    name = F.lower(normalise_name(F.col("first_name"), F.col("middle_name"), F.col("last_name")))
+    tab = F.when(F.col("tab") == TABS[0], 0).when(F.col("tab") == TABS[1], 2)
+    entry = registry.select("client_id", *REGISTRY_FIELDS, tab.alias("_tab"), name.alias("_name")).filter("_tab is not null and _name <> ''")
+    under = F.concat(
+        F.array(F.struct(F.lit(0).alias("n"), F.lit(BY_FULL).alias("by"), F.col("_name").alias("term"))),
+        F.transform(F.array_distinct(F.split("_name", " ")),
+                    lambda t: F.struct(F.lit(1).alias("n"), F.lit(BY_FIRST).alias("by"), t.alias("term"))))
+    return (entry.select("client_id", *REGISTRY_FIELDS, "_tab", F.explode(under).alias("_u"))
+            .select((F.col("_tab") + F.col("_u.n")).alias("rank"), "_u.by", "_u.term", "client_id", *REGISTRY_FIELDS))
+
+
+def registry_search(cases: DataFrame, registry: DataFrame, clients: DataFrame | None = None) -> DataFrame:
+    """O-32a with its candidate stage: the client is looked for by name, and accepted by id.
+
+    In each tab the case's full name is searched, then its first token; the first search
+    that shows an entry with the case's client id ends it. So an id that the registry
+    lists under another name is not found. Adds ``reg_found``, the entry's fields
+    (``reg_*``), ``found_by`` (which search) and ``n_shown`` (entries that it showed; 0 if not found).
+
+    Candidates and the id test are one equi join on (term, client id): entries that
+    share a name with very many others are never paired with cases that have another
+    id. What each search shows is counted map-side. ``clients`` (a column of ids)
+    cuts the entries that are joined, not those that are counted.
+    """
+    index = registry_index(registry)
+    shown = index.groupBy("rank", "term").agg(F.count(F.lit(1)).alias("n_shown"))
+    own = of_keys(index, "client_id", clients)
+    # of an id's entries under one term the first search, then the entry's own values
+    first = first_by_position(own, ["by", "term", "client_id"], ["rank"], ["rank", *REGISTRY_FIELDS])
+    values = F.struct(F.col("rank"), F.col("by"), F.col("term"), *[F.col(c).alias("reg_" + c) for c in REGISTRY_FIELDS])
+    side = lambda by, n: first.filter(F.col("by") == by).select(
+        F.col("term").alias(f"_term{n}"), F.col("client_id").alias(f"_id{n}"), values.alias(f"_hit{n}"))
+    name = F.lower(normalise_name(F.col("client_name")))
+    j = cases
+    for n, (by, term) in enumerate(((BY_FULL, name), (BY_FIRST, F.split(name, " ").getItem(0)))):
+        j = unique_left_join(j, side(by, n), [(F.col("client_id"), f"_id{n}"), (term, f"_term{n}")], "item_id")
+    # ranks differ between the searches; the one with the lower rank came first
+    j = j.withColumn("_hit", F.when(F.col("_hit0").isNull() | (F.col("_hit1.rank") < F.col("_hit0.rank")), F.col("_hit1"))
+                     .otherwise(F.col("_hit0")))
+    j = unique_left_join(j, shown.select(F.col("rank").alias("_rank"), F.col("term").alias("_term"), "n_shown"),
+                         [(F.col("_hit.rank"), "_rank"), (F.col("_hit.term"), "_term")], "item_id")
+    return j.select(*cases.columns, F.col("_hit").isNotNull().alias("reg_found"),
+                    *[F.col(f"_hit.reg_{c}").alias(f"reg_{c}") for c in REGISTRY_FIELDS],
+                    normalise_name(*[F.col(f"_hit.reg_{c}") for c in ("first_name", "middle_name", "last_name")]).alias("reg_full_name"),
+                    F.col("_hit.by").alias("found_by"), F.coalesce("n_shown", F.lit(0)).cast("long").alias("n_shown"))
+
+
 # ---- O-46 active / archived flag ------------------------------------------------
 
 def archive_flag(matched: DataFrame, prior: str = "active_archived") -> DataFrame:

@@ -133,6 +133,23 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(c, base, both)
 
 
+def named_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``G`` with last names that depend on the id alone, so that cases can name them."""
+    k = F.regexp_replace("client_id", "X", "").cast("bigint")
+    return registry(spark, sf_dir).withColumn("last_name", F.concat(F.lit("Doe  "), _s(k % 25)))
+
+
+def named_cases(cases: DataFrame) -> DataFrame:
+    """Cases with the client's name as the attendance export has it: of ids divisible by
+    five another person's, of those by seven a former last name, else the registry's."""
+    k = F.col("client_id").cast("bigint")
+    name = (F.when(k % 5 == 0, F.lit("Alex Other"))
+            .when(k % 7 == 0, F.concat(F.lit(" PAT"), _s(k % 100), F.lit("  Before")))
+            .otherwise(F.concat(F.lit("Pat"), _s(k % 100), F.when(k % 2 == 0, F.lit(" Q.")).otherwise(F.lit("")),
+                                F.lit(" Doe "), _s(k % 25))))
+    return cases.withColumn("client_name", name)
+
+
 def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``L``: the service line each order would show in the client ledger."""
     o = table(spark, sf_dir, "orders")

@@ -34,13 +34,18 @@ class CaseInputs:
     # Cut the histories to the cases' clients and ids before they are reduced. Pays
     # when ``cases`` is a stored table (a job), as it is then read once per history.
     prune: bool = False
+    # Find clients by the portal's name search before the id test (needs client_name).
+    by_name: bool = False
 
 
 def worked_cases(x: CaseInputs) -> DataFrame:
     """Every case with its match results, charges, route and exception."""
     clients = x.cases.select("client_id") if x.prune else None
     ids = x.cases.select("item_id") if x.prune else None
-    df = M.registry_match(x.cases, of_keys(x.registry, "client_id", clients))
+    if x.by_name:
+        df = M.registry_search(x.cases, x.registry, clients).drop("found_by", "n_shown")
+    else:
+        df = M.registry_match(x.cases, of_keys(x.registry, "client_id", clients))
     df = M.archive_flag(df)
     df = M.service_match(df, of_keys(x.lines, "client_id", clients), x.days)
     df = CL.dx_present(df)

@@ -272,6 +272,27 @@ REC_COLS = ("item_id, client_name, client_id, date_time, service_type, staff, pa
 SQL.update({
     "registry_match": with_cases(
         "SELECT item_id, client_id, reg_found, reg_tab, reg_full_name FROM reg"),
+    "registry_candidates": f"""WITH {CASE_CTES},
+named AS (SELECT item_id, client_id, lower(CASE WHEN k % 5 = 0 THEN 'Alex Other' WHEN k % 7 = 0 THEN 'PAT' || (k % 100) || ' Before'
+    ELSE 'Pat' || (k % 100) || CASE WHEN k % 2 = 0 THEN ' Q.' ELSE '' END || ' Doe ' || (k % 25) END) AS name
+  FROM (SELECT item_id, client_id, CAST(client_id AS BIGINT) AS k FROM cases)),
+listed AS (SELECT client_id, tab, 'Pat' || (k % 100) || CASE WHEN k % 2 = 0 THEN ' Q.' ELSE '' END || ' Doe ' || (k % 25) AS full_name
+  FROM (SELECT client_id, tab, CAST(replace(client_id, 'X', '') AS BIGINT) AS k FROM g)),
+terms AS (
+  SELECT client_id, tab, full_name, CASE WHEN tab = 'Active' THEN 0 ELSE 2 END AS rank, 'full name' AS found_by, lower(full_name) AS term
+  FROM listed
+  UNION ALL SELECT client_id, tab, full_name, CASE WHEN tab = 'Active' THEN 1 ELSE 3 END, 'first token',
+    unnest(list_distinct(string_split(lower(full_name), ' '))) FROM listed),
+shown AS (SELECT rank, term, count(*) AS n_shown FROM terms GROUP BY rank, term),
+found AS (
+  SELECT item_id, t.client_id AS listed_id, t.tab, t.full_name, t.found_by, n_shown
+  FROM named JOIN terms t ON t.client_id = named.client_id
+    AND t.term = CASE WHEN t.found_by = 'full name' THEN name ELSE string_split(name, ' ')[1] END
+  JOIN shown USING (rank, term)
+  QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY t.rank) = 1)
+SELECT item_id, client_id, listed_id IS NOT NULL AS reg_found, tab AS reg_tab, coalesce(full_name, '') AS reg_full_name, found_by,
+  coalesce(n_shown, 0) AS n_shown
+FROM named LEFT JOIN found USING (item_id)""",
     "archive_flag": with_cases("""SELECT item_id, active_archived,
         CASE WHEN reg_tab = 'Active' OR active_archived IS DISTINCT FROM 'Archived' THEN 'Active'
           WHEN reg_tab = 'Archived' THEN 'Archived' ELSE active_archived END AS new_active_archived,

@@ -79,6 +79,12 @@ def q_registry_match(spark, sf):
     return df.select("item_id", "client_id", "reg_found", "reg_tab", "reg_full_name")
 
 
+@register("registry_candidates")
+def q_registry_candidates(spark, sf):
+    df = M.registry_search(B.named_cases(cases(spark, sf)), B.named_registry(spark, sf))
+    return df.select("item_id", "client_id", "reg_found", "reg_tab", "reg_full_name", "found_by", "n_shown")
+
+
 @register("archive_flag")
 def q_archive_flag(spark, sf):
     df = M.archive_flag(M.registry_match(cases(spark, sf), B.registry(spark, sf)))

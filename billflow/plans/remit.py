@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,11 @@ from billflow.operators.joins import maybe_broadcast
 from billflow.operators.lookups import first_by_position
 from billflow.schema import REMIT_LEDGER, WL_PROCESSED
 from billflow.session import checkpoint_dir
-from billflow.sources.files import read_if_exists
+from billflow.sources.commits import publish, read_published
 
 WORKED = T.StructType([T.StructField(c, T.StringType())
                        for c in ("login", "state_name", "practice", "wl_status")])
+REJECTS = T.StructType([T.StructField(c, T.StringType()) for c in ("practice", "row_text", "rsm")])
 
 
 def worked_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
@@ -52,28 +54,40 @@ def todo(worklist: DataFrame, worked: DataFrame | None = None, login: str | None
     return left.join(maybe_broadcast(done), same, "left_anti")
 
 
+def read_ledger(spark: SparkSession, ledger_path: str, asof: dt.date) -> DataFrame:
+    """The day's published ledger rows."""
+    return read_published(spark, ledger_path, asof, "ledger", REMIT_LEDGER)
+
+
+def read_rejects(spark: SparkSession, ledger_path: str, asof: dt.date) -> DataFrame:
+    return read_published(spark, ledger_path, asof, "rejects", REJECTS)
+
+
+def read_worked(spark: SparkSession, ledger_path: str, asof: dt.date) -> DataFrame:
+    """The work-list rows that the day's runs worked, with their status."""
+    return read_published(spark, ledger_path, asof, "worklist", WORKED)
+
+
 def run_remit(spark: SparkSession, rows: DataFrame, worklist: DataFrame, known_states: DataFrame,
               known_practices: DataFrame, inventory: DataFrame, ledger_path: str, asof: dt.date,
-              login: str | None = None) -> int:
-    """Work the pending work-list rows: append the new checks to the day's ledger,
-    the rows that do not parse to its rejects, and each worked row's status to its
-    record, in this order; return the number of new ledger rows.
-
-    The delta is checkpointed in shared storage before it is appended, so what is
-    written does not depend on the ledger being written. A run that dies before
-    the statuses are recorded is run again and adds only what is missing.
+              login: str | None = None, run: str | None = None) -> int:
+    """Work the pending work-list rows: the new checks for the day's ledger, the rows
+    that do not parse for its rejects and each worked row's status are published
+    together (:mod:`billflow.sources.commits`); return the number of new ledger rows.
+
+    The delta is checkpointed in shared storage before it is staged, so what is written
+    does not depend on the ledger that it was compared with. Of a run that dies before
+    its manifest is written nothing is seen, and running it again does all of it.
     """
     checkpoint_dir(spark)
-    root, day = ledger_path.rstrip("/"), f"run_date={asof.strftime('%m%d%Y')}"
-    pending = todo(worklist, read_if_exists(spark, f"{root}/_worklist/{day}", WORKED), login)
+    pending = todo(worklist, read_worked(spark, ledger_path, asof), login)
     if pending.isEmpty():
         return 0
     status = R.worklist_status(pending, known_states, known_practices, rows, asof).checkpoint()
-    ledger = read_if_exists(spark, f"{root}/{day}", REMIT_LEDGER)
-    delta = ledger_delta(rows, status, ledger, inventory, asof).checkpoint()
     seen = Observation()
-    delta.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(f"{root}/{day}")
-    rejects = R.parse_rejects(worked_rows(rows, status)).select("practice", "row_text", "rsm")
-    rejects.write.mode("append").parquet(f"{root}/_rejects/{day}")
-    status.select(*WORKED.names).write.mode("append").parquet(f"{root}/_worklist/{day}")
+    delta = ledger_delta(rows, status, read_ledger(spark, ledger_path, asof), inventory, asof).checkpoint()
+    rejects = R.parse_rejects(worked_rows(rows, status)).select(*REJECTS.names)
+    publish(spark, ledger_path, asof, run or uuid.uuid4().hex, {
+        "ledger": delta.observe(seen, F.count(F.lit(1)).alias("n")), "rejects": rejects,
+        "worklist": status.select(*WORKED.names)})
     return int(seen.get["n"])

@@ -17,16 +17,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from billflow.operators import remit as R
-from billflow.sources.files import read_if_exists
+from billflow.sources.commits import publish, read_published
 from billflow.schema import NA_TOKENS, REMIT_LEDGER
 
 
 def text_export_stream(spark: SparkSession, folder: str, columns: list[str],
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of CSV exports (all columns text, NA tokens -> NULL),
-    with the source file of each row."""
+    """Streaming read of CSV exports (all columns text, NA tokens -> NULL), with the
+    source file of each row; quoted cells may hold line breaks and doubled quotes, as
+    in the batch scan (:func:`billflow.sources.files.read_text_table`)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = spark.readStream.schema(schema).option("header", True)
+    r = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+         .option("multiLine", True).option("escape", '"'))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(folder)
@@ -46,19 +48,19 @@ def land_new_exports(spark: SparkSession, folder: str, columns: list[str], out_p
     return q
 
 
-def ledger_sink(ledger_path: str, asof: dt.date):
-    """``foreachBatch`` sink: append only checks not yet in the day's ledger.
+def ledger_sink(ledger_path: str, asof: dt.date, query: str = "stream"):
+    """``foreachBatch`` sink: publish only checks not yet in the day's ledger.
 
-    Each micro-batch anti-joins the ledger as written so far, so a replayed
-    batch (after a failure) adds nothing twice.
+    A micro-batch is one run of the ledger's commits, named by the query and the
+    batch: replayed after a failure it is published once, and what a dead attempt
+    staged is not read.
     """
-    day = f"{ledger_path.rstrip('/')}/run_date={asof.strftime('%m%d%Y')}"
-
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = read_if_exists(spark, day, REMIT_LEDGER)
+        seen = read_published(spark, ledger_path, asof, "ledger", REMIT_LEDGER)
         fresh = R.unseen_checks(batch, seen, dedupe=True)
-        fresh.select(*[f.name for f in REMIT_LEDGER.fields]).write.mode("append").parquet(day)
+        publish(spark, ledger_path, asof, f"{query}-{batch_id}",
+                {"ledger": fresh.select(*[f.name for f in REMIT_LEDGER.fields])})
 
     return write
 

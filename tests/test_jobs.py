@@ -2,14 +2,17 @@
 
 import argparse
 import os
+import re
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from billflow import jobs as J
+from billflow.operators.lookups import BadMasters, validate_masters
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
+from billflow.plans.remit import read_ledger, read_rejects, read_worked
 from billflow.schema import EXPORT_HEADERS, PROVIDER_HEADERS, RULE_COLUMNS, WORKLIST_HEADERS
 from billflow.sources import files as FS
 from tests.conftest import SF_SMALL
@@ -101,7 +104,7 @@ def test_two_days(spark, scratch, inputs):
     lost = worked.filter("not provider_found")
     assert lost.count() > 0 and lost.filter("is_billed = 'Yes' or exceptions is null").isEmpty()
 
-    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state)
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state, strict=False)
     records = FS.read_run(spark, f"{scratch}/claims/records", DAY1)
     forms = FS.read_run(spark, f"{scratch}/claims/forms", DAY1)
     assert records.count() == forms.count() > 0
@@ -118,7 +121,7 @@ def test_two_days(spark, scratch, inputs):
         assert J.submit_job(spark, f"{scratch}/claims", inputs["outcomes"], a.state, DAY1) == len(ok)
     noted = [J.annotate_job(spark, f"{scratch}/claims", inputs["invoices"], a.state, f"{scratch}/notes", DAY1) for _ in range(2)]
     assert noted[0] == noted[1] > 0
-    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state)
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, a.state, strict=False)
     assert FS.read_run(spark, f"{scratch}/claims/forms", DAY1).count() == len(ids) - len(ok)
 
     # a rerun of the day works the same cases to the same end
@@ -146,11 +149,11 @@ def test_remit(spark, scratch, inputs):
     one = J.remit_job(spark, *args, login="login0")
     two = J.remit_job(spark, *args)  # the other login's rows
     assert one > 0 and two > 0 and J.remit_job(spark, *args) == 0
-    ledger = spark.read.parquet(f"{scratch}/ledger/run_date=11302026")
+    ledger = read_ledger(spark, f"{scratch}/ledger", DAY1)
     assert ledger.count() == one + two
     assert ledger.filter(F.col("status") == "File Downloaded").count() > 0
-    assert spark.read.parquet(f"{scratch}/ledger/_rejects/run_date=11302026").count() > 0
-    status = spark.read.parquet(f"{scratch}/ledger/_worklist/run_date=11302026")
+    assert read_rejects(spark, f"{scratch}/ledger", DAY1).count() > 0
+    status = read_worked(spark, f"{scratch}/ledger", DAY1)
     assert status.count() == B.worklist(spark, SF_SMALL).count()
 
 
@@ -159,13 +162,49 @@ def test_empty_days(spark, scratch, inputs):
     a = case_args(inputs, scratch)
     J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
     assert J.casework_job(spark, a, DAY1) == 90
-    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1)
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, strict=False)
     # the day is run again, and now nothing was exported: nothing of the first run may stand
     assert J.scrub_job(spark, f"{scratch}/att.csv", "unused", "unused", f"{scratch}/scrub", DAY1) == \
         {"exception": 0, "manual": 0, "straightforward": 0}
     assert J.casework_job(spark, a, DAY1) == 0
-    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1)
+    J.claims_job(spark, a.out, inputs["by_staff_private"], f"{scratch}/claims", DAY1, strict=False)
     assert J.submit_job(spark, f"{scratch}/claims", inputs["outcomes"], a.state, DAY1) == 0
     for out in ("scrub", "cases", "claims/records", "claims/forms"):
         assert FS.read_run_or_none(spark, f"{scratch}/{out}", DAY1) is None
     assert J.read_state(spark, a.state).isEmpty()
+
+
+@pytest.mark.parametrize("table,column", [("by_payor", "Payer"), ("by_staff", "Staff Members"), ("by_staff_private", "Staff Members")])
+def test_a_master_that_lists_a_key_twice_stops_the_run(spark, scratch, inputs, table, column):
+    J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
+    for name in ("by_payor", "by_staff", "by_staff_private"):
+        master = pd.read_csv(inputs[name], dtype=str)
+        key = master.columns[0] if column not in master.columns and name != table else (column if column in master.columns else master.columns[0])
+        master = master.drop_duplicates(key)
+        if name == table:
+            master = pd.concat([master, master.iloc[[0]]])
+        master.to_csv(inputs[name], index=False)
+    again = pd.read_csv(inputs[table], dtype=str).iloc[-1][column]
+    with pytest.raises(BadMasters, match=f"{table}: '{re.escape(again)}' twice"):
+        J.casework_job(spark, case_args(inputs, scratch, strict=True), DAY1)
+    assert not os.path.exists(f"{scratch}/cases") and not os.path.exists(f"{scratch}/state")
+
+
+def test_sound_masters_pass(spark):
+    one = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    validate_masters({"x": (one, "k"), "y": (one, "k")})
+    lost = spark.createDataFrame([("x", "c"), ("x", "c"), ("x", None)], "master string, key string")
+    with pytest.raises(BadMasters, match="x: None missing; x: 'c' missing"):
+        validate_masters({"x": (one, "k")}, lost)
+
+
+def test_the_name_search_decides_in_the_job(spark, scratch, inputs):
+    J.scrub_job(spark, inputs["attendance"], inputs["clients"], inputs["rules"], f"{scratch}/scrub", DAY1)
+    day = FS.read_run(spark, f"{scratch}/scrub", DAY1).drop("run_year", "run_month", "run_date")
+    FS.write_routes(day.withColumn("client_name", F.lit("Nobody Known")).checkpoint(), f"{scratch}/scrub", DAY1)
+    a = case_args(inputs, scratch)
+    J.casework_job(spark, a, DAY1)
+    assert not FS.read_run(spark, a.out, DAY1).filter("reg_found").isEmpty()
+    a.by_name = True
+    J.casework_job(spark, a, DAY1)
+    assert FS.read_run(spark, a.out, DAY1).filter("reg_found").isEmpty()

@@ -93,3 +93,37 @@ def test_claim_record_has_the_twenty_columns(spark):
     from billflow.schema import CLAIM_RECORD_COLS
     rec = RG.q_claim_record(spark, SF_SMALL)
     assert rec.columns == ["item_id", *CLAIM_RECORD_COLS] and len(CLAIM_RECORD_COLS) == 20
+
+
+REG = ("client_id string, first_name string, middle_name string, last_name string, dob string, gender string, street string, "
+       "city string, state string, zip string, tab string")
+
+
+def searched(spark, cases, entries):
+    reg = spark.createDataFrame([(i, f, m, last, "d", "g", "s", "c", "st", z, tab) for i, f, m, last, z, tab in entries], REG)
+    df = spark.createDataFrame(cases, "item_id long, client_id string, client_name string")
+    return {r.item_id: (r.reg_found, r.reg_tab, r.reg_zip, r.found_by, r.n_shown) for r in M.registry_search(df, reg).collect()}
+
+
+def test_name_search_before_the_id(spark):
+    """The search order is Active full, Active first token, Archived full, Archived first token; the id accepts."""
+    entries = [("1", "Ann", None, "Lee", "a", "Active"), ("1", "Ann", None, "Lee", "b", "Archived"),
+               ("2", "Ann", "B.", "Ray", "c", "Archived"), ("2", " ann ", None, "Fox", "d", "Active"),
+               ("3", "Zoe", None, "Lee", "e", "Active"), ("4", None, None, None, "f", "Active"), ("5", "Ann", None, "Lee", "g", "Other"),
+               ("6", "Mary", "Ann", "Ann", "h", "Archived"), (None, "Ann", None, "Lee", "i", "Active")]
+    cases = [(1, "1", "ANN   Lee"), (2, "2", "Ann B. Ray"), (3, "3", "Sam Lee"), (4, "4", ""), (5, "5", "Ann Lee"),
+             (6, "6", "ann Before"), (7, None, "Ann Lee"), (8, "1", None), (9, "9", "Ann Lee"), (10, "2", "Fox Unknown")]
+    got = searched(spark, cases, entries)
+    assert got[1] == (True, "Active", "a", "full name", 2)
+    assert got[2] == (True, "Active", "d", "first token", 3)  # its Archived full name would come later
+    assert got[6] == (True, "Archived", "h", "first token", 3)
+    assert got[10] == (True, "Active", "d", "first token", 1)
+    assert all(got[i] == (False, None, None, None, 0) for i in (3, 4, 5, 7, 8, 9))
+
+
+def test_a_common_name_makes_no_pairs(spark):
+    """All clients and all entries share a first token; the join still has one row per case."""
+    entries = [(str(i), "Pat", None, f"L{i}", "z", "Active") for i in range(300)]
+    got = searched(spark, [(i, str(i), "Pat Q") for i in range(0, 600, 2)], entries)
+    assert sum(v[0] for v in got.values()) == 150 and {v[4] for v in got.values()} == {0, 300}
+    assert len(got) == 300

@@ -8,8 +8,9 @@ import pytest
 from billflow.operators import remit as R
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
-from billflow.plans.remit import ledger_delta, run_remit
+from billflow.plans.remit import read_ledger, read_rejects, read_worked, run_remit
 from billflow.schema import (WL_NO_EOBS, WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND, WL_UNMATCHED)
+from billflow.sources import commits as C
 from tests.conftest import SF_SMALL
 
 
@@ -44,26 +45,29 @@ def run(spark, scratch, **more):
 def test_rerun_adds_nothing(spark, scratch):
     first = run(spark, scratch)
     assert first > 0 and run(spark, scratch) == 0
-    ledger = spark.read.parquet(f"{scratch}/run_date=11302026")
+    ledger = read_ledger(spark, scratch, B.ASOF)
     assert ledger.count() == first
     statuses = {r.status for r in ledger.select("status").distinct().collect()}
     assert statuses <= {"File Downloaded", "File Not Downloaded"}
-    assert spark.read.parquet(f"{scratch}/_rejects/run_date=11302026").count() > 0
+    assert read_rejects(spark, scratch, B.ASOF).count() > 0
 
 
 def test_only_the_login_s_rows_are_worked(spark, scratch):
     one = run(spark, scratch, login="login1")
-    done = spark.read.parquet(f"{scratch}/_worklist/run_date=11302026")
+    done = read_worked(spark, scratch, B.ASOF)
     assert {r.login for r in done.collect()} == {"login1"}
     assert one > 0 and run(spark, scratch, login="login1") == 0 < run(spark, scratch)
 
 
 def test_a_ledger_that_cannot_be_read_is_no_empty_ledger(spark, scratch):
-    os.makedirs(f"{scratch}/run_date=11302026")
-    with open(f"{scratch}/run_date=11302026/part-0.parquet", "w") as f:
+    os.makedirs(f"{scratch}/_commits/run_date=11302026")
+    with open(f"{scratch}/_commits/run_date=11302026/part-0.parquet", "w") as f:
         f.write("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
         run(spark, scratch)
+    C._announce(spark, f"{scratch}/lost", B.ASOF, [("r", "ledger", "_data/gone")])  # published, and its files are gone
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run(spark, f"{scratch}/lost")
 
 
 def test_worklist_statuses(spark):
@@ -84,3 +88,43 @@ def test_rsm_of_the_row_that_is_worked(spark):
     late = rows.filter("row_text like 'C2%'")
     assert {r.wl_status for r in R.worklist_status(wl, states, wl.select("practice"), late, B.ASOF).collect()} == \
         {WL_STATE_NOT_FOUND, WL_NO_EOBS}
+
+
+def state_of(spark, root):
+    return [sorted(map(str, read(spark, root, B.ASOF).collect())) for read in (read_ledger, read_rejects, read_worked)]
+
+
+@pytest.mark.parametrize("stop", range(4))
+def test_a_run_that_stops_anywhere_is_seen_in_full_or_not_at_all(spark, scratch, monkeypatch, stop):
+    """Stop after each write (the last: before the manifest); nothing shows, and the rerun does it all, once."""
+    run(spark, f"{scratch}/clean")
+    want = state_of(spark, f"{scratch}/clean")
+    done = []
+
+    def stage(df, root, path, write=C.stage):
+        if len(done) == stop:
+            raise OSError("lost")
+        write(df, root, path)
+        done.append(path)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(C, "stage", stage)
+        if stop == 3:
+            m.setattr(C, "_announce", lost)
+        with pytest.raises(OSError):
+            run(spark, f"{scratch}/died")
+    assert len(done) == stop and state_of(spark, f"{scratch}/died") == [[], [], []]
+    assert run(spark, f"{scratch}/died") == len(want[0]) > 0
+    assert state_of(spark, f"{scratch}/died") == want
+    assert run(spark, f"{scratch}/died") == 0 and state_of(spark, f"{scratch}/died") == want
+
+
+def test_a_run_id_is_published_once(spark, scratch):
+    one = run(spark, scratch, login="login0", run="morning")
+    assert one > 0
+    before = state_of(spark, scratch)
+    assert not C.publish(spark, scratch, B.ASOF, "morning", {"ledger": read_ledger(spark, scratch, B.ASOF)})
+    assert state_of(spark, scratch) == before

@@ -3,7 +3,12 @@
 import datetime as dt
 import os
 
+import pytest
+
+from billflow.plans.remit import read_ledger
 from billflow.schema import REMIT_LEDGER
+from billflow.sources import commits as C
+from billflow.sources.files import read_text_table
 from billflow.streaming import arrivals as A
 
 
@@ -35,7 +40,7 @@ def test_ledger_sink_is_idempotent(spark, scratch):
     sink = A.ledger_sink(scratch, day)
     sink(batch, 0)
     sink(batch, 0)  # replayed batch
-    got = spark.read.parquet(f"{scratch}/run_date=11302026")
+    got = read_ledger(spark, scratch, day)
     assert sorted(r.check_no for r in got.collect()) == ["C1", "C2"]
 
 
@@ -51,3 +56,33 @@ def test_watermark_dedupe_of_checks(spark, scratch):
     q.awaitTermination()
     got = sorted(r.check_no for r in spark.sql("SELECT check_no FROM dedupe_checks").collect())
     assert got == ["C1", "C2"]
+
+
+def test_the_stream_reads_what_the_batch_reads(spark, scratch):
+    """Quoted cells with line breaks, doubled quotes and separators, split by neither."""
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    with open(os.path.join(src, "one.csv"), "w", newline="") as f:
+        f.write('a,b\n1,"two\nlines, and ""quotes"""\nNA,"x\r\ny"\n"",z\n')
+    A.land_new_exports(spark, src, ["a", "b"], out, ckpt)
+    batch = read_text_table(spark, src, ["a", "b"])
+    rows = lambda df: sorted((r.a or "", r.b) for r in df.collect())
+    assert rows(spark.read.parquet(out)) == rows(batch)
+    assert len(rows(batch)) == 3
+
+
+def test_a_batch_that_died_shows_nothing(spark, scratch, monkeypatch):
+    day = dt.date(2026, 11, 30)
+    batch = spark.createDataFrame([("C1", "p", "q", "11/30/2026", "1.00", "File Downloaded", "R")], REMIT_LEDGER)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(C, "_announce", lost)
+        with pytest.raises(OSError):
+            A.ledger_sink(scratch, day)(batch, 7)
+    assert read_ledger(spark, scratch, day).isEmpty()
+    for _ in range(2):
+        A.ledger_sink(scratch, day)(batch, 7)
+    assert read_ledger(spark, scratch, day).count() == 1
