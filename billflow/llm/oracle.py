@@ -29,7 +29,8 @@ FROM done"""
 
 OP5 = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS print,
+    row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS number, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
@@ -48,10 +49,11 @@ t AS (
 r AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    ('0x' || substr(md5(concat_ws('|', '5', coalesce(doc_id::VARCHAR, '\N'))), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+    ('0x' || substr(md5(concat_ws('|', '5', coalesce(doc_id::VARCHAR, '\N'), print)), 1, 12))::BIGINT / 281474976710656.0::DOUBLE
+      + number * 0.6180339887498949::DOUBLE AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-  ((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+  ((floor(rate) + CASE WHEN u - floor(u) < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM r"""
 
 OP9 = rf"""

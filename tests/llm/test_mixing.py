@@ -39,11 +39,12 @@ def brute(rows, seed=X.SEED):
     for _, t, s in rows:
         sizes[s] = sizes.get(s, 0) + size(t)
     target = loop(sizes)
-    out = {}
+    out, number = {}, {}
     for d, t, s in rows:
         rate = target[s] / sizes[s] if sizes[s] else 0.0
-        key = f"{seed}|{'\\N' if d is None else d}"
-        u = int(hashlib.md5(key.encode()).hexdigest()[:12], 16) / 16 ** 12
+        key = f"{seed}|{'\\N' if d is None else d}|{hashlib.md5((t or '').encode()).hexdigest()}"
+        n = number[d, s, t or ""] = number.get((d, s, t or ""), -1) + 1
+        u = (int(hashlib.md5(key.encode()).hexdigest()[:12], 16) / 16 ** 12 + n * X.GOLDEN) % 1
         out.setdefault(d, []).append((size(t), sizes[s], target[s], floor(rate) + (u < rate - floor(rate))))
     return out
 
@@ -85,7 +86,36 @@ def test_take_keeps_rows(spark, messy, empty):
     assert X.take(empty).count() == 0 and X.mix(empty).count() == 0
 
 
-def test_too_many_sources_fail(spark, monkeypatch):
-    monkeypatch.setattr(X, "MAX_SOURCES", 2)
-    with pytest.raises(Exception, match="(?i)assert|is not true"):
-        X.mix(documents(spark, [(i, "a b", f"s{i}") for i in range(3)])).collect()
+def taken_of(df):
+    out: dict = {}
+    for r in X.mix(df, keep=["doc_id", "source"]).select("row.source", "size", "target", "copies").collect():
+        got = out.setdefault(r.source, [0, r.target])
+        got[0] += r.size * r.copies
+    return out
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "alike"])
+def test_targets_hold_without_ids_of_their_own(spark, ids):
+    """Half the rows without an id, on one id, or copies of one row: sources still come near their targets."""
+    rows = [(i if i % 2 else {"null": None, "one": 7, "alike": 7}[ids], "w " * 10 if ids == "alike" and i % 2 == 0 else "w " * (1 + i % 20) + str(i),
+             f"s{i % 8 // 2}") for i in range(8000)]
+    got = taken_of(documents(spark, rows).repartition(5))
+    assert len(got) == 4 and all(abs(t - goal) < 0.05 * goal for t, goal in got.values()), got
+
+
+def test_copies_of_a_row_are_taken_in_the_same_number_however_they_lie(spark):
+    rows = [(1, "a b c", "x")] * 500 + [(2, "d e", "y")] * 40 + [(i, f"{i} z", "xyz"[i % 3]) for i in range(3, 200)]
+    count = lambda df: sorted(map(tuple, X.mix(df).select("row.doc_id", "copies").collect()))
+    assert count(documents(spark, rows).repartition(7)) == count(documents(spark, rows[::-1]).coalesce(1))
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_any_number_of_sources(spark, monkeypatch, limit):
+    """Ranges of sources instead of one task, and joins by source, give what the loop gives."""
+    monkeypatch.setattr(X, "RANGE", 7)
+    monkeypatch.setattr(X, "broadcast_row_limit", lambda df: limit)
+    rows = [(i, "w " * (1 + i * i % 37), f"s{i % 60}" if i % 9 else None) for i in range(700)]
+    got = by_id(X.mix(documents(spark, rows)).select("row.doc_id", "size", "source_size", "target", "copies"))
+    want = brute(rows)
+    assert all((got[d][0].source_size, got[d][0].copies) == (want[d][0][1], want[d][0][3]) for d in want)
+    assert all(got[d][0].target == pytest.approx(want[d][0][2], rel=1e-12) for d in want)
