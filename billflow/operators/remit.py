@@ -22,10 +22,15 @@ def parse_remit_row(df: DataFrame, text: str = "row_text") -> DataFrame:
 
     A row with fewer than six lines gets NULL for the missing fields and
     ``parse_ok`` false (the source would stop with an index error).
+
+    The split text is the output of a one-element ``explode``. The optimiser merges
+    projections, and pushes filters, only down to a generator, so the text is built
+    and split once per row however many fields are read or tested above it.
     """
-    parts = split_lines(F.col(text))
+    parts = F.col("_parts")
     fields = {f: F.try_element_at(parts, F.lit(i + 1)) for i, f in enumerate(REMIT_FIELDS)}
-    return df.withColumns({**fields, "parse_ok": F.size(parts) >= len(REMIT_FIELDS)})
+    split = df.withColumn("_parts", F.explode(F.array(split_lines(F.col(text)))))
+    return split.withColumns({**fields, "parse_ok": F.size(parts) >= len(REMIT_FIELDS)}).drop("_parts")
 
 
 def sanitise_names(df: DataFrame, cols=("payer", "payee")) -> DataFrame:

@@ -119,3 +119,12 @@ def test_hot_and_null_keys_are_dealt_over_salts(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_remittance_text_is_built_and_split_once(spark):
+    """However many fields are tested and read, one split stands in the plan (and the two branches of the text)."""
+    for key in ("remit_date_window", "doc_name", "sanitise_text"):
+        p = RG.QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert p.count("split(") == 1, (key, p)
+        # the rows' own text has a whole and a short form; a document's name is one more
+        assert p.count("concat_ws(") == (3 if key == "doc_name" else 2), (key, p)

@@ -8,7 +8,7 @@ import pytest
 from billflow.operators import remit as R
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
-from billflow.plans.remit import read_ledger, read_rejects, read_worked, run_remit
+from billflow.plans.remit import ledger_delta, read_ledger, read_rejects, read_worked, run_remit
 from billflow.schema import (WL_NO_EOBS, WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND, WL_UNMATCHED)
 from billflow.sources import commits as C
 from tests.conftest import SF_SMALL
