@@ -41,6 +41,7 @@ from billflow.schema import (PROVIDER_HEADERS, TXN_UPDATED, WORKLIST_HEADERS, YE
 from billflow.session import checkpoint_dir, get_session
 from billflow.sources import files as FS
 from billflow.sources.rules import rules_long
+from billflow.sources.splits import read_split_table
 
 STATE = T.StructType([T.StructField("case_id", T.LongType()), T.StructField("seq", T.LongType()),
                       T.StructField("field", T.StringType()), T.StructField("value", T.StringType())])
@@ -58,10 +59,14 @@ def is_csv(spark: SparkSession, path: str) -> bool:
     return path.lower().endswith(".csv") or not FS.file_inventory(spark, path, "*.[cC][sS][vV]").isEmpty()
 
 
-def read_table(spark: SparkSession, path: str, headers: dict[str, str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, headers: dict[str, str] | None = None, split: bool = False) -> DataFrame:
     """A CSV export (all text, NA tokens -> NULL) or a parquet table, with
-    stripped headers renamed to canonical names (``headers``: a table's own)."""
-    df = FS.read_text_table(spark, path) if is_csv(spark, path) else spark.read.parquet(path)
+    stripped headers renamed to canonical names (``headers``: a table's own).
+
+    ``split``: one large export is read by many tasks; for tables whose row order says
+    nothing (attendance, registry, remittance rows)."""
+    csv = read_split_table if split else FS.read_text_table
+    df = csv(spark, path) if is_csv(spark, path) else spark.read.parquet(path)
     return FS.rename_to_canonical(FS.strip_headers(df), headers)
 
 
@@ -146,7 +151,7 @@ def with_state(df: DataFrame, log: DataFrame, fields: list[str]) -> DataFrame:
 def scrub_job(spark: SparkSession, attendance: str, clients: str, rules: str, out: str,
               asof: dt.date) -> dict[str, int]:
     """Exports -> exception / manual / straightforward lists (one scan, one write)."""
-    att = read_table(spark, attendance)
+    att = read_table(spark, attendance, split=True)
     if att.isEmpty():  # nothing exported today
         FS.clear_run(spark, out, asof)
         return {"exception": 0, "manual": 0, "straightforward": 0}
@@ -182,7 +187,7 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> i
         return 0
     provider = lambda p: with_position(read_table(spark, p, PROVIDER_HEADERS))
     x = CW.CaseInputs(
-        cases=cases, registry=read_table(spark, a.registry),
+        cases=cases, registry=read_table(spark, a.registry, split=True),
         lines=with_position(read_table(spark, a.lines)),
         coverage=with_position(read_table(spark, a.coverage)),
         invoices=invoices_table(spark, a.invoices),
@@ -263,7 +268,7 @@ def remit_job(spark: SparkSession, rows: str, worklist: str, states: str, practi
     inv = FS.file_inventory(spark, documents, "*.pdf")
     wl = with_position(read_table(spark, worklist, WORKLIST_HEADERS))
     names = lambda p: read_table(spark, p, WORKLIST_HEADERS)
-    return run_remit(spark, read_table(spark, rows, WORKLIST_HEADERS), wl, names(states), names(practices), inv,
+    return run_remit(spark, read_table(spark, rows, WORKLIST_HEADERS, split=True), wl, names(states), names(practices), inv,
                      ledger, asof, login)
 
 

@@ -510,6 +510,7 @@ SQL.update({
       FROM fresh f LEFT JOIN (SELECT practice, arg_min(rsm, position) AS rsm FROM wls
         WHERE wl_status = 'Processed' GROUP BY practice) r ON f.practice = r.practice"""),
     "parse_rejects": with_remit("SELECT t.item_id, t.practice, row_text FROM t JOIN p USING (item_id) WHERE NOT parse_ok"),
+    "scan_text_split": with_remit("SELECT item_id, practice, row_text FROM t"),
     "distinct_keys": with_remit("SELECT DISTINCT check_no FROM prior"),
 })
 

@@ -22,6 +22,7 @@ from billflow.plans import scrub
 from billflow.schema import RULE_COLUMNS
 from billflow.sources import files as FS
 from billflow.sources.rules import rules_long
+from billflow.sources.splits import read_split_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,6 +231,15 @@ def q_scan_text(spark, sf):
     return df.withColumn("item_id", F.col("item_id").cast("bigint"))
 
 
+@register("scan_text_split")
+def q_scan_text_split(spark, sf):
+    """O-01: remittance rows, whose text has line breaks, as quoted cells of an export read by splits."""
+    path = FS.scratch_path(spark, "remittance-csv")
+    FS.write_text_table(B.remit_rows(spark, sf).select("item_id", "practice", "row_text"), path)
+    df = read_split_table(spark, path, columns=["item_id", "practice", "row_text"])
+    return df.withColumn("item_id", F.col("item_id").cast("bigint"))
+
+
 @register("dated_run")
 def q_dated_run(spark, sf):
     """O-07: a run written to its year/month/day folder and read back by its date."""

@@ -14,6 +14,9 @@ from billflow.schema import EXPORT_HEADERS, NA_TOKENS
 from billflow.session import checkpoint_dir
 
 
+CSV_OPTIONS = {"mode": "PERMISSIVE", "multiLine": True, "escape": '"'}
+
+
 # ---- O-01 text scan ---------------------------------------------------------------
 
 def read_text_table(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -21,18 +24,22 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
     """CSV export with every column read as text; pandas' NA tokens become NULL.
 
     Quoted cells may hold line breaks and doubled quotes, as spreadsheets write
-    them (a file with such cells is read by one task; split exports by file).
+    them. A file is read by one task; :mod:`billflow.sources.splits` reads a large one by many.
     No schema inference (one pass, no sampling job). Spark's ``nullValue``
     takes a single token, so the remaining tokens are mapped in one projection.
     """
     if schema is None and columns is not None:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-         .option("multiLine", True).option("escape", '"'))
+    r = spark.read.options(header=True, **CSV_OPTIONS)
     df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
+    return na_to_null(df, df.columns)
+
+
+def na_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
+    """pandas' NA tokens -> NULL in ``cols``, in one projection."""
     na = list(NA_TOKENS)
-    return df.select([F.when(F.col(f"`{c}`").isin(na), None).otherwise(F.col(f"`{c}`")).alias(c)
-                      for c in df.columns])
+    token = lambda c: F.when(F.col(f"`{c}`").isin(na), None).otherwise(F.col(f"`{c}`")).alias(c)
+    return df.select([token(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def write_text_table(df: DataFrame, path: str) -> None:
