@@ -33,7 +33,6 @@ from billflow.operators import claims as CL
 from billflow.operators import gates as GT
 from billflow.operators import lookups as LK
 from billflow.operators import matching as M
-from billflow.operators import state as ST
 from billflow.plans import casework as CW
 from billflow.plans import scrub as SC
 from billflow.plans.remit import run_remit
@@ -41,6 +40,7 @@ from billflow.schema import (PROVIDER_HEADERS, TXN_UPDATED, WORKLIST_HEADERS, YE
 from billflow.session import checkpoint_dir, get_session
 from billflow.sources import files as FS
 from billflow.sources.rules import rules_long
+from billflow.sources.snapshots import compact, with_current
 from billflow.sources.splits import read_split_table
 
 STATE = T.StructType([T.StructField("case_id", T.LongType()), T.StructField("seq", T.LongType()),
@@ -140,10 +140,15 @@ def write_events(df: DataFrame, path: str, asof: dt.date, stage: str, fields: li
     events.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={asof.strftime('%m%d%Y')}/stage={stage}")
 
 
-def with_state(df: DataFrame, log: DataFrame, fields: list[str]) -> DataFrame:
+def with_state(df: DataFrame, path: str, fields: list[str], before: int | None = None) -> DataFrame:
     """``df`` with the current value of each field (replacing columns of that name)."""
-    cur = ST.state_current(log, fields).withColumnRenamed("case_id", "_case")
-    return df.drop(*fields).join(cur, F.col("item_id") == F.col("_case"), "left").drop("_case")
+    return with_current(df, "item_id", path, fields, STATE, before)
+
+
+def compact_job(spark: SparkSession, state: str, asof: dt.date) -> str | None:
+    """Fold the events of the days before ``asof`` into a snapshot of the state log."""
+    checkpoint_dir(spark)
+    return compact(spark, state, STATE_FIELDS, STATE, before=asof.toordinal() * 10)
 
 
 # ---- the jobs -------------------------------------------------------------------------
@@ -174,11 +179,9 @@ def casework_job(spark: SparkSession, a: argparse.Namespace, asof: dt.date) -> i
     cases = FS.read_run_or_none(spark, a.scrubbed, asof, route="straightforward")
     checkpoint_dir(spark)
     if cases is not None:
-        log = read_state(spark, a.state)
-        today = (F.lit(asof.toordinal()) * 10).cast("bigint")
         cases = split_ids(cases.drop("route")).withColumn("_exported", F.col("is_billed"))
-        cases = GT.pending_cases(with_state(cases, log.filter(F.col("seq") < today),
-                                            ["is_billed", "exceptions", "active_archived"]))
+        cases = GT.pending_cases(with_state(cases, a.state, ["is_billed", "exceptions", "active_archived"],
+                                            before=asof.toordinal() * 10))
         cases = (cases.withColumn("is_billed", F.coalesce("is_billed", "_exported"))
                  .drop("_exported", "exceptions").checkpoint())
     if cases is None or cases.isEmpty():  # nothing to work today
@@ -228,7 +231,7 @@ def claims_job(spark: SparkSession, casework: str, by_staff_private: str, out: s
     FS.write_run(CL.claim_record(worked), records, asof)
     rec = FS.read_run(spark, records, asof).drop("run_year", "run_month", "run_date")
     if state:
-        rec = GT.pending_claims(with_state(rec, read_state(spark, state), ["submitted"])).drop("submitted")
+        rec = GT.pending_claims(with_state(rec, state, ["submitted"])).drop("submitted")
     FS.write_run(CW.claim_forms(rec, providers), forms, asof)
 
 
@@ -252,9 +255,8 @@ def annotate_job(spark: SparkSession, claims: str, invoices: str, state: str, ou
         FS.clear_run(spark, out, asof)
         return 0
     checkpoint_dir(spark)
-    own = (F.lit(asof.toordinal()) * 10 + STAGES.index("annotate")).cast("bigint")
-    log = read_state(spark, state).filter(F.col("seq") < own)
-    todo = GT.pending_annotations(with_state(rec, log, ["transaction_number", "submitted", "transaction_status"]),
+    own = asof.toordinal() * 10 + STAGES.index("annotate")
+    todo = GT.pending_annotations(with_state(rec, state, ["transaction_number", "submitted", "transaction_status"], before=own),
                                   TXN_UPDATED)
     notes = M.invoice_annotate(todo, invoices_table(spark, invoices)).checkpoint()
     FS.write_run(notes, out, asof)
@@ -282,6 +284,7 @@ def main(argv: list[str] | None = None) -> None:
         "claims": ("casework", "by-staff-private", "state", "out"),
         "submit": ("claims", "outcomes", "state"),
         "annotate": ("claims", "invoices", "state", "out"),
+        "compact": ("state",),
         "remit": ("rows", "worklist", "states", "practices", "documents", "ledger")}
     for job, options in needs.items():
         sp = sub.add_parser(job)
@@ -306,6 +309,8 @@ def main(argv: list[str] | None = None) -> None:
         print(submit_job(spark, a.claims, a.outcomes, a.state, a.asof))
     elif a.job == "annotate":
         print(annotate_job(spark, a.claims, a.invoices, a.state, a.out, a.asof))
+    elif a.job == "compact":
+        print(compact_job(spark, a.state, a.asof))
     else:
         print(remit_job(spark, a.rows, a.worklist, a.states, a.practices, a.documents, a.ledger, a.asof, a.login))
 
