@@ -153,11 +153,15 @@ def with_next(df: DataFrame, id_col: str, text_col: str, rows_per_part: int = 40
         starts = sorted({x for x in got if x is not None and (x != low or empty)})
     parts = len(starts) + 1
     c = F.col(id_col)
-    lits = F.array(*[F.lit(x) for x in starts]) if starts else None
-    part = F.when(c.isNull(), 0).otherwise(F.size(F.filter(lits, lambda x: x <= c))) if starts else F.lit(0)
+    part, at_start = F.lit(0), F.lit(False)
+    if starts:
+        # starts at or below the id, by bisection: the work per row grows with the log of the parts
+        lits = F.array(*[F.lit(x) for x in starts])
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(starts).bit_length()))])
+        part = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(lits, n + step - 1) <= c, n + step).otherwise(n))
+        at_start = F.coalesce(F.get(lits, part - 1) == c, F.lit(False))
     is_first = c.isNull() if first is None else c == F.lit(first)
-    ahead = F.when(is_first, F.lit(parts - 1)).otherwise(
-        F.when(F.array_contains(lits, c), part - 1) if starts else F.lit(None).cast("int"))
+    ahead = F.when(is_first, F.lit(parts - 1)).otherwise(F.when(at_start, part - 1))
     own = F.struct(part.cast("int").alias("part"), F.lit(0).alias("ahead"))
     more = F.struct(ahead.cast("int").alias("part"), F.lit(1).alias("ahead"))
     dealt = df.select(F.explode(F.when(ahead.isNull(), F.array(own)).otherwise(F.array(own, more))).alias("_d"),

@@ -93,3 +93,20 @@ def test_odd_rows(spark, messy, empty):
     one, = Y.fingerprint_edited(documents(spark, [(5, "abcdefgh", "s")])).collect()
     assert one.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
     assert len(by_id(Y.anchors(messy))[4][0].anchors) > 1000
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 64, 100])
+def test_rows_are_dealt_by_the_starts_of_ranges(spark, n):
+    """Each id in one range, ranges in order, the first row of each also in the one before."""
+    df = spark.range(0, 3 * n, 3).selectExpr("id as doc_id", "cast(id as string) as text").repartition(3)
+    rows = Y.with_next(df, "doc_id", "text", rows_per_part=2).collect()
+    own = sorted((r.id, r.part) for r in rows if not r.ahead)
+    assert [i for i, _ in own] == list(range(0, 3 * n, 3))
+    parts = [p for _, p in own]
+    assert parts == sorted(parts) and (n < 8 or len(set(parts)) > n // 4)
+    first = {}
+    for i, p in own:
+        first.setdefault(p, i)
+    order = sorted(first)
+    want = sorted((first[b], a) for a, b in zip(order, order[1:])) + [(0, order[-1])]
+    assert sorted((r.id, r.part) for r in rows if r.ahead) == sorted(want)
