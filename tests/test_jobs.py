@@ -130,7 +130,8 @@ def test_two_days(spark, scratch, inputs):
     after = rows_of(J.read_state(spark, a.state).filter("stage = 'casework'"))
     assert after == before, (set(after) ^ set(before))
 
-    # the next day's export still holds the day's cases: what is done is left alone
+    # the next day's export still holds the day's cases: what is done is left alone, by the snapshot too
+    assert J.compact_job(spark, a.state, DAY2) and J.compact_job(spark, a.state, DAY2) is None
     today = FS.read_run(spark, f"{scratch}/scrub", DAY1).drop("run_year", "run_month", "run_date")
     FS.write_routes(today, f"{scratch}/scrub", DAY2)
     assert J.casework_job(spark, a, DAY2) == left < 90
