@@ -27,7 +27,7 @@ where it stands, and its commit leaves nothing of a lost executor. ``segments_in
 any run of segments, such as a plain file of them.
 
 Tokens. The tokenizers library encodes each distinct stretch between ASCII white space
-once per worker and batch; no token of the tokenizers used here reaches across white
+once per worker, while it is kept; no token of the tokenizers used here reaches across white
 space, so the ids of a text are those of its stretches. Kept stretches are bounded.
 
 Defined results: a null text counts as empty and is the end id alone; a null id is kept
@@ -39,12 +39,13 @@ length lies in one segment, over several blocks.
 from __future__ import annotations
 
 import gc
+import json
+import re
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ from billflow.session import checkpoint_dir
 
 from .common import cut, map_batches, with_code
 
-END, MAX_KEPT, AT_ONCE, FILE_IDS = 2, 1_000_000, 1 << 22, 1 << 26
+END, MAX_KEPT, FILE_IDS = 2, 500_000, 1 << 26
 BLOCK, LANES, LANE = 1 << 20, 4096, 256
 TOTAL, SHARE, SLOTS, SURE = 26, 20, 18, 7  # bits of all weights, of order 0 at least, of order 2's slots; top confidence
 MAGIC = b"BFT1"
@@ -325,8 +326,43 @@ def segments_in(data: bytes) -> Iterator[tuple[list[int | None], list[np.ndarray
         yield numbers, ids
 
 
+# Fixed values of the word tokenizer's file: what it does before BPE.
+LOWERED = ["NFC", "Replace", "Lowercase"]
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Bytes that U+0300 to U+037F begin with: such a mark may compose with a small letter and not with its capital.
+COMPOSES = re.compile(rb"[\xcc\xcd]")
+# A stretch of one pre-token; one whose ASCII marks at the end are a pre-token of their own, as an ASCII
+# letter or digit, or a letter of Latin-1, stands before them.
+PLAIN = re.compile(rb"[a-z]+")
+MARKED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
+
+
+class Kept(dict):
+    """What ``find`` gives for each key, found when first asked for; at most 2 * ``MAX_KEPT`` stay,
+    those asked for last among them."""
+
+    def __init__(self, find):
+        self.find, self.older = find, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        got = self.older.get(key)
+        if got is None:
+            got = self.find(key)
+        if len(self) >= MAX_KEPT:
+            self.older = self.copy()
+            self.clear()
+        self[key] = got
+        return got
+
+
 class Tokens:
-    """The library's ids of texts, each distinct stretch between ASCII white space encoded once."""
+    """The library's ids of texts, each distinct stretch between ASCII white space encoded once.
+
+    Where the tokenizer is the word tokenizer (``LOWERED``, ``WORDS``), ASCII is put in lower case before
+    stretches are told apart (not in a text with combining marks), marks at a stretch's end are looked up apart from the rest, and a stretch of
+    ASCII letters goes to the library's BPE model at once, as the steps before it would leave it as it is.
+    Any other stretch, and any of another tokenizer, goes through the library whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -336,35 +372,36 @@ class Tokens:
         self.library.no_padding()
         self.vocab = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
         self.code, self.packed = ("H", np.uint16) if self.vocab <= 1 << 16 else ("I", np.uint32)
-        self.kept: dict[bytes, bytes] = {}
-
-    def learn(self, new: list[bytes]) -> None:
-        for lo in range(0, len(new), 10_000):
-            some = new[lo:lo + 10_000]
-            done = self.library.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)
-            self.kept.update(zip(some, [array(self.code, x.ids).tobytes() for x in done]))
+        steps = json.loads(self.library.to_str())
+        cleaned = [x["type"] for x in (steps["normalizer"] or {}).get("normalizers", [])]
+        cut_at = [x.get("pattern", {}).get("Regex", x["type"]) for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.words = cleaned == LOWERED and cut_at == [WORDS, "ByteLevel"]
+        # an added token is found before anything else, in its own letters
+        self.added = re.compile(b"|".join(re.escape(x["content"].encode()) for x in steps["added_tokens"]) or b"(?!)", re.IGNORECASE)
+        self.model = self.library.model
+        self.kept = Kept(self.find)
+
+    def find(self, stretch: bytes) -> bytes:
+        if self.words and not self.added.search(stretch):
+            if PLAIN.fullmatch(stretch):
+                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
+            marked = MARKED.fullmatch(stretch)
+            if marked:
+                return self.kept[marked[1]] + self.kept[marked[2]]
+        return array(self.code, self.library.encode(stretch.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[bytes], end: int | None) -> list[bytes]:
         """The packed ids of each (UTF-8) text, followed by ``end``."""
-        last = [] if end is None else [array(self.code, [end]).tobytes()]
-        out: list[bytes] = []
+        last = b"" if end is None else array(self.code, [end]).tobytes()
         gc.disable()  # many small objects, none of them in a cycle
         try:
-            while len(out) < len(texts):
-                some, size = [], 0
-                while size < AT_ONCE and len(out) + len(some) < len(texts):
-                    text = texts[len(out) + len(some)]
-                    some.append(text.split())
-                    size += len(text)
-                new = {p for x in some for p in filterfalse(self.kept.__contains__, x)}
-                if len(self.kept) + len(new) > MAX_KEPT:  # only what these texts use stays
-                    used = set().union(*some)
-                    self.kept = {p: self.kept[p] for p in used.difference(new)}
-                self.learn(list(new))
-                out.extend([b"".join([*map(self.kept.__getitem__, x), *last]) for x in some])
+            return [b"".join(map(self.kept.__getitem__, self._folded(x).split())) + last for x in texts]
         finally:
             gc.enable()
-        return out
+
+    def _folded(self, text: bytes) -> bytes:
+        asis = not self.words or COMPOSES.search(text) or self.added.search(text)
+        return text if asis else text.lower()
 
 
 _TOKENS: dict[str, Tokens] = {}

@@ -120,12 +120,41 @@ def test_many_files_in_order(spark, monkeypatch, scratch):
 
 def test_kept_stretches_are_bounded(monkeypatch):
     monkeypatch.setattr(T, "MAX_KEPT", 5)
-    monkeypatch.setattr(T, "AT_ONCE", 10)
     t, library = T.Tokens(PATH), Tokenizer.from_file(PATH)
     texts = [f"stretch{i} of{i % 3} a text" for i in range(20)]
     for text, packed in zip(texts, t.encode([x.encode() for x in texts], None)):
         assert np.frombuffer(packed, t.packed).tolist() == library.encode(text, add_special_tokens=False).ids
-    assert len(t.kept) <= 10
+        assert len(t.kept) <= 5 and len(t.kept.older) <= 5
+
+
+MARKS = "aBz e\u0301\u0307\u030a\u0338 éÀ×÷ßİſK ΑΣς ½²٣ … '’\"s<|>=.,!?-_$ \u200d\x85\xa0\u3000\x1c"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(MARKS, max_size=12), st.sampled_from(
+    ["<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "it'S", "'LL", "word's,", "A\u030a", "I\u0307", "é.", "12,", "..."])), max_size=8))
+def test_stretches_as_whole_texts(parts):
+    t, text = T.tokens(PATH), "".join(parts)
+    got = np.frombuffer(t.encode([text.encode()], None)[0], t.packed).tolist()
+    assert t.words and got == t.library.encode(text, add_special_tokens=False).ids
+
+
+def test_letters_of_either_case_before_any_mark():
+    """ASCII letters in lower case from the start, whatever combines with them; marks after any Latin-1 letter."""
+    t, marks = T.tokens(PATH), [chr(c) for c in range(0x300, 0x370)]
+    texts = [x + m for m in marks for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    texts += ["a" + chr(c) + m for c in range(0xA0, 0x180) for m in (",", "'", ".'s", "|>", "=\u0338")]
+    for text, packed in zip(texts, t.encode([x.encode() for x in texts], None)):
+        assert np.frombuffer(packed, t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
+
+
+def test_another_tokenizer_goes_through_the_library_whole(monkeypatch):
+    t = T.Tokens(PATH)
+    t.words = False
+    texts = ["Ab, it's <|endoftext|> é.", "", "x" * 50]
+    for text, packed in zip(texts, t.encode([x.encode() for x in texts], None)):
+        assert np.frombuffer(packed, t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
+    assert b"Ab," in t.kept
 
 
 def test_empty_table(spark, empty):
