@@ -60,9 +60,9 @@ def latest_outcome(outcomes: DataFrame) -> DataFrame:
         F.col("_o.error_text").alias("out_error"))
 
 
-def with_outcome(df: DataFrame, outcomes: DataFrame, key: str = "item_id") -> DataFrame:
+def with_outcome(df: DataFrame, outcomes: DataFrame, key: str = "item_id", rows: DataFrame | None = None) -> DataFrame:
     lo = latest_outcome(outcomes)
-    j = unique_left_join(df, lo, [(F.col(key), "case_id")], key)
+    j = unique_left_join(df, lo, [(F.col(key), "case_id")], key, rows)
     return j.withColumns({"out_found": F.col("out_ok").isNotNull()}).drop("case_id")
 
 

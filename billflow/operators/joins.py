@@ -16,6 +16,8 @@ Results are identical either way; only the physical strategy changes.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,32 +81,94 @@ def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,
     return left.join(maybe_broadcast(right, max_rows), cond, how)
 
 
-SALTS = 8
+# Salts of NULL keys, which match nothing; hot keys measured at most, and keys that the sketch tracks
+# for them (its error is 3.5 / TRACKED of the rows, less than the share of a key that counts as hot).
+NULL_SALTS, HOT_MOST, TRACKED = 512, 512, 8192
+
+
+def planner_broadcasts(right: DataFrame) -> bool:
+    """Whether the planner will broadcast ``right``, by its own estimate and threshold: then nothing is shuffled."""
+    limit = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
 
+def hot_keys(rows: DataFrame, keys: list[Column]) -> dict[int, int]:
+    """The keys that hold more than one task's share of ``rows``: hash of the key -> tasks to deal its rows over.
 
-def unique_left_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], salt_by: str) -> DataFrame:
+    One pass with a heavy-hitter sketch, combined map-side. At most ``HOT_MOST`` keys reach the driver;
+    a key beyond these holds less than 1 / ``HOT_MOST`` of the rows. A key gets tasks by its count, all of
+    them from a quarter of the rows on. Rows with a NULL in the key are left out.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & k.isNotNull()
+    key = rows.select(F.when(whole, F.xxhash64(*keys)).alias("key"))
+    found = key.agg(F.count(F.lit(1)).alias("n"),
+                    F.expr(f"approx_top_k(key, {HOT_MOST}, {TRACKED}) FILTER (WHERE key IS NOT NULL)").alias("top")).first()
+    least = max(found.n / tasks, found.n / HOT_MOST)
+    return {r.item: min(tasks, math.ceil(4 * tasks * r["count"] / found.n)) for r in found.top or [] if r["count"] > least}
+
+
+def unique_left_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], salt_by: str,
+                     rows: DataFrame | None = None) -> DataFrame:
     """Left join to a ``right`` that holds at most one row per key.
 
-    ``right`` is an aggregate, and a partition of ``left`` that one hot key fills
-    is not split by the planner against an aggregate. So ``left`` is dealt over a
-    few salts (by ``salt_by``) and ``right``, which is small by then, repeated for them.
-    A NULL key matches nothing; such rows are dealt over many salts.
+    ``right`` is an aggregate, and a partition of ``left`` that one hot key fills is not split by the
+    planner against an aggregate. So, unless ``right`` is broadcast, hot keys are measured: the rows of
+    each are dealt over tasks by its count (by ``salt_by``), and only its row of ``right`` is repeated for
+    them. Every other key is shuffled once on either side. A NULL key matches nothing; such rows are dealt
+    over ``NULL_SALTS`` salts.
+
+    ``rows`` is measured instead of ``left``: a table with the keys of the same rows that is cheaper to read,
+    such as the cases at the start of a chain of joins. What is measured decides where rows
+    go, never the result.
     """
-    null = on[0][0].isNull()
-    for k, _ in on[1:]:
-        null = null | k.isNull()
-    salt = F.pmod(F.xxhash64(salt_by), F.when(null, F.lit(64 * SALTS)).otherwise(F.lit(SALTS)))
-    r = right.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_right_salt"))
-    cond = F.col("_left_salt") == F.col("_right_salt")
+    keys, names = [k for k, _ in on], [n for _, n in on]
+    cond, null = F.lit(True), F.lit(False)
     for k, name in on:
-        cond = cond & (k == F.col(name))
-    return left.withColumn("_left_salt", salt).join(r, cond, "left").drop("_left_salt", "_right_salt")
+        cond, null = cond & (k == F.col(name)), null | k.isNull()
+    if planner_broadcasts(right):
+        return left.join(right, cond, "left")
+    types = [[f.dataType for f in side.schema] for side in (left.select(*keys), right.select(*names))]
+    if types[0] != types[1]:
+        raise TypeError(f"keys of unlike types, whose hashes differ: {types}")
+    hot = hot_keys(left if rows is None else rows, keys)
+
+    def salts(cols) -> Column:
+        if not hot:
+            return F.lit(1).cast("bigint")
+        table = F.create_map(*[F.lit(x).cast("bigint") for pair in hot.items() for x in pair])
+        return F.coalesce(F.try_element_at(table, F.xxhash64(*cols)), F.lit(1).cast("bigint"))
+
+    lot = F.xxhash64(salt_by)
+    salt = F.when(null, F.pmod(lot, F.lit(NULL_SALTS))).otherwise(F.pmod(lot, salts(keys)))
+    # a generator, as a constant salt would be folded away and NULL keys meet in one task again
+    r = right.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), salts(names) - 1)).alias("_right_salt"))
+    return (left.withColumn("_left_salt", salt).join(r, cond & (F.col("_left_salt") == F.col("_right_salt")), "left")
+            .drop("_left_salt", "_right_salt"))
+
+
+def with_match(left: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
+    """Add ``flag``: is ``on`` among ``keys`` (one column, repeats allowed)? NULL is not.
+
+    Where ``keys`` is broadcast this is one left join to its distinct rows. Beyond that the rows that match
+    and the others come from a semi and an anti join: both sides are plain shuffles, made
+    once for the two, and AQE splits a partition that equal rows fill.
+    """
+    k = keys.select(F.col(keys.columns[0]).alias("_match"))
+    cond = F.col(on) == F.col("_match")
+    if planner_broadcasts(k):
+        return left.join(k.distinct(), cond, "left").withColumn(flag, F.col("_match").isNotNull()).drop("_match")
+    return (left.join(k, cond, "left_semi").withColumn(flag, F.lit(True))
+            .unionByName(left.join(k, cond, "left_anti").withColumn(flag, F.lit(False))))
 
 
 def of_keys(table: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
     """The rows of ``table`` whose ``col`` is among ``keys`` (one column, any name);
-    all rows when ``keys`` is None. Used to cut a history to a day's keys before it is reduced."""
+    all rows when ``keys`` is None. Used to cut a history to a day's keys before it is reduced.
+    The keys keep their repeats: both sides are plain shuffles then, and AQE splits what a hot key fills."""
     if keys is None:
         return table
-    k = keys.select(F.col(keys.columns[0]).alias("_day_key")).distinct()
+    k = keys.select(F.col(keys.columns[0]).alias("_day_key"))
     return table.join(k, F.col(col) == F.col("_day_key"), "left_semi")

@@ -36,14 +36,15 @@ def best_registry_entry(registry: DataFrame) -> DataFrame:
     return first_by_position(ranked, ["client_id"], ["_tab_rank"], REGISTRY_FIELDS)
 
 
-def registry_match(cases: DataFrame, registry: DataFrame) -> DataFrame:
+def registry_match(cases: DataFrame, registry: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Add ``reg_found`` and the best registry entry's fields (``reg_*``).
 
     The name search only narrows the portal's list; the accepting test is
     client-id equality, so this is an equi join on the id. NULL ids never match.
+    ``rows``, here and below: see :func:`billflow.operators.joins.unique_left_join`.
     """
     best = _prefixed(best_registry_entry(registry), "reg_", ["client_id"] + REGISTRY_FIELDS)
-    j = unique_left_join(cases, best, [(F.col("client_id"), "reg_client_id")], "item_id")
+    j = unique_left_join(cases, best, [(F.col("client_id"), "reg_client_id")], "item_id", rows)
     return j.withColumns({
         "reg_found": F.col("reg_client_id").isNotNull(),
         "reg_full_name": normalise_name(F.col("reg_first_name"), F.col("reg_middle_name"),
@@ -96,12 +97,15 @@ def registry_search(cases: DataFrame, registry: DataFrame, clients: DataFrame |
     name = F.lower(normalise_name(F.col("client_name")))
     j = cases
     for n, (by, term) in enumerate(((BY_FULL, name), (BY_FIRST, F.split(name, " ").getItem(0)))):
-        j = unique_left_join(j, side(by, n), [(F.col("client_id"), f"_id{n}"), (term, f"_term{n}")], "item_id")
+        j = unique_left_join(j, side(by, n), [(F.col("client_id"), f"_id{n}"), (term, f"_term{n}")], "item_id", cases)
     # ranks differ between the searches; the one with the lower rank came first
     j = j.withColumn("_hit", F.when(F.col("_hit0").isNull() | (F.col("_hit1.rank") < F.col("_hit0.rank")), F.col("_hit1"))
                      .otherwise(F.col("_hit0")))
+    # each case under every search that may have found it: no search is hotter than this says
+    may = [F.struct(F.lit(rank).alias("rank"), (name if rank % 2 == 0 else F.split(name, " ").getItem(0)).alias("term")) for rank in range(4)]
+    searches = cases.select(F.explode(F.array(*may)).alias("_hit"))
     j = unique_left_join(j, shown.select(F.col("rank").alias("_rank"), F.col("term").alias("_term"), "n_shown"),
-                         [(F.col("_hit.rank"), "_rank"), (F.col("_hit.term"), "_term")], "item_id")
+                         [(F.col("_hit.rank"), "_rank"), (F.col("_hit.term"), "_term")], "item_id", searches)
     return j.select(*cases.columns, F.col("_hit").isNotNull().alias("reg_found"),
                     *[F.col(f"_hit.reg_{c}").alias(f"reg_{c}") for c in REGISTRY_FIELDS],
                     normalise_name(*[F.col(f"_hit.reg_{c}") for c in ("first_name", "middle_name", "last_name")]).alias("reg_full_name"),
@@ -159,7 +163,7 @@ def in_dos_range(lines: DataFrame, days: DosRange) -> DataFrame:
     return with_dos_date(lines).filter(keep | c.isNull() if odd else keep)
 
 
-def service_match(cases: DataFrame, lines: DataFrame, days: DosRange | None = None) -> DataFrame:
+def service_match(cases: DataFrame, lines: DataFrame, days: DosRange | None = None, rows: DataFrame | None = None) -> DataFrame:
     """Add ``svc_found`` and the first matching service line (``ln_*``).
 
     A line matches when client id and the full date-time text (zone removed)
@@ -180,13 +184,13 @@ def service_match(cases: DataFrame, lines: DataFrame, days: DosRange | None = No
     svc_line = _prefixed(per_svc, "ls_", keys + ["_svc"] + LINE_FIELDS)
     any_line = _prefixed(first_by_position(per_svc, keys, ["position"], LINE_FIELDS),
                          "la_", keys + LINE_FIELDS)
-    c = cases.withColumn("_dos", strip_zone(F.col("date_time")))
+    dos = strip_zone(F.col("date_time"))
     cancel = match_or_false(F.col("status").isin(list(CANCEL_STATUSES)))
     client = F.col("client_id")
-    j = unique_left_join(c, any_line, [(F.when(~cancel, client), "la_client_id"), (F.col("_dos"), "la_dos_text")],
-                         "item_id")
-    j = unique_left_join(j, svc_line, [(F.when(cancel, client), "ls_client_id"), (F.col("_dos"), "ls_dos_text"),
-                                       (F.col("service_type"), "ls__svc")], "item_id")
+    rows = cases if rows is None else rows
+    j = unique_left_join(cases, any_line, [(F.when(~cancel, client), "la_client_id"), (dos, "la_dos_text")], "item_id", rows)
+    j = unique_left_join(j, svc_line, [(F.when(cancel, client), "ls_client_id"), (dos, "ls_dos_text"),
+                                       (F.col("service_type"), "ls__svc")], "item_id", rows)
     out = j.select(
         *cases.columns,
         *[F.coalesce(F.col("la_" + f), F.col("ls_" + f)).alias("ln_" + f) for f in LINE_FIELDS])
@@ -213,9 +217,9 @@ def active_coverage(coverage: DataFrame, rules: DataFrame) -> DataFrame:
     return first_by_position(eligible, ["client_id"], ["position"], ["payor", "insured_id"])
 
 
-def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame) -> DataFrame:
+def with_coverage(cases: DataFrame, coverage: DataFrame, rules: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     cov = _prefixed(active_coverage(coverage, rules), "cov_", ["client_id", "payor", "insured_id"])
-    j = unique_left_join(cases, cov, [(F.col("client_id"), "cov_client_id")], "item_id")
+    j = unique_left_join(cases, cov, [(F.col("client_id"), "cov_client_id")], "item_id", rows)
     return j.withColumns({"cov_found": F.col("cov_client_id").isNotNull()}).drop("cov_client_id")
 
 
@@ -281,7 +285,7 @@ def portal_providers(claims: DataFrame, by_staff_private: DataFrame) -> DataFram
 
 # ---- O-35 invoice annotate --------------------------------------------------------
 
-def first_invoice(cases: DataFrame, invoices: DataFrame) -> DataFrame:
+def first_invoice(cases: DataFrame, invoices: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """The first open invoice number (list order) of the client for this case.
 
     The invoice that a case's billing saved is the one listed for its client
@@ -293,7 +297,7 @@ def first_invoice(cases: DataFrame, invoices: DataFrame) -> DataFrame:
                      F.col("invoice_no").alias("claim_invoice_number"))
     case = F.col("item_id") if by == "case_id" else strip_zone(F.col("date_time"))
     return unique_left_join(cases, inv, [(F.col("client_id"), "_inv_client"), (case, "_inv_case")],
-                            "item_id").drop("_inv_client", "_inv_case")
+                            "item_id", rows).drop("_inv_client", "_inv_case")
 
 
 def invoice_annotate(claims: DataFrame, invoices: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from billflow.functions.nulls import match_or_false
 from billflow.functions.text import doc_name, path_tail, sanitise, split_lines, strip_ws
 from billflow.operators.gates import date_window
-from billflow.operators.joins import maybe_broadcast
+from billflow.operators.joins import maybe_broadcast, with_match
 from billflow.schema import (FILE_DOWNLOADED, FILE_NOT_DOWNLOADED, WL_NO_EOBS,
                              WL_PRACTICE_NOT_FOUND, WL_PROCESSED, WL_STATE_NOT_FOUND, WL_UNMATCHED)
 
@@ -69,10 +69,10 @@ def with_doc_name(df: DataFrame) -> DataFrame:
 
 def download_reconcile(expected: DataFrame, inventory: DataFrame) -> DataFrame:
     """O-36: 'File Downloaded' when a file of the expected name exists."""
-    names = inventory.select(path_tail(F.col("path")).alias("_file")).distinct()
-    j = expected.join(names, F.col("doc_name") == F.col("_file"), "left")
-    return j.withColumn("status", F.when(F.col("_file").isNotNull(), F.lit(FILE_DOWNLOADED))
-                        .otherwise(F.lit(FILE_NOT_DOWNLOADED))).drop("_file")
+    names = inventory.select(path_tail(F.col("path")).alias("_file"))
+    j = with_match(expected, names, "doc_name", "_there")
+    return j.withColumn("status", F.when(F.col("_there"), F.lit(FILE_DOWNLOADED))
+                        .otherwise(F.lit(FILE_NOT_DOWNLOADED))).drop("_there")
 
 
 def ledger_rows(reconciled: DataFrame) -> DataFrame:

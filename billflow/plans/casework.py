@@ -45,16 +45,16 @@ def worked_cases(x: CaseInputs) -> DataFrame:
     if x.by_name:
         df = M.registry_search(x.cases, x.registry, clients).drop("found_by", "n_shown")
     else:
-        df = M.registry_match(x.cases, of_keys(x.registry, "client_id", clients))
+        df = M.registry_match(x.cases, of_keys(x.registry, "client_id", clients), x.cases)
     df = M.archive_flag(df)
-    df = M.service_match(df, of_keys(x.lines, "client_id", clients), x.days)
+    df = M.service_match(df, of_keys(x.lines, "client_id", clients), x.days, x.cases)
     df = CL.dx_present(df)
     df = CL.charge_rule(df)
     df = M.provider_resolution(df, x.rules, x.by_payor, x.by_staff, x.by_staff_private)
     df = CL.case_routing(df)
-    df = M.with_coverage(df, of_keys(x.coverage, "client_id", clients), x.rules)
-    df = M.first_invoice(df, of_keys(x.invoices, "client_id", clients))
-    df = CL.with_outcome(df, of_keys(x.outcomes, "case_id", ids))
+    df = M.with_coverage(df, of_keys(x.coverage, "client_id", clients), x.rules, x.cases)
+    df = M.first_invoice(df, of_keys(x.invoices, "client_id", clients), x.cases)
+    df = CL.with_outcome(df, of_keys(x.outcomes, "case_id", ids), rows=x.cases)
     return CL.exception_tagging(df)
 
 

@@ -2,12 +2,14 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from billflow.plans import bindings as B
 from billflow.plans import registry as RG
 from billflow.operators import gates as G
 from billflow.operators import matching as M
+from billflow.operators.joins import hot_keys, unique_left_join, with_match
 from tests.conftest import SF_SMALL
 
 
@@ -116,11 +118,69 @@ def test_hot_and_null_keys_are_dealt_over_salts(spark):
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 1200  # the hot client has 2000 rows, and as many have none
         assert "_left_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+        assert max(sizes) < 300 and min(sizes) > 0  # in fact dealt over all tasks
+        assert list(hot_keys(cases, [F.col("client_id")]).values()) == [64]
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
 
 
+def test_cold_keys_are_not_copied(spark):
+    """Only the measured hot keys' rows are repeated on the other side, by their counts."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(old, ("-1", "100")):
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        key = F.when(i % 20 == 0, "warm").when(i % 3 == 0, "hot").when(i % 7 == 0, None).otherwise(i.cast("string"))
+        left = spark.range(30000).select(i.alias("item_id"), key.alias("k"), F.lit(1).alias("one"))
+        keys = left.select("k").where("k is not null").distinct()
+        right = keys.select(F.col("k").alias("rk"), F.lit(1).alias("rone"), F.concat(F.lit("v"), "k").alias("v"))
+        on = [(F.col("k"), "rk"), (F.col("one"), "rone")]
+        tasks = sorted(hot_keys(left, [k for k, _ in on]).values())
+        assert tasks[-1] == 100 and tasks[:-1] == [20]  # a third of the rows and a twentieth
+        out = unique_left_join(left, right, on, "item_id")
+        joined = [p for p in plan_nodes(out) if p.nodeName() == "Join"]
+        copied = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, joined[0].children().apply(1)).count()
+        assert copied == keys.count() - 2 + 100 + 20
+        got = out.select("item_id", "k", "v").collect()
+        assert len(got) == 30000 and all(r.v == (r.k and "v" + r.k) for r in got)
+        assert hot_keys(left.limit(0), [F.col("k")]) == {}
+        with pytest.raises(TypeError):
+            unique_left_join(left, right, [(F.col("item_id"), "rk")], "item_id")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        plain = unique_left_join(left, spark.range(9).select(F.col("id").alias("rid")), [(F.col("item_id"), "rid")], "item_id")
+        assert "_left_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()  # broadcast: nothing to deal
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def plan_nodes(df):
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        yield node
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+
+
+def test_a_match_flag_needs_no_distinct_side(spark):
+    """O-36 beyond the broadcast: plain shuffles that AQE can split, the same rows as the broadcast join."""
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("name"),
+                                    F.col("id"))
+    keys = spark.createDataFrame([("a",), ("a",), ("7",), (None,)], "file string")
+    want = sorted(map(tuple, with_match(left, keys, "name", "there").collect()), key=lambda r: r[1])
+    assert [r[2] for r in want] == [r[0] in ("a", "7") for r in want]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = with_match(left, keys, "name", "there")
+        assert sorted(map(tuple, out.collect()), key=lambda r: r[1]) == want
+        assert "Aggregate" not in plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_remittance_text_is_built_and_split_once(spark):
     """However many fields are tested and read, one split stands in the plan (and the two branches of the text)."""
     for key in ("remit_date_window", "doc_name", "sanitise_text"):
