@@ -331,9 +331,9 @@ LOWERED = ["NFC", "Replace", "Lowercase"]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Bytes that U+0300 to U+037F begin with: such a mark may compose with a small letter and not with its capital.
 COMPOSES = re.compile(rb"[\xcc\xcd]")
-# A stretch of one pre-token; one whose ASCII marks at the end are a pre-token of their own, as an ASCII
+# A stretch of small letters of Latin-1, which is one pre-token; one whose ASCII marks at the end are a pre-token of their own, as an ASCII
 # letter or digit, or a letter of Latin-1, stands before them.
-PLAIN = re.compile(rb"[a-z]+")
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 MARKED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
 
 
@@ -360,12 +360,13 @@ class Tokens:
 
     Where the tokenizer is the word tokenizer (``LOWERED``, ``WORDS``), ASCII is put in lower case before
     stretches are told apart (not in a text with combining marks), marks at a stretch's end are looked up apart from the rest, and a stretch of
-    ASCII letters goes to the library's BPE model at once, as the steps before it would leave it as it is.
+    small letters goes to the library's BPE model at once, its bytes spelled as the library spells them.
     Any other stretch, and any of another tokenizer, goes through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -379,12 +380,14 @@ class Tokens:
         # an added token is found before anything else, in its own letters
         self.added = re.compile(b"|".join(re.escape(x["content"].encode()) for x in steps["added_tokens"]) or b"(?!)", re.IGNORECASE)
         self.model = self.library.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.kept = Kept(self.find)
 
     def find(self, stretch: bytes) -> bytes:
         if self.words and not self.added.search(stretch):
             if PLAIN.fullmatch(stretch):
-                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
+                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode().translate(self.letters))]).tobytes()
             marked = MARKED.fullmatch(stretch)
             if marked:
                 return self.kept[marked[1]] + self.kept[marked[2]]

@@ -143,6 +143,7 @@ def test_letters_of_either_case_before_any_mark():
     """ASCII letters in lower case from the start, whatever combines with them; marks after any Latin-1 letter."""
     t, marks = T.tokens(PATH), [chr(c) for c in range(0x300, 0x370)]
     texts = [x + m for m in marks for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    texts += [chr(c) + x for c in range(0xC0, 0x180) for x in ("", chr(c), "ab", "\u0301", "\u0327b")] + ["aß" + chr(c) for c in range(0xA0, 0x250)]
     texts += ["a" + chr(c) + m for c in range(0xA0, 0x180) for m in (",", "'", ".'s", "|>", "=\u0338")]
     for text, packed in zip(texts, t.encode([x.encode() for x in texts], None)):
         assert np.frombuffer(packed, t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
