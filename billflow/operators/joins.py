@@ -149,21 +149,6 @@ def unique_left_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, s
             .drop("_left_salt", "_right_salt"))
 
 
-def with_match(left: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
-    """Add ``flag``: is ``on`` among ``keys`` (one column, repeats allowed)? NULL is not.
-
-    Where ``keys`` is broadcast this is one left join to its distinct rows. Beyond that the rows that match
-    and the others come from a semi and an anti join: both sides are plain shuffles, made
-    once for the two, and AQE splits a partition that equal rows fill.
-    """
-    k = keys.select(F.col(keys.columns[0]).alias("_match"))
-    cond = F.col(on) == F.col("_match")
-    if planner_broadcasts(k):
-        return left.join(k.distinct(), cond, "left").withColumn(flag, F.col("_match").isNotNull()).drop("_match")
-    return (left.join(k, cond, "left_semi").withColumn(flag, F.lit(True))
-            .unionByName(left.join(k, cond, "left_anti").withColumn(flag, F.lit(False))))
-
-
 def of_keys(table: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
     """The rows of ``table`` whose ``col`` is among ``keys`` (one column, any name);
     all rows when ``keys`` is None. Used to cut a history to a day's keys before it is reduced.

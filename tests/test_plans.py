@@ -9,7 +9,7 @@ from billflow.plans import bindings as B
 from billflow.plans import registry as RG
 from billflow.operators import gates as G
 from billflow.operators import matching as M
-from billflow.operators.joins import hot_keys, unique_left_join, with_match
+from billflow.operators.joins import hot_keys, unique_left_join
 from tests.conftest import SF_SMALL
 
 
@@ -164,23 +164,6 @@ def plan_nodes(df):
         todo += [node.children().apply(i) for i in range(node.children().size())]
 
 
-def test_a_match_flag_needs_no_distinct_side(spark):
-    """O-36 beyond the broadcast: plain shuffles that AQE can split, the same rows as the broadcast join."""
-    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("name"),
-                                    F.col("id"))
-    keys = spark.createDataFrame([("a",), ("a",), ("7",), (None,)], "file string")
-    want = sorted(map(tuple, with_match(left, keys, "name", "there").collect()), key=lambda r: r[1])
-    assert [r[2] for r in want] == [r[0] in ("a", "7") for r in want]
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = with_match(left, keys, "name", "there")
-        assert sorted(map(tuple, out.collect()), key=lambda r: r[1]) == want
-        assert "Aggregate" not in plan(out)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_remittance_text_is_built_and_split_once(spark):
     """However many fields are tested and read, one split stands in the plan (and the two branches of the text)."""
     for key in ("remit_date_window", "doc_name", "sanitise_text"):
