@@ -6,10 +6,12 @@ Two kinds of small side exist:
   after one bounded pass (``df.limit(n + 1)``) proves both their rows and their
   bytes small; beyond either bound the hint is dropped.
 * data-sized tables (client export, registry, service lines, coverage,
-  invoices, outcomes): never hinted. The planner broadcasts them only while
-  their size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and
-  AQE re-decides from measured shuffle sizes; otherwise the join is
-  sort-merge with AQE splitting skewed partitions.
+  invoices, outcomes): never hinted to be broadcast. They are only while the
+  planner's estimate *and* their measured size are under
+  ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-decides from measured
+  shuffle sizes; otherwise the join is sort-merge with AQE splitting skewed
+  partitions. The estimate alone won't do: it starts from compressed files
+  and takes a generator for one row out of each row in.
 
 Results are identical either way; only the physical strategy changes.
 """
@@ -20,6 +22,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Row bound for broadcasting a config table; ~2M narrow rows stays well under the
 # default 8 GB broadcast ceiling and executor memory. Per session it can be set
@@ -31,12 +34,25 @@ MAX_BYTES = 128 << 20
 
 
 _CHECKED: dict[tuple, bool] = {}
+_MEASURED: dict[tuple, int] = {}
 
 
 def broadcast_row_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def _leaves(t) -> int:
+    return sum(_leaves(f.dataType) for f in t) if isinstance(t, StructType) else 1
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about: the text length of its values, and 16 for each."""
+    width = F.lit(16 * _leaves(df.schema))
+    for c in df.columns:
+        width = width + F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    return width
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` provably holds at most ``max_rows`` rows and ``MAX_BYTES`` bytes.
 
@@ -49,10 +65,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
         return False
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(df.inputFiles()), max_rows)
     if key not in _CHECKED:
-        width = F.lit(0)
-        for c in df.columns:
-            width = width + F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16
-        rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
         _CHECKED[key] = rows <= max_rows and size <= MAX_BYTES
     return _CHECKED[key]
 
@@ -67,12 +80,12 @@ def null_safe_left_join(left: DataFrame, dim: DataFrame, left_key: str,
     """Left join where a NULL key matches a NULL key and duplicates fan out.
 
     ``<=>`` plans as an equi join on ``(coalesce(k, ''), isnull(k))``, so it
-    stays a hash join: broadcast while ``dim`` is under the planner's size
-    threshold, sort-merge beyond it. There all NULL keys share one reducer;
+    stays a hash join: broadcast while ``dim`` is, as measured, under the planner's
+    size threshold, sort-merge beyond it. There all NULL keys share one reducer;
     AQE's skew-join rule splits that partition of ``left`` (the NULL part of
     ``dim`` is what gets replicated, and it is small in any master table).
     """
-    return left.join(dim, F.col(left_key).eqNullSafe(F.col(right_key)), "left")
+    return left.join(sized(dim), F.col(left_key).eqNullSafe(F.col(right_key)), "left")
 
 
 def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,
@@ -86,10 +99,40 @@ def semi_on(left: DataFrame, right: DataFrame, cond: Column | list, how: str,
 NULL_SALTS, HOT_MOST, TRACKED = 512, 512, 8192
 
 
+def _estimated_small(df: DataFrame) -> int | None:
+    """The planner's threshold, where its estimate of ``df`` is not above it."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    return limit if small else None
+
+
 def planner_broadcasts(right: DataFrame) -> bool:
-    """Whether the planner will broadcast ``right``, by its own estimate and threshold: then nothing is shuffled."""
-    limit = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    """Whether ``right`` is to be broadcast, so that nothing is shuffled: the planner would by its own estimate and
+    threshold, and the size of ``right``, measured once for a plan over the same files, is not above it.
+
+    Its rows are counted first, which reads their keys alone; only few enough rows are then measured by their text.
+    """
+    limit = _estimated_small(right)
+    if limit is None:
+        return False
+    key = (right.sparkSession.sparkContext.applicationId, right.semanticHash(), tuple(right.inputFiles()))
+    size = _MEASURED.get(key)
+    if size is None:
+        size = 16 * _leaves(right.schema) * right.count()
+        if size <= limit:
+            size = right.agg(F.coalesce(F.sum(_width(right)), F.lit(0))).first()[0]
+        _MEASURED[key] = size
+    return size <= limit
+
+
+def shuffled(right: DataFrame) -> DataFrame:
+    """``right``, which is too large to be broadcast, for a join: hinted so where the planner's estimate says else."""
+    return right if _estimated_small(right) is None else right.hint("merge")
+
+
+def sized(right: DataFrame) -> DataFrame:
+    """``right`` for a join that may broadcast it by its measured size only."""
+    return right if planner_broadcasts(right) else shuffled(right)
 
 
 def hot_keys(rows: DataFrame, keys: list[Column]) -> dict[int, int]:
@@ -145,7 +188,7 @@ def unique_left_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, s
     salt = F.when(null, F.pmod(lot, F.lit(NULL_SALTS))).otherwise(F.pmod(lot, salts(keys)))
     # a generator, as a constant salt would be folded away and NULL keys meet in one task again
     r = right.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), salts(names) - 1)).alias("_right_salt"))
-    return (left.withColumn("_left_salt", salt).join(r, cond & (F.col("_left_salt") == F.col("_right_salt")), "left")
+    return (left.withColumn("_left_salt", salt).join(shuffled(r), cond & (F.col("_left_salt") == F.col("_right_salt")), "left")
             .drop("_left_salt", "_right_salt"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from billflow.operators import claims as CL
 from billflow.operators import matching as M
-from billflow.operators.joins import of_keys
+from billflow.operators.joins import of_keys, sized
 
 
 @dataclass
@@ -61,7 +61,7 @@ def worked_cases(x: CaseInputs) -> DataFrame:
 def claims_with_transactions(rec: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Claim records plus the transaction number their submission returned."""
     lo = CL.latest_outcome(outcomes)
-    return (rec.join(lo, F.col("item_id") == F.col("case_id"), "left")
+    return (rec.join(sized(lo), F.col("item_id") == F.col("case_id"), "left")
             .withColumn("transaction_number", F.when(F.col("out_ok"), F.col("out_txn")))
             .drop("case_id", "out_ok", "out_txn", "out_error"))
 

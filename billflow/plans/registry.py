@@ -20,6 +20,7 @@ from billflow.plans import casework as CW
 from billflow.plans import remit as RP
 from billflow.plans import scrub
 from billflow.schema import RULE_COLUMNS
+from billflow.session import checkpoint_dir
 from billflow.sources import files as FS
 from billflow.sources.rules import rules_long
 from billflow.sources.splits import read_split_table
@@ -59,6 +60,12 @@ def cases(spark, sf):
     return B.prior_state(q_scrub_straightforward(spark, sf))
 
 
+def stored(df):
+    """``df``, written once below ``spark.checkpoint.dir``: for what is measured and joined more than once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def case_inputs(spark, sf) -> CW.CaseInputs:
     return CW.CaseInputs(
         cases=cases(spark, sf), registry=B.registry(spark, sf), lines=B.service_lines(spark, sf),
@@ -82,7 +89,7 @@ def q_registry_match(spark, sf):
 
 @register("registry_candidates")
 def q_registry_candidates(spark, sf):
-    df = M.registry_search(B.named_cases(cases(spark, sf)), B.named_registry(spark, sf))
+    df = M.registry_search(stored(B.named_cases(cases(spark, sf))), B.named_registry(spark, sf))
     return df.select("item_id", "client_id", "reg_found", "reg_tab", "reg_full_name", "found_by", "n_shown")
 
 

@@ -9,7 +9,7 @@ from billflow.plans import bindings as B
 from billflow.plans import registry as RG
 from billflow.operators import gates as G
 from billflow.operators import matching as M
-from billflow.operators.joins import hot_keys, unique_left_join
+from billflow.operators.joins import hot_keys, null_safe_left_join, planner_broadcasts, unique_left_join
 from tests.conftest import SF_SMALL
 
 
@@ -171,3 +171,25 @@ def test_remittance_text_is_built_and_split_once(spark):
         assert p.count("split(") == 1, (key, p)
         # the rows' own text has a whole and a short form; a document's name is one more
         assert p.count("concat_ws(") == (3 if key == "doc_name" else 2), (key, p)
+
+
+def test_sides_that_the_planner_takes_for_small_are_not_broadcast(spark, scratch):
+    """The estimate of an exploded side misses its copies; what counts is its measured size."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "65536")
+    try:
+        spark.range(20).write.parquet(f"{scratch}/few")
+        few = spark.read.parquet(f"{scratch}/few")
+        many = few.select(F.explode(F.sequence(F.col("id") * 1000, F.col("id") * 1000 + 999)).alias("rk"), F.lit("v" * 50).alias("v"))
+        left = spark.range(0, 40000, 2).select(F.col("id").alias("item_id"), F.col("id").alias("k"))
+        assert "BroadcastHashJoin" in left.join(many, F.col("k") == F.col("rk"), "left")._jdf.queryExecution().executedPlan().toString()
+        for out in (unique_left_join(left, many, [(F.col("k"), "rk")], "item_id"), null_safe_left_join(left, many, "k", "rk")):
+            assert out.filter("v is not null").count() == 10000 and out.count() == 20000
+            assert "BroadcastHashJoin" not in plan(out)
+        small = few.withColumnRenamed("id", "rk")
+        assert planner_broadcasts(small) and "BroadcastHashJoin" in plan(unique_left_join(left, small, [(F.col("k"), "rk")], "item_id"))
+        # few rows that hold much text
+        assert not planner_broadcasts(few.select(F.repeat(F.lit("x"), (F.col("id") * 1000).cast("int")).alias("v"), F.col("id").alias("rk")))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
