@@ -68,7 +68,7 @@ def stored(df):
 
 def case_inputs(spark, sf) -> CW.CaseInputs:
     return CW.CaseInputs(
-        cases=cases(spark, sf), registry=B.registry(spark, sf), lines=B.service_lines(spark, sf),
+        cases=stored(cases(spark, sf)), registry=B.registry(spark, sf), lines=B.service_lines(spark, sf),
         coverage=B.coverage(spark, sf), invoices=B.invoices(spark, sf),
         outcomes=B.outcomes(spark, sf), rules=B.rules(spark),
         by_payor=B.provider_by_payor(spark, sf), by_staff=B.provider_by_staff(spark, sf),
@@ -217,9 +217,14 @@ def claims_txn(spark, sf):
     return CW.claims_with_transactions(claim_records(spark, sf), B.outcomes(spark, sf))
 
 
+def annotated(spark, sf):
+    """Invoice notes of the claim records, which are made once: their keys are measured before they are joined."""
+    return M.invoice_annotate(stored(claims_txn(spark, sf)), B.invoices(spark, sf))
+
+
 @register("invoice_annotate")
 def q_invoice_annotate(spark, sf):
-    df = M.invoice_annotate(claims_txn(spark, sf), B.invoices(spark, sf))
+    df = annotated(spark, sf)
     return df.select("item_id", "claim_invoice_number", "transaction_number",
                      "invoice_position", "invoice_note", "transaction_status")
 
@@ -544,7 +549,7 @@ def q_pending_claims(spark, sf):
 @register("pending_annotations")
 def q_pending_annotations(spark, sf):
     """Claim records whose invoice note is not written yet."""
-    ann = M.invoice_annotate(claims_txn(spark, sf), B.invoices(spark, sf)).withColumn(
+    ann = annotated(spark, sf).withColumn(
         "submitted", F.when(F.col("transaction_number").isNotNull(), F.lit("Yes")))
     return GT.pending_annotations(ann, "Transaction Number updated").select(
         "item_id", "claim_invoice_number", "transaction_number")

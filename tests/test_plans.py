@@ -193,3 +193,13 @@ def test_sides_that_the_planner_takes_for_small_are_not_broadcast(spark, scratch
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_cases_and_claims_are_made_once(spark):
+    """What is measured and then joined is read back, not made again from the given tables."""
+    first = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderpriority" not in first(RG.q_exception_tagging(spark, SF_SMALL))
+    ann = RG.q_pending_annotations(spark, SF_SMALL)
+    assert first(ann).count("FileScan parquet") == 1  # the invoices
+    assert first(RG.q_invoice_annotate(spark, SF_SMALL)).count("FileScan parquet") == 1
+    assert "o_orderpriority" not in first(RG.q_registry_candidates(spark, SF_SMALL))
