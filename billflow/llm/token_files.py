@@ -82,6 +82,7 @@ class Mix:
         self.two = np.zeros(1 << SLOTS, np.int32)     # the same, by a hash of the two before
         self.seen = np.zeros(vocab, _I)
         self.base = np.arange(vocab, dtype=_I)
+        self.names = self.base.astype(np.uint16 if vocab <= 1 << 16 else np.int32)
         self.below = np.empty(vocab + 1, _I)
         # by (confidence 2, confidence 1), then the same again where both name one id
         self.right2, self.right1, self.times = np.ones(128, _I), np.ones(128, _I), np.full(128, 4, _I)
@@ -110,8 +111,8 @@ class Mix:
     def find(self, share: np.ndarray) -> np.ndarray:
         """The id that each share falls on."""
         if self.owner is None:
-            self.owner = np.repeat(np.arange(self.vocab, dtype=np.int32), np.diff(self.below))
-        return self.owner[share]
+            self.owner = np.repeat(self.names, np.diff(self.below))
+        return self.owner.take(share)
 
     def _weights(self) -> None:
         free = (1 << TOTAL) - (1 << SHARE)
@@ -122,21 +123,32 @@ class Mix:
     def look(self, n: int) -> None:
         """Predictions and weights for the next id of the first ``n`` lanes."""
         self.at1, self.at2 = self.before[:n], self.slot[:n]
-        self.v1, self.v2 = self.one[self.at1], self.two[self.at2]
+        self.v1, self.v2 = self.one.take(self.at1), self.two.take(self.at2)
+        self.c1, self.c2 = self.v1 & 7, self.v2 & 7
         self.id1, self.id2 = self.v1 >> 3, self.v2 >> 3
         same = self.id1 == self.id2
-        self.state = ((self.v2 & 7) << 3 | (self.v1 & 7)) + (same.astype(np.int32) << 6)
-        self.m0, self.m1, self.m2 = self.w0[self.state], self.w1[self.state], self.w2[self.state]
+        self.state = (self.c2 << 3 | self.c1) + (same.astype(_I) << 6)
+        self.m0, self.m1, self.m2 = self.w0.take(self.state), self.w1.take(self.state), self.w2.take(self.state)
+
+    def range_of(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the range of each id begins under its mix, and how long it is (unsigned)."""
+        cum = self.below.take(ids) * self.m0 >> SHARE
+        freq = (self.below.take(ids + 1) * self.m0 >> SHARE) - cum
+        freq += self.m2 * hit2
+        freq += self.m1 * hit1
+        cum += self.m2 * (self.id2 < ids)
+        cum += self.m1 * (self.id1 < ids)
+        return cum.view(_U), freq.view(_U)  # neither is negative
 
     def learn(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
         """The ids that came, and where order 1 and order 2 had named them."""
         fresh = ids << 3 | 1
-        for table, at, v, hit in ((self.one, self.at1, self.v1, hit1), (self.two, self.at2, self.v2, hit2)):
-            c = v & 7
+        for table, at, v, c, hit in ((self.one, self.at1, self.v1, self.c1, hit1), (self.two, self.at2, self.v2, self.c2, hit2)):
             table[at] = np.where(hit, v + (c < SURE), np.where(c > 1, v - 1, fresh))
-        miss = ~(hit1 | hit2)
-        self.missed.append(ids[miss])
-        what = np.where(hit2, 0, 1 + miss)  # order 2 was right, order 1 alone was, neither
+        miss2 = ~hit2
+        miss = miss2 & ~hit1
+        self.missed.append(ids.compress(miss))
+        what = miss2.view(np.int8) + miss.view(np.int8)  # order 2 was right (0), order 1 alone was, neither
         times = np.bincount(self.state * 3 + what, minlength=384).reshape(128, 3)
         self.right2 += times[:, 0]
         self.right1 += times[:, 1]
@@ -179,20 +191,15 @@ def pack_block(ids: np.ndarray, vocab: int) -> bytes:
         k = lanes if s < n // lanes else n % lanes
         a = all_ids[start[:k] + s]
         mix.look(k)
-        cum = mix.below[a] * mix.m0 >> SHARE
-        freq = (mix.below[a + 1] * mix.m0 >> SHARE) - cum
         hit2, hit1 = mix.id2 == a, mix.id1 == a
-        freq += mix.m2 * hit2
-        freq += mix.m1 * hit1
-        cum += mix.m2 * (mix.id2 < a)
-        cum += mix.m1 * (mix.id1 < a)
+        cum, freq = mix.range_of(a, hit1, hit2)
         r = rng[:k] >> _U(TOTAL)
-        add = r * cum.astype(_U)
+        add = r * cum
         low[:k] += add
         over = np.flatnonzero(low[:k] < add)
         if len(over):
             digit[(count[over] - 1) * lanes + over] += _U(1)
-        rng[:k] = r * freq.astype(_U)
+        rng[:k] = r * freq
         out = np.flatnonzero(rng[:k] <= _LOW)
         digit[count[out] * lanes + out] = low[out] >> _D32
         count[out] += 1
@@ -246,30 +253,26 @@ def unpack_block(data: bytes, at: int, vocab: int) -> tuple[np.ndarray, int]:
         v = np.minimum(off[:k] // r, top).astype(_I)
         w = mix.m0
         swap = mix.id1 < mix.id2
-        lo, hi = np.where(swap, mix.id1, mix.id2), np.where(swap, mix.id2, mix.id1)
-        m_lo, m_hi = np.where(swap, mix.m1, mix.m2), np.where(swap, mix.m2, mix.m1)
+        lo, hi = np.minimum(mix.id1, mix.id2), np.maximum(mix.id1, mix.id2)
+        m_lo = np.where(swap, mix.m1, mix.m2)
+        m_hi = mix.m1 + mix.m2 - m_lo
         below = mix.below
-        c_lo, c_hi = below[lo] * w >> SHARE, below[hi] * w >> SHARE
+        c_lo, c_hi = below.take(lo) * w >> SHARE, below.take(hi) * w >> SHARE
         # the number line: ids under lo, lo with its weight, ids up to hi, hi with its weight, the rest
         v2 = v - m_lo
         v3 = v2 - m_hi
         under = v < c_lo
-        is_lo = ~under & (v2 < below[lo + 1] * w >> SHARE)
+        is_lo = ~under & (v2 < below.take(lo + 1) * w >> SHARE)
         past = ~under & ~is_lo & (v2 >= c_hi)
-        is_hi = past & (v3 < below[hi + 1] * w >> SHARE)
+        is_hi = past & (v3 < below.take(hi + 1) * w >> SHARE)
         a = np.where(is_lo, lo, hi)
         plain = np.flatnonzero(~(is_lo | is_hi))
-        u = np.where(under, v, np.where(past, v3, v2))[plain]
-        a[plain] = mix.find(((u + 1 << SHARE) - 1) // w[plain])
-        cum = below[a] * w >> SHARE
-        freq = (below[a + 1] * w >> SHARE) - cum
+        u = np.where(under, v, np.where(past, v3, v2)).take(plain)
+        a[plain] = mix.find(((u + 1 << SHARE) - 1) // w.take(plain))
         hit2, hit1 = mix.id2 == a, mix.id1 == a
-        freq += mix.m2 * hit2
-        freq += mix.m1 * hit1
-        cum += mix.m2 * (mix.id2 < a)
-        cum += mix.m1 * (mix.id1 < a)
-        off[:k] -= r * cum.astype(_U)
-        rng[:k] = r * freq.astype(_U)
+        cum, freq = mix.range_of(a, hit1, hit2)
+        off[:k] -= r * cum
+        rng[:k] = r * freq
         more = np.flatnonzero(rng[:k] <= _LOW)
         off[more] = off[more] << _D32 | read(here[more], end[more])
         here[more] += 1
@@ -330,11 +333,12 @@ def segments_in(data: bytes) -> Iterator[tuple[list[int | None], list[np.ndarray
 LOWERED = ["NFC", "Replace", "Lowercase"]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Bytes that U+0300 to U+037F begin with: such a mark may compose with a small letter and not with its capital.
-COMPOSES = re.compile(rb"[\xcc\xcd]")
+COMPOSES = b"\xcc", b"\xcd"
 # A stretch of small letters of Latin-1, which is one pre-token; one whose ASCII marks at the end are a pre-token of their own, as an ASCII
 # letter or digit, or a letter of Latin-1, stands before them.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-MARKED = re.compile(rb"(.*(?:[a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
+MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKED = re.compile(rb"[a-z0-9]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
 
 
 class Kept(dict):
@@ -378,19 +382,24 @@ class Tokens:
         cut_at = [x.get("pattern", {}).get("Regex", x["type"]) for x in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.words = cleaned == LOWERED and cut_at == [WORDS, "ByteLevel"]
         # an added token is found before anything else, in its own letters
-        self.added = re.compile(b"|".join(re.escape(x["content"].encode()) for x in steps["added_tokens"]) or b"(?!)", re.IGNORECASE)
+        added = [x["content"].encode() for x in steps["added_tokens"]]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)", re.IGNORECASE)
+        self.begins = sorted({c for x in added for c in (x[:1].lower(), x[:1].upper())})  # bytes without which there is none
         self.model = self.library.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.kept = Kept(self.find)
 
     def find(self, stretch: bytes) -> bytes:
-        if self.words and not self.added.search(stretch):
-            if PLAIN.fullmatch(stretch):
+        if self.words and not self._holds_added(stretch):
+            word = stretch.rstrip(MARKS)
+            if len(word) < len(stretch):
+                if MARKED.search(word[-2:]):
+                    return self.kept[word] + self.kept[stretch[len(word):]]
+            elif stretch.isalpha() and stretch.islower():  # bytes: ASCII letters alone, which the library leaves as they are
+                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
+            elif PLAIN.fullmatch(stretch):
                 return array(self.code, [t.id for t in self.model.tokenize(stretch.decode().translate(self.letters))]).tobytes()
-            marked = MARKED.fullmatch(stretch)
-            if marked:
-                return self.kept[marked[1]] + self.kept[marked[2]]
         return array(self.code, self.library.encode(stretch.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[bytes], end: int | None) -> list[bytes]:
@@ -403,9 +412,15 @@ class Tokens:
             gc.enable()
 
     def _folded(self, text: bytes) -> bytes:
-        asis = not self.words or COMPOSES.search(text) or self.added.search(text)
+        asis = not self.words or COMPOSES[0] in text or COMPOSES[1] in text or self._holds_added(text)
         return text if asis else text.lower()
 
+    def _holds_added(self, text: bytes) -> bool:
+        for c in self.begins:
+            if c in text:
+                return self.added.search(text) is not None
+        return False
+
 
 _TOKENS: dict[str, Tokens] = {}
 

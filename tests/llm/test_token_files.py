@@ -158,5 +158,12 @@ def test_another_tokenizer_goes_through_the_library_whole(monkeypatch):
     assert b"Ab," in t.kept
 
 
+def test_ascii_words_and_their_marks_are_not_spelled_anew():
+    t = T.Tokens(PATH)
+    t.letters = None  # only words with letters beyond ASCII need it
+    for text in ("plain words, and Some of them. twice twice!", "x--y <b> 'tis", ""):
+        assert np.frombuffer(t.encode([text.encode()], None)[0], t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table(spark, empty):
     assert T.round_trip(empty, PATH).count() == 0
