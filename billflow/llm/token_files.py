@@ -334,11 +334,51 @@ LOWERED = ["NFC", "Replace", "Lowercase"]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Bytes that U+0300 to U+037F begin with: such a mark may compose with a small letter and not with its capital.
 COMPOSES = b"\xcc", b"\xcd"
-# A stretch of small letters of Latin-1, which is one pre-token; one whose ASCII marks at the end are a pre-token of their own, as an ASCII
-# letter or digit, or a letter of Latin-1, stands before them.
-PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# A stretch of letters of Latin-1, ASCII ones small, which is one pre-token; the pre-tokens of one that also holds digits and marks, but no
+# apostrophe; one whose ASCII marks at the end are a pre-token of their own, as an ASCII letter or digit, or a letter of Latin-1, stands before them.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+MIXED = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MARKED = re.compile(rb"[a-z0-9]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
+SPACES = b"\t\n\v\f\r "
+SPACE = re.compile(rb"[\t-\r ]")
+# Of each byte: white space (0), mark (1), else (2); whether it stands before marks at the end by itself, or after 0xC3.
+KIND = bytes(0 if c in SPACES else 1 if c in MARKS else 2 for c in range(256))
+ALONE = np.array([MARKED.search(bytes([c])) is not None for c in range(256)])
+AFTER_C3 = np.array([MARKED.search(bytes([0xC3, c])) is not None for c in range(256)])
+TOGETHER = 1 << 23  # bytes of text whose stretches are told apart at once
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text, cut at white space where it is long."""
+    lo = 0
+    while len(text) - lo > TOGETHER and (space := SPACE.search(text, lo + TOGETHER)):
+        yield text[lo:space.start()]
+        lo = space.start()
+    yield text[lo:] if lo else text
+
+
+def _stretches(text: bytes) -> tuple[np.ndarray, tuple[np.ndarray, bytes]]:
+    """Where each stretch of a text begins, marks at the end of one counted as the next, and where the text ends;
+    the stretches alone, as Arrow keeps them (ends, bytes). The text ends with white space."""
+    data, kind = np.frombuffer(text, np.uint8), np.frombuffer(text.translate(KIND), np.uint8)
+    run = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1])
+    kinds = kind.take(run)
+    marks = np.flatnonzero(kinds[1:] == 1) + 1
+    marks = marks.compress((kinds.take(marks + 1) == 0) & (kinds.take(marks - 1) == 2))
+    at = run.take(marks)
+    last = data.take(at - 1)
+    apart = ALONE.take(last) | (AFTER_C3.take(last) & (data.take(at - 2) == 0xC3))
+    edge = kinds == 0
+    begins = ~edge
+    begins[1:] &= edge[:-1]
+    begins[marks[apart]] = True
+    bound = np.flatnonzero(edge | begins)
+    start = run.take(bound)
+    there = begins.take(bound)
+    size = np.diff(start, append=len(text)).compress(there)
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return np.append(start.compress(there), len(text)), (ends, text.translate(None, SPACES))
 
 
 class Kept(dict):
@@ -363,9 +403,11 @@ class Tokens:
     """The library's ids of texts, each distinct stretch between ASCII white space encoded once.
 
     Where the tokenizer is the word tokenizer (``LOWERED``, ``WORDS``), ASCII is put in lower case before
-    stretches are told apart (not in a text with combining marks), marks at a stretch's end are looked up apart from the rest, and a stretch of
-    small letters goes to the library's BPE model at once, its bytes spelled as the library spells them.
-    Any other stretch, and any of another tokenizer, goes through the library whole.
+    stretches are told apart (not in a text with combining marks), marks at a stretch's end are looked up apart from the rest, so are
+    the pre-tokens of one of Latin-1 letters, digits and marks, and a stretch of such
+    letters goes to the library's BPE model at once, its bytes spelled as the library spells them.
+    Any other stretch, and any of another tokenizer, goes through the library whole. The stretches of many
+    texts of the word tokenizer are told apart by arrays, and only the distinct ones are looked up.
     """
 
     def __init__(self, path: str):
@@ -387,7 +429,8 @@ class Tokens:
         self.begins = sorted({c for x in added for c in (x[:1].lower(), x[:1].upper())})  # bytes without which there is none
         self.model = self.library.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        spelled = {chr(c - 0x40): as_bytes.pre_tokenize_str(chr(c))[0][0][1] for c in range(0xDF, 0x100)}
+        self.letters = [(c, x) for c, x in spelled.items() if c != x]  # second bytes of small letters that another sign stands for
         self.kept = Kept(self.find)
 
     def find(self, stretch: bytes) -> bytes:
@@ -399,21 +442,60 @@ class Tokens:
             elif stretch.isalpha() and stretch.islower():  # bytes: ASCII letters alone, which the library leaves as they are
                 return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
             elif PLAIN.fullmatch(stretch):
-                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode().translate(self.letters))]).tobytes()
+                word = stretch.decode().lower().encode().decode("latin-1")  # a sign for each byte
+                for c, x in self.letters:
+                    word = word.replace(c, x)
+                return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+            elif len(parts := MIXED.findall(stretch)) > 1 and sum(map(len, parts)) == len(stretch):
+                return b"".join([self.kept[x] for x in parts])
         return array(self.code, self.library.encode(stretch.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[bytes], end: int | None) -> list[bytes]:
         """The packed ids of each (UTF-8) text, followed by ``end``."""
         last = b"" if end is None else array(self.code, [end]).tobytes()
+        got: list[list[bytes]] = [[] for _ in texts]
         gc.disable()  # many small objects, none of them in a cycle
         try:
-            return [b"".join(map(self.kept.__getitem__, self._folded(x).split())) + last for x in texts]
+            held, size = [], 0
+            for parts, text in zip(got, texts):
+                if self._as_it_is(text):
+                    parts.append(b"".join(map(self.kept.__getitem__, text.split())))
+                    continue
+                for x in _pieces(text):
+                    held.append((parts, x))
+                    size += len(x)
+                    if size >= TOGETHER:
+                        self._together(held)
+                        held, size = [], 0
+            self._together(held)
         finally:
             gc.enable()
-
-    def _folded(self, text: bytes) -> bytes:
-        asis = not self.words or COMPOSES[0] in text or COMPOSES[1] in text or self._holds_added(text)
-        return text if asis else text.lower()
+        return [b"".join(parts) + last for parts in got]
+
+    def _as_it_is(self, text: bytes) -> bool:
+        return not self.words or COMPOSES[0] in text or COMPOSES[1] in text or self._holds_added(text)
+
+    def _together(self, held: list[tuple[list[bytes], bytes]]) -> None:
+        """Adds the packed ids of each text to the list beside it."""
+        text = b" ".join([x for _, x in held]).lower() + b" "
+        begin, values = _stretches(text)
+        if not len(begin) - 1:
+            return
+        found = pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, *map(pa.py_buffer, values)]).dictionary_encode()
+        _, ends, data = found.dictionary.buffers()
+        ends, data = np.frombuffer(ends, np.int32, len(found.dictionary) + 1).tolist(), data.to_pybytes()
+        ids = [self.kept[data[lo:hi]] for lo, hi in zip(ends, ends[1:])]
+        flat = np.frombuffer(b"".join(ids), self.packed)
+        size = np.fromiter(map(len, ids), _I, len(ids)) // flat.itemsize
+        first = np.cumsum(size) - size
+        which = found.indices.to_numpy()
+        size = size.take(which)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        flat = flat.take(np.repeat(first.take(which) - upto[:-1], size) + np.arange(upto[-1])).tobytes()
+        stop = np.cumsum([len(x) + 1 for _, x in held])
+        stop = (upto[np.searchsorted(begin[:-1], stop)] * self.packed().itemsize).tolist()
+        for (parts, _), lo, hi in zip(held, [0, *stop], stop):
+            parts.append(flat[lo:hi])
 
     def _holds_added(self, text: bytes) -> bool:
         for c in self.begins:

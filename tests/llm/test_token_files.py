@@ -165,5 +165,53 @@ def test_ascii_words_and_their_marks_are_not_spelled_anew():
         assert np.frombuffer(t.encode([text.encode()], None)[0], t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
 
 
+class Seen(T.Kept):
+    """Counts how often a stretch is asked for."""
+
+    asked = 0
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+def test_a_stretch_is_looked_up_once_for_many_texts():
+    t, library = T.Tokens(PATH), Tokenizer.from_file(PATH)
+    t.kept = Seen(t.find)
+    texts = [f"the same words, and Some more ({i % 3})." for i in range(500)]
+    for text, packed in zip(texts, t.encode([x.encode() for x in texts], None)):
+        assert np.frombuffer(packed, t.packed).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert t.kept.asked < 60
+
+
+def test_latin_letters_digits_and_marks_do_not_need_the_whole_library():
+    t, library = T.Tokens(PATH), Tokenizer.from_file(PATH)
+    texts = ["École Übermaß ÀÞß", "a.58@mail2.example.com 2024-01-31 4512", "é1Éà,x_y $5", "½² a×b it's Ābc ı"]
+    want = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, t.packed).tolist() for x in t.encode([x.encode() for x in texts], None)] == want
+
+    class Marks:  # the whole library is given single marks and digits alone
+        def encode(self, text, **how):
+            assert len(text) == 1
+            return library.encode(text, **how)
+
+    t = T.Tokens(PATH)
+    t.library = Marks()
+    assert [np.frombuffer(x, t.packed).tolist() for x in t.encode([x.encode() for x in texts[:3]], None)] == want[:3]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.text(MARKS + " \t\x0b\n", max_size=12), st.sampled_from(
+    ["<|endoftext|>", "word's,", "é.", "É", "12,", "...", "a-b", "x1y", "Ã\xad", " "])), max_size=6).map("".join), max_size=6), st.sampled_from([None, 2]))
+def test_texts_together_as_whole_texts(texts, end):
+    """Texts of any kind side by side; long ones are cut at white space."""
+    t, last = T.tokens(PATH), [] if end is None else [end]
+    for together in (1, 10, T.TOGETHER):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(T, "TOGETHER", together)
+            got = t.encode([x.encode() for x in texts], end)
+        assert [np.frombuffer(x, t.packed).tolist() for x in got] == [t.library.encode(x, add_special_tokens=False).ids + last for x in texts]
+
+
 def test_empty_table(spark, empty):
     assert T.round_trip(empty, PATH).count() == 0
