@@ -59,6 +59,7 @@ from .common import cut, map_batches, with_code
 
 END, MAX_KEPT, FILE_IDS = 2, 500_000, 1 << 26
 BLOCK, LANES, LANE = 1 << 20, 4096, 256
+TURN = 16  # steps whose ids are turned from lane order at once
 TOTAL, SHARE, SLOTS, SURE = 26, 20, 18, 7  # bits of all weights, of order 0 at least, of order 2's slots; top confidence
 MAGIC = b"BFT1"
 HEAD = struct.Struct("<4sIIIQI")
@@ -72,23 +73,25 @@ class Damaged(ValueError):
 
 
 class Mix:
-    """The three models of one block and their weights; coder and decoder drive it alike."""
+    """The three models of one block and their weights; coder and decoder drive it alike. What comes
+    in pairs is of order 2, then of order 1, so that one array operation does for both."""
 
     def __init__(self, vocab: int, lanes: int):
         if not 0 < vocab <= 1 << 18:
             raise ValueError("ids must be below 2 ** 18")
         self.vocab = vocab
-        self.one = np.zeros(vocab + 1, np.int32)      # id << 3 | confidence, by the id before
-        self.two = np.zeros(1 << SLOTS, np.int32)     # the same, by a hash of the two before
+        # id << 3 | confidence: order 2 by a hash of the two ids before, behind it order 1 by the id before
+        self.held = np.zeros((1 << SLOTS) + vocab + 1, np.int32)
         self.seen = np.zeros(vocab, _I)
-        self.base = np.arange(vocab, dtype=_I)
-        self.names = self.base.astype(np.uint16 if vocab <= 1 << 16 else np.int32)
-        self.below = np.empty(vocab + 1, _I)
-        # by (confidence 2, confidence 1), then the same again where both name one id
-        self.right2, self.right1, self.times = np.ones(128, _I), np.ones(128, _I), np.full(128, 4, _I)
-        self.right1[64:] = 0
-        self.before = np.full(lanes, vocab, _I)
-        self.slot = np.zeros(lanes, _I)
+        self.floor = np.arange(1, vocab + 1, dtype=_I)
+        self.names = np.arange(vocab, dtype=np.uint16 if vocab <= 1 << 16 else np.int32)
+        self.below = np.zeros(vocab + 1, _I)
+        # by (confidence 2, confidence 1), then the same again where both name one id, which counts as order 2's
+        self.right, self.times = np.ones((2, 128), _I), np.full(128, 4, _I)
+        self.right[1, 64:] = 0
+        self.at = np.zeros((2, lanes), _I)
+        self.at[1] = (1 << SLOTS) + vocab
+        self.before = np.full(lanes, vocab, np.uint32)
         self.step, self.missed = 0, []
         self._frequencies()
         self._weights()
@@ -98,80 +101,133 @@ class Mix:
         if self.missed:
             self.seen += np.bincount(np.concatenate(self.missed), minlength=self.vocab)
             self.missed = []
-        up = np.cumsum(self.seen)
         room = (1 << SHARE) - self.vocab
         self.owner = None
-        self.below[0] = 0
-        self.below[1:] = self.base + 1
-        if up[-1]:
-            self.below[1:] += up * room // up[-1]
-        else:
-            self.below[1:] += (self.base + 1) * room // self.vocab
+        up = self.below[1:]
+        np.cumsum(self.seen, out=up)
+        total = up[-1]
+        if not total:
+            up[:], total = self.floor, self.vocab
+        up *= room
+        up //= total
+        up += self.floor
 
     def find(self, share: np.ndarray) -> np.ndarray:
         """The id that each share falls on."""
         if self.owner is None:
             self.owner = np.repeat(self.names, np.diff(self.below))
-        return self.owner.take(share)
+        return self.owner.take(share, mode="clip")
 
     def _weights(self) -> None:
         free = (1 << TOTAL) - (1 << SHARE)
-        self.w2 = free * self.right2 // self.times
-        self.w1 = free * self.right1 // self.times
-        self.w0 = (1 << TOTAL) - self.w2 - self.w1
+        self.weights = free * self.right // self.times
 
     def look(self, n: int) -> None:
         """Predictions and weights for the next id of the first ``n`` lanes."""
-        self.at1, self.at2 = self.before[:n], self.slot[:n]
-        self.v1, self.v2 = self.one.take(self.at1), self.two.take(self.at2)
-        self.c1, self.c2 = self.v1 & 7, self.v2 & 7
-        self.id1, self.id2 = self.v1 >> 3, self.v2 >> 3
-        same = self.id1 == self.id2
-        self.state = (self.c2 << 3 | self.c1) + (same.astype(_I) << 6)
-        self.m0, self.m1, self.m2 = self.w0.take(self.state), self.w1.take(self.state), self.w2.take(self.state)
-
-    def range_of(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.ground = self.at[:, :n]
+        self.value = self.held.take(self.ground)
+        self.sure = self.value.astype(np.int8)
+        self.sure &= 7
+        self.named = self.value >> 3
+        self.same = self.named[0] == self.named[1]
+        state = self.sure[0] << 3
+        state |= self.sure[1]
+        state |= self.same.view(np.int8) << 6
+        self.state = state.astype(_I)
+        self.m = self.weights.take(self.state, axis=1)
+        self.m0 = (1 << TOTAL) - self.m[0]
+        self.m0 -= self.m[1]
+
+    def _under(self, ids: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The share in order 0 of what is under each id, under its weight."""
+        share = self.below.take(ids)
+        share *= weight
+        share >>= SHARE
+        return share
+
+    def range_of(self, ids: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the range of each id begins under its mix, and how long it is (unsigned)."""
-        cum = self.below.take(ids) * self.m0 >> SHARE
-        freq = (self.below.take(ids + 1) * self.m0 >> SHARE) - cum
-        freq += self.m2 * hit2
-        freq += self.m1 * hit1
-        cum += self.m2 * (self.id2 < ids)
-        cum += self.m1 * (self.id1 < ids)
+        cum, freq = self._under(ids, self.m0), self._under(ids + 1, self.m0)
+        freq -= cum
+        for x, which in ((cum, self.named < ids), (freq, hits)):
+            more = self.m * which
+            x += more[0]
+            x += more[1]
         return cum.view(_U), freq.view(_U)  # neither is negative
 
-    def learn(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
-        """The ids that came, and where order 1 and order 2 had named them."""
-        fresh = ids << 3 | 1
-        for table, at, v, c, hit in ((self.one, self.at1, self.v1, self.c1, hit1), (self.two, self.at2, self.v2, self.c2, hit2)):
-            table[at] = np.where(hit, v + (c < SURE), np.where(c > 1, v - 1, fresh))
-        miss2 = ~hit2
-        miss = miss2 & ~hit1
-        self.missed.append(ids.compress(miss))
-        what = miss2.view(np.int8) + miss.view(np.int8)  # order 2 was right (0), order 1 alone was, neither
-        times = np.bincount(self.state * 3 + what, minlength=384).reshape(128, 3)
-        self.right2 += times[:, 0]
-        self.right1 += times[:, 1]
-        self.times += times.sum(axis=1)
+    def holder_of(self, v: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The (int32) id whose range holds each number, where that range begins, how long it is (unsigned), and
+        where order 2 and order 1 named it. In a range, the weight of what named the id comes before its share."""
+        begin = self._under(self.named, self.m0)
+        begin += self.m[::-1] * (self.named[::-1] < self.named)
+        past = v - begin
+        ahead = self.m * (past >= 0)
+        ahead[0] += ahead[1]
+        ahead = ahead[0]
+        u = v - ahead  # where all ids have their share alone; below a named id if it is within that id's weight
+        u += 1
+        u <<= SHARE
+        u -= 1
+        ids = self.find((u.view(_U) // self.m0.view(_U)).view(_I)).astype(np.int32)
+        for named, within in zip(self.named, past.view(_U) < self.m.view(_U)):
+            at = np.flatnonzero(within)
+            ids[at] = named.take(at)
+        hits = self.named == ids
+        cum, freq = self._under(ids, self.m0), self._under(ids + 1, self.m0)
+        freq -= cum
+        cum += ahead
+        for m, hit in zip(self.m, hits):  # few are
+            at = np.flatnonzero(hit)
+            more = m.take(at)
+            cum[at] -= more
+            freq[at] += more
+        return ids, cum.view(_U), freq.view(_U), hits
+
+    def learn(self, ids: np.ndarray, hits: np.ndarray) -> None:
+        """The (int32) ids that came, and where order 2 and order 1 had named them."""
+        miss = ~hits
+        neither = miss[0] & miss[1]
+        new = ids << 3
+        new |= 1
+        # a hit adds 1 up to SURE, a miss takes 1, or the ground where there is none to take
+        step = ((self.sure < SURE) & hits).view(np.int8)
+        step -= miss.view(np.int8)
+        value = self.value
+        value += step
+        value -= new
+        value *= hits | (self.sure > 1)
+        value += new
+        self.held[self.ground] = value
+        self.missed.append(ids.compress(neither))
+        what = miss[0].view(np.int8) + neither.view(np.int8)  # order 2 was right (0), order 1 alone was, neither
+        self.state *= 3
+        self.state += what
+        times = np.bincount(self.state, minlength=384).reshape(128, 3).T
+        self.right += times[:2]
+        for x in times:
+            self.times += x
         self.step += 1
         if self.step % 16 == 0:  # what was learned long ago counts less
-            for x in (self.times, self.right2, self.right1):
+            for x in (self.times, self.right):
                 x -= x >> 1
             self.times += 2
         if self.step < 8 or self.step % 8 == 0:
             self._frequencies()
         self._weights()
         n = len(ids)
-        self.slot[:n] = (self.before[:n] * 0x9E3779B1 + ids.astype(_I) * 0x85EBCA77 >> 13) & ((1 << SLOTS) - 1)
-        self.before[:n] = ids
+        slot = self.before[:n] * np.uint32(0x9E3779B1)  # the bits kept are among the lower 32
+        slot += ids.view(np.uint32) * np.uint32(0x85EBCA77)
+        slot >>= np.uint32(13)
+        slot &= np.uint32((1 << SLOTS) - 1)
+        self.at[0, :n] = slot
+        np.add(ids, 1 << SLOTS, out=self.at[1, :n])
+        self.before[:n] = ids.view(np.uint32)
 
 
-def _lanes(n: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """Number of lanes, their lengths (the first ones may be one longer) and starts."""
+def _lanes(n: int) -> tuple[int, int, int]:
+    """Number of lanes, of steps (the length of the longest), and of lanes of that length, which come first."""
     lanes = max(1, min(LANES, n // LANE))
-    size = np.full(lanes, n // lanes, _I)
-    size[:n % lanes] += 1
-    return lanes, size, np.concatenate([[0], np.cumsum(size)[:-1]])
+    return lanes, -(-n // lanes), n % lanes or lanes
 
 
 def pack_block(ids: np.ndarray, vocab: int) -> bytes:
@@ -179,45 +235,50 @@ def pack_block(ids: np.ndarray, vocab: int) -> bytes:
     n = len(ids)
     if n and int(ids.max()) >= vocab:
         raise ValueError(f"id {int(ids.max())} in a vocabulary of {vocab}")
-    lanes, size, start = _lanes(n)
-    steps = int(size[0])
-    digit = np.zeros((steps + 1) * lanes, _U)
-    count = np.zeros(lanes, _I)
+    lanes, steps, longest = _lanes(n)
+    digit = np.zeros((steps + 1) * lanes, _U)  # step by step
     lane = np.arange(lanes)
+    at = lane.copy()
     low, rng = np.zeros(lanes, _U), np.full(lanes, 2 ** 64 - 1, _U)
     mix = Mix(vocab, lanes)
-    all_ids = ids.astype(np.int32)
+    grid = np.zeros((lanes, steps), np.int32)
+    whole = longest * steps
+    grid[:longest] = ids[:whole].reshape(longest, steps)
+    if longest < lanes:
+        grid[longest:, :-1] = ids[whole:].reshape(lanes - longest, steps - 1)
     for s in range(steps):
-        k = lanes if s < n // lanes else n % lanes
-        a = all_ids[start[:k] + s]
+        if s % TURN == 0:
+            turned = np.ascontiguousarray(grid[:, s:s + TURN].T)
+        k = lanes if s < steps - 1 else longest
+        a = turned[s % TURN, :k]
         mix.look(k)
-        hit2, hit1 = mix.id2 == a, mix.id1 == a
-        cum, freq = mix.range_of(a, hit1, hit2)
+        hits = mix.named == a
+        add, freq = mix.range_of(a, hits)
         r = rng[:k] >> _U(TOTAL)
-        add = r * cum
+        add *= r
         low[:k] += add
         over = np.flatnonzero(low[:k] < add)
         if len(over):
-            digit[(count[over] - 1) * lanes + over] += _U(1)
-        rng[:k] = r * freq
+            digit[at[over] - lanes] += _U(1)
+        np.multiply(r, freq, out=rng[:k])
         out = np.flatnonzero(rng[:k] <= _LOW)
-        digit[count[out] * lanes + out] = low[out] >> _D32
-        count[out] += 1
-        low[out] <<= _D32
-        rng[out] <<= _D32
-        mix.learn(a, hit1, hit2)
+        here, digits = at.take(out), low.take(out)
+        digit[here] = digits >> _D32
+        at[out] = here + lanes
+        low[out] = digits << _D32
+        rng[out] = rng.take(out) << _D32
+        mix.learn(a, hits)
     if n:  # one more digit names a number within the last range
         up = (low & _LOW) > 0
-        last = (low >> _D32) + up
-        at = count * lanes + lane
-        digit[at] = last
-        count += 1
-    table = digit.reshape(steps + 1, lanes)
-    for i in range(steps, 0, -1):
+        digit[at] = (low >> _D32) + up
+        at += lanes
+    count = at // lanes
+    most = int(count.max())
+    table = digit[:most * lanes].reshape(most, lanes)
+    for i in range(most - 1, 0, -1):
         table[i - 1] += table[i] >> _D32
-    table &= _LOW
-    used = np.arange(steps + 1)[None, :] < count[:, None]
-    payload = count.astype("<u4").tobytes() + table.T[used].astype("<u4").tobytes()
+    digits = table.astype("<u4").T  # the lower 32 bits
+    payload = count.astype("<u4").tobytes() + digits[np.arange(most) < count[:, None]].tobytes()
     return BLOCK_HEAD.pack(n, lanes, len(payload), zlib.crc32(ids.astype("<u4").tobytes())) + payload
 
 
@@ -225,62 +286,43 @@ def unpack_block(data: bytes, at: int, vocab: int) -> tuple[np.ndarray, int]:
     """The ids of the block that begins at ``at``, and where the next one begins."""
     n, lanes, nbytes, crc = BLOCK_HEAD.unpack_from(data, at)
     at += BLOCK_HEAD.size
-    expect, size, start = _lanes(n)
+    expect, steps, longest = _lanes(n)
     if lanes != expect or at + nbytes > len(data):
         raise Damaged("block header")
-    words = np.frombuffer(data, "<u4", nbytes // 4, at).astype(_U)
-    count, digits = words[:lanes].astype(_I), words[lanes:]
-    if int(count.sum()) != len(digits):
+    words = np.frombuffer(data, "<u4", nbytes // 4, at)
+    count, packed = words[:lanes].astype(_I), words[lanes:]
+    if int(count.sum()) != len(packed):
         raise Damaged("digits of a block")
-    first = np.concatenate([[0], np.cumsum(count)])
-    digits = np.append(digits, _U(0))
-    nothing = len(digits) - 1
-    end = first[1:]
-
-    def read(p: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return digits[np.where(p < stop, p, nothing)]
-
-    off = read(first[:-1], end) << _D32 | read(first[:-1] + 1, end)
-    here = first[:-1] + 2
+    lane = np.arange(lanes)
+    here = np.cumsum(count + 1) - (count + 1)
+    digits = np.zeros(len(packed) + lanes + 1, np.uint32)  # a lane is read one digit past its end, which is 0
+    digits[np.arange(len(packed)) + np.repeat(lane, count)] = packed
+    off = digits.take(here, mode="clip").astype(_U) << _D32 | digits.take(here + 1, mode="clip")
+    here += 2
     rng = np.full(lanes, 2 ** 64 - 1, _U)
-    ids = np.zeros(n, np.int32)
+    grid = np.zeros((lanes, steps), np.int32)
+    turned = np.zeros((TURN, lanes), np.int32)
     mix = Mix(vocab, lanes)
-    top = _U((1 << TOTAL) - 1)
-    for s in range(int(size[0])):
-        k = lanes if s < n // lanes else n % lanes
+    for s in range(steps):
+        k = lanes if s < steps - 1 else longest
         mix.look(k)
         r = rng[:k] >> _U(TOTAL)
-        v = np.minimum(off[:k] // r, top).astype(_I)
-        w = mix.m0
-        swap = mix.id1 < mix.id2
-        lo, hi = np.minimum(mix.id1, mix.id2), np.maximum(mix.id1, mix.id2)
-        m_lo = np.where(swap, mix.m1, mix.m2)
-        m_hi = mix.m1 + mix.m2 - m_lo
-        below = mix.below
-        c_lo, c_hi = below.take(lo) * w >> SHARE, below.take(hi) * w >> SHARE
-        # the number line: ids under lo, lo with its weight, ids up to hi, hi with its weight, the rest
-        v2 = v - m_lo
-        v3 = v2 - m_hi
-        under = v < c_lo
-        is_lo = ~under & (v2 < below.take(lo + 1) * w >> SHARE)
-        past = ~under & ~is_lo & (v2 >= c_hi)
-        is_hi = past & (v3 < below.take(hi + 1) * w >> SHARE)
-        a = np.where(is_lo, lo, hi)
-        plain = np.flatnonzero(~(is_lo | is_hi))
-        u = np.where(under, v, np.where(past, v3, v2)).take(plain)
-        a[plain] = mix.find(((u + 1 << SHARE) - 1) // w.take(plain))
-        hit2, hit1 = mix.id2 == a, mix.id1 == a
-        cum, freq = mix.range_of(a, hit1, hit2)
-        off[:k] -= r * cum
-        rng[:k] = r * freq
+        a, cum, freq, hits = mix.holder_of((off[:k] // r).view(_I))
+        cum *= r
+        off[:k] -= cum
+        np.multiply(r, freq, out=rng[:k])
         more = np.flatnonzero(rng[:k] <= _LOW)
-        off[more] = off[more] << _D32 | read(here[more], end[more])
-        here[more] += 1
-        rng[more] <<= _D32
-        ids[start[:k] + s] = a
-        mix.learn(a, hit1, hit2)
-    ids = ids.astype(np.uint32)
-    if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+        place = here.take(more)
+        off[more] = off.take(more) << _D32 | digits.take(place, mode="clip")
+        here[more] = place + 1
+        rng[more] = rng.take(more) << _D32
+        turned[s % TURN, :k] = a
+        if s % TURN == TURN - 1 or s == steps - 1:
+            lo = s - s % TURN
+            grid[:, lo:s + 1] = turned[:s + 1 - lo].T
+        mix.learn(a, hits)
+    ids = np.concatenate([grid[:longest].ravel(), grid[longest:, :-1].ravel()]).astype(np.uint32)
+    if zlib.crc32(ids.astype("<u4", copy=False)) != crc:
         raise Damaged("ids of a block")
     return ids, at + nbytes
 
@@ -334,9 +376,11 @@ LOWERED = ["NFC", "Replace", "Lowercase"]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Bytes that U+0300 to U+037F begin with: such a mark may compose with a small letter and not with its capital.
 COMPOSES = b"\xcc", b"\xcd"
-# A stretch of letters of Latin-1, ASCII ones small, which is one pre-token; the pre-tokens of one that also holds digits and marks, but no
-# apostrophe; one whose ASCII marks at the end are a pre-token of their own, as an ASCII letter or digit, or a letter of Latin-1, stands before them.
-PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# The bytes of which, in UTF-8, only letters of Latin-1 are made, ASCII ones small: a stretch of them is one pre-token; what makes its other letters small.
+PLAIN = bytes([*range(0x61, 0x7B), 0xC3, *(c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7))])
+SMALL = bytes(c + 0x20 if 0x80 <= c <= 0x9E else c for c in range(256))
+# The pre-tokens of a stretch that also holds digits and marks, but no apostrophe;
+# one whose ASCII marks at the end are a pre-token of their own, as an ASCII letter or digit, or a letter of Latin-1, stands before them.
 MIXED = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MARKED = re.compile(rb"[a-z0-9]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
@@ -426,6 +470,7 @@ class Tokens:
         # an added token is found before anything else, in its own letters
         added = [x["content"].encode() for x in steps["added_tokens"]]
         self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)", re.IGNORECASE)
+        self.at_once = not any(x.isalpha() for x in added)  # none can be in a stretch of ASCII letters
         self.begins = sorted({c for x in added for c in (x[:1].lower(), x[:1].upper())})  # bytes without which there is none
         self.model = self.library.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -434,15 +479,15 @@ class Tokens:
         self.kept = Kept(self.find)
 
     def find(self, stretch: bytes) -> bytes:
+        if self.words and self.at_once and stretch.isalpha() and stretch.islower():  # bytes: ASCII letters alone, which the library leaves as they are
+            return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
         if self.words and not self._holds_added(stretch):
             word = stretch.rstrip(MARKS)
             if len(word) < len(stretch):
                 if MARKED.search(word[-2:]):
                     return self.kept[word] + self.kept[stretch[len(word):]]
-            elif stretch.isalpha() and stretch.islower():  # bytes: ASCII letters alone, which the library leaves as they are
-                return array(self.code, [t.id for t in self.model.tokenize(stretch.decode())]).tobytes()
-            elif PLAIN.fullmatch(stretch):
-                word = stretch.decode().lower().encode().decode("latin-1")  # a sign for each byte
+            elif not stretch.translate(None, PLAIN) and stretch.decode().isalpha():
+                word = stretch.translate(SMALL).decode("latin-1")  # a sign for each byte
                 for c, x in self.letters:
                     word = word.replace(c, x)
                 return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()

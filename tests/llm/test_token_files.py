@@ -52,6 +52,26 @@ def test_large_vocabulary_and_its_limits():
         T.pack_block(np.array([5], np.uint32), (1 << 18) + 1)
 
 
+def test_bytes_of_a_block_stay():
+    """What was written by earlier code is read: lanes of two lengths, digits with carries, predictions of both orders."""
+    ids = (np.arange(70_001, dtype=np.int64) ** 2 // 7 % 997).astype(np.uint32)
+    ids[20_000:30_000] = ids[:10_000]
+    data = back(ids, 49_408)
+    assert (len(data), zlib.crc32(data)) == (14_180, 763_565_748)
+
+
+def test_both_orders_are_asked_at_once(monkeypatch):
+    """One array operation serves orders 2 and 1; a step of the decoder finds the ids of all lanes at once."""
+    sizes = []
+    find = T.Mix.find
+    monkeypatch.setattr(T.Mix, "find", lambda self, share: sizes.append(len(share)) or find(self, share))
+    back(np.arange(5120) % 700, 49_408)
+    assert sizes == [20] * 256
+    mix = T.Mix(49_408, 20)
+    mix.look(20)
+    assert mix.named.shape == mix.m.shape == (2, 20)
+
+
 def test_segments_stand_alone(monkeypatch):
     monkeypatch.setattr(T, "BLOCK", 1000)  # a long document lies over several blocks
     docs = [np.array(x, np.uint32) for x in (range(10), [], RNG.integers(0, 99, 3500), [2])]
@@ -165,6 +185,14 @@ def test_ascii_words_and_their_marks_are_not_spelled_anew():
         assert np.frombuffer(t.encode([text.encode()], None)[0], t.packed).tolist() == t.library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_are_not_searched_for_added_tokens(monkeypatch):
+    t, library = T.Tokens(PATH), Tokenizer.from_file(PATH)
+    text, searched = "plain words and École, <b>", []
+    monkeypatch.setattr(t, "_holds_added", lambda x: searched.append(x))
+    assert np.frombuffer(t.encode([text.encode()], None)[0], t.packed).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not {b"plain", b"words", b"and"} & {*searched} and "École".encode() in searched
+
+
 class Seen(T.Kept):
     """Counts how often a stretch is asked for."""
 
